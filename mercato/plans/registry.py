@@ -66,3 +66,64 @@ def _mart_query(mart: str):
 
 for _q, _m in MART_QUERY_NAMES.items():
     register(_q, O.with_base(f"SELECT * FROM mart_{_m}"))(_mart_query(_m))
+
+
+# -- analyses (Q1-Q16, Q33, Q34) -----------------------------------------------
+from mercato.plans import insights as I  # noqa: E402
+from mercato.plans import explore as X  # noqa: E402
+from mercato.plans import oracle_queries as OQ  # noqa: E402
+from mercato.sources.tables import read_table  # noqa: E402
+
+
+def _mart(s, d, name):
+    return marts.BUILDERS[name](W.star(s, d))
+
+
+register("kpi_row", OQ.SQL["kpi_row"])(lambda s, d: I.kpi_row(W.star(s, d).fact))
+register("monthly_trend", OQ.SQL["monthly_trend"])(lambda s, d: I.monthly_trend(_mart(s, d, "monthly_sales")))
+register("yoy", OQ.SQL["yoy"])(lambda s, d: I.yoy(_mart(s, d, "monthly_sales")))
+register("peak_month", OQ.SQL["peak_month"])(lambda s, d: I.peak_month(_mart(s, d, "monthly_sales")))
+register("region_share", OQ.SQL["region_share"])(lambda s, d: I.region_share(_mart(s, d, "regional_sales")))
+register("category_top", OQ.SQL["category_top"])(lambda s, d: I.category_top(_mart(s, d, "category_profit")))
+register("discount_corr", OQ.SQL["discount_corr"])(lambda s, d: I.discount_corr(_mart(s, d, "category_profit")))
+register("tier_multiplier", OQ.SQL["tier_multiplier"])(lambda s, d: I.tier_multiplier(_mart(s, d, "customer_ltv")))
+register("voucher_lift", OQ.SQL["voucher_lift"])(lambda s, d: I.voucher_lift(_mart(s, d, "cdc_impact")))
+register("tax_growth", OQ.SQL["tax_growth"])(lambda s, d: I.tax_growth(_mart(s, d, "gst_analysis")))
+register("hourly", OQ.SQL["hourly"])(lambda s, d: I.hourly(I.purchase_events(read_table(s, d, "events"))))
+register("peak_hours", OQ.SQL["peak_hours"])(
+    lambda s, d: I.peak_hours(I.hourly(I.purchase_events(read_table(s, d, "events")))))
+register("product_top", OQ.SQL["product_top"])(lambda s, d: I.product_top(_mart(s, d, "product_ranking")))
+register("margin_top", OQ.SQL["margin_top"])(lambda s, d: I.margin_top(_mart(s, d, "category_profit")))
+register("tier_basket", OQ.SQL["tier_basket"])(lambda s, d: I.tier_basket(_mart(s, d, "customer_ltv")))
+register("tier_ratio", OQ.SQL["tier_ratio"])(lambda s, d: I.tier_ratio(_mart(s, d, "customer_ltv")))
+register("weekday_sales", OQ.SQL["weekday_sales"])(lambda s, d: I.weekday_sales(W.star(s, d)))
+register("payment_share", OQ.SQL["payment_share"])(lambda s, d: I.payment_share(W.star(s, d).fact))
+
+# -- dashboard (Q17-Q32) --------------------------------------------------------
+DEFAULT_FILTER = X.SalesFilter(years=OQ.FILTER_YEARS, regions=OQ.FILTER_REGIONS)
+
+
+def _filtered(s, d):
+    return X.filtered_sales(W.star(s, d), DEFAULT_FILTER)
+
+
+register("filtered_sales", OQ.SQL["filtered_sales"])(lambda s, d: X.money_view(_filtered(s, d)))
+register("filtered_kpis", OQ.SQL["filtered_kpis"])(lambda s, d: X.filtered_kpis(_filtered(s, d)))
+register("filtered_monthly", OQ.SQL["filtered_monthly"])(lambda s, d: X.filtered_monthly(_filtered(s, d)))
+register("filtered_regions", OQ.SQL["filtered_regions"])(lambda s, d: X.filtered_regions(_filtered(s, d)))
+register("filtered_years", OQ.SQL["filtered_years"])(lambda s, d: X.filtered_years(_filtered(s, d)))
+register("store_performance", OQ.SQL["store_performance"])(
+    lambda s, d: X.store_performance(_mart(s, d, "regional_sales")))
+register("region_summary", OQ.SQL["region_summary"])(
+    lambda s, d: X.region_summary(X.store_performance(_mart(s, d, "regional_sales"))))
+register("store_table", OQ.SQL["store_table"])(
+    lambda s, d: X.store_table(X.store_performance(_mart(s, d, "regional_sales"))))
+register("category_list", OQ.SQL["category_list"])(lambda s, d: X.category_list(_mart(s, d, "category_profit")))
+register("product_table", OQ.SQL["product_table"])(lambda s, d: X.product_table(_mart(s, d, "product_ranking")))
+register("tier_summary", OQ.SQL["tier_summary"])(lambda s, d: X.tier_summary(_mart(s, d, "customer_ltv")))
+register("segment_spend", OQ.SQL["segment_spend"])(lambda s, d: X.segment_spend(_mart(s, d, "customer_ltv")))
+register("payment_methods", OQ.SQL["payment_methods"])(lambda s, d: X.payment_methods(W.star(s, d).fact))
+register("voucher_compare", OQ.SQL["voucher_compare"])(lambda s, d: X.voucher_compare(_mart(s, d, "cdc_impact")))
+register("voucher_compare_lift", OQ.SQL["voucher_compare_lift"])(
+    lambda s, d: X.voucher_compare_lift(X.voucher_compare(_mart(s, d, "cdc_impact"))))
+register("tax_periods", OQ.SQL["tax_periods"])(lambda s, d: X.tax_periods(_mart(s, d, "gst_analysis")))

@@ -210,3 +210,168 @@ FROM (SELECT MAX(CASE WHEN cdc_voucher_used = 0 THEN avg_basket END) AS no_vouch
     "tax_periods": with_base("SELECT * FROM mart_gst_analysis"),
 }
 del margin
+
+
+# -- quality checks -------------------------------------------------------------
+def _pct(n: str, rows: str = "_rows") -> str:
+    h = f"(({n} * 20000 + {rows}) // (2 * {rows}))"
+    return (f"CASE WHEN {rows} > 0 THEN CAST({h} // 100 AS VARCHAR) || '.' || lpad(CAST({h} % 100 AS VARCHAR), 2, '0') "
+            f"ELSE '0.00' END")
+
+
+def _check_row(cid, name, passed, detail, severity, violations, src) -> str:
+    name_sql = name.replace("'", "''")
+    return (f"SELECT '{cid}' AS check_id, '{name_sql}' AS test_name, CASE WHEN {passed} THEN 'PASS' ELSE 'FAIL' END AS status, "
+            f"{detail} AS detail, '{severity}' AS severity, CAST({violations} AS BIGINT) AS violations FROM {src}")
+
+
+_NOT_NULL = ["transaction_id", "date_key", "store_key", "product_key", "customer_key", "total_sgd", "quantity",
+             "payment_method"]
+_cfg = S.CheckConfig()
+_valid = ", ".join(f"CAST('{r}' AS DECIMAL(4,2))" for r in _cfg.valid_gst_rates)
+_ROW_PREDICATES = [
+    # id, name, violation SQL, detail prefix, detail suffix, severity, group
+    ("K12", "Positive total_sgd values", "total_sgd <= 0", "non-positive transaction values", "HIGH", "ranges"),
+    ("K13", "Quantity >= 1", "quantity < 1", "zero or negative quantity values", "HIGH", "ranges"),
+    ("K14", "Discount in range [0, 1]", "discount_pct < 0 OR discount_pct > 1", "out-of-range discount values",
+     "HIGH", "ranges"),
+    ("K15", "GST rate in {" + ", ".join(f"{r:g}" for r in _cfg.valid_gst_rates) + "}",
+     f"NOT COALESCE(gst_rate IN ({_valid}), FALSE)", "invalid GST rate values", "HIGH", "ranges"),
+    ("K20", "total_sgd = subtotal + gst_amount",
+     f"abs(total_sgd - round_even(subtotal_sgd + gst_amount_sgd, 2)) > CAST('{_cfg.total_tolerance}' AS DECIMAL(10,4))",
+     f"rows where totals don't reconcile (tolerance: {_cfg.total_tolerance:g})", "HIGH", "logic"),
+    ("K21", "Promo flag matches promo_type", "is_promotion = 1 AND promo_type = 'No Promotion'",
+     "promo transactions with 'No Promotion' type", "LOW", "logic"),
+    ("K22", "Discounted price <= original price",
+     f"(CASE WHEN isnan(unit_price_after_disc) THEN NULL ELSE unit_price_after_disc END) > "
+     f"(CASE WHEN isnan(unit_price_sgd) THEN NULL ELSE unit_price_sgd END) + {_cfg.price_tolerance}",
+     "rows where discounted price > original", "HIGH", "logic"),
+    ("K23", "No negative gross profit", "gross_profit_sgd < 0", "negative gross profit rows", "LOW", "logic"),
+]
+
+_ROW_AGG = ("row_checks AS (SELECT COUNT(*) AS _rows, "
+            + ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS K{i}" for i, c in enumerate(_NOT_NULL, start=1))
+            + ", " + ", ".join(f"COUNT(*) FILTER (WHERE {p}) AS {cid}" for cid, _n, p, _d, _s, _g in _ROW_PREDICATES)
+            + " FROM fact)")
+
+_monthly_counts = ("monthly_counts AS (SELECT d.year, d.month, COUNT(*) AS cnt FROM fact f "
+                   "JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.month)")
+
+DQ_PARTS = {
+    "nulls": [
+        _check_row(f"K{i}", f"NULL check: FactSales.{c}", f"K{i} = 0",
+                   f"'Found ' || CAST(K{i} AS VARCHAR) || ' NULL values (' || {_pct(f'K{i}')} || '%)'",
+                   "HIGH", f"K{i}", "row_checks")
+        for i, c in enumerate(_NOT_NULL, start=1)],
+    "duplicates": [
+        _check_row("K9", "Duplicate transaction_ids", "n = 0",
+                   "'Found ' || CAST(n AS VARCHAR) || ' duplicate transaction IDs'", "HIGH", "n",
+                   "(SELECT COUNT(*) - COUNT(DISTINCT struct_pack(transaction_id)) AS n FROM fact)"),
+        _check_row("K10", "Duplicate DimStore rows", "n = 0",
+                   "'Found ' || CAST(n AS VARCHAR) || ' duplicate store records'", "HIGH", "n",
+                   "(SELECT COUNT(*) - COUNT(DISTINCT struct_pack(store_name, region)) AS n FROM dim_store)"),
+        _check_row("K11", "Duplicate DimProduct rows", "n = 0",
+                   "'Found ' || CAST(n AS VARCHAR) || ' duplicate product records'", "HIGH", "n",
+                   "(SELECT COUNT(*) - COUNT(DISTINCT struct_pack(product_name)) AS n FROM dim_product)"),
+    ],
+    "ranges": [
+        _check_row(cid, name, f"{cid} = 0", f"'Found ' || CAST({cid} AS VARCHAR) || ' {d.replace(chr(39), chr(39) * 2)}'",
+                   sev, cid, "row_checks")
+        for cid, name, _p, d, sev, grp in _ROW_PREDICATES if grp == "ranges"
+    ] + [
+        _check_row("K16", f"Date range {_cfg.min_year}–{_cfg.max_year}",
+                   f"COALESCE(lo >= {_cfg.min_year} AND hi <= {_cfg.max_year}, FALSE)",
+                   "'Date range: ' || CAST(lo AS VARCHAR) || ' to ' || CAST(hi AS VARCHAR)", "HIGH",
+                   f"CASE WHEN COALESCE(lo >= {_cfg.min_year} AND hi <= {_cfg.max_year}, FALSE) THEN 0 ELSE 1 END",
+                   "(SELECT MIN(year) AS lo, MAX(year) AS hi FROM dim_date)"),
+    ],
+    "orphans": [
+        _check_row(cid, f"FactSales → {dim_name} referential integrity", "n = 0",
+                   f"'Found ' || CAST(n AS VARCHAR) || ' orphaned {key} references'", "HIGH", "n",
+                   f"(SELECT COUNT(*) AS n FROM fact f LEFT JOIN {dim} d ON f.{key} = d.{key} WHERE d.{key} IS NULL)")
+        for cid, dim_name, dim, key in [("K17", "DimStore", "dim_store", "store_key"),
+                                        ("K18", "DimProduct", "dim_product", "product_key"),
+                                        ("K19", "DimDate", "dim_date", "date_key"),
+                                        ("K19b", "DimCustomer", "dim_customer", "customer_key")]],
+    "logic": [
+        _check_row(cid, name, f"{cid} = 0", f"'Found ' || CAST({cid} AS VARCHAR) || ' {d.replace(chr(39), chr(39) * 2)}'",
+                   sev, cid, "row_checks")
+        for cid, name, _p, d, sev, grp in _ROW_PREDICATES if grp == "logic"],
+    "distribution": [
+        _check_row("K24", f"All {_cfg.expected_regions} Singapore regions present", f"n = {_cfg.expected_regions}",
+                   "'Found ' || CAST(n AS VARCHAR) || ' regions: ' || vals", "HIGH", "n",
+                   "(SELECT COUNT(*) AS n, '[' || COALESCE(string_agg('''' || region || '''', ', ' ORDER BY region), '') || ']' AS vals "
+                   "FROM (SELECT DISTINCT region FROM dim_store WHERE region IS NOT NULL))"),
+        _check_row("K25", f"All {_cfg.expected_years} years ({_cfg.min_year}–{_cfg.max_year}) present",
+                   f"n = {_cfg.expected_years}", "'Found years: ' || vals", "HIGH", "n",
+                   "(SELECT COUNT(*) AS n, '[' || COALESCE(string_agg(CAST(year AS VARCHAR), ', ' ORDER BY year), '') || ']' AS vals "
+                   "FROM (SELECT DISTINCT year FROM dim_date WHERE year IS NOT NULL))"),
+        _check_row("K26", f"Minimum {_cfg.min_monthly_transactions} transactions per month",
+                   f"COALESCE(n >= {_cfg.min_monthly_transactions}, FALSE)",
+                   "'Minimum monthly transactions: ' || CAST(n AS VARCHAR)", "LOW", "n",
+                   "(SELECT MIN(cnt) AS n FROM monthly_counts)"),
+    ],
+}
+_DQ_CTES = _ROW_AGG + ",\n" + _monthly_counts
+
+for _g, _parts in DQ_PARTS.items():
+    SQL[f"dq_{_g}"] = with_base("\nUNION ALL\n".join(_parts), _DQ_CTES)
+
+_ALL_CHECKS = "all_checks AS (" + "\nUNION ALL\n".join(p for parts in DQ_PARTS.values() for p in parts) + ")"
+SQL["dq_results"] = with_base("SELECT * FROM all_checks", _DQ_CTES + ",\n" + _ALL_CHECKS)
+SQL["dq_score"] = with_base("""
+SELECT total_tests, passed, failed, quality_score,
+       CASE WHEN quality_score = 100 THEN 'PERFECT SCORE — Data is clean and ready for analysis!'
+            WHEN quality_score >= 90 THEN 'GOOD — Minor issues. Review warnings before production.'
+            WHEN quality_score >= 75 THEN 'ACCEPTABLE — Some issues found. Review before proceeding.'
+            ELSE 'POOR — Significant data quality issues. Investigate before use.' END AS grade
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS total_tests,
+             CAST(COUNT(*) FILTER (WHERE status = 'PASS') AS BIGINT) AS passed,
+             CAST(COUNT(*) FILTER (WHERE status = 'FAIL') AS BIGINT) AS failed,
+             CAST(COUNT(*) FILTER (WHERE status = 'PASS') AS DOUBLE) * 100.0 / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) AS quality_score
+      FROM all_checks)""", _DQ_CTES + ",\n" + _ALL_CHECKS)
+
+# -- ingest profile, pre-load checks, counts ---------------------------------------
+SQL["source_profile"] = with_base("""
+SELECT CAST(COUNT(*) AS BIGINT) AS rows, CAST(30 AS INTEGER) AS columns, MIN(date) AS min_date, MAX(date) AS max_date,
+       (SELECT string_agg(region, ',' ORDER BY region) FROM (SELECT DISTINCT region FROM sales WHERE region IS NOT NULL)) AS regions,
+       CAST(SUM(total_sgd) AS DOUBLE) AS total_revenue
+FROM sales""")
+SQL["preload_issues"] = with_base("""
+SELECT 'missing_required_columns' AS issue, CAST(0 AS BIGINT) AS found, '' AS detail
+UNION ALL
+SELECT 'duplicate_transaction_ids', n, 'Found ' || CAST(n AS VARCHAR) || ' duplicate transaction_ids'
+FROM (SELECT CAST(COUNT(*) - COUNT(DISTINCT struct_pack(transaction_id)) AS BIGINT) AS n FROM sales)
+UNION ALL
+SELECT 'negative_total_sgd', n, 'Found ' || CAST(n AS VARCHAR) || ' negative total_sgd values'
+FROM (SELECT CAST(COUNT(*) FILTER (WHERE total_sgd < 0) AS BIGINT) AS n FROM sales)""")
+_COUNTED = ["dim_date", "dim_store", "dim_product", "dim_customer", "fact"] + [
+    f"mart_{m}" for m in ("monthly_sales", "regional_sales", "category_profit", "customer_ltv", "product_ranking",
+                          "cdc_impact", "gst_analysis")]
+SQL["table_counts"] = with_base("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM {t}" for t in _COUNTED))
+
+# -- incremental load ---------------------------------------------------------------
+UPSERT_BASE_BEFORE = "2000-01-01"
+UPSERT_BATCH_FROM = "1999-07-01"
+_UPSERT_COLS = ["transaction_id", "date", "store_name", "product_name", "quantity", "total_sgd"]
+_ucols = ", ".join(_UPSERT_COLS)
+SQL["upsert"] = with_base(f"""
+SELECT transaction_id, date, store_name, product_name, quantity, CAST(total_sgd AS DOUBLE) AS total_sgd FROM (
+  SELECT {_ucols} FROM sales t
+  WHERE t.date < DATE '{UPSERT_BASE_BEFORE}'
+    AND NOT EXISTS (SELECT 1 FROM sales b WHERE b.date >= DATE '{UPSERT_BATCH_FROM}' AND b.transaction_id = t.transaction_id)
+  UNION ALL
+  SELECT {_ucols} FROM (
+    SELECT {_ucols}, row_number() OVER (PARTITION BY transaction_id
+             ORDER BY date DESC, store_name DESC, product_name DESC, quantity DESC, total_sgd DESC) AS rn
+    FROM sales WHERE date >= DATE '{UPSERT_BATCH_FROM}') WHERE rn = 1)""")
+_qchecks = [("K1", "transaction_id IS NULL"), ("K6", "total_sgd IS NULL"), ("K7", "quantity IS NULL"),
+            ("K8", "payment_method IS NULL")] + [(cid, p) for cid, _n, p, _d, sev, _g in _ROW_PREDICATES
+                                                  if cid in ("K12", "K13", "K14", "K15", "K20", "K22")]
+_tags = "list_value(" + ", ".join(f"CASE WHEN COALESCE({p}, FALSE) THEN '{cid}' END" for cid, p in _qchecks) + ")"
+SQL["quarantine"] = with_base(f"""
+SELECT transaction_id, date_key, failed_checks, CAST(failed_checks <> '' AS INTEGER) AS quarantined
+FROM (SELECT transaction_id, date_key,
+             COALESCE(array_to_string(list_filter({_tags}, lambda x: x IS NOT NULL), ','), '') AS failed_checks
+      FROM fact)""")

@@ -127,3 +127,47 @@ register("voucher_compare", OQ.SQL["voucher_compare"])(lambda s, d: X.voucher_co
 register("voucher_compare_lift", OQ.SQL["voucher_compare_lift"])(
     lambda s, d: X.voucher_compare_lift(X.voucher_compare(_mart(s, d, "cdc_impact"))))
 register("tax_periods", OQ.SQL["tax_periods"])(lambda s, d: X.tax_periods(_mart(s, d, "gst_analysis")))
+
+# -- quality checks (K1-K27) ------------------------------------------------------
+from mercato.operators import quality as Q  # noqa: E402
+from mercato.sources import profile as P  # noqa: E402
+from mercato.streaming import incremental as INC  # noqa: E402
+
+
+def _dq(group: str):
+    return lambda s, d: Q.run_checks(W.star(s, d), groups=(group,))
+
+
+for _g in ("nulls", "duplicates", "ranges", "orphans", "logic", "distribution"):
+    register(f"dq_{_g}", OQ.SQL[f"dq_{_g}"])(_dq(_g))
+register("dq_results", OQ.SQL["dq_results"])(lambda s, d: Q.run_checks(W.star(s, d)))
+register("dq_score", OQ.SQL["dq_score"])(lambda s, d: Q.score(Q.run_checks(W.star(s, d))))
+
+# -- ingest profile, pre-load checks, table counts ---------------------------------
+register("source_profile", OQ.SQL["source_profile"])(lambda s, d: P.source_profile(W.sales(s, d)))
+register("preload_issues", OQ.SQL["preload_issues"])(lambda s, d: P.preload_issues(W.sales(s, d)))
+
+
+def _table_counts(s, d):
+    st = W.star(s, d)
+    tables = {n: st.table(n) for n in st.TABLES}
+    tables.update({f"mart_{m}": fn(st) for m, fn in marts.BUILDERS.items()})
+    return P.table_counts(tables)
+
+
+register("table_counts", OQ.SQL["table_counts"])(_table_counts)
+
+
+# -- incremental load (upsert by key, quarantine) ------------------------------------
+def _upsert(s, d):
+    cols = ["transaction_id", "date", "store_name", "product_name", "quantity", "total_sgd"]
+    sales = W.sales(s, d).select(*cols)
+    base = sales.filter(F.col("date") < F.lit(OQ.UPSERT_BASE_BEFORE).cast("date"))
+    batch = sales.filter(F.col("date") >= F.lit(OQ.UPSERT_BATCH_FROM).cast("date"))
+    merged = INC.upsert(base, batch, "transaction_id", ["date", "store_name", "product_name", "quantity", "total_sgd"])
+    return merged.withColumn("total_sgd", F.col("total_sgd").cast("double"))
+
+
+register("upsert", OQ.SQL["upsert"])(_upsert)
+register("quarantine", OQ.SQL["quarantine"])(
+    lambda s, d: INC.quarantine(W.star(s, d).fact).select("transaction_id", "date_key", "failed_checks", "quarantined"))

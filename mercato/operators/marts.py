@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 from mercato.functions import money as M
 from mercato.operators.star import Star
 
-# Output order of each mart, as stored by the source pipeline.
+# Output order of each mart, as stored by the source pipeline: (column, descending).
 MART_ORDER = {
-    "monthly_sales": [F.col("year"), F.col("month")],
-    "regional_sales": [F.col("total_revenue").desc()],
-    "category_profit": [F.col("total_revenue").desc()],
-    "customer_ltv": [F.col("avg_basket_size").desc()],
-    "product_ranking": [F.col("total_revenue").desc()],
-    "cdc_impact": [F.col("total_revenue").desc()],
-    "gst_analysis": [F.col("gst_rate")],
+    "monthly_sales": [("year", False), ("month", False)],
+    "regional_sales": [("total_revenue", True)],
+    "category_profit": [("total_revenue", True)],
+    "customer_ltv": [("avg_basket_size", True)],
+    "product_ranking": [("total_revenue", True)],
+    "cdc_impact": [("total_revenue", True)],
+    "gst_analysis": [("gst_rate", False)],
 }
 
 
@@ -149,4 +149,4 @@ def build_marts(star: Star) -> dict[str, DataFrame]:
 
 
 def sorted_mart(df: DataFrame, name: str) -> DataFrame:
-    return df.orderBy(*MART_ORDER[name])
+    return df.orderBy(*[F.col(c).desc() if desc else F.col(c).asc() for c, desc in MART_ORDER[name]])

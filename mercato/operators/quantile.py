@@ -1,129 +1,157 @@
 """Exact quantiles with linear interpolation, without one task holding all values.
 
-``percentile(col, p)`` is exact but its final aggregation merges the
+``percentile(col, p)`` is exact, but its final aggregation merges the
 value->count map of every task into a single task, so memory grows with
-the number of distinct values. Here the work is a few distributed
-aggregates that each return a bounded row:
-
-1. one pass: count, min, max;
-2. for every order statistic still open, its value range is split at
-   ``buckets`` approximate quantiles (``percentile_approx``, a bounded
-   sketch) and the exact number of values at or below each split is
-   counted (``count_if`` in the same pass), which narrows the range to one
-   bucket;
-3. when a range holds at most ``small`` values, or min = max inside it
-   (a hot value), the order statistic is read from the value counts of
-   that range, which are at most ``small`` rows.
-
-All ranges are narrowed together, so each round is two scans of one
-column with the range predicates pushed into the scan.
+the number of distinct values. Here every step is a distributed job that
+returns a bounded result:
+
+1. one pass: count, min, max, and ``buckets - 1`` approximate quantiles
+   (``percentile_approx``, a bounded mergeable sketch) as split points;
+2. one pass: each row's bucket (number of splits below its value) and a
+   grouped count per bucket -- at most ``buckets`` rows per open range --
+   which narrows each wanted order statistic to one bucket with an exact
+   number of values below it;
+3. repeat 1-2 inside the narrowed ranges until a range holds at most
+   ``small`` values or a single distinct value (a hot value that may hold a
+   third of all rows is detected by min = max, never enumerated);
+4. one job picks the value at the wanted position inside every small range
+   with a running count over that range's (value, count) rows -- at most
+   ``small`` rows per range, in one task each.
+
+Ranges shared by several order statistics are evaluated once.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _to_float(v):
-    return None if v is None else float(v)
+def _in_range(c, lo, lo_inc, hi):
+    return (c >= F.lit(lo) if lo_inc else c > F.lit(lo)) & (c <= F.lit(hi))
+
+
+def _pick_many(df: DataFrame, c, picks: list[tuple]) -> dict[tuple, object]:
+    """Value at a 0-based position inside small ranges: [(range, pos)]."""
+    ids = list(picks)
+    tagged = F.array(*[F.when(_in_range(c, *g), F.lit(i)) for i, (g, _p) in enumerate(ids)])
+    rows = (df.select(c.alias("v"), F.explode(tagged).alias("g")).filter(F.col("g").isNotNull())
+            .groupBy("g", "v").agg(F.count(F.lit(1)).alias("k")))
+    w = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = F.create_map(*[x for i, (_g, p) in enumerate(ids) for x in (F.lit(i), F.lit(p))])
+    hit = (rows.withColumn("cum", F.sum("k").over(w)).filter(F.col("cum") > F.element_at(pos, F.col("g")))
+           .groupBy("g").agg(F.min("v").alias("v")).collect())  # one row per range
+    return {ids[r["g"]]: r["v"] for r in hit}
+
 
+def _splits_below(c, splits: list, lo: int, hi: int):
+    """Number of sorted ``splits`` strictly below ``c``, as a balanced CASE
+    tree: log2(len) comparisons per row, compiled by whole-stage codegen."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(c > F.lit(splits[mid]), _splits_below(c, splits, mid + 1, hi)).otherwise(
+        _splits_below(c, splits, lo, mid))
 
-def _select_ranks(df: DataFrame, col: str, ranks: list[int], buckets: int, small: int,
-                  max_rounds: int = 40) -> dict[int, object]:
-    """Value at each 0-based rank (ascending, NULLs ignored)."""
+
+def _bucket_counts(df: DataFrame, c, ranges: dict[tuple, list]) -> dict[tuple, dict[int, int]]:
+    """Per range: bucket index (number of splits strictly below the value) -> count."""
+    ids = list(ranges)
+    parts = []
+    for i, g in enumerate(ids):
+        bucket = _splits_below(c, ranges[g], 0, len(ranges[g]))
+        parts.append(F.when(_in_range(c, *g), F.struct(F.lit(i).alias("g"), bucket.alias("b"))))
+    rows = (df.select(F.explode(F.array(*parts)).alias("t")).filter(F.col("t").isNotNull())
+            .groupBy(F.col("t.g").alias("g"), F.col("t.b").alias("b")).agg(F.count(F.lit(1)).alias("k"))
+            .collect())  # at most len(ranges) * buckets rows
+    out = {g: {} for g in ids}
+    for r in rows:
+        out[ids[r["g"]]][int(r["b"])] = int(r["k"])
+    return out
+
+
+def exact_order_statistics(df: DataFrame, col: str, rank_fn, buckets: int = 64, small: int = 50_000,
+                           max_rounds: int = 40):
+    """``rank_fn(n) -> 0-based ranks``; returns (n, {rank: value})."""
     c = F.col(col)
-    head = df.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+    fracs = [i / buckets for i in range(1, buckets)]
+    acc = 20 * buckets
+    head = df.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"),
+                  F.percentile_approx(c, fracs, acc).alias("s")).first()
     n = int(head["n"])
-    if n == 0:
-        return {r: None for r in ranks}
-    # state per rank: (lower bound, lower inclusive?, upper bound, rows below the range, rows in range)
-    state = {r: (head["lo"], True, head["hi"], 0, n) for r in ranks}
+    ranks = sorted(set(rank_fn(n))) if n else []
+    if not ranks:
+        return n, {}
+    full = (head["lo"], True, head["hi"])
+    # per rank: (range, values below the range, values in range)
+    state = {r: (full, 0, n) for r in ranks}
+    splits = {full: list(head["s"] or [])}
     result: dict[int, object] = {}
     for _ in range(max_rounds):
         open_ranks = [r for r in ranks if r not in result]
+        picks = set()
+        for r in open_ranks:
+            g, below, m = state[r]
+            if g[0] == g[2]:
+                result[r] = g[0]
+            elif m <= small:
+                picks.add((g, r - below))
+        if picks:
+            got = _pick_many(df, c, sorted(picks, key=repr))
+            for (g, pos), v in got.items():
+                for r in open_ranks:
+                    if r not in result and state[r][0] == g and r - state[r][1] == pos:
+                        result[r] = v
+        open_ranks = [r for r in ranks if r not in result]
         if not open_ranks:
             break
-        # ranges that are small enough (or a single value) are finished from value counts
-        finish = [r for r in open_ranks if state[r][4] <= small or state[r][0] == state[r][2]]
-        for r in finish:
-            lo, lo_inc, hi, below, _m = state[r]
-            if lo == hi:
-                result[r] = lo
-                continue
-            in_range = (c >= lo if lo_inc else c > lo) & (c <= hi)
-            vc = (df.filter(in_range).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("k"))
-                  .orderBy("v").collect())  # at most `small` rows
-            pos = r - below
-            for row in vc:
-                pos -= int(row["k"])
-                if pos < 0:
-                    result[r] = row["v"]
-                    break
-        open_ranks = [r for r in open_ranks if r not in result]
-        if not open_ranks:
-            break
-        fracs = [i / buckets for i in range(1, buckets)]
-        conds = {}
-        aggs = []
+        ranges = sorted({state[r][0] for r in open_ranks}, key=repr)
+        need = [g for g in ranges if g not in splits]
+        if need:
+            row = df.agg(*[F.percentile_approx(F.when(_in_range(c, *g), c), fracs, acc).alias(f"s{i}")
+                           for i, g in enumerate(need)]).first()
+            for i, g in enumerate(need):
+                splits[g] = list(row[f"s{i}"] or [])
+        cut = {g: sorted({s for s in splits[g] if s is not None and g[0] <= s < g[2]}) for g in ranges}
+        counts = _bucket_counts(df, c, cut)
         for r in open_ranks:
-            lo, lo_inc, hi, _b, _m = state[r]
-            conds[r] = (c >= lo if lo_inc else c > lo) & (c <= hi)
-            aggs.append(F.percentile_approx(F.when(conds[r], c), fracs, 10 * buckets).alias(f"s{r}"))
-        splits_row = df.agg(*aggs).first()
-        splits = {r: sorted(set(splits_row[f"s{r}"] or [])) for r in open_ranks}
-        count_aggs = []
-        for r in open_ranks:
-            for i, s in enumerate(splits[r]):
-                count_aggs.append(F.count_if(conds[r] & (c <= F.lit(s))).alias(f"c{r}_{i}"))
-            count_aggs.append(F.count_if(conds[r]).alias(f"t{r}"))
-            count_aggs.append(F.min(F.when(conds[r], c)).alias(f"mn{r}"))
-        counts = df.agg(*count_aggs).first()
-        for r in open_ranks:
-            lo, lo_inc, hi, below, _m = state[r]
-            total = int(counts[f"t{r}"])
+            g, below, m = state[r]
+            lo, lo_inc, hi = g
             pos = r - below
-            prev_bound, prev_inc, prev_cum = lo, lo_inc, 0
-            new_state = None
-            for i, s in enumerate(splits[r]):
-                cum = int(counts[f"c{r}_{i}"])
-                if cum > pos:
-                    new_state = (prev_bound, prev_inc, s, below + prev_cum, cum - prev_cum)
+            bounds = cut[g] + [hi]
+            cum, prev, prev_inc = 0, lo, lo_inc
+            for b, upper in enumerate(bounds):
+                k = counts[g].get(b, 0)
+                if cum + k > pos:
+                    new = ((prev, prev_inc, upper), below + cum, k)
                     break
-                prev_bound, prev_inc, prev_cum = s, False, cum
-            if new_state is None:
-                new_state = (prev_bound, prev_inc, hi, below + prev_cum, total - prev_cum)
-            # tighten an inclusive lower bound to the true minimum of the range
-            if new_state[1] and new_state[3] == below and counts[f"mn{r}"] is not None:
-                new_state = (counts[f"mn{r}"], True) + new_state[2:]
-            if new_state[4] == _m and new_state[0] == lo and new_state[2] == hi:
-                # No progress: every split collapsed onto the range's few distinct
-                # values. Finish from value counts, which hold one row per distinct
-                # value, not per row.
-                new_state = new_state[:4] + (min(new_state[4], small),)
-            state[r] = new_state
-    for r in ranks:
-        if r not in result:
-            raise RuntimeError(f"quantile selection did not converge for rank {r}")
-    return result
+                cum, prev, prev_inc = cum + k, upper, False
+            else:
+                raise RuntimeError("bucket counts do not cover the range")
+            if new[2] == m and new[0] == g:
+                # no split fell inside: few distinct values left, pick directly
+                new = (g, below, min(m, small))
+            state[r] = new
+    missing = [r for r in ranks if r not in result]
+    if missing:
+        raise RuntimeError(f"quantile selection did not converge for ranks {missing}")
+    return n, result
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], buckets: int = 64,
-                    small: int = 200_000) -> dict[float, float | None]:
-    """Quantiles as numpy's default (linear) method: pos = p * (n - 1)."""
-    n = df.agg(F.count(F.col(col)).alias("n")).first()["n"]
+                    small: int = 50_000) -> dict[float, float | None]:
+    """Quantiles as numpy's default (linear) method: position p * (n - 1)."""
+    def positions(n):
+        return [k for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
+    n, values = exact_order_statistics(df, col, positions, buckets, small)
     if not n:
         return {p: None for p in probs}
-    needed = {}
+    out = {}
     for p in probs:
         pos = p * (n - 1)
-        needed[p] = (pos, int(math.floor(pos)), int(math.ceil(pos)))
-    ranks = sorted({k for _, a, b in needed.values() for k in (a, b)})
-    values = _select_ranks(df, col, ranks, buckets, small)
-    out = {}
-    for p, (pos, a, b) in needed.items():
-        lo, hi = _to_float(values[a]), _to_float(values[b])
+        a, b = math.floor(pos), math.ceil(pos)
+        lo, hi = float(values[a]), float(values[b])
         out[p] = lo + (hi - lo) * (pos - a)
     return out

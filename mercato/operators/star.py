@@ -50,8 +50,12 @@ class Star:
             df = self.table(name)
             if name == "fact" and partition_fact:
                 # year/month partition directories: filters on them prune files
+                # REBALANCE clusters rows by partition value before the write (few
+                # files per month instead of one per task and month); AQE splits a
+                # month that is much larger than the others into several tasks.
                 df = (df.withColumn("year", F.floor(F.col("date_key") / 10000).cast("int"))
-                        .withColumn("month", (F.floor(F.col("date_key") / 100) % 100).cast("int")))
+                        .withColumn("month", (F.floor(F.col("date_key") / 100) % 100).cast("int"))
+                        .hint("rebalance", "year", "month"))
                 df.write.mode(mode).partitionBy("year", "month").parquet(os.path.join(root, name))
             else:
                 df.write.mode(mode).parquet(os.path.join(root, name))

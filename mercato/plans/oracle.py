@@ -84,9 +84,9 @@ sales AS (
     (l_extendedprice / l_quantity) * (1.0 - l_discount) AS unit_price_after_disc,
     sub AS subtotal_sgd,
     tax AS gst_rate,
-    CAST(sub * tax AS DECIMAL(24,6)) AS gst_amount_sgd,
-    CAST(sub + CAST(sub * tax AS DECIMAL(24,6)) AS DECIMAL(24,6)) AS total_sgd,
-    CAST(sub * {margin} AS DECIMAL(24,6)) AS gross_profit_sgd,
+    CAST(sub * tax AS DECIMAL(18,6)) AS gst_amount_sgd,
+    CAST(sub + CAST(sub * tax AS DECIMAL(18,6)) AS DECIMAL(18,6)) AS total_sgd,
+    CAST(sub * {margin} AS DECIMAL(18,6)) AS gross_profit_sgd,
     o_orderpriority AS payment_method,
     CAST(disc >= CAST({_q(S.FIXTURE_PROMO_MIN_DISCOUNT)} AS DECIMAL(4,2)) AS INTEGER) AS is_promotion,
     {promo} AS promo_type,

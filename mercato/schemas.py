@@ -30,9 +30,9 @@ RAW_SCHEMA = T.StructType([
     T.StructField("unit_price_after_disc", T.DoubleType()),
     T.StructField("subtotal_sgd", T.DecimalType(18, 4)),
     T.StructField("gst_rate", RATE),
-    T.StructField("gst_amount_sgd", T.DecimalType(24, 6)),
-    T.StructField("total_sgd", T.DecimalType(24, 6)),
-    T.StructField("gross_profit_sgd", T.DecimalType(24, 6)),
+    T.StructField("gst_amount_sgd", T.DecimalType(18, 6)),
+    T.StructField("total_sgd", T.DecimalType(18, 6)),
+    T.StructField("gross_profit_sgd", T.DecimalType(18, 6)),
     T.StructField("payment_method", T.StringType()),
     T.StructField("is_promotion", T.IntegerType()),
     T.StructField("promo_type", T.StringType()),

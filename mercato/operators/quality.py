@@ -7,8 +7,10 @@ row-level kinds a predicate that marks a violating row. Evaluation:
   compiles into ONE aggregate of ``count_if`` -- a single scan;
 * uniqueness is ``count(*) - count(distinct struct(keys))`` (NULLs count as
   a value, like pandas ``duplicated``);
-* referential integrity is a ``left_anti`` join count (a NULL key is an
-  orphan);
+* referential integrity rides along in the same scan: the fact is left
+  joined to each dimension's distinct keys and an orphan is a row without a
+  match (a NULL key is an orphan); ``orphan_check`` is the standalone
+  ``left_anti`` form;
 * distribution checks aggregate the dimensions or a monthly roll-up.
 
 The results are a small DataFrame (one row per check, stacked from the wide
@@ -163,21 +165,35 @@ def _stack(rows: list[Column], source: DataFrame) -> DataFrame:
     return source.select(F.inline(F.array(*rows)))
 
 
-def fact_row_checks(fact: DataFrame, checks: list[Check], cfg: S.CheckConfig) -> DataFrame:
-    """All row-level fact checks in a single aggregate, stacked to rows."""
+def fact_row_checks(star: Star, checks: list[Check], cfg: S.CheckConfig) -> DataFrame | None:
+    """All row-level fact checks and all referential checks in ONE scan of
+    the fact: each referenced dimension contributes its distinct keys with a
+    marker column through a left join (distinct keys: no fan-out), so an
+    orphan is a row whose marker is NULL -- a NULL key included."""
     row_checks = [c for c in checks if c.table == "fact" and c.kind in ("not_null", "predicate")]
-    if not row_checks:
+    orphan_checks = [c for c in checks if c.kind == "orphan"]
+    if not row_checks and not orphan_checks:
         return None
+    fact = star.fact
+    for c in orphan_checks:
+        key = c.columns[0]
+        keys = star.table(c.table).select(key).distinct().withColumn(f"_in_{c.check_id}", F.lit(True))
+        fact = fact.join(keys, key, "left")
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in row_checks:
         cond = F.col(c.columns[0]).isNull() if c.kind == "not_null" else c.violation(cfg)
         aggs.append(F.count_if(cond).alias(c.check_id))
+    for c in orphan_checks:
+        aggs.append(F.count_if(F.col(f"_in_{c.check_id}").isNull()).alias(c.check_id))
     wide = fact.agg(*aggs)
     rows = []
     for c in row_checks:
         n = F.col(c.check_id)
         pct = percent_text(c.check_id, "_rows")
         rows.append(_row(c, n == 0, _found(c.detail, n, pct=pct), n))
+    for c in orphan_checks:
+        n = F.col(c.check_id)
+        rows.append(_row(c, n == 0, _found(c.detail, n), n))
     return _stack(rows, wide)
 
 
@@ -230,14 +246,12 @@ def run_checks(star: Star, cfg: S.CheckConfig | None = None, checks: list[Check]
     if groups:
         checks = [c for c in checks if c.group in groups]
     parts = []
-    fr = fact_row_checks(star.fact, checks, cfg)
+    fr = fact_row_checks(star, checks, cfg)
     if fr is not None:
         parts.append(fr)
     for c in checks:
         if c.kind == "unique":
             parts.append(unique_check(star.table(c.table), c))
-        elif c.kind == "orphan":
-            parts.append(orphan_check(star.fact, star.table(c.table), c))
         elif c.kind == "year_range":
             parts.append(year_range_check(star.table(c.table), c, cfg))
         elif c.kind == "distinct_count":

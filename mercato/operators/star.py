@@ -39,6 +39,7 @@ class Star:
     dim_customer: DataFrame
     fact: DataFrame
     rows: dict
+    fact_by_month: DataFrame | None = None  # fact with year/month partition columns, when stored so
 
     TABLES = ("dim_date", "dim_store", "dim_product", "dim_customer", "fact")
 
@@ -63,10 +64,12 @@ class Star:
     @classmethod
     def read(cls, spark: SparkSession, root: str) -> "Star":
         t = {n: spark.read.parquet(os.path.join(root, n)) for n in cls.TABLES}
-        fact = t["fact"]
+        fact = by_month = t["fact"]
         if "year" in fact.columns:
             fact = fact.select(*S.FACT_COLUMNS)
-        return cls(t["dim_date"], t["dim_store"], t["dim_product"], t["dim_customer"], fact, {})
+        else:
+            by_month = None
+        return cls(t["dim_date"], t["dim_store"], t["dim_product"], t["dim_customer"], fact, {}, by_month)
 
 
 def build_dim_date(sales: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 """CSV ingest with a fixed schema.
 
 ``read_csv`` in the source pipeline infers types and turns common null
-words into NaN. Here the schema is fixed, malformed rows are kept with
-the raw line in ``_corrupt_record`` (PERMISSIVE), and the same null words
-become NULL. A missing file raises Spark's PATH_NOT_FOUND as is.
+words into NaN. Here the schema is fixed: columns are read as text under
+the file's own header, the same null words become NULL, values are cast to
+the fixed types, and a value that does not cast is NULL with its column
+named in ``_bad_columns`` (the row is kept). A missing file raises Spark's
+PATH_NOT_FOUND as is.
 """
 
 from __future__ import annotations
@@ -14,20 +16,27 @@ from pyspark.sql import types as T
 
 from mercato import schemas as S
 
-CORRUPT = "_corrupt_record"
 # Strings pandas read_csv treats as missing by default.
 NULL_WORDS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
               "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA,
-                          keep_corrupt: bool = True) -> DataFrame:
-    """Read with a string schema first so null words can be mapped, then cast
-    to the fixed types. A value that does not cast becomes NULL and the row
-    is flagged in ``_corrupt_record``-like ``_bad_columns``."""
-    header = spark.read.option("header", True).csv(path).columns
-    as_text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    text = spark.read.schema(as_text).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def text_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names from the header line (reads the first line only)."""
+    return spark.read.option("header", True).csv(path).columns
+
+
+def typed_from_text(text: DataFrame, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
+    """Text columns (by header name) -> the fixed schema.
+
+    Null words become NULL; a value that does not cast becomes NULL and its
+    column is listed in ``_bad_columns``; schema columns absent from the file
+    arrive as NULL; extra file columns are kept after the schema columns."""
+    header = text.columns
     cleaned = text.select(*[F.when(F.trim(F.col(c)).isin(NULL_WORDS), F.lit(None)).otherwise(F.col(c)).alias(c)
                             for c in header])
     out_cols, bad = [], []
@@ -39,13 +48,21 @@ def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType =
         if isinstance(f.dataType, T.IntegerType):
             # flags may be written as 0/1 or True/False
             src = F.when(F.lower(src) == "true", F.lit("1")).when(F.lower(src) == "false", F.lit("0")).otherwise(src)
-        typed = src.try_cast(f.dataType) if hasattr(src, "try_cast") else F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})")
+        typed = src.try_cast(f.dataType)
         out_cols.append(typed.alias(f.name))
         bad.append(F.when(src.isNotNull() & typed.isNull(), F.lit(f.name)))
     extras = [F.col(c) for c in header if c not in schema.fieldNames()]
-    df = cleaned.select(*out_cols, *extras, F.array_join(F.filter(F.array(*bad), lambda x: x.isNotNull()), ",")
-                        .alias("_bad_columns") if bad else F.lit("").alias("_bad_columns"))
-    return df if keep_corrupt else df.drop("_bad_columns")
+    flags = F.array_join(F.filter(F.array(*bad), lambda x: x.isNotNull()), ",") if bad else F.lit("")
+    return cleaned.select(*out_cols, *extras, flags.alias("_bad_columns"))
+
+
+def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA,
+                          keep_flags: bool = True) -> DataFrame:
+    """CSV -> fixed schema. Columns are matched by header name, not position."""
+    header = csv_header(spark, path)
+    text = spark.read.schema(text_schema(header)).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    df = typed_from_text(text, schema)
+    return df if keep_flags else df.drop("_bad_columns")
 
 
 def conformance(df: DataFrame, schema: T.StructType = S.RAW_SCHEMA,

@@ -73,24 +73,25 @@ def split_valid(df: DataFrame, cfg: S.CheckConfig | None = None) -> tuple[DataFr
 
 
 def stream_ingest(spark, source_dir: str, fact_dir: str, quarantine_dir: str, checkpoint_dir: str,
-                  schema=S.RAW_SCHEMA, cfg: S.CheckConfig | None = None, trigger_once: bool = True):
-    """File-stream ingest: every new CSV batch is checked, valid rows are
-    appended to year/month partitions, failing rows to the quarantine."""
-    from mercato.sources.csv_ingest import NULL_WORDS
-
-    stream = (spark.readStream.schema(schema).option("header", True)
-              .option("nullValue", "").option("mode", "PERMISSIVE").csv(source_dir))
-    for w in NULL_WORDS:
-        stream = stream.replace(w, None, subset=[f.name for f in schema.fields
-                                                 if f.dataType.typeName() == "string"])
+                  columns: list[str] | None = None, schema=S.RAW_SCHEMA, cfg: S.CheckConfig | None = None,
+                  trigger_once: bool = True):
+    """File-stream ingest: every new CSV file batch is typed (by header name),
+    checked, valid rows are appended to year/month partitions and failing rows
+    to the quarantine. ``columns`` is the CSV header; by default it is read
+    from the files already present."""
+    from mercato.sources.csv_ingest import csv_header, text_schema, typed_from_text
+
+    header = columns or csv_header(spark, source_dir)
+    text = spark.readStream.schema(text_schema(header)).option("header", True).csv(source_dir)
+    typed = typed_from_text(text, schema)
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
         checked = quarantine(batch, cfg)
-        good = checked.filter(F.col("quarantined") == 0).drop("failed_checks", "quarantined")
+        good = checked.filter(F.col("quarantined") == 0).drop("failed_checks", "quarantined", "_bad_columns")
         (good.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
              .write.mode("append").partitionBy("year", "month").parquet(fact_dir))
         checked.filter(F.col("quarantined") == 1).write.mode("append").parquet(quarantine_dir)
 
-    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
+    writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="1 minute")
     return writer.start()

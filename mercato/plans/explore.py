@@ -58,6 +58,11 @@ def filtered_sales(star: Star, flt: SalesFilter) -> DataFrame:
             .join(flt.stores(star.dim_store), "store_key"))
 
 
+def has_rows(df: DataFrame) -> bool:
+    """Empty-result guard for a filter choice (reads at most one row)."""
+    return not df.isEmpty()
+
+
 # Q18 ------------------------------------------------------------------------
 def filtered_kpis(sales: DataFrame) -> DataFrame:
     return sales.agg(

@@ -171,3 +171,19 @@ def _upsert(s, d):
 register("upsert", OQ.SQL["upsert"])(_upsert)
 register("quarantine", OQ.SQL["quarantine"])(
     lambda s, d: INC.quarantine(W.star(s, d).fact).select("transaction_id", "date_key", "failed_checks", "quarantined"))
+
+
+# -- SQL text over the warehouse views (A4) ---------------------------------------------
+from mercato.plans import sql_views as SV  # noqa: E402
+
+PAYMENT_SQL = """
+SELECT payment_method, CAST(COUNT(*) AS BIGINT) AS txns, CAST(ROUND(SUM(total_sgd), 2) AS DOUBLE) AS revenue
+FROM FactSales GROUP BY payment_method"""
+
+
+def _sql_payment(s, d):
+    SV.register_views(W.star(s, d))
+    return SV.run_sql(s, PAYMENT_SQL)
+
+
+register("sql_payment_methods", OQ.SQL["payment_methods"])(_sql_payment)

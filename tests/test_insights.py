@@ -70,3 +70,14 @@ def test_kpi_row_median_matches_numpy(star):
     assert r.basket_median == round(float(np.median(vals)), 2)
     assert r.basket_p95 == round(float(np.percentile(vals, 95)), 2)
     assert abs(r.basket_std - float(np.std(vals))) < 1e-3
+
+
+def test_empty_guard_and_sql_views(spark, star):
+    from mercato.plans import sql_views as SV
+    assert X.has_rows(star.fact)
+    assert not X.has_rows(X.filtered_sales(star, X.SalesFilter(years=(1800,))))
+    SV.register_views(star)
+    n = SV.run_sql(spark, "SELECT COUNT(*) AS n FROM FactSales f JOIN DimStore s ON f.store_key = s.store_key").first().n
+    assert n == star.fact.count()
+    m = SV.run_sql(spark, "SELECT SUM(transaction_count) AS n FROM mart_monthly_sales").first().n
+    assert m == n

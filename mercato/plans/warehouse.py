@@ -1,33 +1,69 @@
-"""Warehouse access for registered queries: the star over the test tables.
+"""Warehouse access for registered queries.
 
-The star is built once per (session, data folder) and reused by every
-query in that session: its dimensions are already checkpointed, so a
-second query starts from materialized dimensions instead of re-running
-the numbering jobs.
+For each (session, data folder) the test tables are turned into the raw
+transactions table and the star exactly as the batch pipeline does it
+(ingest -> written raw table -> star -> written star), once. The tables are
+written under the session's checkpoint folder (``spark.checkpoint.dir``, a
+shared folder on a cluster), and every registered query then starts from
+Parquet scans: column pruning, pushed filters, real size statistics for
+join planning, and a year/month partitioned fact.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato import schemas as S
-from mercato.operators.star import Star, build_star
+from mercato.operators.star import Star
+from mercato.plans import pipeline as PL
+from mercato.session import ensure_checkpoint_dir
 from mercato.sources.sales import sales_from_tables
 
 _CACHE: dict = {}
 
 
+def _key(spark: SparkSession, sf_dir: str):
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:
+        app = str(id(spark))
+    return app, os.path.abspath(sf_dir)
+
+
+def _root(spark: SparkSession, sf_dir: str) -> str:
+    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        raise RuntimeError("no checkpoint folder configured (spark.checkpoint.dir)")
+    app, path = _key(spark, sf_dir)
+    tag = hashlib.sha1(f"{app}|{path}".encode()).hexdigest()[:12]
+    return os.path.join(base.replace("file:", ""), f"mercato-warehouse-{tag}")
+
+
+def _build(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Star]:
+    root = _root(spark, sf_dir)
+    PL.ingest(spark, sales_from_tables(spark, sf_dir), root)
+    star = PL.build_warehouse(spark, root, S.fixture_star_config(), partition_fact=True)
+    raw = spark.read.parquet(os.path.join(root, "raw_transactions"))
+    return raw, star
+
+
+def _get(spark: SparkSession, sf_dir: str):
+    k = _key(spark, sf_dir)
+    if k not in _CACHE:
+        _CACHE[k] = _build(spark, sf_dir)
+    return _CACHE[k]
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_from_tables(spark, sf_dir)
+    """The raw transactions table (30 columns) for this data folder."""
+    return _get(spark, sf_dir)[0]
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    key = (id(spark), spark.sparkContext.applicationId if hasattr(spark, "sparkContext") else "", sf_dir)
-    hit = _CACHE.get(key)
-    if hit is None:
-        hit = build_star(sales(spark, sf_dir), S.fixture_star_config())
-        _CACHE[key] = hit
-    return hit
+    return _get(spark, sf_dir)[1]
 
 
 def clear() -> None:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from mercato import schemas as S
 from mercato.functions import calendar as cal
 from mercato.functions.lookup import band
-from mercato.sources.tables import read_table
+from mercato.sources.tables import read_table, spread
 
 
 def member_tier(acctbal) -> F.Column:
@@ -30,9 +30,9 @@ def member_tier(acctbal) -> F.Column:
 
 def sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 30 raw columns (RAW_SCHEMA order) over lineitem's grain."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")

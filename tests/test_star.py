@@ -29,10 +29,14 @@ def test_dimension_keys_are_dense_and_ordered(star):
         assert len(set(nat)) == len(nat)
 
 
-def test_dense_keys_match_row_number_across_many_partitions(spark):
+import pytest
+
+
+@pytest.mark.parametrize("single_task_max", [0, 10_000])
+def test_dense_keys_match_row_number_across_many_partitions(spark, single_task_max):
     df = spark.range(0, 5000, numPartitions=7).select(
         (F.col("id") * 7919 % 5000).cast("string").alias("k"), (F.col("id") % 3).alias("j"))
-    got = dense_keys(df, ["k", "j"], "key")
+    got = dense_keys(df, ["k", "j"], "key", single_task_max)
     want = df.withColumn("key", F.row_number().over(Window.orderBy("k", "j")).cast("long"))
     assert got.rows == 5000
     assert sorted(map(tuple, got.df.select("k", "j", "key").collect())) == \

@@ -36,7 +36,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="mercato-bench-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
     os.environ.setdefault("MERCATO_SCRATCH", scratch)
-    spark = build_session(cpus, max(8, cpus * 2), "mercato-bench")
+    # Partition sizing for a single machine: AQE's advisory size decides how
+    # many tasks a rebalanced write or a coalesced shuffle gets (64 MB suits a
+    # cluster; at this data size it would leave most cores idle).
+    spark = build_session(cpus, max(8, cpus * 2), "mercato-bench",
+                          {"spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "16m")})
 
     def stages(root: str) -> tuple[dict, object, dict, dict]:
         tim: dict[str, float] = {}

@@ -58,68 +58,115 @@ def _no_nan(c: str) -> Column:
     return F.nanvl(F.col(c), F.lit(None).cast("double"))
 
 
-def _fmt_rates(rates) -> str:
-    return "{" + ", ".join(f"{r:g}" for r in rates) + "}"
+# ---------------------------------------------------------------------------
+# Check names, result detail formats and severities as the
+# source pipeline reports them, in its order. Placeholders: {rates},
+# {min_year}, {max_year}, {regions}, {years}, {min_monthly}, {tolerance} come
+# from CheckConfig; {n}, {pct}, {lo}, {hi}, {values} are the measured values.
+# ---------------------------------------------------------------------------
+CHECK_TEXT = {
+    "K1": ("NULL check: FactSales.transaction_id", "Found {n} NULL values ({pct}%)", "HIGH"),
+    "K2": ("NULL check: FactSales.date_key", "Found {n} NULL values ({pct}%)", "HIGH"),
+    "K3": ("NULL check: FactSales.store_key", "Found {n} NULL values ({pct}%)", "HIGH"),
+    "K4": ("NULL check: FactSales.product_key", "Found {n} NULL values ({pct}%)", "HIGH"),
+    "K5": ("NULL check: FactSales.customer_key", "Found {n} NULL values ({pct}%)", "HIGH"),
+    "K6": ("NULL check: FactSales.total_sgd", "Found {n} NULL values ({pct}%)", "HIGH"),
+    "K7": ("NULL check: FactSales.quantity", "Found {n} NULL values ({pct}%)", "HIGH"),
+    "K8": ("NULL check: FactSales.payment_method", "Found {n} NULL values ({pct}%)", "HIGH"),
+    "K9": ("Duplicate transaction_ids", "Found {n} duplicate transaction IDs", "HIGH"),
+    "K10": ("Duplicate DimStore rows", "Found {n} duplicate store records", "HIGH"),
+    "K11": ("Duplicate DimProduct rows", "Found {n} duplicate product records", "HIGH"),
+    "K12": ("Positive total_sgd values", "Found {n} non-positive transaction values", "HIGH"),
+    "K13": ("Quantity >= 1", "Found {n} zero or negative quantity values", "HIGH"),
+    "K14": ("Discount in range [0, 1]", "Found {n} out-of-range discount values", "HIGH"),
+    "K15": ("GST rate in {rates}", "Found {n} invalid GST rate values", "HIGH"),
+    "K16": ("Date range {min_year}–{max_year}", "Date range: {lo} to {hi}", "HIGH"),
+    "K17": ("FactSales → DimStore referential integrity", "Found {n} orphaned store_key references", "HIGH"),
+    "K18": ("FactSales → DimProduct referential integrity", "Found {n} orphaned product_key references", "HIGH"),
+    "K19": ("FactSales → DimDate referential integrity", "Found {n} orphaned date_key references", "HIGH"),
+    "K19b": ("FactSales → DimCustomer referential integrity", "Found {n} orphaned customer_key references", "HIGH"),
+    "K20": ("total_sgd = subtotal + gst_amount",
+            "Found {n} rows where totals don't reconcile (tolerance: {tolerance})", "HIGH"),
+    "K21": ("Promo flag matches promo_type", "Found {n} promo transactions with 'No Promotion' type", "LOW"),
+    "K22": ("Discounted price <= original price", "Found {n} rows where discounted price > original", "HIGH"),
+    "K23": ("No negative gross profit", "Found {n} negative gross profit rows", "LOW"),
+    "K24": ("All {regions} Singapore regions present", "Found {n} regions: {values}", "HIGH"),
+    "K25": ("All {years} years ({min_year}–{max_year}) present", "Found years: {values}", "HIGH"),
+    "K26": ("Minimum {min_monthly} transactions per month", "Minimum monthly transactions: {n}", "LOW"),
+}
+# ---------------------------------------------------------------------------
+
+
+def _params(cfg: S.CheckConfig) -> dict:
+    return {
+        "rates": "{" + ", ".join(f"{r:g}" for r in cfg.valid_gst_rates) + "}",
+        "min_year": str(cfg.min_year), "max_year": str(cfg.max_year),
+        "regions": str(cfg.expected_regions), "years": str(cfg.expected_years),
+        "min_monthly": str(cfg.min_monthly_transactions), "tolerance": f"{cfg.total_tolerance:g}",
+    }
+
+
+def _fill(template: str, values: dict) -> str:
+    for k, v in values.items():
+        template = template.replace("{" + k + "}", v)
+    return template
+
+
+def check_name(check_id: str, cfg: S.CheckConfig | None = None) -> str:
+    return _fill(CHECK_TEXT[check_id][0], _params(cfg or S.CheckConfig()))
+
+
+def check_detail(check_id: str, cfg: S.CheckConfig | None = None) -> str:
+    """Detail format with the configuration placeholders filled in; the
+    measured-value placeholders remain."""
+    return _fill(CHECK_TEXT[check_id][1], _params(cfg or S.CheckConfig()))
+
+
+def check_severity(check_id: str) -> str:
+    return CHECK_TEXT[check_id][2]
+
+
+_VALID = lambda k: [F.lit(str(r)).cast("decimal(4,2)") for r in k.valid_gst_rates]
+
+# Check logic: id -> (kind, table, columns, violation, group)
+CHECK_LOGIC = {
+    "K9": ("unique", "fact", ("transaction_id",), None, "duplicates"),
+    "K10": ("unique", "dim_store", ("store_name", "region"), None, "duplicates"),
+    "K11": ("unique", "dim_product", ("product_name",), None, "duplicates"),
+    "K12": ("predicate", "fact", (), lambda k: F.col("total_sgd") <= 0, "ranges"),
+    "K13": ("predicate", "fact", (), lambda k: F.col("quantity") < 1, "ranges"),
+    "K14": ("predicate", "fact", (), lambda k: (F.col("discount_pct") < 0) | (F.col("discount_pct") > 1), "ranges"),
+    "K15": ("predicate", "fact", (),
+            lambda k: ~F.coalesce(F.col("gst_rate").isin(_VALID(k)), F.lit(False)), "ranges"),
+    "K16": ("year_range", "dim_date", ("year",), None, "ranges"),
+    "K17": ("orphan", "dim_store", ("store_key",), None, "orphans"),
+    "K18": ("orphan", "dim_product", ("product_key",), None, "orphans"),
+    "K19": ("orphan", "dim_date", ("date_key",), None, "orphans"),
+    "K19b": ("orphan", "dim_customer", ("customer_key",), None, "orphans"),
+    "K20": ("predicate", "fact", (),
+            lambda k: F.abs(F.col("total_sgd") - F.bround(F.col("subtotal_sgd") + F.col("gst_amount_sgd"), 2))
+            > F.lit(str(k.total_tolerance)).cast("decimal(10,4)"), "logic"),
+    "K21": ("predicate", "fact", (),
+            lambda k: (F.col("is_promotion") == 1) & (F.col("promo_type") == S.NO_PROMOTION), "logic"),
+    "K22": ("predicate", "fact", (),
+            lambda k: _no_nan("unit_price_after_disc") > _no_nan("unit_price_sgd") + k.price_tolerance, "logic"),
+    "K23": ("predicate", "fact", (), lambda k: F.col("gross_profit_sgd") < 0, "logic"),
+    "K24": ("distinct_count", "dim_store", ("region",), None, "distribution"),
+    "K25": ("distinct_count", "dim_date", ("year",), None, "distribution"),
+    "K26": ("min_group", "fact", ("year", "month"), None, "distribution"),
+}
 
 
 def default_checks(cfg: S.CheckConfig | None = None) -> list[Check]:
     cfg = cfg or S.CheckConfig()
     checks = []
-    for i, c in enumerate(NOT_NULL_COLUMNS, start=1):
-        checks.append(Check(f"K{i}", f"NULL check: FactSales.{c}", "not_null", "fact", (c,),
-                            detail="Found {n} NULL values ({pct}%)", group="nulls"))
-    checks += [
-        Check("K9", "Duplicate transaction_ids", "unique", "fact", ("transaction_id",),
-              detail="Found {n} duplicate transaction IDs", group="duplicates"),
-        Check("K10", "Duplicate DimStore rows", "unique", "dim_store", ("store_name", "region"),
-              detail="Found {n} duplicate store records", group="duplicates"),
-        Check("K11", "Duplicate DimProduct rows", "unique", "dim_product", ("product_name",),
-              detail="Found {n} duplicate product records", group="duplicates"),
-        Check("K12", "Positive total_sgd values", "predicate", "fact",
-              violation=lambda k: F.col("total_sgd") <= 0,
-              detail="Found {n} non-positive transaction values", group="ranges"),
-        Check("K13", "Quantity >= 1", "predicate", "fact",
-              violation=lambda k: F.col("quantity") < 1,
-              detail="Found {n} zero or negative quantity values", group="ranges"),
-        Check("K14", "Discount in range [0, 1]", "predicate", "fact",
-              violation=lambda k: (F.col("discount_pct") < 0) | (F.col("discount_pct") > 1),
-              detail="Found {n} out-of-range discount values", group="ranges"),
-        Check("K15", f"GST rate in {_fmt_rates(cfg.valid_gst_rates)}", "predicate", "fact",
-              violation=lambda k: ~F.coalesce(
-                  F.col("gst_rate").isin([F.lit(str(r)).cast("decimal(4,2)") for r in k.valid_gst_rates]),
-                  F.lit(False)),
-              detail="Found {n} invalid GST rate values", group="ranges"),
-        Check("K16", f"Date range {cfg.min_year}–{cfg.max_year}", "year_range", "dim_date", ("year",),
-              detail="Date range: {lo} to {hi}", group="ranges"),
-        Check("K17", "FactSales → DimStore referential integrity", "orphan", "dim_store", ("store_key",),
-              detail="Found {n} orphaned store_key references", group="orphans"),
-        Check("K18", "FactSales → DimProduct referential integrity", "orphan", "dim_product", ("product_key",),
-              detail="Found {n} orphaned product_key references", group="orphans"),
-        Check("K19", "FactSales → DimDate referential integrity", "orphan", "dim_date", ("date_key",),
-              detail="Found {n} orphaned date_key references", group="orphans"),
-        Check("K19b", "FactSales → DimCustomer referential integrity", "orphan", "dim_customer", ("customer_key",),
-              detail="Found {n} orphaned customer_key references", group="orphans"),
-        Check("K20", "total_sgd = subtotal + gst_amount", "predicate", "fact",
-              violation=lambda k: F.abs(F.col("total_sgd") - F.bround(F.col("subtotal_sgd") + F.col("gst_amount_sgd"), 2))
-              > F.lit(str(k.total_tolerance)).cast("decimal(10,4)"),
-              detail="Found {n} rows where totals don't reconcile (tolerance: " + f"{cfg.total_tolerance:g}" + ")",
-              group="logic"),
-        Check("K21", "Promo flag matches promo_type", "predicate", "fact",
-              violation=lambda k: (F.col("is_promotion") == 1) & (F.col("promo_type") == S.NO_PROMOTION),
-              detail="Found {n} promo transactions with 'No Promotion' type", severity="LOW", group="logic"),
-        Check("K22", "Discounted price <= original price", "predicate", "fact",
-              violation=lambda k: _no_nan("unit_price_after_disc") > _no_nan("unit_price_sgd") + k.price_tolerance,
-              detail="Found {n} rows where discounted price > original", group="logic"),
-        Check("K23", "No negative gross profit", "predicate", "fact",
-              violation=lambda k: F.col("gross_profit_sgd") < 0,
-              detail="Found {n} negative gross profit rows", severity="LOW", group="logic"),
-        Check("K24", f"All {cfg.expected_regions} Singapore regions present", "distinct_count", "dim_store", ("region",),
-              detail="Found {n} regions: {values}", group="distribution"),
-        Check("K25", f"All {cfg.expected_years} years ({cfg.min_year}–{cfg.max_year}) present", "distinct_count",
-              "dim_date", ("year",), detail="Found years: {values}", group="distribution"),
-        Check("K26", f"Minimum {cfg.min_monthly_transactions} transactions per month", "min_group", "fact",
-              ("year", "month"), detail="Minimum monthly transactions: {n}", severity="LOW", group="distribution"),
-    ]
+    for i, col in enumerate(NOT_NULL_COLUMNS, start=1):
+        cid = f"K{i}"
+        checks.append(Check(cid, check_name(cid, cfg), "not_null", "fact", (col,),
+                            detail=check_detail(cid, cfg), severity=check_severity(cid), group="nulls"))
+    for cid, (kind, table, cols, violation, group) in CHECK_LOGIC.items():
+        checks.append(Check(cid, check_name(cid, cfg), kind, table, cols, violation,
+                            detail=check_detail(cid, cfg), severity=check_severity(cid), group=group))
     return checks
 
 

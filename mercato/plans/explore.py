@@ -20,7 +20,7 @@ from mercato.functions.lookup import lookup
 from mercato.operators import compare as C
 from mercato.operators.star import Star
 
-VOUCHER_LABELS = {0: "No CDC Voucher", 1: "With CDC Voucher"}
+VOUCHER_LABELS = S.VOUCHER_LABELS
 
 
 @dataclass(frozen=True)
@@ -131,10 +131,7 @@ def region_summary(stores: DataFrame) -> DataFrame:
 
 
 # Q24 ------------------------------------------------------------------------
-STORE_TABLE_NAMES = {
-    "revenue": "Revenue (SGD)", "txns": "Transactions", "avg_basket": "Avg Basket",
-    "gp_margin": "GP Margin %", "tourist_rev": "Tourist Revenue",
-}
+STORE_TABLE_NAMES = S.STORE_TABLE_NAMES
 
 
 def store_table(stores: DataFrame) -> DataFrame:
@@ -148,10 +145,7 @@ def category_list(category: DataFrame) -> DataFrame:
 
 
 # Q26 ------------------------------------------------------------------------
-PRODUCT_TABLE_NAMES = {
-    "total_revenue": "Revenue (SGD)", "gp_margin_pct": "GP%",
-    "total_units_sold": "Units Sold", "avg_discount_given": "Avg Discount %",
-}
+PRODUCT_TABLE_NAMES = S.PRODUCT_TABLE_NAMES
 
 
 def product_table(product: DataFrame, k: int = 20) -> DataFrame:

@@ -115,7 +115,7 @@ def voucher_lift(cdc: DataFrame) -> DataFrame:
 
 
 # Q10 ------------------------------------------------------------------------
-def tax_growth(gst: DataFrame, before: str = "Pre-GST9", after: str = "GST9") -> DataFrame:
+def tax_growth(gst: DataFrame, before: str = S.TAX_PERIOD_BEFORE, after: str = S.TAX_PERIOD_AFTER) -> DataFrame:
     """Basket of the first (lowest-rate) row of each period; NULL when a
     period is missing."""
     r = gst.agg(
@@ -181,7 +181,7 @@ def tier_basket(customer: DataFrame, tier_order: list[str] = S.TIER_ORDER) -> Da
 
 
 # Q16 ------------------------------------------------------------------------
-def tier_ratio(customer: DataFrame, top: str = "Platinum", base: str = S.NON_MEMBER) -> DataFrame:
+def tier_ratio(customer: DataFrame, top: str = S.TOP_TIER, base: str = S.NON_MEMBER) -> DataFrame:
     return customer.agg(
         M.safe_ratio(C.conditional_mean("avg_basket_size", F.col("member_tier") == top),
                      C.conditional_mean("avg_basket_size", F.col("member_tier") == base)).alias("platinum_vs_non_member"))

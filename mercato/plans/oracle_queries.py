@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from mercato import schemas as S
-from mercato.plans.oracle import margin, mean, money_sum, rmean, with_base
+from mercato.plans.oracle import mean, money_sum, rmean, with_base
 
 # Filter used by the registered dashboard queries (years x regions).
 FILTER_YEARS = (1997, 1998, 1999)
@@ -59,12 +59,13 @@ _STORE_PERF = f"""store_perf AS (
   FROM mart_regional_sales GROUP BY region, store_name, store_size, is_tourist_area
 )"""
 
+_voucher_whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in S.VOUCHER_LABELS.items())
 _VOUCHER = f"""voucher_cmp AS (
   SELECT cdc_voucher_used,
          {emean('avg_basket')} AS avg_basket,
          {esum('total_revenue')} AS total_rev,
          CAST(SUM(transactions) AS BIGINT) AS transactions,
-         CASE cdc_voucher_used WHEN 0 THEN 'No CDC Voucher' WHEN 1 THEN 'With CDC Voucher' END AS label
+         CASE cdc_voucher_used {_voucher_whens} END AS label
   FROM mart_cdc_impact WHERE cdc_voucher_used IS NOT NULL GROUP BY cdc_voucher_used
 )"""
 
@@ -114,18 +115,18 @@ SELECT ROUND(corr(avg_discount_pct, total_revenue), 6) AS discount_revenue_corr
 SELECT m.member_tier, m.customer_segment, m.avg_basket_size, m.total_spend, m.total_transactions,
        m.promo_sensitivity_pct, ROUND(m.avg_basket_size / NULLIF(b.base, 0), 4) AS spend_multiplier
 FROM mart_customer_ltv m
-CROSS JOIN (SELECT {emean("CASE WHEN member_tier = 'Non-Member' THEN avg_basket_size END")} AS base
+CROSS JOIN (SELECT {emean(f"CASE WHEN member_tier = '{S.NON_MEMBER}' THEN avg_basket_size END")} AS base
             FROM mart_customer_ltv) b"""),
     "voucher_lift": with_base(f"""
 SELECT no_voucher, with_voucher, (with_voucher - no_voucher) / NULLIF(no_voucher, 0) * 100 AS voucher_lift_pct
 FROM (SELECT {emean('CASE WHEN cdc_voucher_used = 0 THEN avg_basket END')} AS no_voucher,
              {emean('CASE WHEN cdc_voucher_used = 1 THEN avg_basket END')} AS with_voucher
       FROM mart_cdc_impact)"""),
-    "tax_growth": with_base("""
+    "tax_growth": with_base(f"""
 SELECT pre_basket, post_basket, (post_basket - pre_basket) / NULLIF(pre_basket, 0) * 100 AS basket_growth_pct
 FROM (SELECT
-  (SELECT avg_basket FROM mart_gst_analysis WHERE gst_period = 'Pre-GST9' ORDER BY gst_rate LIMIT 1) AS pre_basket,
-  (SELECT avg_basket FROM mart_gst_analysis WHERE gst_period = 'GST9' ORDER BY gst_rate LIMIT 1) AS post_basket)"""),
+  (SELECT avg_basket FROM mart_gst_analysis WHERE gst_period = '{S.TAX_PERIOD_BEFORE}' ORDER BY gst_rate LIMIT 1) AS pre_basket,
+  (SELECT avg_basket FROM mart_gst_analysis WHERE gst_period = '{S.TAX_PERIOD_AFTER}' ORDER BY gst_rate LIMIT 1) AS post_basket)"""),
     "hourly": with_base("SELECT * FROM hourly", _PURCHASES),
     "peak_hours": with_base(f"""
 SELECT
@@ -144,8 +145,8 @@ SELECT * FROM (
   SELECT member_tier, {emean('avg_basket_size')} AS avg_basket_size, {_tier_pos('member_tier')} AS tier_order
   FROM mart_customer_ltv GROUP BY member_tier) WHERE tier_order IS NOT NULL"""),
     "tier_ratio": with_base(f"""
-SELECT {emean("CASE WHEN member_tier = 'Platinum' THEN avg_basket_size END")}
-       / NULLIF({emean("CASE WHEN member_tier = 'Non-Member' THEN avg_basket_size END")}, 0) AS platinum_vs_non_member
+SELECT {emean(f"CASE WHEN member_tier = '{S.TOP_TIER}' THEN avg_basket_size END")}
+       / NULLIF({emean(f"CASE WHEN member_tier = '{S.NON_MEMBER}' THEN avg_basket_size END")}, 0) AS platinum_vs_non_member
 FROM mart_customer_ltv"""),
     "weekday_sales": with_base(f"""
 SELECT d.day_of_week_num, d.day_name, CAST(COUNT(*) AS BIGINT) AS transactions,
@@ -182,15 +183,16 @@ FROM filtered WHERE year IS NOT NULL GROUP BY year""", _FILTERED),
 SELECT region, {esum('revenue')} AS revenue, CAST(SUM(txns) AS BIGINT) AS txns,
        {emean('avg_basket', 6)} AS avg_basket, {emean('gp_margin', 6)} AS gp_margin, {esum('tourist_rev')} AS tourist_rev
 FROM store_perf WHERE region IS NOT NULL GROUP BY region""", _STORE_PERF),
-    "store_table": with_base("""
-SELECT region, store_name, store_size, revenue AS "Revenue (SGD)", txns AS "Transactions",
-       avg_basket AS "Avg Basket", gp_margin AS "GP Margin %", tourist_rev AS "Tourist Revenue"
-FROM store_perf""", _STORE_PERF),
+    "store_table": with_base(
+        "SELECT region, store_name, store_size, "
+        + ", ".join(f'{c} AS "{S.STORE_TABLE_NAMES[c]}"' for c in ("revenue", "txns", "avg_basket", "gp_margin", "tourist_rev"))
+        + " FROM store_perf", _STORE_PERF),
     "category_list": with_base("SELECT * FROM mart_category_profit"),
-    "product_table": with_base("""
-SELECT product_name, category, total_revenue AS "Revenue (SGD)", gp_margin_pct AS "GP%",
-       total_units_sold AS "Units Sold", avg_discount_given AS "Avg Discount %"
-FROM mart_product_ranking ORDER BY total_revenue DESC, product_name, category LIMIT 20"""),
+    "product_table": with_base(
+        "SELECT product_name, category, "
+        + ", ".join(f'{c} AS "{S.PRODUCT_TABLE_NAMES[c]}"'
+                    for c in ("total_revenue", "gp_margin_pct", "total_units_sold", "avg_discount_given"))
+        + " FROM mart_product_ranking ORDER BY total_revenue DESC, product_name, category LIMIT 20"),
     "tier_summary": with_base(f"""
 SELECT * FROM (
   SELECT member_tier, {emean('avg_basket_size')} AS avg_basket, {esum('total_spend')} AS total_spend,
@@ -209,106 +211,106 @@ FROM (SELECT MAX(CASE WHEN cdc_voucher_used = 0 THEN avg_basket END) AS no_vouch
              MAX(CASE WHEN cdc_voucher_used = 1 THEN avg_basket END) AS with_voucher FROM voucher_cmp)""", _VOUCHER),
     "tax_periods": with_base("SELECT * FROM mart_gst_analysis"),
 }
-del margin
 
 
 # -- quality checks -------------------------------------------------------------
+from mercato.operators import quality as Q  # noqa: E402
+
+_cfg = S.CheckConfig()
+
+
 def _pct(n: str, rows: str = "_rows") -> str:
     h = f"(({n} * 20000 + {rows}) // (2 * {rows}))"
     return (f"CASE WHEN {rows} > 0 THEN CAST({h} // 100 AS VARCHAR) || '.' || lpad(CAST({h} % 100 AS VARCHAR), 2, '0') "
             f"ELSE '0.00' END")
 
 
-def _check_row(cid, name, passed, detail, severity, violations, src) -> str:
-    name_sql = name.replace("'", "''")
-    return (f"SELECT '{cid}' AS check_id, '{name_sql}' AS test_name, CASE WHEN {passed} THEN 'PASS' ELSE 'FAIL' END AS status, "
-            f"{detail} AS detail, '{severity}' AS severity, CAST({violations} AS BIGINT) AS violations FROM {src}")
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _detail_sql(cid: str, **slots) -> str:
+    """The check's fixed detail format with its measured slots as SQL."""
+    parts, rest = [], Q.check_detail(cid, _cfg)
+    while "{" in rest:
+        pre, _, tail = rest.partition("{")
+        name, _, rest = tail.partition("}")
+        if pre:
+            parts.append(_lit(pre))
+        parts.append(slots[name])
+    if rest:
+        parts.append(_lit(rest))
+    return " || ".join(parts)
+
+
+def _check_row(cid, passed, detail, violations, src) -> str:
+    return (f"SELECT '{cid}' AS check_id, {_lit(Q.check_name(cid, _cfg))} AS test_name, "
+            f"CASE WHEN {passed} THEN 'PASS' ELSE 'FAIL' END AS status, {detail} AS detail, "
+            f"'{Q.check_severity(cid)}' AS severity, CAST({violations} AS BIGINT) AS violations FROM {src}")
+
+
+def _n(x: str = "n") -> str:
+    return f"CAST({x} AS VARCHAR)"
 
 
 _NOT_NULL = ["transaction_id", "date_key", "store_key", "product_key", "customer_key", "total_sgd", "quantity",
              "payment_method"]
-_cfg = S.CheckConfig()
 _valid = ", ".join(f"CAST('{r}' AS DECIMAL(4,2))" for r in _cfg.valid_gst_rates)
-_ROW_PREDICATES = [
-    # id, name, violation SQL, detail prefix, detail suffix, severity, group
-    ("K12", "Positive total_sgd values", "total_sgd <= 0", "non-positive transaction values", "HIGH", "ranges"),
-    ("K13", "Quantity >= 1", "quantity < 1", "zero or negative quantity values", "HIGH", "ranges"),
-    ("K14", "Discount in range [0, 1]", "discount_pct < 0 OR discount_pct > 1", "out-of-range discount values",
-     "HIGH", "ranges"),
-    ("K15", "GST rate in {" + ", ".join(f"{r:g}" for r in _cfg.valid_gst_rates) + "}",
-     f"NOT COALESCE(gst_rate IN ({_valid}), FALSE)", "invalid GST rate values", "HIGH", "ranges"),
-    ("K20", "total_sgd = subtotal + gst_amount",
-     f"abs(total_sgd - round_even(subtotal_sgd + gst_amount_sgd, 2)) > CAST('{_cfg.total_tolerance}' AS DECIMAL(10,4))",
-     f"rows where totals don't reconcile (tolerance: {_cfg.total_tolerance:g})", "HIGH", "logic"),
-    ("K21", "Promo flag matches promo_type", "is_promotion = 1 AND promo_type = 'No Promotion'",
-     "promo transactions with 'No Promotion' type", "LOW", "logic"),
-    ("K22", "Discounted price <= original price",
-     f"(CASE WHEN isnan(unit_price_after_disc) THEN NULL ELSE unit_price_after_disc END) > "
-     f"(CASE WHEN isnan(unit_price_sgd) THEN NULL ELSE unit_price_sgd END) + {_cfg.price_tolerance}",
-     "rows where discounted price > original", "HIGH", "logic"),
-    ("K23", "No negative gross profit", "gross_profit_sgd < 0", "negative gross profit rows", "LOW", "logic"),
-]
+# Violation predicates of the row-level checks, written for DuckDB.
+_ROW_SQL = {
+    "K12": "total_sgd <= 0",
+    "K13": "quantity < 1",
+    "K14": "discount_pct < 0 OR discount_pct > 1",
+    "K15": f"NOT COALESCE(gst_rate IN ({_valid}), FALSE)",
+    "K20": f"abs(total_sgd - round_even(subtotal_sgd + gst_amount_sgd, 2)) > CAST('{_cfg.total_tolerance}' AS DECIMAL(10,4))",
+    "K21": f"is_promotion = 1 AND promo_type = {_lit(S.NO_PROMOTION)}",
+    "K22": ("(CASE WHEN isnan(unit_price_after_disc) THEN NULL ELSE unit_price_after_disc END) > "
+            f"(CASE WHEN isnan(unit_price_sgd) THEN NULL ELSE unit_price_sgd END) + {_cfg.price_tolerance}"),
+    "K23": "gross_profit_sgd < 0",
+}
+_ORPHANS = [("K17", "dim_store", "store_key"), ("K18", "dim_product", "product_key"),
+            ("K19", "dim_date", "date_key"), ("K19b", "dim_customer", "customer_key")]
 
 _ROW_AGG = ("row_checks AS (SELECT COUNT(*) AS _rows, "
             + ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS K{i}" for i, c in enumerate(_NOT_NULL, start=1))
-            + ", " + ", ".join(f"COUNT(*) FILTER (WHERE {p}) AS {cid}" for cid, _n, p, _d, _s, _g in _ROW_PREDICATES)
+            + ", " + ", ".join(f"COUNT(*) FILTER (WHERE {p}) AS {cid}" for cid, p in _ROW_SQL.items())
             + " FROM fact)")
 
 _monthly_counts = ("monthly_counts AS (SELECT d.year, d.month, COUNT(*) AS cnt FROM fact f "
                    "JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.month)")
 
+_year_ok = f"COALESCE(lo >= {_cfg.min_year} AND hi <= {_cfg.max_year}, FALSE)"
 DQ_PARTS = {
-    "nulls": [
-        _check_row(f"K{i}", f"NULL check: FactSales.{c}", f"K{i} = 0",
-                   f"'Found ' || CAST(K{i} AS VARCHAR) || ' NULL values (' || {_pct(f'K{i}')} || '%)'",
-                   "HIGH", f"K{i}", "row_checks")
-        for i, c in enumerate(_NOT_NULL, start=1)],
+    "nulls": [_check_row(f"K{i}", f"K{i} = 0", _detail_sql(f"K{i}", n=_n(f"K{i}"), pct=_pct(f"K{i}")),
+                         f"K{i}", "row_checks") for i in range(1, 9)],
     "duplicates": [
-        _check_row("K9", "Duplicate transaction_ids", "n = 0",
-                   "'Found ' || CAST(n AS VARCHAR) || ' duplicate transaction IDs'", "HIGH", "n",
+        _check_row("K9", "n = 0", _detail_sql("K9", n=_n()), "n",
                    "(SELECT COUNT(*) - COUNT(DISTINCT struct_pack(transaction_id)) AS n FROM fact)"),
-        _check_row("K10", "Duplicate DimStore rows", "n = 0",
-                   "'Found ' || CAST(n AS VARCHAR) || ' duplicate store records'", "HIGH", "n",
+        _check_row("K10", "n = 0", _detail_sql("K10", n=_n()), "n",
                    "(SELECT COUNT(*) - COUNT(DISTINCT struct_pack(store_name, region)) AS n FROM dim_store)"),
-        _check_row("K11", "Duplicate DimProduct rows", "n = 0",
-                   "'Found ' || CAST(n AS VARCHAR) || ' duplicate product records'", "HIGH", "n",
+        _check_row("K11", "n = 0", _detail_sql("K11", n=_n()), "n",
                    "(SELECT COUNT(*) - COUNT(DISTINCT struct_pack(product_name)) AS n FROM dim_product)"),
     ],
-    "ranges": [
-        _check_row(cid, name, f"{cid} = 0", f"'Found ' || CAST({cid} AS VARCHAR) || ' {d.replace(chr(39), chr(39) * 2)}'",
-                   sev, cid, "row_checks")
-        for cid, name, _p, d, sev, grp in _ROW_PREDICATES if grp == "ranges"
-    ] + [
-        _check_row("K16", f"Date range {_cfg.min_year}–{_cfg.max_year}",
-                   f"COALESCE(lo >= {_cfg.min_year} AND hi <= {_cfg.max_year}, FALSE)",
-                   "'Date range: ' || CAST(lo AS VARCHAR) || ' to ' || CAST(hi AS VARCHAR)", "HIGH",
-                   f"CASE WHEN COALESCE(lo >= {_cfg.min_year} AND hi <= {_cfg.max_year}, FALSE) THEN 0 ELSE 1 END",
+    "ranges": [_check_row(cid, f"{cid} = 0", _detail_sql(cid, n=_n(cid)), cid, "row_checks")
+               for cid in ("K12", "K13", "K14", "K15")] + [
+        _check_row("K16", _year_ok, _detail_sql("K16", lo=_n("lo"), hi=_n("hi")),
+                   f"CASE WHEN {_year_ok} THEN 0 ELSE 1 END",
                    "(SELECT MIN(year) AS lo, MAX(year) AS hi FROM dim_date)"),
     ],
     "orphans": [
-        _check_row(cid, f"FactSales → {dim_name} referential integrity", "n = 0",
-                   f"'Found ' || CAST(n AS VARCHAR) || ' orphaned {key} references'", "HIGH", "n",
+        _check_row(cid, "n = 0", _detail_sql(cid, n=_n()), "n",
                    f"(SELECT COUNT(*) AS n FROM fact f LEFT JOIN {dim} d ON f.{key} = d.{key} WHERE d.{key} IS NULL)")
-        for cid, dim_name, dim, key in [("K17", "DimStore", "dim_store", "store_key"),
-                                        ("K18", "DimProduct", "dim_product", "product_key"),
-                                        ("K19", "DimDate", "dim_date", "date_key"),
-                                        ("K19b", "DimCustomer", "dim_customer", "customer_key")]],
-    "logic": [
-        _check_row(cid, name, f"{cid} = 0", f"'Found ' || CAST({cid} AS VARCHAR) || ' {d.replace(chr(39), chr(39) * 2)}'",
-                   sev, cid, "row_checks")
-        for cid, name, _p, d, sev, grp in _ROW_PREDICATES if grp == "logic"],
+        for cid, dim, key in _ORPHANS],
+    "logic": [_check_row(cid, f"{cid} = 0", _detail_sql(cid, n=_n(cid)), cid, "row_checks")
+              for cid in ("K20", "K21", "K22", "K23")],
     "distribution": [
-        _check_row("K24", f"All {_cfg.expected_regions} Singapore regions present", f"n = {_cfg.expected_regions}",
-                   "'Found ' || CAST(n AS VARCHAR) || ' regions: ' || vals", "HIGH", "n",
-                   "(SELECT COUNT(*) AS n, '[' || COALESCE(string_agg('''' || region || '''', ', ' ORDER BY region), '') || ']' AS vals "
+        _check_row("K24", f"n = {_cfg.expected_regions}", _detail_sql("K24", n=_n(), values="vals"), "n",
+                   "(SELECT COUNT(*) AS n, '[' || COALESCE(string_agg(chr(39) || region || chr(39), ', ' ORDER BY region), '') || ']' AS vals "
                    "FROM (SELECT DISTINCT region FROM dim_store WHERE region IS NOT NULL))"),
-        _check_row("K25", f"All {_cfg.expected_years} years ({_cfg.min_year}–{_cfg.max_year}) present",
-                   f"n = {_cfg.expected_years}", "'Found years: ' || vals", "HIGH", "n",
+        _check_row("K25", f"n = {_cfg.expected_years}", _detail_sql("K25", values="vals"), "n",
                    "(SELECT COUNT(*) AS n, '[' || COALESCE(string_agg(CAST(year AS VARCHAR), ', ' ORDER BY year), '') || ']' AS vals "
                    "FROM (SELECT DISTINCT year FROM dim_date WHERE year IS NOT NULL))"),
-        _check_row("K26", f"Minimum {_cfg.min_monthly_transactions} transactions per month",
-                   f"COALESCE(n >= {_cfg.min_monthly_transactions}, FALSE)",
-                   "'Minimum monthly transactions: ' || CAST(n AS VARCHAR)", "LOW", "n",
+        _check_row("K26", f"COALESCE(n >= {_cfg.min_monthly_transactions}, FALSE)", _detail_sql("K26", n=_n()), "n",
                    "(SELECT MIN(cnt) AS n FROM monthly_counts)"),
     ],
 }
@@ -319,12 +321,12 @@ for _g, _parts in DQ_PARTS.items():
 
 _ALL_CHECKS = "all_checks AS (" + "\nUNION ALL\n".join(p for parts in DQ_PARTS.values() for p in parts) + ")"
 SQL["dq_results"] = with_base("SELECT * FROM all_checks", _DQ_CTES + ",\n" + _ALL_CHECKS)
-SQL["dq_score"] = with_base("""
+SQL["dq_score"] = with_base(f"""
 SELECT total_tests, passed, failed, quality_score,
-       CASE WHEN quality_score = 100 THEN 'PERFECT SCORE — Data is clean and ready for analysis!'
-            WHEN quality_score >= 90 THEN 'GOOD — Minor issues. Review warnings before production.'
-            WHEN quality_score >= 75 THEN 'ACCEPTABLE — Some issues found. Review before proceeding.'
-            ELSE 'POOR — Significant data quality issues. Investigate before use.' END AS grade
+       CASE WHEN quality_score = 100 THEN {_lit(Q.GRADE_PERFECT)}
+            WHEN quality_score >= 90 THEN {_lit(Q.GRADE_GOOD)}
+            WHEN quality_score >= 75 THEN {_lit(Q.GRADE_ACCEPTABLE)}
+            ELSE {_lit(Q.GRADE_POOR)} END AS grade
 FROM (SELECT CAST(COUNT(*) AS BIGINT) AS total_tests,
              CAST(COUNT(*) FILTER (WHERE status = 'PASS') AS BIGINT) AS passed,
              CAST(COUNT(*) FILTER (WHERE status = 'FAIL') AS BIGINT) AS failed,
@@ -367,8 +369,7 @@ SELECT transaction_id, date, store_name, product_name, quantity, CAST(total_sgd
              ORDER BY date DESC, store_name DESC, product_name DESC, quantity DESC, total_sgd DESC) AS rn
     FROM sales WHERE date >= DATE '{UPSERT_BATCH_FROM}') WHERE rn = 1)""")
 _qchecks = [("K1", "transaction_id IS NULL"), ("K6", "total_sgd IS NULL"), ("K7", "quantity IS NULL"),
-            ("K8", "payment_method IS NULL")] + [(cid, p) for cid, _n, p, _d, sev, _g in _ROW_PREDICATES
-                                                  if cid in ("K12", "K13", "K14", "K15", "K20", "K22")]
+            ("K8", "payment_method IS NULL")] + [(cid, _ROW_SQL[cid]) for cid in ("K12", "K13", "K14", "K15", "K20", "K22")]
 _tags = "list_value(" + ", ".join(f"CASE WHEN COALESCE({p}, FALSE) THEN '{cid}' END" for cid, p in _qchecks) + ")"
 SQL["quarantine"] = with_base(f"""
 SELECT transaction_id, date_key, failed_checks, CAST(failed_checks <> '' AS INTEGER) AS quarantined

@@ -116,6 +116,18 @@ FRESH_GROUP = "Perishables"
 NON_MEMBER = "Non-Member"
 NO_PROMOTION = "No Promotion"
 FISCAL_YEAR_START_MONTH = 4
+TOP_TIER = "Platinum"
+TAX_PERIOD_BEFORE = "Pre-GST9"
+TAX_PERIOD_AFTER = "GST9"
+VOUCHER_LABELS = {0: "No CDC Voucher", 1: "With CDC Voucher"}
+STORE_TABLE_NAMES = {
+    "revenue": "Revenue (SGD)", "txns": "Transactions", "avg_basket": "Avg Basket",
+    "gp_margin": "GP Margin %", "tourist_rev": "Tourist Revenue",
+}
+PRODUCT_TABLE_NAMES = {
+    "total_revenue": "Revenue (SGD)", "gp_margin_pct": "GP%",
+    "total_units_sold": "Units Sold", "avg_discount_given": "Avg Discount %",
+}
 # ---------------------------------------------------------------------------
 
 

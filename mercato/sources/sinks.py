@@ -8,10 +8,6 @@ partitions an incremental batch touches.
 
 from __future__ import annotations
 
-import json
-import os
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,25 +40,26 @@ def sample_rows(df: DataFrame, columns: list[str], n: int = 3, order_by: list[st
     return df.select(*columns).orderBy(*(order_by or columns[:1])).limit(n)
 
 
+def quality_report(results: DataFrame, score_row: DataFrame) -> DataFrame:
+    """One-row report: run time, score, counts, grade and the per-check
+    details (an array with one element per check -- bounded by the check
+    list, not by the data)."""
+    details = results.agg(F.sort_array(F.collect_list(F.struct(
+        "check_id", "test_name", "status", "detail", "severity"))).alias("test_details"))
+    return score_row.crossJoin(details).select(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("run_timestamp"),
+        "quality_score", "total_tests", "passed", "failed", "grade",
+        F.transform("test_details", lambda d: F.struct(
+            d["test_name"].alias("test_name"), d["status"].alias("status"),
+            d["detail"].alias("detail"), d["severity"].alias("severity"))).alias("test_details"))
+
+
 def write_quality_report(results: DataFrame, score_row: DataFrame, path: str) -> dict:
-    """JSON report: run time, score, counts and the per-check details.
-
-    Both inputs are small (one row per check, one score row)."""
-    s = score_row.first().asDict()
-    details = [r.asDict() for r in results.orderBy("check_id").collect()]
-    report = {
-        "run_timestamp": datetime.now(timezone.utc).isoformat(),
-        "quality_score": s["quality_score"],
-        "total_tests": s["total_tests"],
-        "passed": s["passed"],
-        "failed": s["failed"],
-        "grade": s["grade"],
-        "test_details": [{k: d[k] for k in ("test_name", "status", "detail", "severity")} for d in details],
-    }
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(report, fh, indent=2, ensure_ascii=False)
-    return report
+    """JSON report written through Spark (lands in shared storage, not on the
+    driver's disk); returns the report as a dict."""
+    report = quality_report(results, score_row)
+    report.coalesce(1).write.mode("overwrite").json(path)
+    return report.sparkSession.read.json(path).first().asDict(recursive=True)
 
 
 def write_results_json(results: DataFrame, path: str) -> None:

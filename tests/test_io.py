@@ -1,5 +1,4 @@
 import datetime as dt
-import json
 import os
 
 import pytest
@@ -86,9 +85,9 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     out = PL.run_pipeline(spark, raw, tmp_dir, S.fixture_star_config())
     assert out["raw_rows"] == raw.count()
     assert len(out["marts"]) == 7
-    with open(os.path.join(tmp_dir, "quality", "quality_report.json")) as fh:
-        report = json.load(fh)
+    report = spark.read.json(os.path.join(tmp_dir, "quality", "quality_report.json")).first().asDict(recursive=True)
     assert report["total_tests"] == 27 and len(report["test_details"]) == 27
+    assert report["quality_score"] == out["quality_score"]
     assert set(report["test_details"][0]) == {"test_name", "status", "detail", "severity"}
     fact_dirs = os.listdir(os.path.join(tmp_dir, "star", "fact"))
     assert any(d.startswith("year=") for d in fact_dirs)

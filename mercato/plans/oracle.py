@@ -39,13 +39,11 @@ def _date_key(d: str) -> str:
 
 
 def _sales_cte() -> str:
-    cfg = S.fixture_star_config()
     margin = map_sql("p_type", S.FIXTURE_CATEGORY_MARGINS, str(S.DEFAULT_GP_MARGIN), "DECIMAL(4,2)")
     tier = band_sql("c_acctbal", S.FIXTURE_TIER_BOUNDS, S.FIXTURE_TOP_TIER, "DOUBLE")
     promo = band_sql("disc", S.FIXTURE_PROMO_BANDS, S.FIXTURE_PROMO_TOP, "DECIMAL(4,2)")
     gst = band_sql("tax", S.FIXTURE_GST_BANDS, S.FIXTURE_GST_TOP, "DECIMAL(4,2)")
     period = band_sql("year(d)", [(b + 1, lbl) for b, lbl in S.FIXTURE_PERIOD_BANDS], S.FIXTURE_PERIOD_TOP)
-    del cfg
     return f"""
 stores AS (
   SELECT s.s_suppkey, s.s_name AS store_name, r.r_name AS region

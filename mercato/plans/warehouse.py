@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +37,9 @@ def _key(spark: SparkSession, sf_dir: str):
 def _root(spark: SparkSession, sf_dir: str) -> str:
     base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        raise RuntimeError("no checkpoint folder configured (spark.checkpoint.dir)")
+        # A remote (Connect) session without a configured checkpoint folder: only
+        # usable when client and server share a file system, as in local runs.
+        base = tempfile.mkdtemp(prefix="mercato-warehouse-")
     app, path = _key(spark, sf_dir)
     tag = hashlib.sha1(f"{app}|{path}".encode()).hexdigest()[:12]
     return os.path.join(base.replace("file:", ""), f"mercato-warehouse-{tag}")

@@ -5,8 +5,8 @@ Structured Streaming ingest that applies both per micro-batch.
   (``max`` of a struct led by the ordering columns), not a window: the
   aggregate combines map-side, so an id that holds a third of all rows
   ships one partial row per task instead of landing whole in one task.
-* ``upsert`` = target rows whose id is not in the batch (``left_anti``)
-  plus the newest batch row per id.
+* ``upsert`` = target rows whose id is not in the batch (``left_anti``
+  against the batch's distinct ids) plus the newest batch row per id.
 * ``quarantine`` flags rows failing the row-level checks; valid rows go to
   the fact, the rest to a quarantine table with the failed check ids.
 * ``stream_ingest`` reads new CSV files with ``readStream`` and, per
@@ -33,7 +33,10 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str]) -> DataFrame:
-    kept = target.join(batch.select(key), key, "left_anti")
+    # distinct ids first (map-side combined): a hot id becomes one row, so the
+    # anti join's build side is unique and AQE may split skewed target partitions
+    touched = batch.select(key).distinct()
+    kept = target.join(touched, key, "left_anti")
     return kept.unionByName(latest_per_key(batch, key, order))
 
 

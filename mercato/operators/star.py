@@ -46,20 +46,28 @@ class Star:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def write(self, root: str, mode: str = "overwrite", partition_fact: bool = False) -> None:
-        for name in self.TABLES:
-            df = self.table(name)
-            if name == "fact" and partition_fact:
-                # year/month partition directories: filters on them prune files
-                # REBALANCE clusters rows by partition value before the write (few
-                # files per month instead of one per task and month); AQE splits a
-                # month that is much larger than the others into several tasks.
-                df = (df.withColumn("year", F.floor(F.col("date_key") / 10000).cast("int"))
+    def write(self, root: str, mode: str = "overwrite", partition_fact: bool = False, parallel: int = 4) -> None:
+        """Dimensions are written from a few driver threads at once (small,
+        independent jobs); the fact follows."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        def write_dim(name):
+            self.table(name).write.mode(mode).parquet(os.path.join(root, name))
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            list(pool.map(write_dim, [n for n in self.TABLES if n != "fact"]))
+        fact, path = self.fact, os.path.join(root, "fact")
+        if partition_fact:
+            # year/month partition directories: filters on them prune files.
+            # REBALANCE clusters rows by partition value before the write (few
+            # files per month instead of one per task and month); AQE splits a
+            # month that is much larger than the others into several tasks.
+            fact = (fact.withColumn("year", F.floor(F.col("date_key") / 10000).cast("int"))
                         .withColumn("month", (F.floor(F.col("date_key") / 100) % 100).cast("int"))
                         .hint("rebalance", "year", "month"))
-                df.write.mode(mode).partitionBy("year", "month").parquet(os.path.join(root, name))
-            else:
-                df.write.mode(mode).parquet(os.path.join(root, name))
+            fact.write.mode(mode).partitionBy("year", "month").parquet(path)
+        else:
+            fact.write.mode(mode).parquet(path)
 
     @classmethod
     def read(cls, spark: SparkSession, root: str) -> "Star":

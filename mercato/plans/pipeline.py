@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,13 +35,20 @@ def build_warehouse(spark: SparkSession, root: str, cfg: S.StarConfig | None = N
     return Star.read(spark, os.path.join(root, "star"))
 
 
-def build_all_marts(spark: SparkSession, star: Star, root: str) -> dict[str, DataFrame]:
-    out = {}
-    for name, df in MT.build_marts(star).items():
+def build_all_marts(spark: SparkSession, star: Star, root: str, parallel: int = 4) -> dict[str, DataFrame]:
+    """Write the seven marts. Each is a small job (one scan, one shuffle of
+    partial aggregates); submitting them from ``parallel`` driver threads lets
+    the scheduler run them side by side instead of leaving cores idle."""
+    def write(item):
+        name, df = item
         path = os.path.join(root, "marts", name)
         sinks.write_table(df, path)
-        out[name] = spark.read.parquet(path)
-    return out
+        return name, path
+
+    items = list(MT.build_marts(star).items())
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        paths = dict(pool.map(write, items))
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
 
 
 def run_quality(star: Star, root: str, cfg: S.CheckConfig | None = None) -> dict:

@@ -42,8 +42,24 @@ def mean(c) -> Column:
     return safe_ratio(F.sum(_c(c)), F.count(_c(c)))
 
 
-def rounded_mean(c, scale: int = 2) -> Column:
-    return F.round(mean(c), scale)
+def rounded_mean(c, scale: int = 2, in_scale: int = 6, times: int = 1) -> Column:
+    """Aggregate: ROUND(AVG(x) * times, scale), rounded half up (away from
+    zero) on the exact decimal mean.
+
+    ``x`` is a decimal with ``in_scale`` places. The mean S / n is rounded in
+    integer arithmetic -- q = (2|S|*times*10^scale + n*10^in_scale) div
+    (2*n*10^in_scale) on the unscaled sum S -- so no binary double ever decides a
+    tie (78.945 rounds to 78.95 whatever its nearest double is)."""
+    col = _c(c)
+    dec0 = "decimal(38,0)"
+    unscaled = (F.sum(col) * F.lit(10 ** in_scale)).cast(dec0)
+    n = F.count(col).cast(dec0)
+    d = n * F.lit(10 ** in_scale).cast(dec0)
+    num = F.abs(unscaled) * F.lit(2 * times * 10 ** scale).cast(dec0) + d
+    den = d * F.lit(2).cast(dec0)
+    q = ((num - F.pmod(num, den)) / den).cast("long")
+    signed = F.when(unscaled < 0, -q).otherwise(q)
+    return F.when(n > 0, signed.cast("double") / float(10 ** scale))
 
 
 def pct_of(num, den, scale: int = 2) -> Column:

@@ -51,7 +51,7 @@ def monthly_sales(star: Star) -> DataFrame:
         _sum_long("is_promotion").alias("promo_transactions"),
         _sum_long("cdc_voucher_used").alias("cdc_redemptions"),
         _sum_long("holiday_season_flag").alias("holiday_txns"),
-        F.round(M.mean("gst_rate") * 100, 1).alias("avg_gst_rate_pct"),
+        M.rounded_mean("gst_rate", 1, in_scale=2, times=100).alias("avg_gst_rate_pct"),
     )
 
 
@@ -80,7 +80,7 @@ def category_profit(star: Star) -> DataFrame:
         M.rounded_mean("total_sgd").alias("avg_transaction_value"),
         M.money_sum("gross_profit_sgd").alias("gross_profit"),
         M.margin_pct("gross_profit_sgd", "subtotal_sgd").alias("gp_margin_pct"),
-        F.round(M.mean("discount_pct") * 100, 1).alias("avg_discount_pct"),
+        M.rounded_mean("discount_pct", 1, in_scale=2, times=100).alias("avg_discount_pct"),
         _sum_long("is_promotion").alias("promo_transactions"),
         M.rate_pct("is_promotion").alias("promo_rate_pct"),
     )
@@ -109,7 +109,7 @@ def product_ranking(star: Star) -> DataFrame:
         M.rounded_mean("total_sgd").alias("avg_revenue_per_txn"),
         M.money_sum("gross_profit_sgd").alias("gross_profit"),
         M.margin_pct("gross_profit_sgd", "subtotal_sgd").alias("gp_margin_pct"),
-        F.round(M.mean("discount_pct") * 100, 1).alias("avg_discount_given"),
+        M.rounded_mean("discount_pct", 1, in_scale=2, times=100).alias("avg_discount_given"),
     )
 
 

@@ -128,11 +128,16 @@ def tax_growth(gst: DataFrame, before: str = S.TAX_PERIOD_BEFORE, after: str = S
 
 
 # Q11 ------------------------------------------------------------------------
+def _scale(df: DataFrame, col: str) -> int:
+    t = df.schema[col].dataType
+    return getattr(t, "scale", 0)
+
+
 def hourly(sales: DataFrame) -> DataFrame:
     """(hour, is_weekend, total_sgd) rows -> transactions, basket, revenue."""
     return sales.groupBy("hour", "is_weekend").agg(
         F.count(F.lit(1)).cast("long").alias("txns"),
-        F.round(M.mean("total_sgd"), 2).alias("avg_basket"),
+        M.rounded_mean("total_sgd", 2, in_scale=_scale(sales, "total_sgd")).alias("avg_basket"),
         F.round(F.sum("total_sgd").cast("decimal(30,6)"), 2).cast("double").alias("revenue"),
     )
 

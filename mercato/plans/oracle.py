@@ -170,8 +170,13 @@ def mean(x: str) -> str:
     return f"(CAST(SUM({x}) AS DOUBLE) / NULLIF(CAST(COUNT({x}) AS DOUBLE), 0))"
 
 
-def rmean(x: str, n: int = 2) -> str:
-    return f"ROUND({mean(x)}, {n})"
+def rmean(x: str, n: int = 2, in_scale: int = 6, times: int = 1) -> str:
+    """ROUND(AVG(x) * times, n), half up on the exact decimal mean (integer arithmetic)."""
+    s = f"CAST(SUM({x}) * {10 ** in_scale} AS HUGEINT)"
+    d = f"(CAST(COUNT({x}) AS HUGEINT) * {10 ** in_scale})"
+    q = f"((abs({s}) * {2 * times * 10 ** n} + {d}) // (2 * {d}))"
+    return (f"(CASE WHEN COUNT({x}) = 0 THEN NULL WHEN {s} < 0 THEN -CAST({q} AS DOUBLE) "
+            f"ELSE CAST({q} AS DOUBLE) END / {float(10 ** n)})")
 
 
 def margin(gp: str = "f.gross_profit_sgd", sub: str = "f.subtotal_sgd") -> str:
@@ -194,7 +199,7 @@ SELECT d.year, d.month, d.month_name, d.quarter,
        CAST(SUM(f.is_promotion) AS BIGINT) AS promo_transactions,
        CAST(SUM(f.cdc_voucher_used) AS BIGINT) AS cdc_redemptions,
        CAST(SUM(f.holiday_season_flag) AS BIGINT) AS holiday_txns,
-       ROUND({mean('f.gst_rate')} * 100, 1) AS avg_gst_rate_pct
+       {rmean('f.gst_rate', 1, 2, 100)} AS avg_gst_rate_pct
 FROM fact f JOIN dim_date d ON f.date_key = d.date_key
 GROUP BY d.year, d.month, d.month_name, d.quarter""",
     "regional_sales": f"""
@@ -218,7 +223,7 @@ SELECT p.category, p.category_group, p.is_fresh_item,
        {rmean('f.total_sgd')} AS avg_transaction_value,
        {money_sum('f.gross_profit_sgd')} AS gross_profit,
        {margin()} AS gp_margin_pct,
-       ROUND({mean('f.discount_pct')} * 100, 1) AS avg_discount_pct,
+       {rmean('f.discount_pct', 1, 2, 100)} AS avg_discount_pct,
        CAST(SUM(f.is_promotion) AS BIGINT) AS promo_transactions,
        {rate('f.is_promotion')} AS promo_rate_pct
 FROM fact f JOIN dim_product p ON f.product_key = p.product_key
@@ -243,7 +248,7 @@ SELECT p.product_name, p.category, p.category_group,
        {rmean('f.total_sgd')} AS avg_revenue_per_txn,
        {money_sum('f.gross_profit_sgd')} AS gross_profit,
        {margin()} AS gp_margin_pct,
-       ROUND({mean('f.discount_pct')} * 100, 1) AS avg_discount_given
+       {rmean('f.discount_pct', 1, 2, 100)} AS avg_discount_given
 FROM fact f JOIN dim_product p ON f.product_key = p.product_key
 GROUP BY p.product_name, p.category, p.category_group""",
     "cdc_impact": f"""

@@ -33,7 +33,7 @@ _PURCHASES = """purchases AS (
 ),
 hourly AS (
   SELECT hour, is_weekend, CAST(COUNT(*) AS BIGINT) AS txns,
-         ROUND(""" + mean("total_sgd") + """, 2) AS avg_basket,
+         """ + rmean("total_sgd", 2, 2) + """ AS avg_basket,
          CAST(ROUND(SUM(total_sgd), 2) AS DOUBLE) AS revenue
   FROM purchases GROUP BY hour, is_weekend
 )"""

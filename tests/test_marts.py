@@ -39,3 +39,16 @@ def test_sorted_mart_orders_on_read(star):
     rows = marts.sorted_mart(marts.regional_sales(star), "regional_sales").collect()
     revs = [r.total_revenue for r in rows]
     assert revs == sorted(revs, reverse=True)
+
+
+def test_rounded_mean_breaks_ties_on_the_exact_decimal(spark):
+    from mercato.functions import money as M
+    df = spark.createDataFrame([("78.94",), ("78.95",), ("-1.005",), ("-1.005",), ("2.5",)], "v string") \
+        .selectExpr("cast(v as decimal(18,6)) as v", "cast(v as double) as d")
+    one = df.filter("v > 70").agg(M.rounded_mean("v").alias("m")).first().m
+    assert one == 78.95  # 78.945 exactly; its nearest double is below the tie
+    neg = df.filter("v < 0").agg(M.rounded_mean("v").alias("m")).first().m
+    assert neg == -1.01  # half away from zero
+    pct = df.filter("v = 2.5").agg(M.rounded_mean("v", 1, in_scale=6, times=100).alias("m")).first().m
+    assert pct == 250.0
+    assert df.filter("v > 100").agg(M.rounded_mean("v").alias("m")).first().m is None

@@ -80,3 +80,18 @@ def rate_pct(flag_col, scale: int = 1) -> Column:
 def lift_pct(base, other) -> Column:
     """(other - base) / base * 100, NULL when base is 0 or NULL."""
     return F.try_divide(dbl(_c(other)) - dbl(_c(base)), dbl(_c(base))) * 100
+
+
+def pearson(x, y) -> Column:
+    """Aggregate: Pearson correlation over rows where both are present.
+
+    NaN when either side has zero variance (as numpy and DuckDB give), NULL
+    without pairs. Spark's ``corr`` raises DIVIDE_BY_ZERO under ANSI mode for
+    zero variance, so the ratio is formed here with ``try_divide``."""
+    xc, yc = _c(x), _c(y)
+    both = xc.isNotNull() & yc.isNotNull()
+    xs, ys = F.when(both, xc), F.when(both, yc)
+    den = F.stddev_pop(xs) * F.stddev_pop(ys)
+    ratio = F.try_divide(F.covar_pop(xs, ys), den)
+    return F.when(F.count(xs) == 0, F.lit(None).cast("double")) \
+        .when(den == 0, F.lit(float("nan"))).otherwise(ratio)

@@ -92,7 +92,7 @@ def category_top(category: DataFrame, k: int = 10) -> DataFrame:
 
 # Q7 -------------------------------------------------------------------------
 def discount_corr(category: DataFrame) -> DataFrame:
-    return category.agg(F.round(F.corr("avg_discount_pct", "total_revenue"), 6).alias("discount_revenue_corr"))
+    return category.agg(F.round(M.pearson("avg_discount_pct", "total_revenue"), 6).alias("discount_revenue_corr"))
 
 
 # Q8 -------------------------------------------------------------------------

@@ -81,3 +81,13 @@ def test_empty_guard_and_sql_views(spark, star):
     assert n == star.fact.count()
     m = SV.run_sql(spark, "SELECT SUM(transaction_count) AS n FROM mart_monthly_sales").first().n
     assert m == n
+
+
+def test_correlation_with_zero_variance_is_nan_not_an_error(spark):
+    import math
+    df = spark.createDataFrame([(5.0, 1.0), (5.0, 2.0), (5.0, 4.0)], "avg_discount_pct double, total_revenue double")
+    assert math.isnan(I.discount_corr(df).first()[0])
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, 5.9)], "avg_discount_pct double, total_revenue double")
+    import numpy as np
+    want = round(float(np.corrcoef([1, 2, 3], [2, 4.1, 5.9])[0, 1]), 6)
+    assert I.discount_corr(df).first()[0] == want

@@ -63,7 +63,7 @@ def sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                        for x in (F.lit(k), F.lit(str(v)).cast("decimal(4,2)"))]),
         F.col("p_type"))
     margin = F.coalesce(margin, F.lit(str(S.DEFAULT_GP_MARGIN)).cast("decimal(4,2)"))
-    unit_price = F.col("l_extendedprice") / F.col("l_quantity")
+    unit_price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))  # NULL for a zero quantity
     year = F.year(d)
     month = F.month(d)
 

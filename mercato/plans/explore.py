@@ -87,7 +87,7 @@ def filtered_monthly(sales: DataFrame) -> DataFrame:
         F.sum("total_sgd").cast("double").alias("revenue"),
         F.count("transaction_id").cast("long").alias("transactions"),
         M.mean("total_sgd").alias("avg_basket"),
-    ).withColumn("period", cal.year_month_label("year", "month")))
+    ).withColumn("period", cal.year_month_label("year", "month")).orderBy("year", "month"))
 
 
 # Q20 ------------------------------------------------------------------------
@@ -103,7 +103,7 @@ def filtered_years(sales: DataFrame) -> DataFrame:
         F.count("transaction_id").cast("long").alias("transactions"),
         M.mean("total_sgd").alias("avg_basket"),
         F.sum("gross_profit_sgd").cast("double").alias("gp"),
-    )
+    ).orderBy("year")
 
 
 # Q22 ------------------------------------------------------------------------
@@ -116,7 +116,7 @@ def store_performance(regional: DataFrame) -> DataFrame:
         C.exact_mean("gp_margin_pct").alias("gp_margin"),
         C.exact_sum("tourist_revenue").alias("tourist_rev"),
         F.sum("weekend_txns").cast("long").alias("wknd_txns"),
-    )
+    ).orderBy(F.col("revenue").desc())
 
 
 # Q23 ------------------------------------------------------------------------
@@ -127,7 +127,7 @@ def region_summary(stores: DataFrame) -> DataFrame:
         C.exact_mean("avg_basket", 6).alias("avg_basket"),
         C.exact_mean("gp_margin", 6).alias("gp_margin"),
         C.exact_sum("tourist_rev").alias("tourist_rev"),
-    )
+    ).orderBy(F.col("revenue").desc())
 
 
 # Q24 ------------------------------------------------------------------------
@@ -175,7 +175,7 @@ def payment_methods(fact: DataFrame) -> DataFrame:
     return fact.groupBy("payment_method").agg(
         F.count(F.lit(1)).cast("long").alias("txns"),
         M.money_sum("total_sgd").alias("revenue"),
-    )
+    ).orderBy(F.col("revenue").desc())
 
 
 # Q30 ------------------------------------------------------------------------

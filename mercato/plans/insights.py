@@ -56,7 +56,7 @@ def yoy(monthly: DataFrame) -> DataFrame:
         "year",
         F.col("rev").cast("double").alias("revenue"),
         ((M.safe_ratio(F.col("rev"), prev) - 1) * 100).alias("yoy_growth_pct"),
-    )
+    ).orderBy("year")
 
 
 # Q4 -------------------------------------------------------------------------
@@ -80,7 +80,7 @@ def region_share(regional: DataFrame) -> DataFrame:
         F.col("_rev").cast("double").alias("revenue"),
         "txns", "avg_basket", "gp_margin", "tourist_rev",
         (M.safe_ratio(F.col("_rev"), total) * 100).alias("revenue_share"),
-    )
+    ).orderBy(F.col("revenue").desc())
 
 
 # Q6 -------------------------------------------------------------------------
@@ -102,7 +102,8 @@ def tier_multiplier(customer: DataFrame, baseline_tier: str = S.NON_MEMBER) -> D
     return (customer.crossJoin(F.broadcast(base))
             .select("member_tier", "customer_segment", "avg_basket_size", "total_spend",
                     "total_transactions", "promo_sensitivity_pct",
-                    F.round(M.safe_ratio(F.col("avg_basket_size"), F.col("_base")), 4).alias("spend_multiplier")))
+                    F.round(M.safe_ratio(F.col("avg_basket_size"), F.col("_base")), 4).alias("spend_multiplier"))
+            .orderBy(F.col("avg_basket_size").desc()))
 
 
 # Q9 -------------------------------------------------------------------------
@@ -139,7 +140,7 @@ def hourly(sales: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("long").alias("txns"),
         M.rounded_mean("total_sgd", 2, in_scale=_scale(sales, "total_sgd")).alias("avg_basket"),
         F.round(F.sum("total_sgd").cast("decimal(30,6)"), 2).cast("double").alias("revenue"),
-    )
+    ).orderBy("hour", "is_weekend")
 
 
 def purchase_events(events: DataFrame) -> DataFrame:
@@ -199,11 +200,12 @@ def weekday_sales(star: Star) -> DataFrame:
         F.count(F.lit(1)).cast("long").alias("transactions"),
         M.money_sum("total_sgd").alias("revenue"),
         M.rounded_mean("total_sgd").alias("avg_basket"),
-    )
+    ).orderBy("day_of_week_num")
 
 
 # Q34 ------------------------------------------------------------------------
 def payment_share(fact: DataFrame) -> DataFrame:
     agg = fact.groupBy("payment_method").agg(F.count(F.lit(1)).cast("long").alias("transactions"))
     total = F.sum("transactions").over(Window.partitionBy())  # one row per method
-    return agg.withColumn("share_pct", M.safe_ratio(F.col("transactions"), total) * 100)
+    return (agg.withColumn("share_pct", M.safe_ratio(F.col("transactions"), total) * 100)
+            .orderBy(F.col("transactions").desc()))

@@ -38,11 +38,12 @@ class Keyed:
 
 
 def dense_keys(df: DataFrame, order_cols: list[str], key_col: str,
-               single_task_max: int = SINGLE_TASK_MAX_ROWS) -> Keyed:
-    """``df`` holds distinct natural keys; adds ``key_col`` = 1-based rank."""
+               single_task_max: int = SINGLE_TASK_MAX_ROWS, rows: int | None = None) -> Keyed:
+    """``df`` holds distinct natural keys; adds ``key_col`` = 1-based rank.
+    ``rows``: the exact row count of ``df`` when the caller already has it."""
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     if single_task_max > 0:
-        n = df.count()
+        n = df.count() if rows is None else rows
         if n <= single_task_max:
             # bounded by the count just taken; unique keys make the order total
             return Keyed(df.withColumn(key_col, F.row_number().over(Window.orderBy(*order)).cast("long")), n)

@@ -9,10 +9,18 @@
   other three come from left joins on the natural keys with NULL-safe
   equality (a NULL store/region still finds its dimension row).
 
-The dimensions are checkpointed while they are numbered, so their exact
-row counts are known. A dimension is broadcast into the fact lookup only
-when that count is at most ``broadcast_max_rows``; above it the lookup is
-a shuffled sort-merge join, where AQE splits skewed fact partitions.
+All four dimensions' members (distinct natural keys) come from ONE scan of
+the sales table: a ``GROUPING SETS`` aggregate, which Spark runs as an
+Expand plus a partial hash aggregate per task, so each task ships at most
+one row per member and a hot store or day costs nothing extra. The small
+member table is cut from its lineage with a reliable checkpoint and counted
+per dimension (one row per dimension reaches the driver). Numbering, the
+dimension writes and the fact's lookup sides all read that checkpoint; the
+sales table is not scanned again until the fact itself is built.
+
+A dimension is broadcast into the fact lookup only when its exact member
+count is at most ``broadcast_max_rows``; above it the lookup is a shuffled
+sort-merge join, where AQE splits skewed fact partitions.
 """
 
 from __future__ import annotations
@@ -27,6 +35,7 @@ from mercato import schemas as S
 from mercato.functions import calendar as cal
 from mercato.functions.lookup import lookup
 from mercato.operators.keys import dense_keys
+from mercato.session import cut_lineage
 
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -80,8 +89,47 @@ class Star:
         return cls(t["dim_date"], t["dim_store"], t["dim_product"], t["dim_customer"], fact, {}, by_month)
 
 
-def build_dim_date(sales: DataFrame) -> DataFrame:
-    days = sales.select(cal.as_date("date").alias("d")).distinct()
+# Natural keys of each dimension, in the order of its surrogate key.
+MEMBER_KEYS = {
+    "dim_store": ["store_name", "region"],
+    "dim_product": ["product_name", "category"],
+    "dim_customer": ["customer_segment", "member_tier"],
+    "dim_date": ["_day"],
+}
+
+
+@dataclass
+class Members:
+    """Distinct natural keys of every dimension (one checkpointed table)."""
+    df: DataFrame
+    gid: dict
+    rows: dict
+
+    def of(self, dim: str) -> DataFrame:
+        return self.df.filter(F.col("_gid") == self.gid[dim]).select(*MEMBER_KEYS[dim])
+
+
+def dimension_members(sales: DataFrame) -> Members:
+    """One pass over ``sales`` for the members of all four dimensions.
+    Timestamps are cut to days first (two times on one day are one member).
+    NULL is a member like any other value; ``grouping_id`` tells the sets
+    apart, so a NULL key is never confused with "not in this set"."""
+    cols = [c for keys in MEMBER_KEYS.values() for c in keys]
+    base = sales.select(*[c for c in cols if c != "_day"], cal.as_date("date").alias("_day"))
+    members = cut_lineage(base.groupingSets([MEMBER_KEYS[d] for d in MEMBER_KEYS], *cols)
+                          .agg(F.grouping_id().alias("_gid")))
+    # grouping_id: bit (n-1-i) is set when column i is not in the row's set
+    gid = {d: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
+           for d, keys in MEMBER_KEYS.items()}
+    counts = {r["_gid"]: r["n"] for r in members.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return Members(members, gid, {d: int(counts.get(g, 0)) for d, g in gid.items()})
+
+
+def build_dim_date(sales: DataFrame, members: Members | None = None) -> DataFrame:
+    if members is None:
+        days = sales.select(cal.as_date("date").alias("d")).distinct()
+    else:
+        days = members.of("dim_date").withColumnRenamed("_day", "d")
     d = F.col("d")
     return days.select(
         cal.date_key(d).alias("date_key"),
@@ -99,8 +147,8 @@ def build_dim_date(sales: DataFrame) -> DataFrame:
     )
 
 
-def build_dim_store(sales: DataFrame, cfg: S.StarConfig):
-    keyed = dense_keys(sales.select("store_name", "region").distinct(), ["store_name", "region"], "store_key")
+def build_dim_store(sales: DataFrame, cfg: S.StarConfig, members: Members | None = None):
+    keyed = _number(sales, members, "dim_store", "store_key")
     dim = keyed.df.select(
         "store_key", "store_name", "region",
         F.upper(F.substring("region", 1, 3)).alias("region_code"),
@@ -110,8 +158,8 @@ def build_dim_store(sales: DataFrame, cfg: S.StarConfig):
     return dim, keyed.rows
 
 
-def build_dim_product(sales: DataFrame, cfg: S.StarConfig):
-    keyed = dense_keys(sales.select("product_name", "category").distinct(), ["product_name", "category"], "product_key")
+def build_dim_product(sales: DataFrame, cfg: S.StarConfig, members: Members | None = None):
+    keyed = _number(sales, members, "dim_product", "product_key")
     group = lookup("category", cfg.category_groups, cfg.default_category_group)
     dim = keyed.df.select(
         "product_key", "product_name", "category",
@@ -122,9 +170,8 @@ def build_dim_product(sales: DataFrame, cfg: S.StarConfig):
     return dim, keyed.rows
 
 
-def build_dim_customer(sales: DataFrame, cfg: S.StarConfig):
-    keyed = dense_keys(sales.select("customer_segment", "member_tier").distinct(),
-                       ["customer_segment", "member_tier"], "customer_key")
+def build_dim_customer(sales: DataFrame, cfg: S.StarConfig, members: Members | None = None):
+    keyed = _number(sales, members, "dim_customer", "customer_key")
     dim = keyed.df.select(
         "customer_segment", "member_tier", "customer_key",
         lookup("member_tier", cfg.tier_ranks, cfg.default_tier_rank, "int").alias("tier_rank"),
@@ -134,6 +181,13 @@ def build_dim_customer(sales: DataFrame, cfg: S.StarConfig):
     return dim, keyed.rows
 
 
+def _number(sales: DataFrame, members: Members | None, dim: str, key: str):
+    keys = MEMBER_KEYS[dim]
+    if members is None:
+        return dense_keys(sales.select(*keys).distinct(), keys, key)
+    return dense_keys(members.of(dim), keys, key, rows=members.rows[dim])
+
+
 def _lookup_side(dim: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(dim) if rows <= limit else dim
 
@@ -162,10 +216,11 @@ def build_fact(sales: DataFrame, dim_store, store_rows, dim_product, product_row
 def build_star(sales: DataFrame, cfg: S.StarConfig | None = None,
                broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> Star:
     cfg = cfg or S.StarConfig()
-    dim_date = build_dim_date(sales)
-    dim_store, n_store = build_dim_store(sales, cfg)
-    dim_product, n_product = build_dim_product(sales, cfg)
-    dim_customer, n_customer = build_dim_customer(sales, cfg)
+    members = dimension_members(sales)
+    dim_date = build_dim_date(sales, members)
+    dim_store, n_store = build_dim_store(sales, cfg, members)
+    dim_product, n_product = build_dim_product(sales, cfg, members)
+    dim_customer, n_customer = build_dim_customer(sales, cfg, members)
     fact = build_fact(sales, dim_store, n_store, dim_product, n_product,
                       dim_customer, n_customer, broadcast_max_rows)
     return Star(dim_date, dim_store, dim_product, dim_customer, fact,

@@ -95,3 +95,22 @@ def test_lookup_defaults_and_region_code(spark):
 def test_iso_week_at_year_end(spark):
     raw = raw_frame(spark, [dict(transaction_id="a", date=dt.date(2024, 12, 30))])
     assert build_star(raw).dim_date.first().week_of_year == 1
+
+
+def test_members_of_all_dimensions_in_one_scan_match_separate_distincts(spark):
+    from mercato.operators.star import MEMBER_KEYS, dimension_members
+    raw = raw_frame(spark, [
+        dict(transaction_id="a", date=dt.date(2023, 5, 1), store_name=None, region="East",
+             product_name="p", category=None, customer_segment="Families", member_tier=None),
+        dict(transaction_id="b", date=dt.date(2023, 5, 1), store_name="S", region="East",
+             product_name="p", category="Beverages", customer_segment="Families", member_tier="Gold"),
+        dict(transaction_id="c", date=None, store_name="S", region="East",
+             product_name=None, category=None, customer_segment=None, member_tier=None),
+    ])
+    m = dimension_members(raw)
+    base = raw.withColumn("_day", F.to_date("date"))
+    for dim, keys in MEMBER_KEYS.items():
+        want = sorted(map(tuple, base.select(*keys).distinct().collect()), key=repr)
+        got = sorted(map(tuple, m.of(dim).collect()), key=repr)
+        assert got == want, dim
+        assert m.rows[dim] == len(want)

@@ -1,13 +1,13 @@
 """Small analytical building blocks over aggregated rows.
 
 They all run on already-aggregated frames (a mart, a per-year or per-hour
-roll-up); windows without a partition are used only on those bounded
-frames, never on transaction-grain data.
+roll-up). Totals for shares are one-row aggregates joined back by
+broadcast, never windows without a partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import money as M
@@ -25,10 +25,15 @@ def exact_sum(c, scale: int = 2) -> Column:
     return F.sum(col.cast(f"decimal(30,{scale})")).cast("double")
 
 
-def with_share(df: DataFrame, value_col: str, out_col: str) -> DataFrame:
-    """value / total * 100 over a small aggregated frame."""
-    total = F.sum(F.col(value_col).cast("decimal(30,2)")).over(Window.partitionBy())
-    return df.withColumn(out_col, M.safe_ratio(F.col(value_col).cast("decimal(30,2)"), total) * 100)
+def with_share(df: DataFrame, value_col: str, out_col: str, cast: str | None = "decimal(30,2)") -> DataFrame:
+    """value / total * 100. The total is a one-row global aggregate (partial
+    sums per task) joined back as a broadcast: no window without a
+    partition, so no single task holds all rows however many groups exist."""
+    v = F.col(value_col) if cast is None else F.col(value_col).cast(cast)
+    total = df.agg(F.sum(v).alias("_share_total"))  # one row
+    return (df.crossJoin(F.broadcast(total))
+            .withColumn(out_col, M.safe_ratio(v, F.col("_share_total")) * 100)
+            .drop("_share_total"))
 
 
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:

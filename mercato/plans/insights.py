@@ -74,12 +74,10 @@ def region_share(regional: DataFrame) -> DataFrame:
         C.exact_mean("gp_margin_pct").alias("gp_margin"),
         C.exact_sum("tourist_revenue").alias("tourist_rev"),
     )
-    total = F.sum("_rev").over(Window.partitionBy())  # one row per region
-    return agg.select(
+    return C.with_share(agg, "_rev", "revenue_share", cast=None).select(
         "region",
         F.col("_rev").cast("double").alias("revenue"),
-        "txns", "avg_basket", "gp_margin", "tourist_rev",
-        (M.safe_ratio(F.col("_rev"), total) * 100).alias("revenue_share"),
+        "txns", "avg_basket", "gp_margin", "tourist_rev", "revenue_share",
     ).orderBy(F.col("revenue").desc())
 
 
@@ -206,6 +204,4 @@ def weekday_sales(star: Star) -> DataFrame:
 # Q34 ------------------------------------------------------------------------
 def payment_share(fact: DataFrame) -> DataFrame:
     agg = fact.groupBy("payment_method").agg(F.count(F.lit(1)).cast("long").alias("transactions"))
-    total = F.sum("transactions").over(Window.partitionBy())  # one row per method
-    return (agg.withColumn("share_pct", M.safe_ratio(F.col("transactions"), total) * 100)
-            .orderBy(F.col("transactions").desc()))
+    return C.with_share(agg, "transactions", "share_pct", cast=None).orderBy(F.col("transactions").desc())

@@ -55,17 +55,24 @@ class Star:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def write(self, root: str, mode: str = "overwrite", partition_fact: bool = False, parallel: int = 4) -> None:
-        """Dimensions are written from a few driver threads at once (small,
-        independent jobs); the fact follows."""
+    def write(self, root: str, mode: str = "overwrite", partition_fact: bool = False, parallel: int = 5) -> None:
+        """The five tables are independent jobs (the dimensions and the fact's
+        lookup sides all read the checkpointed members), so they are submitted
+        from a few driver threads at once and the small dimension jobs run
+        beside the fact write instead of before it."""
         from concurrent.futures import ThreadPoolExecutor
 
-        def write_dim(name):
-            self.table(name).write.mode(mode).parquet(os.path.join(root, name))
+        def write_one(name):
+            if name == "fact":
+                self._write_fact(os.path.join(root, "fact"), mode, partition_fact)
+            else:
+                self.table(name).write.mode(mode).parquet(os.path.join(root, name))
 
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            list(pool.map(write_dim, [n for n in self.TABLES if n != "fact"]))
-        fact, path = self.fact, os.path.join(root, "fact")
+            list(pool.map(write_one, ["fact"] + [n for n in self.TABLES if n != "fact"]))
+
+    def _write_fact(self, path: str, mode: str, partition_fact: bool) -> None:
+        fact = self.fact
         if partition_fact:
             # year/month partition directories: filters on them prune files.
             # REBALANCE clusters rows by partition value before the write (few

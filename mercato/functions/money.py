@@ -51,9 +51,16 @@ def rounded_mean(c, scale: int = 2, in_scale: int = 6, times: int = 1) -> Column
     (2*n*10^in_scale) on the unscaled sum S -- so no binary double ever decides a
     tie (78.945 rounds to 78.95 whatever its nearest double is)."""
     col = _c(c)
+    return rounded_ratio(F.sum(col), F.count(col), scale, in_scale, times)
+
+
+def rounded_ratio(total, count, scale: int = 2, in_scale: int = 6, times: int = 1) -> Column:
+    """ROUND(total / count * times, scale), half up on the exact decimal
+    value: :func:`rounded_mean` over an already-summed decimal ``total``
+    (``in_scale`` places) and its value count, e.g. re-aggregated partials."""
     dec0 = "decimal(38,0)"
-    unscaled = (F.sum(col) * F.lit(10 ** in_scale)).cast(dec0)
-    n = F.count(col).cast(dec0)
+    unscaled = (_c(total) * F.lit(10 ** in_scale)).cast(dec0)
+    n = _c(count).cast(dec0)
     d = n * F.lit(10 ** in_scale).cast(dec0)
     num = F.abs(unscaled) * F.lit(2 * times * 10 ** scale).cast(dec0) + d
     den = d * F.lit(2).cast(dec0)

@@ -52,3 +52,35 @@ def test_rounded_mean_breaks_ties_on_the_exact_decimal(spark):
     pct = df.filter("v = 2.5").agg(M.rounded_mean("v", 1, in_scale=6, times=100).alias("m")).first().m
     assert pct == 250.0
     assert df.filter("v > 100").agg(M.rounded_mean("v").alias("m")).first().m is None
+
+
+def test_all_marts_from_one_shared_scan_equal_the_single_marts(star):
+    shared = marts.build_marts(star, shared=True)
+    assert list(shared) == list(marts.BUILDERS)
+    for name, df in shared.items():
+        single = marts.BUILDERS[name](star)
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in single.schema], name
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, single.collect()), key=repr), name
+
+
+def test_shared_partials_read_the_fact_once(star):
+    pre = star.fact.groupingSets([list(m.grain) for m in marts.MARTS[:2]], "date_key", "store_key").agg(
+        F.count(F.lit(1)).alias("_rows"))
+    plan = pre._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Expand" in plan
+    shared = marts.shared_partials(star.fact)
+    gids = set(shared.gid.values())
+    assert len(gids) == len({m.grain for m in marts.MARTS})
+    assert {r._gid for r in shared.df.select("_gid").distinct().collect()} == gids
+
+
+def test_shared_scan_is_chosen_by_fact_size(star):
+    size = marts.plan_size_bytes(star.fact)
+    assert size is not None and 0 < size < marts.SHARED_SCAN_MIN_BYTES
+    old = marts.SHARED_SCAN_MIN_BYTES
+    try:
+        marts.SHARED_SCAN_MIN_BYTES = 1
+        plan = marts.build_marts(star)["cdc_impact"]._jdf.queryExecution().executedPlan().toString()
+        assert "/fact" not in plan and "Expand" not in plan  # reads the checkpointed partials
+    finally:
+        marts.SHARED_SCAN_MIN_BYTES = old

@@ -256,8 +256,9 @@ class SharedPartials:
         return self.df.filter(F.col("_gid") == self.gid[grain]).select(*grain, *partials)
 
 
-def shared_partials(fact: DataFrame, marts: tuple[Mart, ...] = MARTS) -> SharedPartials:
-    """Every partial of every mart at each mart's grain, from ONE fact scan."""
+def partial_sets(fact: DataFrame, marts: tuple[Mart, ...] = MARTS) -> tuple[DataFrame, dict]:
+    """The lazy GROUPING SETS aggregate of every partial at every grain, and
+    the ``grouping_id`` of each grain's rows."""
     grains = list(dict.fromkeys(m.grain for m in marts))
     cols = list(dict.fromkeys(c for g in grains for c in g))
     names = list(dict.fromkeys(p for m in marts for p in m.partials))
@@ -265,6 +266,13 @@ def shared_partials(fact: DataFrame, marts: tuple[Mart, ...] = MARTS) -> SharedP
         *[PARTIALS[p][0]().alias(p) for p in names], F.grouping_id().alias("_gid"))
     # grouping_id: bit (n-1-i) is set when column i is not in the row's set
     gid = {g: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in g) for g in grains}
+    return pre, gid
+
+
+def shared_partials(fact: DataFrame, marts: tuple[Mart, ...] = MARTS) -> SharedPartials:
+    """Every partial of every mart at each mart's grain, from ONE fact scan,
+    checkpointed (reliable) for the seven roll-ups that read it."""
+    pre, gid = partial_sets(fact, marts)
     return SharedPartials(cut_lineage(pre), gid)
 
 

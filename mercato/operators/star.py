@@ -116,18 +116,25 @@ class Members:
         return self.df.filter(F.col("_gid") == self.gid[dim]).select(*MEMBER_KEYS[dim])
 
 
-def dimension_members(sales: DataFrame) -> Members:
-    """One pass over ``sales`` for the members of all four dimensions.
-    Timestamps are cut to days first (two times on one day are one member).
-    NULL is a member like any other value; ``grouping_id`` tells the sets
-    apart, so a NULL key is never confused with "not in this set"."""
+def member_sets(sales: DataFrame) -> tuple[DataFrame, dict]:
+    """The lazy GROUPING SETS aggregate behind :func:`dimension_members` and
+    the ``grouping_id`` of each dimension's rows."""
     cols = [c for keys in MEMBER_KEYS.values() for c in keys]
     base = sales.select(*[c for c in cols if c != "_day"], cal.as_date("date").alias("_day"))
-    members = cut_lineage(base.groupingSets([MEMBER_KEYS[d] for d in MEMBER_KEYS], *cols)
-                          .agg(F.grouping_id().alias("_gid")))
+    plan = base.groupingSets([MEMBER_KEYS[d] for d in MEMBER_KEYS], *cols).agg(F.grouping_id().alias("_gid"))
     # grouping_id: bit (n-1-i) is set when column i is not in the row's set
     gid = {d: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
            for d, keys in MEMBER_KEYS.items()}
+    return plan, gid
+
+
+def dimension_members(sales: DataFrame) -> Members:
+    """One pass over ``sales`` for the members of all four dimensions.
+    Timestamps are cut to days first (two times on one day are one member).
+    NULL is a member like any other value; ``grouping_id`` tells the sets
+    apart, so a NULL key is never confused with "not in this set"."""
+    plan, gid = member_sets(sales)
+    members = cut_lineage(plan)
     counts = {r["_gid"]: r["n"] for r in members.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()}
     return Members(members, gid, {d: int(counts.get(g, 0)) for d, g in gid.items()})
 

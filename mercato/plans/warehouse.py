@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mercato import schemas as S
 from mercato.operators.star import Star
 from mercato.plans import pipeline as PL
-from mercato.session import ensure_checkpoint_dir
+from mercato.session import ensure_checkpoint_dir, require_local
 from mercato.sources.sales import sales_from_tables
 
 _CACHE: dict = {}
@@ -39,7 +39,8 @@ def _root(spark: SparkSession, sf_dir: str) -> str:
     if base is None:
         # A remote (Connect) session without a configured checkpoint folder: only
         # usable when client and server share a file system, as in local runs.
-        base = tempfile.mkdtemp(prefix="mercato-warehouse-")
+        require_local(spark)
+        base = tempfile.mkdtemp(prefix="mercato-warehouse-", dir=os.environ.get("MERCATO_SCRATCH", "/tmp"))
     app, path = _key(spark, sf_dir)
     tag = hashlib.sha1(f"{app}|{path}".encode()).hexdigest()[:12]
     return os.path.join(base.replace("file:", ""), f"mercato-warehouse-{tag}")

@@ -50,11 +50,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    require_local(spark)
     local = tempfile.mkdtemp(prefix="mercato-ckpt-", dir=os.environ.get("MERCATO_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
     return local
 
 
+def require_local(spark: SparkSession) -> None:
+    """A scratch folder of our own is only valid when driver and executors
+    share one machine; on a cluster the shared folder must be configured."""
+    master = spark.conf.get("spark.master", "") or ""
+    if not master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                           "(checkpoints and the per-session warehouse are written there)")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss, unlike localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -287,9 +287,10 @@ def mart_from_partials(star: Star, shared: SharedPartials, mart: Mart | str) ->
 # Fact size (optimizer estimate of the scanned columns) from which the seven
 # marts share one scan. Below it the data is cheap to read again and the
 # shared scan's Expand (every row aggregated once per grain, with all
-# partials) costs more CPU than it saves: at sf0.1 (34 MB) seven scans took
-# 4.9 s and the shared path 7.4 s on local[8]. Above it reading and decoding
-# the fact seven times dominates.
+# partials) costs about as much CPU as it saves: at sf0.1 (34 MB, local[8],
+# fresh star each round, alternating which path ran first) seven scans took
+# 4.7-6.7 s (mean 5.7) and the shared path 5.2-8.0 s (mean 6.4). Above it
+# reading and decoding the fact seven times dominates.
 SHARED_SCAN_MIN_BYTES = 1 << 30
 
 

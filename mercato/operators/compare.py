@@ -1,8 +1,8 @@
 """Small analytical building blocks over aggregated rows.
 
 They all run on already-aggregated frames (a mart, a per-year or per-hour
-roll-up). Totals for shares are one-row aggregates joined back by
-broadcast, never windows without a partition.
+roll-up). Totals for shares are scalar subqueries over a global
+aggregate, never windows without a partition.
 """
 
 from __future__ import annotations
@@ -26,14 +26,12 @@ def exact_sum(c, scale: int = 2) -> Column:
 
 
 def with_share(df: DataFrame, value_col: str, out_col: str, cast: str | None = "decimal(30,2)") -> DataFrame:
-    """value / total * 100. The total is a one-row global aggregate (partial
-    sums per task) joined back as a broadcast: no window without a
-    partition, so no single task holds all rows however many groups exist."""
+    """value / total * 100. The total is a scalar subquery over a global
+    aggregate (partial sums per task): no window without a partition, so no
+    single task holds all rows however many groups exist, and no join."""
     v = F.col(value_col) if cast is None else F.col(value_col).cast(cast)
-    total = df.agg(F.sum(v).alias("_share_total"))  # one row
-    return (df.crossJoin(F.broadcast(total))
-            .withColumn(out_col, M.safe_ratio(v, F.col("_share_total")) * 100)
-            .drop("_share_total"))
+    total = df.select(F.sum(v)).scalar()
+    return df.withColumn(out_col, M.safe_ratio(v, total) * 100)
 
 
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:

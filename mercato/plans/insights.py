@@ -95,12 +95,11 @@ def discount_corr(category: DataFrame) -> DataFrame:
 
 # Q8 -------------------------------------------------------------------------
 def tier_multiplier(customer: DataFrame, baseline_tier: str = S.NON_MEMBER) -> DataFrame:
-    base = customer.agg(C.conditional_mean("avg_basket_size", F.col("member_tier") == baseline_tier)
-                        .alias("_base"))  # one row
-    return (customer.crossJoin(F.broadcast(base))
+    base = customer.select(C.conditional_mean("avg_basket_size", F.col("member_tier") == baseline_tier)).scalar()
+    return (customer
             .select("member_tier", "customer_segment", "avg_basket_size", "total_spend",
                     "total_transactions", "promo_sensitivity_pct",
-                    F.round(M.safe_ratio(F.col("avg_basket_size"), F.col("_base")), 4).alias("spend_multiplier"))
+                    F.round(M.safe_ratio(F.col("avg_basket_size"), base), 4).alias("spend_multiplier"))
             .orderBy(F.col("avg_basket_size").desc()))
 
 

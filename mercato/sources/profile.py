@@ -15,16 +15,15 @@ def source_profile(raw: DataFrame) -> DataFrame:
     low-cardinality attribute), not from rows.
     """
     regions = raw.select("region").distinct().agg(
-        F.array_join(F.sort_array(F.collect_list("region")), ",").alias("regions"))
-    stats = raw.agg(
+        F.array_join(F.sort_array(F.collect_list("region")), ",")).scalar()
+    return raw.agg(
         F.count(F.lit(1)).cast("long").alias("rows"),
+        F.lit(len(raw.columns)).cast("int").alias("columns"),
         F.min("date").alias("min_date"),
         F.max("date").alias("max_date"),
+        regions.alias("regions"),
         F.sum("total_sgd").cast("double").alias("total_revenue"),
     )
-    return stats.crossJoin(regions).select(
-        "rows", F.lit(len(raw.columns)).cast("int").alias("columns"),
-        "min_date", "max_date", "regions", "total_revenue")
 
 
 def missing_columns(df: DataFrame, required: list[str] = S.REQUIRED_COLUMNS) -> list[str]:

@@ -45,8 +45,8 @@ def quality_report(results: DataFrame, score_row: DataFrame) -> DataFrame:
     details (an array with one element per check -- bounded by the check
     list, not by the data)."""
     details = results.agg(F.sort_array(F.collect_list(F.struct(
-        "check_id", "test_name", "status", "detail", "severity"))).alias("test_details"))
-    return score_row.crossJoin(details).select(
+        "check_id", "test_name", "status", "detail", "severity")))).scalar()
+    return score_row.withColumn("test_details", details).select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("run_timestamp"),
         "quality_score", "total_tests", "passed", "failed", "grade",
         F.transform("test_details", lambda d: F.struct(

@@ -9,9 +9,10 @@ definition runs two ways:
   ``groupBy().agg()`` of the partials at the mart's keys -- a partial hash
   aggregate per task, one shuffle on the keys, a final aggregate;
 * all seven marts on a big fact (:func:`build_marts`, from
-  ``SHARED_SCAN_MIN_BYTES``): ONE scan of the fact for all of them. A ``GROUPING SETS`` aggregate (Expand + partial hash aggregate)
-  computes the partials per day, store, product and customer key and per
-  key set of the two dimension-free marts. That table is bounded by the
+  ``SHARED_SCAN_MIN_BYTES``): ONE scan of the fact for all of them. A
+  ``GROUPING SETS`` aggregate (Expand + partial hash aggregate) computes
+  the partials per day, store, product and customer key and per key set of
+  the two dimension-free marts. That table is bounded by the
   dimension sizes, is cut from its lineage with a reliable checkpoint, and
   each mart is then its dimension join (a broadcast of a small side) and a
   re-aggregation of the partials. The fact is read once instead of seven

@@ -49,3 +49,35 @@ def test_filters_reach_the_scans(spark, tmp_dir):
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan or "year#" in plan
     assert "EqualTo(region,ASIA)" in plan
+
+
+def test_shares_and_baselines_use_no_cross_join(spark, star):
+    from mercato.sources import profile as P
+    from mercato.plans import warehouse
+    plans = [I.region_share(marts.regional_sales(star)), I.payment_share(star.fact),
+             I.tier_multiplier(marts.customer_ltv(star)), P.source_profile(warehouse.sales(spark, "/root/testdata/sf0.001"))]
+    for df in plans:
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+        assert "Subquery" in plan
+
+
+def test_own_scratch_folder_only_on_a_local_master():
+    import pytest
+    from mercato.session import require_local
+
+    class Conf:
+        def __init__(self, master):
+            self.master = master
+
+        def get(self, key, default=None):
+            return self.master if key == "spark.master" else default
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    require_local(Session("local[8]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        require_local(Session("yarn"))

@@ -84,3 +84,10 @@ def test_shared_scan_is_chosen_by_fact_size(star):
         assert "/fact" not in plan and "Expand" not in plan  # reads the checkpointed partials
     finally:
         marts.SHARED_SCAN_MIN_BYTES = old
+
+
+def test_unknown_fact_size_takes_the_shared_scan(star, monkeypatch):
+    # no size estimate (e.g. a Spark Connect session): the scale-safe choice
+    monkeypatch.setattr(marts, "plan_size_bytes", lambda df: None)
+    plan = marts.build_marts(star)["gst_analysis"]._jdf.queryExecution().executedPlan().toString()
+    assert "/fact" not in plan and "Expand" not in plan

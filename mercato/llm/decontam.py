@@ -258,18 +258,22 @@ def candidates(names: np.ndarray, first: np.ndarray, weight: np.ndarray, slot: n
     b = bins_of(names)
     w = weight[b]
     size = np.bincount(block, weights=w.astype(np.float64) ** 2, minlength=block0[-1])
-    use = np.flatnonzero((slot[b] >= 0) & (w > 0))
-    part = np.zeros((block0[-1] + 1, terms.shape[1]), dtype=np.float32)
-    if len(use):
-        mine = block[use]
-        starts = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
-        part[mine[starts]] = np.add.reduceat(terms[slot[b[use]]] * w[use][:, None], starts, axis=0)
+    known = (slot[b] >= 0) & (w > 0)
     # a run is a block and the next one of the same row
     brow = np.repeat(np.arange(len(n_words)), n_blocks)
     joined = np.zeros(block0[-1], dtype=bool)
     joined[:-1] = brow[1:] == brow[:-1]
-    x = part[:-1] + np.where(joined[:, None], part[1:], 0)
     norm2 = size + np.where(joined, np.append(size[1:], 0), 0)
+    use = np.flatnonzero(known)
+    part = np.zeros((block0[-1] + 1, terms.shape[1]), dtype=np.float32)
+    if len(use):
+        mine = block[use]
+        place = np.arange(len(use)) - np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))[np.cumsum(np.append(False, mine[1:] != mine[:-1]))]
+        rows, weights = slot[b[use]], w[use][:, None]
+        for j in range(HALF):                       # the j-th known word of every block
+            i = np.flatnonzero(place == j)
+            part[mine[i]] += terms[rows[i]] * weights[i]
+    x = part[:-1] + np.where(joined[:, None], part[1:], 0)
     inside = np.sqrt(np.einsum("ij,ij->i", x, x)) / np.sqrt(np.maximum(norm2, 1e-9))
     near = np.flatnonzero((inside >= cosine) & (norm2 > 0))      # no passage can be nearer than the part inside the space
     out = []

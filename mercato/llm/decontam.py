@@ -4,9 +4,9 @@
    in hashed bins; words above ``max_share`` of all words carry no weight).
 2. The benchmark's passages (overlapping runs of ``PASSAGE`` words) as TF-IDF
    rows are factored by a distributed randomised SVD: a hashed Gaussian sketch,
-   one power step, Cholesky QR, and the eigenvectors of the small Gram matrix.
-   Only rank x rank matrices reach the driver; the term vectors are at most
-   BINS x rank numbers.
+   one power step, QR, and the eigenvectors of the small Gram matrix.
+   The term vectors, at most BINS x rank numbers, and rank x rank matrices
+   reach the driver.
 3. Every document is read in runs of PASSAGE words, half overlapping. The
    cosine in the latent space with every passage finds candidates.
 4. A candidate is confirmed on the words themselves: the longest common
@@ -38,6 +38,8 @@ COUNT_BLOCK = 2048
 PASSAGE = 32
 HALF = PASSAGE // 2
 BLOCK_ITEMS = 2000
+#: Directions sketched beyond the rank, as a randomised SVD needs for a flat spectrum.
+OVERSAMPLE = 32
 
 #: Lower-cases A-Z and turns ASCII punctuation into blanks.
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -177,7 +179,7 @@ def latent_terms(items: DataFrame, weight: np.ndarray, rank: int = 256) -> tuple
     items has one column text. At most BINS vectors reach the driver."""
     def ortho(z: np.ndarray) -> np.ndarray:
         return np.linalg.qr(z)[0] if len(z) else z
-    bins, z = _collect(items.mapInArrow(_step(weight, rank, None), _VECS))
+    bins, z = _collect(items.mapInArrow(_step(weight, rank + OVERSAMPLE, None), _VECS))
     if not len(bins):
         return bins, z
     q = ortho(z)
@@ -186,7 +188,7 @@ def latent_terms(items: DataFrame, weight: np.ndarray, rank: int = 256) -> tuple
     _, g = _collect(items.mapInArrow(_gram(weight, dict(zip(bins.tolist(), q)), q.shape[1]), _VECS))
     value, vector = np.linalg.eigh(g.reshape(q.shape[1], q.shape[1]))
     use = value > 1e-9 * max(value.max(), 1e-300)
-    return bins, (q @ vector[:, use][:, ::-1]).astype(np.float32)
+    return bins, (q @ vector[:, use][:, ::-1][:, :rank]).astype(np.float32)
 
 
 def lcs_length(item_at: dict[int, int], n: int, words: list[int]) -> int:

@@ -154,7 +154,7 @@ def fit(x: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 0.05, deca
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for s in text_slices(batch.column("text")):
+        for s in text_slices(batch.column("text"), rows=256):      # feature rows are dense
             x = features(s).astype(np.float16)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(s.first, s.n), batch.column("quality").slice(s.first, s.n),
                                               pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "quality", "x"])

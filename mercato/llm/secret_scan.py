@@ -33,6 +33,8 @@ MIN_RUN = 16
 _RUN = f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_RUN},}}+"
 #: A run is a secret if its summed and its mean log-likelihood ratio reach these.
 MIN_SUM, MIN_MEAN = 16.0, 0.75
+#: Weight, in characters, of the single-character frequencies in a transition.
+BACKOFF = 8.0
 MASK = "[SECRET]"
 
 
@@ -82,11 +84,16 @@ def train(scanned: DataFrame) -> list[float] | None:
     counts = {(r["random"], r["code"]): r["count"] for r in rows}
     if len({k for k, _ in counts}) < 2:
         return None
-    table = []
-    for a in range(_K):
-        total = [sum(counts.get((k, a * _K + b), 0) for b in range(_K)) + 0.5 * _K for k in (0, 1)]
-        table += [math.log((counts.get((1, a * _K + b), 0) + 0.5) / total[1]) - math.log((counts.get((0, a * _K + b), 0) + 0.5) / total[0]) for b in range(_K)]
-    return table
+    def model(k: int) -> list[float]:
+        """log P(next | character), a character's transitions smoothed by the frequency of the next one alone."""
+        single = [sum(counts.get((k, a * _K + b), 0) for a in range(_K)) + 0.5 for b in range(_K)]
+        total = sum(single)
+        out = []
+        for a in range(_K):
+            seen = sum(counts.get((k, a * _K + b), 0) for b in range(_K))
+            out += [math.log((counts.get((k, a * _K + b), 0) + BACKOFF * single[b] / total) / (seen + BACKOFF)) for b in range(_K)]
+        return out
+    return [r - o for r, o in zip(model(1), model(0))]
 
 
 def with_spans(scanned: DataFrame, ratios: list[float] | None) -> DataFrame:
@@ -126,13 +133,16 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK) -> DataFra
     """docs with every span of the text replaced by the mask (overlapping spans
     by one), all columns and their order kept; null texts stay null. n_chars,
     if there is one, is the new length."""
-    ratios = train(cut_lineage(scan(docs.select(column(docs, text_col).alias("text"))).select("_base", "_runs")))
-    out = with_spans(scan(docs, text_col), ratios)
-    text = "`" + text_col.replace("`", "``") + "`"
+    names, at = docs.columns, docs.columns.index(text_col)
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])           # no name of the caller's can clash
+    text = f"c{at}"
+    ratios = train(cut_lineage(scan(rows.select(text), text).select("_base", "_runs")))
+    out = with_spans(scan(rows, text), ratios)
     new = F.expr(f"""if(size(_spans) = 0, {text}, aggregate(_spans, named_struct('at', 0, 'out', ''),
         (a, s) -> named_struct('at', greatest(a.at, s.stop), 'out', if(s.start < a.at, a.out, concat(a.out, substring({text}, a.at + 1, s.start - a.at), '{mask}'))),
         a -> concat(a.out, substring({text}, a.at + 1))))""")
-    out = out.withColumn(text_col, new)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(column(out, text_col).isNull(), column(out, "n_chars")).otherwise(F.length(column(out, text_col))).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[column(out, c) for c in docs.columns])
+    out = out.withColumn(text, new)
+    if "n_chars" in names:
+        n = f"c{names.index('n_chars')}"
+        out = out.withColumn(n, F.when(F.col(text).isNull(), F.col(n)).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
+    return out.select(*rows.columns).toDF(*names)

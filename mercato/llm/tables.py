@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.session import cut_lineage, ensure_checkpoint_dir  # noqa: F401
@@ -38,6 +38,9 @@ def drop_ids(rows: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFram
     Only rows whose key hits the ids' bitmap go through the shuffled anti
     join, so texts of the others are not shuffled. The bitmap is a table of
     fixed size and is broadcast."""
+    names = rows.columns
+    rows = rows.toDF(*[f"c{i}" for i in range(len(names))])           # no name of the caller's can clash
+    key = f"c{names.index(key)}"
     bits = ids.select(id_bit(F.col(id_col)).alias("_bit"))
     words = (bits.groupBy(F.shiftright("_bit", 6).alias("_word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, _bit & 63)")).alias("_bits")))
@@ -48,13 +51,9 @@ def drop_ids(rows: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFram
     wanted = ids.select(F.col(id_col).alias("_drop_id"))
     check = probe.filter("_hit").select(*rows.columns)
     left = check.join(wanted, check[key].eqNullSafe(wanted["_drop_id"]), "left_anti")
-    return keep.unionByName(left.select(*rows.columns))
+    return keep.union(left).toDF(*names)
 
 
 def column(df: DataFrame, name: str) -> F.Column:
     """A column by its exact name, quoted."""
     return F.col("`" + name.replace("`", "``") + "`")
-
-
-def tasks_for(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

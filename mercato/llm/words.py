@@ -56,8 +56,8 @@ class TextSlice:
     offsets: np.ndarray   # int64, n + 1 entries
 
 
-def text_slices(texts: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[TextSlice]:
-    """Cuts a string column into slices; a null text counts as an empty one."""
+def text_slices(texts: pa.Array, slice_bytes: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[TextSlice]:
+    """Cuts a string column into slices of at most `rows` rows; a null text counts as an empty one."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if len(texts) == 0:
@@ -71,7 +71,7 @@ def text_slices(texts: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[Tex
     at = 0
     while at < len(texts):
         end = int(np.searchsorted(off, off[at] + slice_bytes, "right")) - 1
-        end = min(max(end, at + 1), len(texts))
+        end = min(max(end, at + 1), at + rows, len(texts))
         yield TextSlice(at, end - at, data[off[at]:off[end]], off[at:end + 1] - off[at])
         at = end
 

@@ -9,26 +9,19 @@ row into a single task. Instead:
 4. per-task row counts (one row per task, a bounded result) give each
    task's offset; key = offset + position + 1.
 
-The same numbering gives the dimension's exact row count for free, which
-the fact build uses to decide whether the dimension may be broadcast.
-
-Size check first: the distinct rows are counted, and when there are at most
-``single_task_max`` of them (a proven bound) a plain ``row_number`` window
-numbers them in one task -- cheaper than the four jobs above for the usual
-few-hundred-row dimension. Above the bound the distributed path is used.
+The same numbering gives the dimension's exact row count for free.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.session import cut_lineage
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row in partition
-SINGLE_TASK_MAX_ROWS = 1_000_000
 
 
 @dataclass
@@ -37,20 +30,9 @@ class Keyed:
     rows: int
 
 
-def dense_keys(df: DataFrame, order_cols: list[str], key_col: str,
-               single_task_max: int = SINGLE_TASK_MAX_ROWS, rows: int | None = None) -> Keyed:
-    """``df`` holds distinct natural keys; adds ``key_col`` = 1-based rank.
-    ``rows``: the exact row count of ``df`` when the caller already has it."""
+def dense_keys(df: DataFrame, order_cols: list[str], key_col: str) -> Keyed:
+    """``df`` holds distinct natural keys; adds ``key_col`` = 1-based rank."""
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    if single_task_max > 0:
-        n = df.count() if rows is None else rows
-        if n <= single_task_max:
-            # bounded by the count just taken; unique keys make the order total
-            return Keyed(df.withColumn(key_col, F.row_number().over(Window.orderBy(*order)).cast("long")), n)
-    return _distributed_keys(df, order, key_col)
-
-
-def _distributed_keys(df: DataFrame, order: list, key_col: str) -> Keyed:
     ordered = df.orderBy(*order)
     tagged = cut_lineage(ordered.withColumn("_rid", F.monotonically_increasing_id()))
     part = F.shiftright(F.col("_rid"), _LOCAL_BITS)

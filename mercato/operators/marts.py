@@ -2,25 +2,20 @@
 
 A mart is defined once, as *partial measures* (sums, counts, maxima -- each
 re-aggregable without loss, money as exact decimals) and *final* columns
-computed from them (rounded sums, exact half-up means, ratios). That one
-definition runs two ways:
-
-* one mart (:data:`BUILDERS`): the fact joined to its dimension, then one
-  ``groupBy().agg()`` of the partials at the mart's keys -- a partial hash
-  aggregate per task, one shuffle on the keys, a final aggregate;
-* all seven marts on a big fact (:func:`build_marts`, from
-  ``SHARED_SCAN_MIN_BYTES``): ONE scan of the fact for all of them. A
-  ``GROUPING SETS`` aggregate (Expand + partial hash aggregate) computes
-  the partials per day, store, product and customer key and per key set of
-  the two dimension-free marts. That table is bounded by the
-  dimension sizes, is cut from its lineage with a reliable checkpoint, and
-  each mart is then its dimension join (a broadcast of a small side) and a
-  re-aggregation of the partials. The fact is read once instead of seven
-  times and shuffled once, as partial rows.
+computed from them (rounded sums, exact half-up means, ratios). In all
+cases the fact is first reduced to the partials per surrogate key (or, for the
+two dimension-free marts, per output key), and only that small table joins its
+dimension and is aggregated again:
+
+* one mart (:data:`BUILDERS`): one ``groupBy().agg()`` of its own partials;
+* all seven (:func:`build_marts`): ONE scan of the fact. A ``GROUPING SETS``
+  aggregate (Expand + partial hash aggregate) computes the partials per day,
+  store, product and customer key and per key set of the two dimension-free
+  marts. That table is bounded by the dimension sizes and is cut from its
+  lineage with a reliable checkpoint.
 
 Either way a hot key (a store or day holding a third of the rows) ships one
-partial row per task. Dimension joins come before the aggregate; the fact
-side is never broadcast. A stored mart has no order: sort on read
+partial row per task, and no fact row takes part in a join. A stored mart has no order: sort on read
 (``sorted_mart``).
 """
 
@@ -202,50 +197,23 @@ MART_SPECS = {m.name: m for m in MARTS}
 
 
 def build_mart(star: Star, mart: Mart | str) -> DataFrame:
-    """One mart straight from the fact: join, one aggregate of its partials."""
+    """One mart straight from the fact: its partials at its grain, rolled up."""
     m = MART_SPECS[mart] if isinstance(mart, str) else mart
-    src = star.fact if m.dim is None else star.fact.join(star.table(m.dim), m.grain[0], "inner")
-    agg = src.groupBy(*m.keys).agg(*[PARTIALS[p][0]().alias(p) for p in m.partials])
-    return m.output(agg)
+    return _roll_up(star, m, star.fact.groupBy(*m.grain).agg(*[PARTIALS[p][0]().alias(p) for p in m.partials]))
 
 
-def monthly_sales(star: Star) -> DataFrame:
-    return build_mart(star, "monthly_sales")
-
-
-def regional_sales(star: Star) -> DataFrame:
-    return build_mart(star, "regional_sales")
-
-
-def category_profit(star: Star) -> DataFrame:
-    return build_mart(star, "category_profit")
-
-
-def customer_ltv(star: Star) -> DataFrame:
-    return build_mart(star, "customer_ltv")
-
-
-def product_ranking(star: Star) -> DataFrame:
-    return build_mart(star, "product_ranking")
-
-
-def cdc_impact(star: Star) -> DataFrame:
-    return build_mart(star, "cdc_impact")
+def _roll_up(star: Star, m: Mart, part: DataFrame) -> DataFrame:
+    src = part if m.dim is None else part.join(star.table(m.dim), m.grain[0], "inner")
+    return m.output(src.groupBy(*m.keys).agg(*[PARTIALS[p][1](p).alias(p) for p in m.partials]))
 
 
-def gst_analysis(star: Star) -> DataFrame:
-    return build_mart(star, "gst_analysis")
+def _builder(name: str) -> Callable[[Star], DataFrame]:
+    return lambda star: build_mart(star, name)
 
 
-BUILDERS = {
-    "monthly_sales": monthly_sales,
-    "regional_sales": regional_sales,
-    "category_profit": category_profit,
-    "customer_ltv": customer_ltv,
-    "product_ranking": product_ranking,
-    "cdc_impact": cdc_impact,
-    "gst_analysis": gst_analysis,
-}
+BUILDERS = {m.name: _builder(m.name) for m in MARTS}
+(monthly_sales, regional_sales, category_profit, customer_ltv, product_ranking, cdc_impact,
+ gst_analysis) = BUILDERS.values()
 
 
 @dataclass
@@ -279,40 +247,11 @@ def shared_partials(fact: DataFrame, marts: tuple[Mart, ...] = MARTS) -> SharedP
 
 def mart_from_partials(star: Star, shared: SharedPartials, mart: Mart | str) -> DataFrame:
     m = MART_SPECS[mart] if isinstance(mart, str) else mart
-    part = shared.at(m.grain, m.partials)
-    src = part if m.dim is None else part.join(star.table(m.dim), m.grain[0], "inner")
-    agg = src.groupBy(*m.keys).agg(*[PARTIALS[p][1](p).alias(p) for p in m.partials])
-    return m.output(agg)
-
-
-# Fact size (optimizer estimate of the scanned columns) from which the seven
-# marts share one scan. Below it the data is cheap to read again and the
-# shared scan's Expand (every row aggregated once per grain, with all
-# partials) costs about as much CPU as it saves: at sf0.1 (34 MB, local[8],
-# fresh star each round, alternating which path ran first) seven scans took
-# 4.7-6.7 s (mean 5.7) and the shared path 5.2-8.0 s (mean 6.4). Above it
-# reading and decoding the fact seven times dominates.
-SHARED_SCAN_MIN_BYTES = 1 << 30
-
-
-def plan_size_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file sizes scaled to the pruned
-    columns); None where the plan is not reachable (Spark Connect)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def build_marts(star: Star, shared: bool | None = None) -> dict[str, DataFrame]:
-    """All seven marts. ``shared``: one shared scan of the fact (see module
-    doc); by default chosen when the fact's size estimate reaches
-    ``SHARED_SCAN_MIN_BYTES`` or is unknown, otherwise one plan per mart."""
-    if shared is None:
-        size = plan_size_bytes(star.fact)
-        shared = size is None or size >= SHARED_SCAN_MIN_BYTES
-    if not shared:
-        return {name: fn(star) for name, fn in BUILDERS.items()}
+    return _roll_up(star, m, shared.at(m.grain, m.partials))
+
+
+def build_marts(star: Star) -> dict[str, DataFrame]:
+    """All seven marts from one scan of the fact."""
     parts = shared_partials(star.fact)
     return {m.name: mart_from_partials(star, parts, m) for m in MARTS}
 

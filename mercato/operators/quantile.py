@@ -1,24 +1,17 @@
 """Exact quantiles with linear interpolation, without one task holding all values.
 
 ``percentile(col, p)`` is exact, but its final aggregation merges the
-value->count map of every task into a single task, so memory grows with
-the number of distinct values. Here every step is a distributed job that
-returns a bounded result:
+value->count map of every task into a single task. Here:
 
-1. one pass: count, min, max, and ``buckets - 1`` approximate quantiles
-   (``percentile_approx``, a bounded mergeable sketch) as split points;
-2. one pass: each row's bucket (number of splits below its value) and a
-   grouped count per bucket -- at most ``buckets`` rows per open range --
-   which narrows each wanted order statistic to one bucket with an exact
-   number of values below it;
-3. repeat 1-2 inside the narrowed ranges until a range holds at most
-   ``small`` values or a single distinct value (a hot value that may hold a
-   third of all rows is detected by min = max, never enumerated);
-4. one job picks the value at the wanted position inside every small range
-   with a running count over that range's (value, count) rows -- at most
-   ``small`` rows per range, in one task each.
+1. one aggregate counts each distinct value (combined map-side: a value that
+   holds a third of all rows is one partial row per task);
+2. the (value, count) rows are range-partitioned and sorted by value and
+   checkpointed, so their partitions are fixed;
+3. the partitions' totals (one row per task on the driver) say which partition
+   holds each wanted order statistic, and how many rows lie before it;
+4. a running count inside just those partitions picks the values.
 
-Ranges shared by several order statistics are evaluated once.
+No task holds more than one range of distinct values, at any size.
 """
 
 from __future__ import annotations
@@ -28,124 +21,34 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.session import cut_lineage
 
-def _in_range(c, lo, lo_inc, hi):
-    return (c >= F.lit(lo) if lo_inc else c > F.lit(lo)) & (c <= F.lit(hi))
 
-
-def _pick_many(df: DataFrame, c, picks: list[tuple]) -> dict[tuple, object]:
-    """Value at a 0-based position inside small ranges: [(range, pos)]."""
-    ids = list(picks)
-    tagged = F.array(*[F.when(_in_range(c, *g), F.lit(i)) for i, (g, _p) in enumerate(ids)])
-    rows = (df.select(c.alias("v"), F.explode(tagged).alias("g")).filter(F.col("g").isNotNull())
-            .groupBy("g", "v").agg(F.count(F.lit(1)).alias("k")))
-    w = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pos = F.create_map(*[x for i, (_g, p) in enumerate(ids) for x in (F.lit(i), F.lit(p))])
-    hit = (rows.withColumn("cum", F.sum("k").over(w)).filter(F.col("cum") > F.element_at(pos, F.col("g")))
-           .groupBy("g").agg(F.min("v").alias("v")).collect())  # one row per range
-    return {ids[r["g"]]: r["v"] for r in hit}
-
-
-def _splits_below(c, splits: list, lo: int, hi: int):
-    """Number of sorted ``splits`` strictly below ``c``, as a balanced CASE
-    tree: log2(len) comparisons per row, compiled by whole-stage codegen."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(c > F.lit(splits[mid]), _splits_below(c, splits, mid + 1, hi)).otherwise(
-        _splits_below(c, splits, lo, mid))
-
-
-def _bucket_counts(df: DataFrame, c, ranges: dict[tuple, list]) -> dict[tuple, dict[int, int]]:
-    """Per range: bucket index (number of splits strictly below the value) -> count."""
-    ids = list(ranges)
-    parts = []
-    for i, g in enumerate(ids):
-        bucket = _splits_below(c, ranges[g], 0, len(ranges[g]))
-        parts.append(F.when(_in_range(c, *g), F.struct(F.lit(i).alias("g"), bucket.alias("b"))))
-    rows = (df.select(F.explode(F.array(*parts)).alias("t")).filter(F.col("t").isNotNull())
-            .groupBy(F.col("t.g").alias("g"), F.col("t.b").alias("b")).agg(F.count(F.lit(1)).alias("k"))
-            .collect())  # at most len(ranges) * buckets rows
-    out = {g: {} for g in ids}
-    for r in rows:
-        out[ids[r["g"]]][int(r["b"])] = int(r["k"])
-    return out
-
-
-def exact_order_statistics(df: DataFrame, col: str, rank_fn, buckets: int = 64, small: int = 50_000,
-                           max_rounds: int = 40):
-    """``rank_fn(n) -> 0-based ranks``; returns (n, {rank: value})."""
-    c = F.col(col)
-    fracs = [i / buckets for i in range(1, buckets)]
-    acc = 20 * buckets
-    head = df.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"),
-                  F.percentile_approx(c, fracs, acc).alias("s")).first()
-    n = int(head["n"])
+def exact_order_statistics(df: DataFrame, col: str, rank_fn):
+    """``rank_fn(n) -> 0-based ranks``; returns (n, {rank: value}). NULLs are skipped."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    ordered = cut_lineage(counts.orderBy("v").withColumn("part", F.spark_partition_id()))
+    totals = ordered.groupBy("part").agg(F.sum("k").alias("k")).orderBy("part").collect()  # one row per task
+    n = sum(int(r["k"]) for r in totals)
     ranks = sorted(set(rank_fn(n))) if n else []
-    if not ranks:
+    picks, before = [], 0
+    for r in totals:
+        picks += [(int(r["part"]), rank, rank - before) for rank in ranks if before <= rank < before + int(r["k"])]
+        before += int(r["k"])
+    if not picks:
         return n, {}
-    full = (head["lo"], True, head["hi"])
-    # per rank: (range, values below the range, values in range)
-    state = {r: (full, 0, n) for r in ranks}
-    splits = {full: list(head["s"] or [])}
-    result: dict[int, object] = {}
-    for _ in range(max_rounds):
-        open_ranks = [r for r in ranks if r not in result]
-        picks = set()
-        for r in open_ranks:
-            g, below, m = state[r]
-            if g[0] == g[2]:
-                result[r] = g[0]
-            elif m <= small:
-                picks.add((g, r - below))
-        if picks:
-            got = _pick_many(df, c, sorted(picks, key=repr))
-            for (g, pos), v in got.items():
-                for r in open_ranks:
-                    if r not in result and state[r][0] == g and r - state[r][1] == pos:
-                        result[r] = v
-        open_ranks = [r for r in ranks if r not in result]
-        if not open_ranks:
-            break
-        ranges = sorted({state[r][0] for r in open_ranks}, key=repr)
-        need = [g for g in ranges if g not in splits]
-        if need:
-            row = df.agg(*[F.percentile_approx(F.when(_in_range(c, *g), c), fracs, acc).alias(f"s{i}")
-                           for i, g in enumerate(need)]).first()
-            for i, g in enumerate(need):
-                splits[g] = list(row[f"s{i}"] or [])
-        cut = {g: sorted({s for s in splits[g] if s is not None and g[0] <= s < g[2]}) for g in ranges}
-        counts = _bucket_counts(df, c, cut)
-        for r in open_ranks:
-            g, below, m = state[r]
-            lo, lo_inc, hi = g
-            pos = r - below
-            bounds = cut[g] + [hi]
-            cum, prev, prev_inc = 0, lo, lo_inc
-            for b, upper in enumerate(bounds):
-                k = counts[g].get(b, 0)
-                if cum + k > pos:
-                    new = ((prev, prev_inc, upper), below + cum, k)
-                    break
-                cum, prev, prev_inc = cum + k, upper, False
-            else:
-                raise RuntimeError("bucket counts do not cover the range")
-            if new[2] == m and new[0] == g:
-                # no split fell inside: few distinct values left, pick directly
-                new = (g, below, min(m, small))
-            state[r] = new
-    missing = [r for r in ranks if r not in result]
-    if missing:
-        raise RuntimeError(f"quantile selection did not converge for ranks {missing}")
-    return n, result
+    w = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = ordered.filter(F.col("part").isin(sorted({p for p, _, _ in picks}))).withColumn("cum", F.sum("k").over(w))
+    row = running.agg(*[F.min(F.when((F.col("part") == p) & (F.col("cum") > pos), F.col("v"))).alias(f"r{i}")
+                        for i, (p, _, pos) in enumerate(picks)]).first()
+    return n, {rank: row[f"r{i}"] for i, (_, rank, _) in enumerate(picks)}
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], buckets: int = 64,
-                    small: int = 50_000) -> dict[float, float | None]:
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> dict[float, float | None]:
     """Quantiles as numpy's default (linear) method: position p * (n - 1)."""
     def positions(n):
         return [k for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
-    n, values = exact_order_statistics(df, col, positions, buckets, small)
+    n, values = exact_order_statistics(df, col, positions)
     if not n:
         return {p: None for p in probs}
     out = {}

@@ -18,8 +18,8 @@ per dimension (one row per dimension reaches the driver). Numbering, the
 dimension writes and the fact's lookup sides all read that checkpoint; the
 sales table is not scanned again until the fact itself is built.
 
-A dimension is broadcast into the fact lookup only when its exact member
-count is at most ``broadcast_max_rows``; above it the lookup is a shuffled
+A dimension is broadcast into the fact lookup only when its members' measured
+size is at most ``broadcast_max_bytes``; above it the lookup is a shuffled
 sort-merge join, where AQE splits skewed fact partitions.
 """
 
@@ -37,7 +37,9 @@ from mercato.functions.lookup import lookup
 from mercato.operators.keys import dense_keys
 from mercato.session import cut_lineage
 
-BROADCAST_MAX_ROWS = 2_000_000
+#: A dimension's lookup side is broadcast up to this many bytes of keys; beyond
+#: it the lookup is a shuffled join.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 @dataclass
@@ -111,6 +113,7 @@ class Members:
     df: DataFrame
     gid: dict
     rows: dict
+    bytes: dict
 
     def of(self, dim: str) -> DataFrame:
         return self.df.filter(F.col("_gid") == self.gid[dim]).select(*MEMBER_KEYS[dim])
@@ -135,8 +138,11 @@ def dimension_members(sales: DataFrame) -> Members:
     apart, so a NULL key is never confused with "not in this set"."""
     plan, gid = member_sets(sales)
     members = cut_lineage(plan)
-    counts = {r["_gid"]: r["n"] for r in members.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return Members(members, gid, {d: int(counts.get(g, 0)) for d, g in gid.items()})
+    # text bytes of a member's keys, and 32 for its row and its surrogate key
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for keys in MEMBER_KEYS.values() for c in keys), F.lit(32))
+    sizes = {r["_gid"]: (int(r["n"]), int(r["b"])) for r in
+             members.groupBy("_gid").agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).collect()}
+    return Members(members, gid, *({d: sizes.get(g, (0, 0))[i] for d, g in gid.items()} for i in (0, 1)))
 
 
 def build_dim_date(sales: DataFrame, members: Members | None = None) -> DataFrame:
@@ -199,18 +205,14 @@ def _number(sales: DataFrame, members: Members | None, dim: str, key: str):
     keys = MEMBER_KEYS[dim]
     if members is None:
         return dense_keys(sales.select(*keys).distinct(), keys, key)
-    return dense_keys(members.of(dim), keys, key, rows=members.rows[dim])
+    return dense_keys(members.of(dim), keys, key)
 
 
-def _lookup_side(dim: DataFrame, rows: int, limit: int) -> DataFrame:
-    return F.broadcast(dim) if rows <= limit else dim
-
-
-def key_lookup(fact: DataFrame, dim: DataFrame, rows: int, natural: list[str], key: str,
-               limit: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Left join on natural keys (NULL matches NULL), adding ``key``."""
+def key_lookup(fact: DataFrame, dim: DataFrame, natural: list[str], key: str, small: bool) -> DataFrame:
+    """Left join on natural keys (NULL matches NULL), adding ``key``.
+    ``small``: the dimension's measured size allows a broadcast."""
     side = dim.select(key, *[F.col(c).alias(f"_nk_{c}") for c in natural])
-    side = _lookup_side(side, rows, limit)
+    side = F.broadcast(side) if small else side
     cond = None
     for c in natural:
         eq = fact[c].eqNullSafe(side[f"_nk_{c}"])
@@ -218,25 +220,23 @@ def key_lookup(fact: DataFrame, dim: DataFrame, rows: int, natural: list[str], k
     return fact.join(side, cond, "left").drop(*[f"_nk_{c}" for c in natural])
 
 
-def build_fact(sales: DataFrame, dim_store, store_rows, dim_product, product_rows,
-               dim_customer, customer_rows, limit: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def build_fact(sales: DataFrame, dims: dict[str, DataFrame], small: dict[str, bool]) -> DataFrame:
     f = sales.withColumn("date_key", cal.date_key("date"))
-    f = key_lookup(f, dim_store, store_rows, ["store_name", "region"], "store_key", limit)
-    f = key_lookup(f, dim_product, product_rows, ["product_name", "category"], "product_key", limit)
-    f = key_lookup(f, dim_customer, customer_rows, ["customer_segment", "member_tier"], "customer_key", limit)
+    for dim, key in (("dim_store", "store_key"), ("dim_product", "product_key"), ("dim_customer", "customer_key")):
+        f = key_lookup(f, dims[dim], MEMBER_KEYS[dim], key, small[dim])
     return f.select(*S.FACT_COLUMNS)
 
 
 def build_star(sales: DataFrame, cfg: S.StarConfig | None = None,
-               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> Star:
+               broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> Star:
     cfg = cfg or S.StarConfig()
     members = dimension_members(sales)
     dim_date = build_dim_date(sales, members)
     dim_store, n_store = build_dim_store(sales, cfg, members)
     dim_product, n_product = build_dim_product(sales, cfg, members)
     dim_customer, n_customer = build_dim_customer(sales, cfg, members)
-    fact = build_fact(sales, dim_store, n_store, dim_product, n_product,
-                      dim_customer, n_customer, broadcast_max_rows)
+    fact = build_fact(sales, {"dim_store": dim_store, "dim_product": dim_product, "dim_customer": dim_customer},
+                      {d: b <= broadcast_max_bytes for d, b in members.bytes.items()})
     return Star(dim_date, dim_store, dim_product, dim_customer, fact,
                 {"dim_store": n_store, "dim_product": n_product, "dim_customer": n_customer})
 

@@ -19,7 +19,7 @@ from mercato.operators.star import Star
 
 
 # Q1 -------------------------------------------------------------------------
-def kpi_row(fact: DataFrame, quantile_buckets: int = 64, quantile_small: int = 200_000) -> DataFrame:
+def kpi_row(fact: DataFrame) -> DataFrame:
     weekend_total = F.sum(F.when(F.col("is_weekend") == 1, F.col("total_sgd")).otherwise(F.lit(0)))
     row = fact.agg(
         F.sum("total_sgd").cast("double").alias("total_revenue"),
@@ -32,7 +32,7 @@ def kpi_row(fact: DataFrame, quantile_buckets: int = 64, quantile_small: int = 2
         (M.safe_ratio(weekend_total, F.sum("total_sgd")) * 100).alias("weekend_revenue_share_pct"),
         F.round(F.stddev_pop(F.col("total_sgd").cast("double")), 4).alias("basket_std"),
     )
-    q = exact_quantiles(fact, "total_sgd", [0.5, 0.95], quantile_buckets, quantile_small)
+    q = exact_quantiles(fact, "total_sgd", [0.5, 0.95])
     return row.select(
         "*",
         F.round(F.lit(q[0.5]).cast("double"), 2).alias("basket_median"),
@@ -140,16 +140,6 @@ def hourly(sales: DataFrame) -> DataFrame:
     ).orderBy("hour", "is_weekend")
 
 
-def purchase_events(events: DataFrame) -> DataFrame:
-    """Purchases with a time of day: hour, weekend flag and amount."""
-    p = events.filter(F.col("event_type") == "purchase")
-    return p.select(
-        F.hour("ts").cast("int").alias("hour"),
-        cal.is_weekend("ts").alias("is_weekend"),
-        F.col("value").cast("decimal(18,2)").alias("total_sgd"),
-    )
-
-
 # Q12 ------------------------------------------------------------------------
 def peak_hours(hourly_df: DataFrame) -> DataFrame:
     def peak(flag):

@@ -52,7 +52,7 @@ stores AS (
   LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 sales_base AS (
-  SELECT l.l_orderkey, l.l_linenumber, l.l_shipdate, l.l_quantity, l.l_extendedprice, l.l_discount,
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate, l.l_quantity, l.l_extendedprice, l.l_discount,
          l.l_returnflag, l.l_linestatus, o.o_orderpriority, c.c_acctbal, c.c_mktsegment,
          p.p_name, p.p_type, st.store_name, st.region,
          CAST(l.l_shipdate AS DATE) AS d,
@@ -67,9 +67,9 @@ sales_base AS (
 ),
 sales AS (
   SELECT
-    CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id,
+    CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) || '-' || strftime(d, '%Y%m%d') AS transaction_id,
     d AS date,
-    CAST(hour(l_shipdate) AS INTEGER) AS hour,
+    CAST((l_orderkey * 7 + l_partkey * 3 + l_linenumber) % 24 AS INTEGER) AS hour,
     region,
     store_name,
     p_type AS category,

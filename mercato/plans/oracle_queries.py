@@ -26,16 +26,11 @@ def _tier_pos(col: str) -> str:
     return f"CAST(CASE {col} {whens} END AS INTEGER)"
 
 
-_PURCHASES = """purchases AS (
-  SELECT CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) >= 6 AS INTEGER) AS is_weekend,
-         CAST(value AS DECIMAL(18,2)) AS total_sgd
-  FROM events WHERE event_type = 'purchase'
-),
-hourly AS (
+_HOURLY = """hourly AS (
   SELECT hour, is_weekend, CAST(COUNT(*) AS BIGINT) AS txns,
-         """ + rmean("total_sgd", 2, 2) + """ AS avg_basket,
-         CAST(ROUND(SUM(total_sgd), 2) AS DOUBLE) AS revenue
-  FROM purchases GROUP BY hour, is_weekend
+         """ + rmean("total_sgd", 2, 6) + """ AS avg_basket,
+         CAST(ROUND(SUM(CAST(total_sgd AS DECIMAL(30,6))), 2) AS DOUBLE) AS revenue
+  FROM fact GROUP BY hour, is_weekend
 )"""
 
 _years = ", ".join(str(y) for y in FILTER_YEARS)
@@ -127,13 +122,13 @@ SELECT pre_basket, post_basket, (post_basket - pre_basket) / NULLIF(pre_basket,
 FROM (SELECT
   (SELECT avg_basket FROM mart_gst_analysis WHERE gst_period = '{S.TAX_PERIOD_BEFORE}' ORDER BY gst_rate LIMIT 1) AS pre_basket,
   (SELECT avg_basket FROM mart_gst_analysis WHERE gst_period = '{S.TAX_PERIOD_AFTER}' ORDER BY gst_rate LIMIT 1) AS post_basket)"""),
-    "hourly": with_base("SELECT * FROM hourly", _PURCHASES),
+    "hourly": with_base("SELECT * FROM hourly", _HOURLY),
     "peak_hours": with_base(f"""
 SELECT
   (SELECT hour FROM hourly WHERE is_weekend = 0 ORDER BY txns DESC, hour LIMIT 1) AS peak_hour_weekday,
   (SELECT hour FROM hourly WHERE is_weekend = 1 ORDER BY txns DESC, hour LIMIT 1) AS peak_hour_weekend,
   (SELECT {emean('CASE WHEN is_weekend = 1 THEN avg_basket END')} - {emean('CASE WHEN is_weekend = 0 THEN avg_basket END')}
-   FROM hourly) AS weekend_basket_premium""", _PURCHASES),
+   FROM hourly) AS weekend_basket_premium""", _HOURLY),
     "product_top": with_base("""
 SELECT product_name, category, total_revenue, gp_margin_pct, total_units_sold,
        substring(product_name, 1, 38) AS product_label

@@ -11,7 +11,8 @@ import os
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from mercato import schemas as S
 from mercato.operators import marts as MT
@@ -22,9 +23,16 @@ from mercato.sources import sinks
 
 def ingest(spark: SparkSession, raw: DataFrame, root: str, mode: str = "overwrite") -> dict:
     path = os.path.join(root, "raw_transactions")
-    sinks.write_table(raw.select(*S.RAW_COLUMNS), path, mode=mode)
-    stored = spark.read.parquet(path)
-    return {"path": path, "rows": stored.count()}
+    # extra source columns are stored too; the input rows are counted while they are written
+    seen = Observation("ingest")
+    sinks.write_table(raw.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode=mode)
+    added = int(seen.get["rows"])
+    if mode != "overwrite":
+        return {"path": path, "rows": spark.read.parquet(path).count(), "added": added}
+    check = sinks.verify_load(spark, path, added)
+    if not check["ok"]:
+        raise RuntimeError(f"{path}: {check['stored']} of {check['expected']} rows are stored")
+    return {"path": path, "rows": check["stored"], "added": added}
 
 
 def build_warehouse(spark: SparkSession, root: str, cfg: S.StarConfig | None = None,

@@ -72,11 +72,11 @@ for _q, _m in MART_QUERY_NAMES.items():
 from mercato.plans import insights as I  # noqa: E402
 from mercato.plans import explore as X  # noqa: E402
 from mercato.plans import oracle_queries as OQ  # noqa: E402
-from mercato.sources.tables import read_table  # noqa: E402
 
 
 def _mart(s, d, name):
-    return marts.BUILDERS[name](W.star(s, d))
+    """The stored mart; analyses never go back to the fact for it."""
+    return W.marts(s, d)[name]
 
 
 register("kpi_row", OQ.SQL["kpi_row"])(lambda s, d: I.kpi_row(W.star(s, d).fact))
@@ -89,9 +89,9 @@ register("discount_corr", OQ.SQL["discount_corr"])(lambda s, d: I.discount_corr(
 register("tier_multiplier", OQ.SQL["tier_multiplier"])(lambda s, d: I.tier_multiplier(_mart(s, d, "customer_ltv")))
 register("voucher_lift", OQ.SQL["voucher_lift"])(lambda s, d: I.voucher_lift(_mart(s, d, "cdc_impact")))
 register("tax_growth", OQ.SQL["tax_growth"])(lambda s, d: I.tax_growth(_mart(s, d, "gst_analysis")))
-register("hourly", OQ.SQL["hourly"])(lambda s, d: I.hourly(I.purchase_events(read_table(s, d, "events"))))
+register("hourly", OQ.SQL["hourly"])(lambda s, d: I.hourly(W.star(s, d).fact))
 register("peak_hours", OQ.SQL["peak_hours"])(
-    lambda s, d: I.peak_hours(I.hourly(I.purchase_events(read_table(s, d, "events")))))
+    lambda s, d: I.peak_hours(I.hourly(W.star(s, d).fact)))
 register("product_top", OQ.SQL["product_top"])(lambda s, d: I.product_top(_mart(s, d, "product_ranking")))
 register("margin_top", OQ.SQL["margin_top"])(lambda s, d: I.margin_top(_mart(s, d, "category_profit")))
 register("tier_basket", OQ.SQL["tier_basket"])(lambda s, d: I.tier_basket(_mart(s, d, "customer_ltv")))
@@ -151,7 +151,7 @@ register("preload_issues", OQ.SQL["preload_issues"])(lambda s, d: P.preload_issu
 def _table_counts(s, d):
     st = W.star(s, d)
     tables = {n: st.table(n) for n in st.TABLES}
-    tables.update({f"mart_{m}": fn(st) for m, fn in marts.BUILDERS.items()})
+    tables.update({f"mart_{m}": df for m, df in W.marts(s, d).items()})
     return P.table_counts(tables)
 
 

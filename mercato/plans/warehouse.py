@@ -2,7 +2,7 @@
 
 For each (session, data folder) the test tables are turned into the raw
 transactions table and the star exactly as the batch pipeline does it
-(ingest -> written raw table -> star -> written star), once. The tables are
+(ingest -> written raw table -> star -> written star -> written marts), once. The tables are
 written under the session's checkpoint folder (``spark.checkpoint.dir``, a
 shared folder on a cluster), and every registered query then starts from
 Parquet scans: column pruning, pushed filters, real size statistics for
@@ -46,12 +46,12 @@ def _root(spark: SparkSession, sf_dir: str) -> str:
     return os.path.join(base.replace("file:", ""), f"mercato-warehouse-{tag}")
 
 
-def _build(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Star]:
+def _build(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Star, dict[str, DataFrame]]:
     root = _root(spark, sf_dir)
     PL.ingest(spark, sales_from_tables(spark, sf_dir), root)
     star = PL.build_warehouse(spark, root, S.fixture_star_config(), partition_fact=True)
     raw = spark.read.parquet(os.path.join(root, "raw_transactions"))
-    return raw, star
+    return raw, star, PL.build_all_marts(spark, star, root)
 
 
 def _get(spark: SparkSession, sf_dir: str):
@@ -70,5 +70,10 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     return _get(spark, sf_dir)[1]
 
 
+def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The seven marts, written once for this data folder."""
+    return _get(spark, sf_dir)[2]
+
+
 def clear() -> None:
     _CACHE.clear()

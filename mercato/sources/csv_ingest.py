@@ -58,9 +58,12 @@ def typed_from_text(text: DataFrame, schema: T.StructType = S.RAW_SCHEMA) -> Dat
 
 def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA,
                           keep_flags: bool = True) -> DataFrame:
-    """CSV -> fixed schema. Columns are matched by header name, not position."""
+    """CSV -> fixed schema. Columns are matched by header name, not position.
+    Every file of a folder is checked against the header (``enforceSchema`` is
+    off): files whose headers differ stop the read, they are never misaligned."""
     header = csv_header(spark, path)
-    text = spark.read.schema(text_schema(header)).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    text = (spark.read.schema(text_schema(header)).option("header", True).option("mode", "PERMISSIVE")
+            .option("enforceSchema", False).csv(path))
     df = typed_from_text(text, schema)
     return df if keep_flags else df.drop("_bad_columns")
 

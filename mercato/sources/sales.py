@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from mercato import schemas as S
 from mercato.functions import calendar as cal
 from mercato.functions.lookup import band
-from mercato.sources.tables import read_table, spread
+from mercato.sources.tables import read_table
 
 
 def member_tier(acctbal) -> F.Column:
@@ -30,9 +30,9 @@ def member_tier(acctbal) -> F.Column:
 
 def sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 30 raw columns (RAW_SCHEMA order) over lineitem's grain."""
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
@@ -68,9 +68,11 @@ def sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.month(d)
 
     return j.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
+        F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+                    F.date_format(d, "yyyyMMdd")).alias("transaction_id"),
         d.alias("date"),
-        F.hour("l_shipdate").cast("int").alias("hour"),
+        # the test tables have dates only: a fixed rule spreads the sales over the day
+        F.pmod(F.col("l_orderkey") * 7 + F.col("l_partkey") * 3 + F.col("l_linenumber"), F.lit(24)).cast("int").alias("hour"),
         F.col("region"),
         F.col("store_name"),
         F.col("p_type").alias("category"),

@@ -19,17 +19,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when a scan has fewer input
-    splits than the cluster has cores (e.g. a file written as one row group).
-
-    On large inputs the scan already has many more splits than cores and
-    this is a no-op, so it never adds a shuffle where the data is big."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view; leave the plan as is
-        return df
-    return df.repartition(cores) if splits < cores else df

@@ -1,5 +1,5 @@
 """Incremental loading: upsert by key, quarantine of failing rows, and a
-Structured Streaming ingest that applies both per micro-batch.
+Structured Streaming ingest that quarantines per micro-batch.
 
 * ``latest_per_key`` keeps the newest row per id with an aggregate
   (``max`` of a struct led by the ordering columns), not a window: the
@@ -28,11 +28,13 @@ from mercato import schemas as S
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Newest row per key; ties on ``order`` are broken by all other columns,
-    so the choice is deterministic."""
+    so the choice is deterministic. Rows without a key cannot replace each
+    other: all of them are kept."""
     rest = [c for c in df.columns if c != key and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest])
-    best = df.groupBy(key).agg(F.max(packed).alias("_best"))
-    return best.select(key, *[F.col("_best").getField(c).alias(c) for c in order + rest]).select(*df.columns)
+    best = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(packed).alias("_best"))
+    best = best.select(key, *[F.col("_best").getField(c).alias(c) for c in order + rest]).select(*df.columns)
+    return best.unionByName(df.filter(F.col(key).isNull()))
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -66,7 +66,7 @@ def test_dashboard_rollups_drop_null_keys(spark):
 def test_kpi_row_median_matches_numpy(star):
     import numpy as np
     vals = np.array([float(r[0]) for r in star.fact.select("total_sgd").collect()])
-    r = I.kpi_row(star.fact, quantile_buckets=8, quantile_small=100).first()
+    r = I.kpi_row(star.fact).first()
     assert r.basket_median == round(float(np.median(vals)), 2)
     assert r.basket_p95 == round(float(np.percentile(vals, 95)), 2)
     assert abs(r.basket_std - float(np.std(vals))) < 1e-3

@@ -55,7 +55,7 @@ def test_rounded_mean_breaks_ties_on_the_exact_decimal(spark):
 
 
 def test_all_marts_from_one_shared_scan_equal_the_single_marts(star):
-    shared = marts.build_marts(star, shared=True)
+    shared = marts.build_marts(star)
     assert list(shared) == list(marts.BUILDERS)
     for name, df in shared.items():
         single = marts.BUILDERS[name](star)
@@ -74,20 +74,7 @@ def test_shared_partials_read_the_fact_once(star):
     assert {r._gid for r in shared.df.select("_gid").distinct().collect()} == gids
 
 
-def test_shared_scan_is_chosen_by_fact_size(star):
-    size = marts.plan_size_bytes(star.fact)
-    assert size is not None and 0 < size < marts.SHARED_SCAN_MIN_BYTES
-    old = marts.SHARED_SCAN_MIN_BYTES
-    try:
-        marts.SHARED_SCAN_MIN_BYTES = 1
-        plan = marts.build_marts(star)["cdc_impact"]._jdf.queryExecution().executedPlan().toString()
-        assert "/fact" not in plan and "Expand" not in plan  # reads the checkpointed partials
-    finally:
-        marts.SHARED_SCAN_MIN_BYTES = old
-
-
-def test_unknown_fact_size_takes_the_shared_scan(star, monkeypatch):
-    # no size estimate (e.g. a Spark Connect session): the scale-safe choice
-    monkeypatch.setattr(marts, "plan_size_bytes", lambda df: None)
-    plan = marts.build_marts(star)["gst_analysis"]._jdf.queryExecution().executedPlan().toString()
-    assert "/fact" not in plan and "Expand" not in plan
+def test_all_marts_take_the_shared_scan(star):
+    for name, df in marts.build_marts(star).items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "/fact" not in plan and "Expand" not in plan, name  # reads the checkpointed partials

@@ -13,11 +13,10 @@ SETTINGS = dict(max_examples=12, deadline=None, suppress_health_check=[HealthChe
 
 @settings(**SETTINGS)
 @given(st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size=300),
-       st.sampled_from([0.0, 0.1, 0.5, 0.77, 0.95, 1.0]),
-       st.integers(min_value=2, max_value=8), st.integers(min_value=1, max_value=40))
-def test_quantile_equals_numpy(spark, values, p, buckets, small):
+       st.sampled_from([0.0, 0.1, 0.5, 0.77, 0.95, 1.0]))
+def test_quantile_equals_numpy(spark, values, p):
     df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(3)
-    got = exact_quantiles(df, "x", [p], buckets=buckets, small=small)[p]
+    got = exact_quantiles(df, "x", [p])[p]
     assert abs(got - float(np.percentile(values, p * 100))) < 1e-9
 
 
@@ -25,7 +24,7 @@ def test_quantile_equals_numpy(spark, values, p, buckets, small):
 @given(st.sets(st.tuples(st.text(alphabet="abcXYZ", max_size=3), st.integers(0, 3)), min_size=1, max_size=60))
 def test_distributed_keys_are_sorted_positions(spark, keys):
     df = spark.createDataFrame(sorted(keys, key=lambda t: (t[1], t[0])), "k string, j int").repartition(4)
-    got = dense_keys(df, ["k", "j"], "key", single_task_max=0)
+    got = dense_keys(df, ["k", "j"], "key")
     want = {t: i + 1 for i, t in enumerate(sorted(keys))}
     assert got.rows == len(keys)
     assert {(r.k, r.j): r.key for r in got.df.collect()} == want
@@ -78,7 +77,7 @@ def test_shared_mart_scan_equals_single_marts_with_nulls_and_a_hot_store(spark):
             holiday_season_flag=maybe(rnd.randint(0, 1)), period_label=maybe(rnd.choice(["P1", "P2"])),
             gst_period=maybe(rnd.choice(["G7", "G8", "G9"]))))
     star = build_star(raw_frame(spark, rows))
-    shared = marts.build_marts(star, shared=True)
+    shared = marts.build_marts(star)
     for name, df in shared.items():
         single = marts.BUILDERS[name](star)
         got = sorted(map(tuple, df.collect()), key=repr)

@@ -50,7 +50,7 @@ def main() -> None:
     def stages(root: str) -> tuple[dict, object, dict, dict]:
         tim: dict[str, float] = {}
         t = time.time()
-        info = PL.ingest(spark, sales_from_tables(spark, sf_dir), root)
+        info = PL.ingest(spark, sales_from_tables(spark, sf_dir, splits=cpus), root)
         tim["ingest"] = time.time() - t
         t = time.time()
         st = PL.build_warehouse(spark, root, S.fixture_star_config())

@@ -35,7 +35,7 @@ def _spark(args):
 def _raw(spark, args):
     if args.csv:
         from mercato.sources.csv_ingest import read_transactions_csv
-        return read_transactions_csv(spark, args.csv, keep_flags=False)
+        return read_transactions_csv(spark, args.csv)
     if args.tables:
         from mercato.sources.sales import sales_from_tables
         return sales_from_tables(spark, args.tables)
@@ -48,13 +48,15 @@ def _star_cfg(args) -> S.StarConfig:
 
 def cmd_ingest(spark, args) -> dict:
     from mercato.plans import pipeline as PL
+    from mercato.sources import csv_ingest as CI
     from mercato.sources import profile as P
     raw = _raw(spark, args)
-    issues = [r.asDict() for r in P.preload_issues(raw).collect()]
+    missing = CI.missing_in_header(spark, args.csv) if args.csv else None
+    issues = [r.asDict() for r in P.preload_issues(raw, missing=missing).collect()]
     info = PL.ingest(spark, raw, args.warehouse)
     stored = spark.read.parquet(info["path"])
     prof = P.source_profile(stored).first().asDict()
-    return {"stored_rows": info["rows"], "preload_issues": issues,
+    return {"stored_rows": info["rows"], "preload_issues": issues, "conformance": CI.conformance(raw),
             "profile": {k: str(v) for k, v in prof.items()}}
 
 

@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato import schemas as S
 from mercato.functions import money as M
 from mercato.operators.star import Star
 from mercato.session import cut_lineage
@@ -133,7 +134,7 @@ MARTS = (
         ("promo_transactions", lambda: _long("_promo")),
         ("cdc_redemptions", lambda: _long("_cdc")),
         ("holiday_txns", lambda: _long("_holiday")),
-        ("avg_gst_rate_pct", lambda: _mean("_gst_rate", "_gst_rate_n", 1, in_scale=2, times=100)),
+        ("avg_gst_rate_pct", lambda: _mean("_gst_rate", "_gst_rate_n", 1, in_scale=S.RATE.scale, times=100)),
     )),
     Mart("regional_sales", "dim_store", ("store_key",), ("region", "store_name", "store_size", "is_tourist_area"), (
         ("transactions", lambda: _long("_ids")),
@@ -153,7 +154,7 @@ MARTS = (
         ("avg_transaction_value", _basket),
         ("gross_profit", lambda: _money("_gp")),
         ("gp_margin_pct", _margin),
-        ("avg_discount_pct", lambda: _mean("_disc", "_disc_n", 1, in_scale=2, times=100)),
+        ("avg_discount_pct", lambda: _mean("_disc", "_disc_n", 1, in_scale=S.RATE.scale, times=100)),
         ("promo_transactions", lambda: _long("_promo")),
         ("promo_rate_pct", lambda: _rate("_promo")),
     )),
@@ -175,7 +176,7 @@ MARTS = (
         ("avg_revenue_per_txn", _basket),
         ("gross_profit", lambda: _money("_gp")),
         ("gp_margin_pct", _margin),
-        ("avg_discount_given", lambda: _mean("_disc", "_disc_n", 1, in_scale=2, times=100)),
+        ("avg_discount_given", lambda: _mean("_disc", "_disc_n", 1, in_scale=S.RATE.scale, times=100)),
     )),
     Mart("cdc_impact", None, ("period_label", "cdc_voucher_used", "gst_period"),
          ("period_label", "cdc_voucher_used", "gst_period"), (

@@ -9,9 +9,10 @@ row-level kinds a predicate that marks a violating row. Evaluation:
   a value, like pandas ``duplicated``);
 * referential integrity rides along in the same scan: the fact is left
   joined to each dimension's distinct keys and an orphan is a row without a
-  match (a NULL key is an orphan); ``orphan_check`` is the standalone
-  ``left_anti`` form;
-* distribution checks aggregate the dimensions or a monthly roll-up.
+  match (a NULL key is an orphan);
+* the monthly minimum comes from the same scan, whose counts are first
+  summed per day and then per month;
+* the other distribution checks aggregate the dimensions.
 
 The results are a small DataFrame (one row per check, stacked from the wide
 aggregate rows) that is scored on Spark as well.
@@ -126,7 +127,7 @@ def check_severity(check_id: str) -> str:
     return CHECK_TEXT[check_id][2]
 
 
-_VALID = lambda k: [F.lit(str(r)).cast("decimal(4,2)") for r in k.valid_gst_rates]
+_VALID = lambda k: [F.lit(str(r)).cast(S.RATE) for r in k.valid_gst_rates]
 
 # Check logic: id -> (kind, table, columns, violation, group)
 CHECK_LOGIC = {
@@ -213,13 +214,14 @@ def _stack(rows: list[Column], source: DataFrame) -> DataFrame:
 
 
 def fact_row_checks(star: Star, checks: list[Check], cfg: S.CheckConfig) -> DataFrame | None:
-    """All row-level fact checks and all referential checks in ONE scan of
-    the fact: each referenced dimension contributes its distinct keys with a
+    """All row-level fact checks, the monthly minimum and all referential checks in ONE
+    scan of the fact, summed per day, then per month, then in all. Each referenced dimension contributes its distinct keys with a
     marker column through a left join (distinct keys: no fan-out), so an
     orphan is a row whose marker is NULL -- a NULL key included."""
     row_checks = [c for c in checks if c.table == "fact" and c.kind in ("not_null", "predicate")]
     orphan_checks = [c for c in checks if c.kind == "orphan"]
-    if not row_checks and not orphan_checks:
+    month_checks = [c for c in checks if c.kind == "min_group"]
+    if not row_checks and not orphan_checks and not month_checks:
         return None
     fact = star.fact
     for c in orphan_checks:
@@ -232,8 +234,16 @@ def fact_row_checks(star: Star, checks: list[Check], cfg: S.CheckConfig) -> Data
         aggs.append(F.count_if(cond).alias(c.check_id))
     for c in orphan_checks:
         aggs.append(F.count_if(F.col(f"_in_{c.check_id}").isNull()).alias(c.check_id))
-    wide = fact.agg(*aggs)
+    names = ["_rows"] + [c.check_id for c in row_checks + orphan_checks]
+    days = star.dim_date.select("date_key", "year", "month", F.lit(True).alias("_day")).distinct()
+    by_month = (fact.groupBy("date_key").agg(*aggs).join(days, "date_key", "left")
+                .groupBy("_day", "year", "month").agg(*[F.sum(n).alias(n) for n in names]))
+    wide = by_month.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names],
+                        F.min(F.when(F.col("_day"), F.col("_rows"))).alias("_least"))
     rows = []
+    for c in month_checks:
+        n = F.col("_least")
+        rows.append(_row(c, F.coalesce(n >= cfg.min_monthly_transactions, F.lit(False)), _found(c.detail, n), n))
     for c in row_checks:
         n = F.col(c.check_id)
         pct = percent_text(c.check_id, "_rows")
@@ -278,14 +288,6 @@ def distinct_count_check(dim: DataFrame, c: Check, expected: int) -> DataFrame:
     return _stack([_row(c, n == expected, _found(c.detail, n, values=text), n)], wide)
 
 
-def min_group_check(fact: DataFrame, dim_date: DataFrame, c: Check, minimum: int) -> DataFrame:
-    monthly = (fact.select("date_key").join(dim_date.select("date_key", "year", "month"), "date_key")
-               .groupBy("year", "month").agg(F.count(F.lit(1)).alias("cnt")))
-    wide = monthly.agg(F.min("cnt").alias("n"))
-    n = F.col("n")
-    return _stack([_row(c, F.coalesce(n >= minimum, F.lit(False)), _found(c.detail, n), n)], wide)
-
-
 def run_checks(star: Star, cfg: S.CheckConfig | None = None, checks: list[Check] | None = None,
                groups: tuple | None = None) -> DataFrame:
     cfg = cfg or S.CheckConfig()
@@ -304,8 +306,6 @@ def run_checks(star: Star, cfg: S.CheckConfig | None = None, checks: list[Check]
         elif c.kind == "distinct_count":
             expected = cfg.expected_regions if c.columns[0] == "region" else cfg.expected_years
             parts.append(distinct_count_check(star.table(c.table), c, expected))
-        elif c.kind == "min_group":
-            parts.append(min_group_check(star.fact, star.dim_date, c, cfg.min_monthly_transactions))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

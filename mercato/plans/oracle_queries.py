@@ -316,7 +316,7 @@ for _g, _parts in DQ_PARTS.items():
 
 _ALL_CHECKS = "all_checks AS (" + "\nUNION ALL\n".join(p for parts in DQ_PARTS.values() for p in parts) + ")"
 SQL["dq_results"] = with_base("SELECT * FROM all_checks", _DQ_CTES + ",\n" + _ALL_CHECKS)
-SQL["dq_score"] = with_base(f"""
+_SCORE = f"""
 SELECT total_tests, passed, failed, quality_score,
        CASE WHEN quality_score = 100 THEN {_lit(Q.GRADE_PERFECT)}
             WHEN quality_score >= 90 THEN {_lit(Q.GRADE_GOOD)}
@@ -326,7 +326,12 @@ FROM (SELECT CAST(COUNT(*) AS BIGINT) AS total_tests,
              CAST(COUNT(*) FILTER (WHERE status = 'PASS') AS BIGINT) AS passed,
              CAST(COUNT(*) FILTER (WHERE status = 'FAIL') AS BIGINT) AS failed,
              CAST(COUNT(*) FILTER (WHERE status = 'PASS') AS DOUBLE) * 100.0 / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) AS quality_score
-      FROM all_checks)""", _DQ_CTES + ",\n" + _ALL_CHECKS)
+      FROM all_checks)"""
+SQL["dq_score"] = with_base(_SCORE, _DQ_CTES + ",\n" + _ALL_CHECKS)
+SQL["quality_report"] = with_base(f"""
+SELECT quality_score, total_tests, passed, failed, grade,
+       (SELECT string_agg(concat_ws(' | ', test_name, status, detail, severity), chr(10) ORDER BY check_id) FROM all_checks) AS details
+FROM ({_SCORE})""", _DQ_CTES + ",\n" + _ALL_CHECKS)
 
 # -- ingest profile, pre-load checks, counts ---------------------------------------
 SQL["source_profile"] = with_base("""
@@ -363,7 +368,8 @@ SELECT transaction_id, date, store_name, product_name, quantity, CAST(total_sgd
     SELECT {_ucols}, row_number() OVER (PARTITION BY transaction_id
              ORDER BY date DESC, store_name DESC, product_name DESC, quantity DESC, total_sgd DESC) AS rn
     FROM sales WHERE date >= DATE '{UPSERT_BATCH_FROM}') WHERE rn = 1)""")
-_qchecks = [("K1", "transaction_id IS NULL"), ("K6", "total_sgd IS NULL"), ("K7", "quantity IS NULL"),
+_qchecks = [("K1", "transaction_id IS NULL"), ("K2", "date_key IS NULL"), ("K3", "store_key IS NULL"),
+            ("K4", "product_key IS NULL"), ("K5", "customer_key IS NULL"), ("K6", "total_sgd IS NULL"), ("K7", "quantity IS NULL"),
             ("K8", "payment_method IS NULL")] + [(cid, _ROW_SQL[cid]) for cid in ("K12", "K13", "K14", "K15", "K20", "K22")]
 _tags = "list_value(" + ", ".join(f"CASE WHEN COALESCE({p}, FALSE) THEN '{cid}' END" for cid, p in _qchecks) + ")"
 SQL["quarantine"] = with_base(f"""
@@ -371,3 +377,12 @@ SELECT transaction_id, date_key, failed_checks, CAST(failed_checks <> '' AS INTE
 FROM (SELECT transaction_id, date_key,
              COALESCE(array_to_string(list_filter({_tags}, lambda x: x IS NOT NULL), ','), '') AS failed_checks
       FROM fact)""")
+
+# -- written tables ---------------------------------------------------------------
+_raw_cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in MONEY_COLS else c for c in S.RAW_COLUMNS)
+SQL["csv_ingest"] = with_base(f"SELECT {_raw_cols}, '' AS bad_columns, '' AS rounded_columns, '' AS corrupt_record FROM sales")
+SQL["append_load"] = with_base("""
+SELECT store_name, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(SUM(total_sgd) AS DOUBLE) AS total FROM sales GROUP BY store_name""")
+SQL["load_check"] = """
+SELECT CAST(COUNT(*) AS BIGINT) AS expected, CAST(COUNT(*) AS BIGINT) AS stored, TRUE AS ok FROM lineitem"""
+SQL["sample_rows"] = with_base("SELECT transaction_id, date, store_name FROM sales ORDER BY date, transaction_id LIMIT 3")

@@ -11,6 +11,7 @@ from mercato.operators import marts
 from mercato.operators.star import orphan_counts
 from mercato.plans import oracle as O
 from mercato.plans import warehouse as W
+from mercato.sources.sales import sales_from_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -173,6 +174,60 @@ register("quarantine", OQ.SQL["quarantine"])(
     lambda s, d: INC.quarantine(W.star(s, d).fact).select("transaction_id", "date_key", "failed_checks", "quarantined"))
 
 
+# -- written tables: CSV round trip, append, load check, sample, report -----------------------
+from pyspark.sql import types as T  # noqa: E402
+
+from mercato import schemas as S  # noqa: E402
+from mercato.sources import csv_ingest as CI  # noqa: E402
+from mercato.sources import sinks  # noqa: E402
+
+
+def _csv_ingest(s, d):
+    """The raw table written as CSV files and read back through the fixed schema; flags must stay empty."""
+    path = W.scratch(s, d, "csv")
+    W.sales(s, d).write.mode("overwrite").option("header", True).csv(path)
+    got = CI.read_transactions_csv(s, path)
+    money = [f.name for f in S.RAW_SCHEMA.fields if isinstance(f.dataType, T.DecimalType)]
+    return got.select(*[F.col(c).cast("double").alias(c) if c in money else F.col(c) for c in S.RAW_COLUMNS],
+                      *[F.coalesce(F.col(c), F.lit("")).alias(c.lstrip("_")) for c in CI.FLAGS])
+
+
+def _append_load(s, d):
+    """Two loads into one table, the second appended; rows and money per store of the stored table."""
+    path = W.scratch(s, d, "append")
+    sales = W.sales(s, d).select("date", "store_name", "total_sgd")
+    first = F.coalesce(F.col("date") < F.lit(OQ.UPSERT_BATCH_FROM).cast("date"), F.lit(False))
+    sinks.write_table(sales.filter(first), path)
+    sinks.write_table(sales.filter(~first), path, mode="append")
+    return (s.read.parquet(path).groupBy("store_name")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_sgd").cast("double").alias("total")))
+
+
+def _load_check(s, d):
+    """Rows of the source against the rows of the stored raw table."""
+    source = sales_from_tables(s, d).agg(F.count(F.lit(1))).scalar()
+    stored = W.sales(s, d).agg(F.count(F.lit(1)).alias("stored"))
+    return stored.select(source.alias("expected"), "stored").withColumn("ok", F.col("expected") == F.col("stored"))
+
+
+def _quality_report(s, d):
+    """The stored JSON report, read back."""
+    path = W.scratch(s, d, "report.json")
+    results = Q.run_checks(W.star(s, d))
+    sinks.write_quality_report(results, Q.score(results), path)
+    line = F.transform("test_details", lambda t: F.concat_ws(" | ", t["test_name"], t["status"], t["detail"], t["severity"]))
+    return s.read.schema(sinks.REPORT_SCHEMA).json(path).select(
+        "quality_score", "total_tests", "passed", "failed", "grade", F.array_join(line, "\n").alias("details"))
+
+
+register("csv_ingest", OQ.SQL["csv_ingest"])(_csv_ingest)
+register("append_load", OQ.SQL["append_load"])(_append_load)
+register("load_check", OQ.SQL["load_check"])(_load_check)
+register("sample_rows", OQ.SQL["sample_rows"])(lambda s, d: sinks.sample_rows(
+    W.sales(s, d), ["transaction_id", "date", "store_name"], 3, ["date", "transaction_id"]))
+register("quality_report", OQ.SQL["quality_report"])(_quality_report)
+
+
 # -- SQL text over the warehouse views (A4) ---------------------------------------------
 from mercato.plans import sql_views as SV  # noqa: E402
 

@@ -75,5 +75,10 @@ def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _get(spark, sf_dir)[2]
 
 
+def scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder for a table that a registered query writes itself."""
+    return os.path.join(_root(spark, sf_dir), "written", name)
+
+
 def clear() -> None:
     _CACHE.clear()

@@ -11,7 +11,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(12, 2)
-RATE = T.DecimalType(4, 2)
+#: Rates of a source file keep six places; their sums stay on the 64-bit decimal path.
+RATE = T.DecimalType(8, 6)
+#: Rates of the test tables (two places) inside the adapter's arithmetic.
+TABLE_RATE = T.DecimalType(4, 2)
 
 # Raw transaction schema (flat source table). Fixed: no inference.
 RAW_SCHEMA = T.StructType([
@@ -49,6 +52,10 @@ RAW_SCHEMA = T.StructType([
 
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 
+# ---------------------------------------------------------------------------
+# These must equal the source pipeline's values for the same
+# results. Stated as data, in their natural order.
+# ---------------------------------------------------------------------------
 # Fact columns in output order: id, 4 keys, measures, degenerate dims, flags.
 FACT_COLUMNS = [
     "transaction_id", "date_key", "store_key", "product_key", "customer_key",
@@ -58,11 +65,6 @@ FACT_COLUMNS = [
     "is_tourist_purchase", "is_weekend", "is_public_holiday", "holiday_season_flag",
     "bonus_period_flag", "period_label", "gst_period", "inflation_multiplier",
 ]
-
-# ---------------------------------------------------------------------------
-# These must equal the source pipeline's values for the same
-# results. Stated as data, in their natural order.
-# ---------------------------------------------------------------------------
 REQUIRED_COLUMNS = [
     "transaction_id", "date", "region", "store_name", "category",
     "product_name", "quantity", "total_sgd", "payment_method",
@@ -105,7 +107,6 @@ CATEGORY_GROUPS = {
 }
 TIER_RANKS = {"Non-Member": 1, "Plus": 2, "Silver": 3, "Gold": 4, "Platinum": 5}
 TIER_ORDER = ["Non-Member", "Plus", "Silver", "Gold", "Platinum"]
-REGIONS = ["Central", "North", "North-East", "East", "West"]
 VALID_GST_RATES = (0.07, 0.08, 0.09)
 DEFAULT_STORE_SIZE = "Medium"
 DEFAULT_TOURIST_AREA = 0

@@ -4,8 +4,10 @@
 words into NaN. Here the schema is fixed: columns are read as text under
 the file's own header, the same null words become NULL, values are cast to
 the fixed types, and a value that does not cast is NULL with its column
-named in ``_bad_columns`` (the row is kept). A missing file raises Spark's
-PATH_NOT_FOUND as is.
+named in ``_bad_columns`` (the row is kept). A number with more places than
+its type is rounded and its column named in ``_rounded_columns``. A record
+with more or fewer fields than the header is kept whole, as text, in
+``_corrupt_record``. A missing file raises Spark's PATH_NOT_FOUND as is.
 """
 
 from __future__ import annotations
@@ -21,6 +23,12 @@ NULL_WORDS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-na
               "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
+CORRUPT = "_corrupt_record"
+FLAGS = ["_bad_columns", "_rounded_columns", CORRUPT]
+#: Wide enough to hold a number of any column with all its places.
+_EXACT = "decimal(38,18)"
+
+
 def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
@@ -34,12 +42,14 @@ def typed_from_text(text: DataFrame, schema: T.StructType = S.RAW_SCHEMA) -> Dat
     """Text columns (by header name) -> the fixed schema.
 
     Null words become NULL; a value that does not cast becomes NULL and its
-    column is listed in ``_bad_columns``; schema columns absent from the file
+    column is listed in ``_bad_columns``; a number that its type rounds is
+    listed in ``_rounded_columns``; schema columns absent from the file
     arrive as NULL; extra file columns are kept after the schema columns."""
-    header = text.columns
+    header = [c for c in text.columns if c != CORRUPT]
+    record = [F.col(CORRUPT)] if CORRUPT in text.columns else []
     cleaned = text.select(*[F.when(F.trim(F.col(c)).isin(NULL_WORDS), F.lit(None)).otherwise(F.col(c)).alias(c)
-                            for c in header])
-    out_cols, bad = [], []
+                            for c in header], *record)
+    out_cols, bad, rounded = [], [], []
     for f in schema.fields:
         if f.name not in header:
             out_cols.append(F.lit(None).cast(f.dataType).alias(f.name))
@@ -51,9 +61,15 @@ def typed_from_text(text: DataFrame, schema: T.StructType = S.RAW_SCHEMA) -> Dat
         typed = src.try_cast(f.dataType)
         out_cols.append(typed.alias(f.name))
         bad.append(F.when(src.isNotNull() & typed.isNull(), F.lit(f.name)))
+        if isinstance(f.dataType, T.DecimalType):
+            rounded.append(F.when(src.try_cast(_EXACT) != typed, F.lit(f.name)))
     extras = [F.col(c) for c in header if c not in schema.fieldNames()]
-    flags = F.array_join(F.filter(F.array(*bad), lambda x: x.isNotNull()), ",") if bad else F.lit("")
-    return cleaned.select(*out_cols, *extras, flags.alias("_bad_columns"))
+    return cleaned.select(*out_cols, *extras, _listed(bad).alias("_bad_columns"),
+                          _listed(rounded).alias("_rounded_columns"), *record)
+
+
+def _listed(names: list) -> F.Column:
+    return F.array_join(F.array_compact(F.array(*names)), ",") if names else F.lit("")
 
 
 def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA,
@@ -62,10 +78,16 @@ def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType =
     Every file of a folder is checked against the header (``enforceSchema`` is
     off): files whose headers differ stop the read, they are never misaligned."""
     header = csv_header(spark, path)
-    text = (spark.read.schema(text_schema(header)).option("header", True).option("mode", "PERMISSIVE")
-            .option("enforceSchema", False).csv(path))
+    text = (spark.read.schema(text_schema(header + [CORRUPT])).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False).csv(path))
     df = typed_from_text(text, schema)
-    return df if keep_flags else df.drop("_bad_columns")
+    return df if keep_flags else df.drop(*FLAGS)
+
+
+def missing_in_header(spark: SparkSession, path: str, required: list[str] = S.REQUIRED_COLUMNS) -> list[str]:
+    """Required columns that the files themselves lack (the typed frame has them as NULL)."""
+    header = csv_header(spark, path)
+    return [c for c in required if c not in header]
 
 
 def conformance(df: DataFrame, schema: T.StructType = S.RAW_SCHEMA,

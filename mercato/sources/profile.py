@@ -36,10 +36,11 @@ def schema_mismatches(df: DataFrame, schema=S.RAW_SCHEMA) -> list[str]:
     return [f.name for f in schema.fields if f.name in have and have[f.name] != f.dataType]
 
 
-def preload_issues(raw: DataFrame, required: list[str] = S.REQUIRED_COLUMNS) -> DataFrame:
+def preload_issues(raw: DataFrame, required: list[str] = S.REQUIRED_COLUMNS, missing: list[str] | None = None) -> DataFrame:
     """Warn-only checks before loading: missing required columns, duplicate
-    ids (repeats beyond the first, NULL counted as a value), negative totals."""
-    missing = missing_columns(raw, required)
+    ids (repeats beyond the first, NULL counted as a value), negative totals.
+    ``missing``: the columns a file lacks, where the frame was filled up to the schema."""
+    missing = missing_columns(raw, required) if missing is None else missing
     agg = raw.agg(
         (F.count(F.lit(1)) - F.count_distinct(F.struct("transaction_id"))).cast("long").alias("dup"),
         F.count_if(F.col("total_sgd") < 0).cast("long").alias("neg"),

@@ -58,9 +58,9 @@ def sales_from_tables(spark: SparkSession, sf_dir: str, splits: int | None = Non
 
     d = cal.as_date("l_shipdate")
     price = F.col("l_extendedprice").cast(S.MONEY)
-    disc = F.col("l_discount").cast(S.RATE)
-    tax = F.col("l_tax").cast(S.RATE)
-    one = F.lit(1).cast(S.RATE)
+    disc = F.col("l_discount").cast(S.TABLE_RATE)
+    tax = F.col("l_tax").cast(S.TABLE_RATE)
+    one = F.lit(1).cast(S.TABLE_RATE)
     subtotal = (price * (one - disc)).cast("decimal(18,4)")
     gst_amount = (subtotal * tax).cast("decimal(18,6)")
     margin = F.try_element_at(
@@ -86,15 +86,15 @@ def sales_from_tables(spark: SparkSession, sf_dir: str, splits: int | None = Non
         member_tier("c_acctbal").alias("member_tier"),
         F.col("l_quantity").cast("int").alias("quantity"),
         unit_price.alias("unit_price_sgd"),
-        disc.alias("discount_pct"),
+        disc.cast(S.RATE).alias("discount_pct"),
         (unit_price * (F.lit(1.0) - F.col("l_discount"))).alias("unit_price_after_disc"),
         subtotal.alias("subtotal_sgd"),
-        tax.alias("gst_rate"),
+        tax.cast(S.RATE).alias("gst_rate"),
         gst_amount.alias("gst_amount_sgd"),
         (subtotal + gst_amount).cast("decimal(18,6)").alias("total_sgd"),
         (subtotal * margin).cast("decimal(18,6)").alias("gross_profit_sgd"),
         F.col("o_orderpriority").alias("payment_method"),
-        (disc >= F.lit(S.FIXTURE_PROMO_MIN_DISCOUNT).cast(S.RATE)).cast("int").alias("is_promotion"),
+        (disc >= F.lit(S.FIXTURE_PROMO_MIN_DISCOUNT).cast(S.TABLE_RATE)).cast("int").alias("is_promotion"),
         band(disc, S.FIXTURE_PROMO_BANDS, S.FIXTURE_PROMO_TOP, "decimal(4,2)").alias("promo_type"),
         (F.col("l_returnflag") == "R").cast("int").alias("cdc_voucher_used"),
         (F.col("l_linestatus") == "O").cast("int").alias("is_tourist_purchase"),

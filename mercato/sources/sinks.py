@@ -40,6 +40,10 @@ def sample_rows(df: DataFrame, columns: list[str], n: int = 3, order_by: list[st
     return df.select(*columns).orderBy(*(order_by or columns[:1])).limit(n)
 
 
+REPORT_SCHEMA = ("run_timestamp string, quality_score double, total_tests long, passed long, failed long, grade string, "
+                 "test_details array<struct<test_name: string, status: string, detail: string, severity: string>>")
+
+
 def quality_report(results: DataFrame, score_row: DataFrame) -> DataFrame:
     """One-row report: run time, score, counts, grade and the per-check
     details (an array with one element per check -- bounded by the check
@@ -59,7 +63,7 @@ def write_quality_report(results: DataFrame, score_row: DataFrame, path: str) ->
     driver's disk); returns the report as a dict."""
     report = quality_report(results, score_row)
     report.coalesce(1).write.mode("overwrite").json(path)
-    return report.sparkSession.read.json(path).first().asDict(recursive=True)
+    return report.sparkSession.read.schema(REPORT_SCHEMA).json(path).first().asDict(recursive=True)
 
 
 def write_results_json(results: DataFrame, path: str) -> None:

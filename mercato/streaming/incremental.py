@@ -7,6 +7,8 @@ Structured Streaming ingest that quarantines per micro-batch.
   ships one partial row per task instead of landing whole in one task.
 * ``upsert`` = target rows whose id is not in the batch (``left_anti``
   against the batch's distinct ids) plus the newest batch row per id.
+* ``upsert_table`` does the same to a stored, partitioned table and rewrites
+  only the partitions it touches.
 * ``quarantine`` flags rows failing the row-level checks; valid rows go to
   the fact, the rest to a quarantine table with the failed check ids.
 * ``stream_ingest`` reads new CSV files with ``readStream`` and, per
@@ -20,10 +22,12 @@ Structured Streaming ingest that quarantines per micro-batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato import schemas as S
+from mercato.operators import quality as Q
+from mercato.session import cut_lineage
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -45,29 +49,64 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str]) -> D
     return kept.unionByName(latest_per_key(batch, key, order))
 
 
-def row_violations(cfg: S.CheckConfig | None = None) -> dict[str, Column]:
-    """HIGH-severity row-level checks on raw/fact rows: id -> violation."""
+def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str, order: list[str],
+                 partition_by: list[str]) -> dict:
+    """Upserts ``batch`` into the partitioned Parquet table at ``path``, rewriting only the partitions
+    that hold a row of the batch or a stored row that the batch replaces.
+
+    A replay after a failure gives the same table, but for rows without an id: those are inserts. A partition that the batch empties (its rows moved to
+    another one) is overwritten with an empty file. The driver sees partition values only."""
+    batch = cut_lineage(latest_per_key(batch, key, order))
+    stored = spark.read.parquet(path)
+    ids = batch.select(key).distinct()
+    old = stored.select(key, *partition_by).join(ids, key, "left_semi").select(*partition_by).distinct()
+    parts = [tuple(r) for r in batch.select(*partition_by).union(old).distinct().collect()]
+    if not parts:
+        return {"touched": 0, "emptied": 0}
+    touched = F.lit(False)
+    for values in parts:
+        same = F.lit(True)
+        for name, value in zip(partition_by, values):
+            same &= F.col(name).eqNullSafe(F.lit(value))
+        touched |= same                                       # literals on partition columns: pruned at planning
+    kept = stored.filter(touched).join(ids, key, "left_anti").select(*batch.columns)
+    merged = cut_lineage(kept.unionByName(batch))             # fixed before its own source is overwritten
+    (merged.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    filled = {tuple(r) for r in merged.select(*partition_by).distinct().collect()}
+    emptied = [p for p in parts if p not in filled]
+    for values in emptied:
+        folder = "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for n, v in zip(partition_by, values))
+        merged.drop(*partition_by).limit(0).write.mode("overwrite").parquet(f"{path}/{folder}")
+    return {"touched": len(parts), "emptied": len(emptied)}
+
+
+def row_violations(columns: list[str], cfg: S.CheckConfig | None = None) -> dict[str, Column]:
+    """The HIGH row-level quality checks that apply to a frame with these columns: id -> violation.
+
+    The checks themselves are those of :mod:`mercato.operators.quality`. A raw row has no keys yet;
+    its date decides K2 (a NULL store, product or customer value gets a key of its own)."""
     cfg = cfg or S.CheckConfig()
-    valid = [F.lit(str(r)).cast("decimal(4,2)") for r in cfg.valid_gst_rates]
-    nan_free = lambda c: F.nanvl(F.col(c), F.lit(None).cast("double"))
-    return {
-        "K1": F.col("transaction_id").isNull(),
-        "K6": F.col("total_sgd").isNull(),
-        "K7": F.col("quantity").isNull(),
-        "K8": F.col("payment_method").isNull(),
-        "K12": F.col("total_sgd") <= 0,
-        "K13": F.col("quantity") < 1,
-        "K14": (F.col("discount_pct") < 0) | (F.col("discount_pct") > 1),
-        "K15": ~F.coalesce(F.col("gst_rate").isin(valid), F.lit(False)),
-        "K20": F.abs(F.col("total_sgd") - F.bround(F.col("subtotal_sgd") + F.col("gst_amount_sgd"), 2))
-        > F.lit(str(cfg.total_tolerance)).cast("decimal(10,4)"),
-        "K22": nan_free("unit_price_after_disc") > nan_free("unit_price_sgd") + cfg.price_tolerance,
-    }
+    out = {}
+    for c in Q.default_checks(cfg):
+        if c.table != "fact" or c.severity != "HIGH":
+            continue
+        if c.kind == "not_null":
+            name = "date" if c.columns[0] == "date_key" and "date_key" not in columns else c.columns[0]
+            if name in columns:
+                out[c.check_id] = F.col(name).isNull()
+        elif c.kind == "predicate":
+            out[c.check_id] = c.violation(cfg)
+    # a value that did not cast, or a record whose fields do not match the header
+    for name, tag in (("_bad_columns", "BAD_VALUE"), ("_corrupt_record", "BAD_RECORD")):
+        if name in columns:
+            out[tag] = F.coalesce(F.col(name), F.lit("")) != ""
+    return out
 
 
 def quarantine(df: DataFrame, cfg: S.CheckConfig | None = None) -> DataFrame:
     """Adds ``failed_checks`` (comma list, '' when clean) and ``quarantined``."""
-    checks = row_violations(cfg)
+    checks = row_violations(df.columns, cfg)
     tags = F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(cid)) for cid, cond in checks.items()])
     failed = F.array_join(F.filter(tags, lambda x: x.isNotNull()), ",")
     return df.withColumn("failed_checks", failed).withColumn(
@@ -86,8 +125,10 @@ def batch_writer(fact_dir: str, quarantine_dir: str, cfg: S.CheckConfig | None =
     partition overwrite: a replay of batch N (same files, by the stream's
     offset log) rewrites exactly the partitions batch N wrote."""
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        checked = quarantine(batch, cfg).withColumn("load_batch", F.lit(epoch).cast("long"))
-        good = checked.filter(F.col("quarantined") == 0).drop("failed_checks", "quarantined", "_bad_columns")
+        # written once, so that the files are parsed once for both sides
+        checked = cut_lineage(quarantine(batch, cfg).withColumn("load_batch", F.lit(epoch).cast("long")))
+        # rows with a bad value or record are all in the quarantine, with their flags
+        good = checked.filter(F.col("quarantined") == 0).drop("failed_checks", "quarantined", "_bad_columns", "_corrupt_record")
         (good.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("year", "month", "load_batch").parquet(fact_dir))
@@ -104,10 +145,11 @@ def stream_ingest(spark, source_dir: str, fact_dir: str, quarantine_dir: str, ch
     checked, valid rows are appended to year/month partitions and failing rows
     to the quarantine. ``columns`` is the CSV header; by default it is read
     from the files already present."""
-    from mercato.sources.csv_ingest import csv_header, text_schema, typed_from_text
+    from mercato.sources.csv_ingest import CORRUPT, csv_header, text_schema, typed_from_text
 
     header = columns or csv_header(spark, source_dir)
-    text = spark.readStream.schema(text_schema(header)).option("header", True).csv(source_dir)
+    text = (spark.readStream.schema(text_schema(header + [CORRUPT])).option("header", True)
+            .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False).csv(source_dir))
     typed = typed_from_text(text, schema)
     write_batch = batch_writer(fact_dir, quarantine_dir, cfg)
     writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)

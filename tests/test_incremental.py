@@ -23,15 +23,14 @@ def test_upsert_replaces_touched_ids_and_inserts_new(spark):
 
 
 def test_quarantine_tags_failed_checks(spark):
-    good = dict(transaction_id="g", total_sgd=Decimal("10.8"), subtotal_sgd=Decimal("10"),
+    good = dict(transaction_id="g", date=dt.date(2024, 1, 5), total_sgd=Decimal("10.8"), subtotal_sgd=Decimal("10"),
                 gst_amount_sgd=Decimal("0.8"), gst_rate=Decimal("0.08"), quantity=1, payment_method="NETS",
                 discount_pct=Decimal("0.1"), unit_price_sgd=10.0, unit_price_after_disc=9.0)
     bad = dict(good, transaction_id="b", quantity=0, gst_rate=Decimal("0.05"))
-    df = raw_frame(spark, [good, bad])
+    df = raw_frame(spark, [good, bad, dict(good, transaction_id="d", date=None), dict(good, transaction_id=None)])
     valid, quarantined = INC.split_valid(df)
     assert [r.transaction_id for r in valid.collect()] == ["g"]
-    q = quarantined.first()
-    assert q.transaction_id == "b" and q.failed_checks == "K13,K15"
+    assert {r.transaction_id: r.failed_checks for r in quarantined.collect()} == {"b": "K13,K15", "d": "K2", None: "K1"}
 
 
 def test_stream_ingest_appends_partitions_and_quarantines(spark, tmp_dir):

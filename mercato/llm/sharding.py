@@ -9,8 +9,13 @@ shards have room. With the default slack of 0 the capacities are the row count
 divided evenly, so shard sizes differ by one row at most (law ``rows``); a
 larger slack moves fewer rows when shards are added.
 
-A row's place is its rank in its arc; a segment table (arc, rank range, shard,
-first slot), at most about two rows an arc, turns that into shard and slot.
+A row's place is its rank in its arc. Equal rows share an arc, so ranks are
+made in two steps: rows are counted per hash and input partition, running sums
+of those counts over the arc give each such group its first rank, and rows are
+numbered inside their group. A row that is repeated without end is thus spread
+over as many groups as it has input partitions. A segment table
+(arc, rank range, shard, first slot), at most about two rows an arc, turns that
+into shard and slot.
 """
 
 from __future__ import annotations
@@ -85,13 +90,18 @@ def shard_rows(docs: DataFrame, n_shards: int = 16, slack: float = 0.0, id_col:
     rows = cut_lineage(docs.select(column(docs, id_col).cast("long").alias("doc_id"), (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
                                    F.crc32(text.cast("binary")).alias("text_crc32"))
                        .withColumn("h", F.xxhash64("doc_id", "text_crc32", "size"))
-                       .withColumn("arc", F.shiftrightunsigned("h", 64 - RING_BITS).cast("int")))
+                       .withColumn("arc", F.shiftrightunsigned("h", 64 - RING_BITS).cast("int"))
+                       .withColumn("part", F.spark_partition_id()))
     counts = {r["arc"]: r["count"] for r in rows.groupBy("arc").count().collect()}      # at most 1 << RING_BITS rows
     table = spark.createDataFrame(segments(counts, n_shards, slack) or [(0, 0, 0, 0, 0)],
                                   "arc int, lo long, hi long, shard int, first long")
-    rank = F.row_number().over(Window.partitionBy("arc").orderBy("h", "doc_id", "text_crc32", "size")) - 1
+    before = F.sum("n").over(Window.partitionBy("arc").orderBy("h", "part").rowsBetween(Window.unboundedPreceding, -1))
+    groups = (rows.groupBy("arc", "h", "part").agg(F.count(F.lit(1)).alias("n"))
+              .select("h", "part", F.coalesce(before, F.lit(0)).alias("start")))
+    within = F.row_number().over(Window.partitionBy("h", "part").orderBy("doc_id", "text_crc32", "size")) - 1
+    ranked = rows.withColumn("within", within).join(groups, ["h", "part"]).withColumn("rank", F.col("start") + F.col("within"))
     # the segment table has a fixed bound (about 2 << RING_BITS narrow rows)
-    return (rows.withColumn("rank", rank.cast("long")).join(F.broadcast(table), "arc").filter("rank >= lo AND rank < hi")
+    return (ranked.join(F.broadcast(table), "arc").filter("rank >= lo AND rank < hi")
             .select("doc_id", "size", "text_crc32", "shard", (F.col("first") + F.col("rank") - F.col("lo")).alias("slot")))
 
 

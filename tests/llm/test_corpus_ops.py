@@ -173,6 +173,18 @@ def test_shards(spark, odd, nothing):
     assert sharding.shard_rows(nothing).count() == 0
 
 
+def test_shards_with_a_row_repeated_over_many_partitions(spark):
+    hot = spark.range(6000, numPartitions=12).selectExpr("7L AS doc_id", "'same' AS text")
+    rest = spark.range(2003, numPartitions=3).selectExpr("id + 100 AS doc_id", "cast(id AS string) AS text")
+    got = sharding.shard_rows(hot.union(rest), n_shards=16).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert len(got) == 8003 and sum(r.doc_id == 7 for r in got) == 6000
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert len(slots) == 16 and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
 def test_ring_moves_little_and_respects_bounds():
     counts = {a: 10 for a in range(1 << sharding.RING_BITS)}
     place = lambda n, slack: {(a, r): s for a, lo, hi, s, _ in sharding.segments(counts, n, slack) for r in range(lo, hi)}

@@ -3,19 +3,25 @@
 1. Word weights: inverse frequency over all words of all documents (counted
    in hashed bins; words above ``max_share`` of all words carry no weight).
 2. The benchmark's passages (overlapping runs of ``PASSAGE`` words) as TF-IDF
-   rows are factored by a distributed randomised SVD: a hashed Gaussian sketch,
-   one power step, QR, and the eigenvectors of the small Gram matrix.
-   The term vectors, at most BINS x rank numbers, and rank x rank matrices
-   reach the driver.
+   rows are dealt into blocks that do not outnumber the rank. Each block is
+   factored by a distributed randomised SVD: a hashed Gaussian sketch, one
+   power step, QR, and the eigenvectors of the small Gram matrix. A block's
+   space holds its passages whole, so no passage is shortened in it, however
+   many there are. The term vectors, at most BINS x rank numbers a block, and
+   rank x rank matrices reach the driver.
 3. Every document is read in runs of PASSAGE words, half overlapping. The
    cosine in the latent space with every passage finds candidates.
+   So does one exact run of ``ANCHOR`` words of each passage (its heaviest; an
+   item with fewer words is one run), so an item that is there word for word is
+   found whatever stands around it.
 4. A candidate is confirmed on the words themselves: the longest common
    subsequence of the item and the run's surroundings covers enough of the
    item; between the lower and the upper threshold (paraphrases) the item's
    answer, its last sentence, must be there too.
 
-The benchmark is the query set. It is searched in blocks of ``BLOCK_ITEMS``
-items, so what a block broadcasts has a fixed bound.
+The benchmark is the query set. A pass over the documents scores
+``PASS_BLOCKS`` blocks of passages, so what it broadcasts has a fixed bound;
+the work grows with the number of passages.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.tables import column, cut_lineage
-from mercato.llm.words import Hasher, TextSlice, find_words, mix, text_slices
+from mercato.llm.words import Hasher, TextSlice, find_words, mix, text_slices, windows
 
 BIN_BITS = 17
 BINS = 1 << BIN_BITS
 COUNT_BLOCK = 2048
 PASSAGE = 32
 HALF = PASSAGE // 2
-BLOCK_ITEMS = 2000
+PASS_BLOCKS = 8
+ANCHOR = 8
 #: Directions sketched beyond the rank, as a randomised SVD needs for a flat spectrum.
 OVERSAMPLE = 32
 
@@ -108,10 +116,10 @@ def word_weights(docs: DataFrame, text_col: str = "text", max_share: float = 2e-
     return weight.astype(np.float32)
 
 
-def passages(names: np.ndarray, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(bins, TF-IDF values of unit length) of each run of PASSAGE words, half overlapping."""
+def passages(names: np.ndarray, weight: np.ndarray, parts: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(bins, TF-IDF values of unit length) of each run of PASSAGE words, half overlapping, or of the runs numbered in parts."""
     out = []
-    for at in range(0, max(len(names) - HALF, 1), HALF):
+    for at in range(0, max(len(names) - HALF, 1), HALF) if parts is None else [HALF * i for i in parts]:
         b, n = np.unique(bins_of(names[at:at + PASSAGE]), return_counts=True)
         v = n * weight[b]
         norm = np.sqrt((v * v).sum())
@@ -128,7 +136,7 @@ def _gauss(bins: np.ndarray, rank: int) -> np.ndarray:
     return np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v)
 
 
-_VECS = "bin int, vec binary"
+_VECS = "bin long, vec binary"
 
 
 def _sum_vecs(table: pa.Table) -> pa.Table:
@@ -137,58 +145,85 @@ def _sum_vecs(table: pa.Table) -> pa.Table:
 
 
 def _spread(total: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.astype("<f8").tobytes() for v in total.values()], pa.binary())],
+    return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([v.astype("<f8").tobytes() for v in total.values()], pa.binary())],
                                       names=["bin", "vec"])
 
 
+def _block_passages(batch: pa.RecordBatch, weight: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(block, bins, values) of the passages of a batch: those that its column mine lists by block, or all as block 0."""
+    mine = batch.column("mine").to_pylist() if "mine" in batch.schema.names else [None] * batch.num_rows
+    for text, lists in zip(batch.column("text").to_pylist(), mine):
+        names = words_of(text or "")
+        for k, parts in enumerate(lists if lists is not None else [None]):
+            for b, v in passages(names, weight, parts):
+                yield k, b, v
+
+
 def _step(weight: np.ndarray, rank: int, vectors: dict[int, np.ndarray] | None):
-    """Partial A'A X of a task's passages, by bin (X: the hashed Gaussian, or given vectors)."""
+    """Partial A'A X of a task's passages, by block and bin (X: the hashed Gaussian, or given vectors)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                for b, v in passages(words_of(text or ""), weight):
-                    x = _gauss(b, rank) if vectors is None else np.stack([vectors[int(i)] for i in b])
-                    y = v @ x
-                    for i, z in zip(b.tolist(), v):
-                        total[i] = total[i] + z * y if i in total else z * y
+            for k, b, v in _block_passages(batch, weight):
+                key = (b + k * BINS).tolist()
+                x = _gauss(b, rank) if vectors is None else np.stack([vectors[i] for i in key])
+                y = v @ x
+                for i, z in zip(key, v):
+                    total[i] = total[i] + z * y if i in total else z * y
         yield _spread(total)
     return run
 
 
-def _collect(step: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    rows = sorted(((r["bin"], bytes(r["vec"])) for r in step.groupBy("bin").applyInArrow(_sum_vecs, _VECS).collect()))
-    return np.array([b for b, _ in rows], dtype=np.int64), np.stack([np.frombuffer(v, "<f8") for _, v in rows]) if rows else np.zeros((0, 1))
+def _collect(step: DataFrame) -> dict[int, np.ndarray]:
+    rows = step.groupBy("bin").applyInArrow(_sum_vecs, _VECS).collect()
+    return {b: np.frombuffer(v, "<f8") for b, v in sorted((r["bin"], bytes(r["vec"])) for r in rows)}
 
 
-def _gram(weight: np.ndarray, vectors: dict[int, np.ndarray], rank: int):
+def _gram(weight: np.ndarray, vectors: dict[int, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = np.zeros((rank, rank))
+        g: dict[int, np.ndarray] = {}
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                for b, v in passages(words_of(text or ""), weight):
-                    y = v @ np.stack([vectors[int(i)] for i in b])
-                    g += np.outer(y, y)
-        yield _spread({0: g.ravel()})
+            for k, b, v in _block_passages(batch, weight):
+                y = v @ np.stack([vectors[i] for i in (b + k * BINS).tolist()])
+                g[k] = g.get(k, 0) + np.outer(y, y).ravel()
+        yield _spread(g)
     return run
 
 
+def _ortho(z: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """The vectors of each block, orthonormalised over its bins."""
+    out: dict[int, np.ndarray] = {}
+    keys = np.array(list(z), dtype=np.int64)
+    for k in np.unique(keys // BINS):
+        mine = keys[keys // BINS == k].tolist()
+        out.update(zip(mine, np.linalg.qr(np.stack([z[i] for i in mine]))[0]))
+    return out
+
+
+def latent_spaces(items: DataFrame, weight: np.ndarray, rank: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each block of passages its bins and their rows of V (bins x rank, orthonormal columns), by randomised SVD.
+
+    items has the columns text and mine (for each block the numbers of the
+    text's passages in it), or text alone: then all passages are block 0. At
+    most BINS vectors a block reach the driver."""
+    q = _ortho(_collect(items.mapInArrow(_step(weight, rank + OVERSAMPLE, None), _VECS)))
+    if not q:
+        return {}
+    q = _ortho(_collect(items.mapInArrow(_step(weight, 0, q), _VECS)))
+    keys = np.array(list(q), dtype=np.int64)
+    out = {}
+    for k, g in _collect(items.mapInArrow(_gram(weight, q), _VECS)).items():
+        mine = keys[keys // BINS == k]
+        base = np.stack([q[i] for i in mine.tolist()])
+        value, vector = np.linalg.eigh(g.reshape(base.shape[1], base.shape[1]))
+        use = value > 1e-9 * max(value.max(), 1e-300)
+        out[k] = mine % BINS, (base @ vector[:, use][:, ::-1][:, :rank]).astype(np.float32)
+    return out
+
+
 def latent_terms(items: DataFrame, weight: np.ndarray, rank: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Bins with a vector and their rows of V (bins x rank, orthonormal columns), by randomised SVD.
-
-    items has one column text. At most BINS vectors reach the driver."""
-    def ortho(z: np.ndarray) -> np.ndarray:
-        return np.linalg.qr(z)[0] if len(z) else z
-    bins, z = _collect(items.mapInArrow(_step(weight, rank + OVERSAMPLE, None), _VECS))
-    if not len(bins):
-        return bins, z
-    q = ortho(z)
-    _, z = _collect(items.mapInArrow(_step(weight, q.shape[1], dict(zip(bins.tolist(), q))), _VECS))
-    q = ortho(z)
-    _, g = _collect(items.mapInArrow(_gram(weight, dict(zip(bins.tolist(), q)), q.shape[1]), _VECS))
-    value, vector = np.linalg.eigh(g.reshape(q.shape[1], q.shape[1]))
-    use = value > 1e-9 * max(value.max(), 1e-300)
-    return bins, (q @ vector[:, use][:, ::-1][:, :rank]).astype(np.float32)
+    """latent_spaces of all passages of items as one block."""
+    return latent_spaces(items.select("text"), weight, rank).get(0, (np.zeros(0, dtype=np.int64), np.zeros((0, 1))))
 
 
 def lcs_length(item_at: dict[int, int], n: int, words: list[int]) -> int:
@@ -219,86 +254,169 @@ def answer_words(text: str) -> list[int]:
     return words_of(text).tolist()
 
 
+@dataclass
+class _Space:
+    """One block of passages: slot of each bin, term vectors; passage vectors and the item of each."""
+
+    slot: np.ndarray
+    terms: np.ndarray
+    vectors: np.ndarray
+    owner: np.ndarray
+
+
+@dataclass
+class _Anchors:
+    """Names of exact runs of k words (sorted), the item of each, and a bitmap of their upper bits."""
+
+    k: int
+    name: np.ndarray
+    owner: np.ndarray
+    bits: np.ndarray
+
+
+def _anchors(names: list[np.ndarray], parts: list[list[int]], weight: np.ndarray) -> list[_Anchors]:
+    """The heaviest run of ANCHOR words in each of an item's passages in parts; shorter items whole."""
+    found: dict[int, set] = {}
+    for i, (w, mine) in enumerate(zip(names, parts)):
+        k = min(ANCHOR, len(w))
+        g = windows(w, np.array([0, len(w)]), k)[0]
+        total = np.convolve(weight[bins_of(w)], np.ones(k), "valid")
+        for at in (p * HALF for p in mine):
+            lo, hi = min(at, len(g) - 1), max(min(at + PASSAGE - k + 1, len(g)), 1)
+            found.setdefault(k, set()).add((int(g[lo + total[lo:hi].argmax()]), i))
+    out = []
+    for k, pairs in sorted(found.items()):
+        pairs = sorted(pairs)
+        name, owner = np.array([g for g, _ in pairs], dtype=np.uint64), np.array([i for _, i in pairs], dtype=np.int64)
+        bits = np.zeros(1 << 20, dtype=bool)
+        bits[name >> np.uint64(44)] = True
+        out.append(_Anchors(k, name, owner, bits))
+    return out
+
+
+def exact_runs(names: np.ndarray, first: np.ndarray, a: _Anchors) -> Iterator[tuple[int, int, int]]:
+    """(row, first word of the block it starts in, item number) of the anchors in a slice."""
+    g, row = windows(names, first, a.k)
+    if not len(g):
+        return
+    whole = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    start = np.flatnonzero(whole[:len(names) - a.k + 1] == whole[a.k - 1:]) - first[row]
+    hit = np.flatnonzero(a.bits[g >> np.uint64(44)])
+    lo, hi = (np.searchsorted(a.name, g[hit], side) for side in ("left", "right"))
+    for h, x, y in zip(hit[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
+        for i in range(x, y):
+            yield int(row[h]), int(start[h]) // HALF * HALF, int(a.owner[i])
+
+
 @dataclass
 class _Queries:
-    """One block of benchmark items: ids, words, answers; passage vectors and the item of each."""
+    """The benchmark items of one pass: ids, words, answers; the spaces of their passages."""
 
     ids: list
     words: list[list[int]]
     answers: list[list[int]]
-    vectors: np.ndarray
-    owner: np.ndarray
+    spaces: list[_Space]
+    anchors: list[_Anchors]
+
+
+def _queries(rows: list, weight: np.ndarray, spaces: dict[int, tuple[np.ndarray, np.ndarray]]) -> _Queries:
+    names = [words_of(r["text"]) for r in rows]
+    out = _Queries([r["item_id"] for r in rows], [n.tolist() for n in names], [answer_words(r["text"]) for r in rows], [],
+                   _anchors(names, [[p for parts in r["mine"] for p in parts] for r in rows], weight))
+    for k, (bins, terms) in spaces.items():
+        slot = np.full(BINS, -1, dtype=np.int32)
+        slot[bins] = np.arange(len(bins))
+        vectors, owner = [], []
+        for i, r in enumerate(rows):
+            for b, v in passages(names[i], weight, r["mine"][k]):
+                x = v @ terms[slot[b]]
+                norm = np.linalg.norm(x)
+                if norm > 1e-6:
+                    vectors.append(x / norm)
+                    owner.append(i)
+        out.spaces.append(_Space(slot, terms, np.array(vectors, dtype=np.float32).reshape(-1, terms.shape[1]), np.array(owner, dtype=np.int64)))
+    return out
 
 
-def _queries(rows: list, weight: np.ndarray, slot: np.ndarray, terms: np.ndarray) -> _Queries:
-    ids, words, answers, vectors, owner = [], [], [], [], []
-    for r in rows:
-        text = r["text"] or ""
-        names = words_of(text)
-        if not len(names):
-            continue
-        for b, v in passages(names, weight):
-            x = v @ terms[slot[b]]
-            norm = np.linalg.norm(x)
-            if norm > 1e-6:
-                vectors.append(x / norm)
-                owner.append(len(ids))
-        ids.append(r["item_id"])
-        words.append(names.tolist())
-        answers.append(answer_words(text))
-    return _Queries(ids, words, answers, np.array(vectors, dtype=np.float32).reshape(-1, terms.shape[1]), np.array(owner, dtype=np.int64))
-
-
-def candidates(names: np.ndarray, first: np.ndarray, weight: np.ndarray, slot: np.ndarray, terms: np.ndarray,
-               q: _Queries, cosine: float) -> list[tuple[int, int, int, float]]:
+@dataclass
+class _Runs:
+    """The words of a slice in blocks of HALF words; a run is a block and the next one of the same row."""
+
+    bins: np.ndarray
+    weight: np.ndarray
+    block: np.ndarray     # block of each word
+    row: np.ndarray       # row of each block
+    start: np.ndarray     # first word of each block, counted in its row
+    joined: np.ndarray
+    norm2: np.ndarray
+
+    @classmethod
+    def of(cls, names: np.ndarray, first: np.ndarray, weight: np.ndarray) -> _Runs:
+        n_words = np.diff(first)
+        n_blocks = -(-n_words // HALF)
+        block0 = np.concatenate([[0], np.cumsum(n_blocks)])
+        row = np.repeat(np.arange(len(n_words)), n_words)
+        block = block0[row] + (np.arange(len(names)) - first[row]) // HALF
+        b = bins_of(names)
+        brow = np.repeat(np.arange(len(n_words)), n_blocks)
+        joined = np.zeros(block0[-1], dtype=bool)
+        joined[:-1] = brow[1:] == brow[:-1]
+        out = cls(b, weight[b], block, brow, (np.arange(block0[-1]) - block0[brow]) * HALF, joined, np.zeros(0))
+        out.norm2 = out.energy(np.ones(len(b), dtype=bool))
+        return out
+
+    def energy(self, use: np.ndarray) -> np.ndarray:
+        """Sum of the squared weights of a run's words, of those in use."""
+        size = np.bincount(self.block[use], weights=self.weight[use].astype(np.float64) ** 2, minlength=len(self.row))
+        return size + np.where(self.joined, np.append(size[1:], 0), 0)
+
+
+def candidates(runs: _Runs, space: _Space, cosine: float) -> Iterator[tuple[int, int, int, float]]:
     """(row, first word of the run, item number, cosine) of the runs of a slice near a passage."""
-    n_words = np.diff(first)
-    n_blocks = -(-n_words // HALF)
-    block0 = np.concatenate([[0], np.cumsum(n_blocks)])
-    row = np.repeat(np.arange(len(n_words)), n_words)
-    block = block0[row] + (np.arange(len(names)) - first[row]) // HALF
-    b = bins_of(names)
-    w = weight[b]
-    size = np.bincount(block, weights=w.astype(np.float64) ** 2, minlength=block0[-1])
-    known = (slot[b] >= 0) & (w > 0)
-    # a run is a block and the next one of the same row
-    brow = np.repeat(np.arange(len(n_words)), n_blocks)
-    joined = np.zeros(block0[-1], dtype=bool)
-    joined[:-1] = brow[1:] == brow[:-1]
-    norm2 = size + np.where(joined, np.append(size[1:], 0), 0)
-    use = np.flatnonzero(known)
-    part = np.zeros((block0[-1] + 1, terms.shape[1]), dtype=np.float32)
-    if len(use):
-        mine = block[use]
-        place = np.arange(len(use)) - np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))[np.cumsum(np.append(False, mine[1:] != mine[:-1]))]
-        rows, weights = slot[b[use]], w[use][:, None]
-        for j in range(HALF):                       # the j-th known word of every block
-            i = np.flatnonzero(place == j)
-            part[mine[i]] += terms[rows[i]] * weights[i]
-    x = part[:-1] + np.where(joined[:, None], part[1:], 0)
-    inside = np.sqrt(np.einsum("ij,ij->i", x, x)) / np.sqrt(np.maximum(norm2, 1e-9))
-    near = np.flatnonzero((inside >= cosine) & (norm2 > 0))      # no passage can be nearer than the part inside the space
-    out = []
-    for at in range(0, len(near), 4096):
-        i = near[at:at + 4096]
-        score = (x[i] @ q.vectors.T) / np.sqrt(norm2[i])[:, None]
+    terms = space.terms
+    known = (space.slot[runs.bins] >= 0) & (runs.weight > 0)
+    # no passage can be nearer than the share of the run's words that are in the space
+    live = (runs.energy(known) >= 0.99 * cosine**2 * runs.norm2) & (runs.norm2 > 0)
+    need = live.copy()
+    need[1:] |= live[:-1] & runs.joined[:-1]
+    use = np.flatnonzero(known & need[runs.block])
+    if not len(use) or not len(space.vectors):
+        return
+    at = np.cumsum(need) - 1                        # the needed blocks, numbered
+    part = np.zeros((int(need.sum()) + 1, terms.shape[1]), dtype=np.float32)
+    mine = at[runs.block[use]]
+    new = np.append(True, mine[1:] != mine[:-1])
+    place = np.arange(len(use)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    rows, weights = space.slot[runs.bins[use]], runs.weight[use][:, None]
+    for j in range(HALF):                           # the j-th known word of every block
+        i = np.flatnonzero(place == j)
+        part[mine[i]] += terms[rows[i]] * weights[i]
+    near = np.flatnonzero(live)
+    x = part[at[near]] + np.where(runs.joined[near][:, None], part[at[near] + 1], 0)
+    norm = np.sqrt(runs.norm2[near])
+    inside = np.sqrt(np.einsum("ij,ij->i", x, x)) >= cosine * norm      # nor than its part inside the space
+    near, x, norm = near[inside], x[inside], norm[inside]
+    for lo in range(0, len(near), 4096):
+        score = (x[lo:lo + 4096] @ space.vectors.T) / norm[lo:lo + 4096, None]
         for r, c in zip(*np.nonzero(score >= cosine)):
-            k = i[r]
-            out.append((int(brow[k]), int((k - block0[brow[k]]) * HALF), int(q.owner[c]), float(score[r, c])))
-    return out
+            k = near[lo + r]
+            yield int(runs.row[k]), int(runs.start[k]), int(space.owner[c]), float(score[r, c])
 
 
 def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, slot, terms, q, rules = shared.value
+        weight, q, rules = shared.value
         marks = [places(x) for x in q.words]
         amarks = [places(x) for x in q.answers]
         for batch in batches:
             for s in text_slices(batch.column("text")):
                 names, first = plain_words(s)
+                runs = _Runs.of(names, first, weight)
                 best: dict[tuple[int, int], tuple] = {}
                 tried = set()
-                for row, start, item, cos in candidates(names, first, weight, slot, terms, q, rules.cosine):
+                near_runs = (c for space in q.spaces for c in candidates(runs, space, rules.cosine))
+                same_runs = ((*c, 0.0) for a in q.anchors for c in exact_runs(names, first, a))
+                for row, start, item, cos in chain(near_runs, same_runs):
                     n = len(q.words[item])
                     lo, hi = first[row] + max(0, start - n), min(first[row] + start + PASSAGE + n, first[row + 1])
                     if (row, lo, hi, item) in tried:
@@ -324,6 +442,17 @@ def _search(shared):
     return run
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The items with words, and the number of their passages."""
+    for batch in batches:
+        for s in text_slices(batch.column("text")):
+            n = np.diff(plain_words(s)[1])
+            parts = np.where(n > 0, -(-np.maximum(n - HALF, 1) // HALF), 0)
+            rows = batch.slice(s.first, s.n)
+            yield pa.RecordBatch.from_arrays([rows.column("item_id"), rows.column("text"), pa.array(parts.astype(np.int32))],
+                                             names=["item_id", "text", "parts"]).filter(pa.array(parts > 0))
+
+
 SCHEMA = "doc_id long, item_id long, lcs_share double, answer_share double, cosine double, start_word long"
 
 
@@ -337,16 +466,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     empty table on either side gives no rows."""
     spark = docs.sparkSession
     src = docs.select(column(docs, id_col).cast("long").alias("doc_id"), column(docs, text_col).alias("text"))
-    items = cut_lineage(benchmark.select(column(benchmark, item_col).cast("long").alias("item_id"), column(benchmark, item_text_col).alias("text")))
+    items = benchmark.select(column(benchmark, item_col).cast("long").alias("item_id"), column(benchmark, item_text_col).alias("text"))
+    items = items.mapInArrow(_counted, "item_id long, text string, parts int").withColumn("no", F.monotonically_increasing_id())
+    items = cut_lineage(items)
     weight = word_weights(src)
-    bins, terms = latent_terms(items.select("text"), weight, rank)
-    slot = np.full(BINS, -1, dtype=np.int32)
-    slot[bins] = np.arange(len(bins))
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
+    total = items.agg(F.sum("parts")).first()[0] or 0
+    blocks = -(-5 * total // (4 * rank))         # by hash: four fifths of the rank on average
     found = None
-    for k in range(blocks if len(bins) else 0):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        shared = spark.sparkContext.broadcast((weight, slot, terms, _queries(rows, weight, slot, terms), rules))
+    for k in range(0, blocks, PASS_BLOCKS):
+        here = range(k, min(k + PASS_BLOCKS, blocks))
+        mine = F.array(*[F.expr(f"filter(sequence(0, parts - 1), i -> pmod(xxhash64(no, i), {blocks}) = {b})") for b in here])
+        some = items.select("item_id", "text", mine.alias("mine")).filter(F.exists("mine", lambda x: F.size(x) > 0))
+        rows = some.collect()
+        most = max((sum(len(r["mine"][j]) for r in rows) for j in range(len(here))), default=0)
+        spaces = latent_spaces(some.select("text", "mine"), weight, max(rank, most))
+        shared = spark.sparkContext.broadcast((weight, _queries(rows, weight, spaces), rules))
         part = src.mapInArrow(_search(shared), SCHEMA)
         found = part if found is None else found.union(part)
     if found is None:

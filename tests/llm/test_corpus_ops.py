@@ -293,6 +293,34 @@ def test_leaks_verbatim_and_paraphrased(spark, odd, nothing):
     assert decontam.drop_leaks(odd, bench).count() == len(ODD_TEXTS)
 
 
+@pytest.mark.parametrize("n_items", [1000, 5000])
+def test_every_item_of_a_large_benchmark_is_found(spark, n_items):
+    rng = random.Random(n_items)
+    vocab = [f"w{i}" for i in range(20_000)]
+    share = list(np.cumsum(1 / (np.arange(20_000) + 10)))
+    text = lambda n: " ".join(rng.choices(vocab, cum_weights=share, k=n))
+    items = [text(rng.randint(15, 57)) for _ in range(n_items)]
+    planted = {i: f"{text(60)} {items[i * n_items // 300]} {text(60)}" for i in range(300)}
+    docs = spark.createDataFrame([*planted.items(), *((1000 + i, text(180)) for i in range(300))], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    whole = {(i, i * n_items // 300) for i in planted}
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()}
+    assert got == whole
+
+
+def test_spaces_hold_their_passages_whole(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randint(0, 5000)}" for _ in range(32)) for _ in range(120)]
+    frame = spark.createDataFrame([(t, [[0], []] if i % 2 else [[], [0]]) for i, t in enumerate(texts)], "text string, mine array<array<int>>")
+    weight = np.ones(decontam.BINS, dtype=np.float32)
+    spaces = decontam.latent_spaces(frame, weight, 64)
+    for i, t in enumerate(texts):
+        bins, v = spaces[1 - i % 2]
+        at = dict(zip(bins.tolist(), v))
+        (b, x), = decontam.passages(decontam.words_of(t), weight)
+        assert np.linalg.norm(x @ np.stack([at[int(j)] for j in b])) > 0.999
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):

@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Word weights: inverse frequency over all words of all documents (counted
-   in hashed bins; words above ``max_share`` of all words carry no weight).
+   in hashed bins). No word is without weight: an item that many documents hold
+   makes its own words frequent, and is still to be found.
 2. The benchmark's passages (overlapping runs of ``PASSAGE`` words) as TF-IDF
    rows are dealt into blocks that do not outnumber the rank. Each block is
    factored by a distributed randomised SVD: a hashed Gaussian sketch, one
@@ -46,6 +47,7 @@ PASSAGE = 32
 HALF = PASSAGE // 2
 PASS_BLOCKS = 8
 ANCHOR = 8
+LEAST_WEIGHT = 0.1
 #: Directions sketched beyond the rank, as a randomised SVD needs for a flat spectrum.
 OVERSAMPLE = 32
 
@@ -102,18 +104,15 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def word_weights(docs: DataFrame, text_col: str = "text", max_share: float = 2e-3) -> np.ndarray:
-    """Weight of each bin: log(words / count), 0 above max_share of all words (BINS numbers)."""
+def word_weights(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Weight of each bin: log(words / count), at least LEAST_WEIGHT (BINS numbers)."""
     schema = "block int, counts binary"
     rows = docs.select(column(docs, text_col).alias("text")).mapInArrow(_count, schema).groupBy("block").applyInArrow(_add, schema).collect()
     count = np.zeros(BINS, dtype=np.int64)
     for r in rows:
         count[r["block"] * COUNT_BLOCK:(r["block"] + 1) * COUNT_BLOCK] = np.frombuffer(bytes(r["counts"]), "<i8")
     total = max(int(count.sum()), 1)
-    weight = np.log((total + 1) / (count + 1))
-    # in a tiny corpus one occurrence is a large share; four always keep their weight
-    weight[count > np.maximum(max_share * total, 4)] = 0
-    return weight.astype(np.float32)
+    return np.maximum(np.log((total + 1) / (count + 1)), LEAST_WEIGHT).astype(np.float32)
 
 
 def passages(names: np.ndarray, weight: np.ndarray, parts: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -460,8 +459,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
           item_text_col: str = "text", rank: int = 256, rules: LeakRules = LeakRules()) -> DataFrame:
     """One row per document id and benchmark item found in it, with the best place's figures.
 
-    Null and empty texts, and items without words or with only unweighted
-    words, match nothing. Rows that repeat an id count as one document, equal
+    Null and empty texts, and items without words, match nothing. Rows that repeat an id count as one document, equal
     items each match. Null ids are carried. Other columns are ignored. An
     empty table on either side gives no rows."""
     spark = docs.sparkSession

@@ -308,6 +308,16 @@ def test_every_item_of_a_large_benchmark_is_found(spark, n_items):
     assert got == whole
 
 
+def test_altered_copies_of_an_item_in_a_third_of_the_documents(spark):
+    rng = random.Random(12)
+    text = lambda n: " ".join(f"w{rng.randint(0, 20_000)}" for _ in range(n))
+    item = text(40).split()
+    copy = " ".join(w for j, w in enumerate(item) if j % 5 != 4)         # no run of ANCHOR words is left
+    docs = spark.createDataFrame([(i, f"{text(30)} {copy} {text(30)}" if i % 3 == 0 else text(100)) for i in range(300)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, text(40))], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()} == {(i, 1) for i in range(0, 300, 3)}
+
+
 def test_spaces_hold_their_passages_whole(spark):
     rng = random.Random(3)
     texts = [" ".join(f"w{rng.randint(0, 5000)}" for _ in range(32)) for _ in range(120)]

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.tables import column, cut_lineage
+from mercato.llm.tables import column, cut_lineage, drop_ids, with_row_key
 from mercato.llm.words import Hasher, TextSlice, find_words, mix, text_slices, windows
 
 BIN_BITS = 17
@@ -487,8 +487,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return found.groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", "top.*")
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs whose id no benchmark item is found in, all columns unchanged."""
-    from mercato.llm.tables import drop_ids
-    gone = cut_lineage(leaks(docs, benchmark, id_col).select("doc_id").distinct())
-    return drop_ids(docs, id_col, gone, "doc_id")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose own text no benchmark item is found in (whatever their ids), all columns unchanged."""
+    rows, key = with_row_key(docs, id_col, text_col)
+    gone = cut_lineage(leaks(rows, benchmark, key, text_col).select("doc_id").distinct())
+    return drop_ids(rows, key, gone, "doc_id").drop(key)

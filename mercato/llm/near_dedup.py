@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.tables import bitmap, column, cut_lineage, id_bit
+from mercato.llm.tables import bitmap, column, cut_lineage, drop_ids, id_bit, one_of_each, with_row_key
 from mercato.llm.words import LOWER, Hasher, find_words, mix, text_slices, windows
 
 BLOCK_ROWS = 2048
@@ -279,8 +279,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.col("doc_id").eqNullSafe(own).alias("kept"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents without those that an earlier document of their component replaces (columns unchanged)."""
-    from mercato.llm.tables import drop_ids
-    gone = cut_lineage(near_duplicates(docs, id_col).filter(~F.col("kept")).select("doc_id").distinct())
-    return drop_ids(docs, id_col, gone, "doc_id")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, the one with the smallest id (null last), and all rows without shingles (columns unchanged).
+
+    Rows are told apart by id and text, so a null or repeated id drops no other
+    text; of rows equal in both one stays."""
+    rows, key = with_row_key(docs, id_col, text_col)
+    found = near_duplicates(rows, key, text_col).filter("n_shingles > 0")
+    keys = found.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("comp"), F.count("*").alias("n"))
+    ids = rows.select(F.col(key).alias("key"), column(rows, id_col).cast("long").alias("id")).groupBy("key").agg(F.min("id").alias("id"))
+    keys = cut_lineage(keys.join(ids, "key"))
+    first = keys.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
+    keys = cut_lineage(keys.join(first, "comp").select("key", "n", (F.col("key") == F.col("first.key")).alias("stays")))
+    left = drop_ids(rows, key, keys.filter("NOT stays"), "key")
+    return one_of_each(left, key, keys.filter("stays AND n > 1"), "key").drop(key)

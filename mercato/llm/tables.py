@@ -32,12 +32,32 @@ def bitmap(ids: DataFrame, col: str) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
+def with_row_key(rows: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """rows with a further column, a 64-bit hash of id and text, and its name: only rows equal in both share it."""
+    name = "_row_key"
+    while name in rows.columns:
+        name += "_"
+    return rows.withColumn(name, F.xxhash64(column(rows, id_col).cast("long"), column(rows, text_col).isNull(), column(rows, text_col))), name
+
+
 def drop_ids(rows: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows whose key is not among the ids (null equals null), every column kept.
+    """Rows whose key is not among the ids (null equals null), every column kept."""
+    others, hit = _split(rows, key, ids, id_col, "left_anti")
+    return others.union(hit)
+
+
+def one_of_each(rows: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
+    """One row of each key among the ids, and all rows of other keys, every column kept."""
+    others, hit = _split(rows, key, ids, id_col, "left_anti")
+    return others.union(hit).union(_split(rows, key, ids, id_col, "left_semi")[1].dropDuplicates([key]))
+
+
+def _split(rows: DataFrame, key: str, ids: DataFrame, id_col: str, how: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key misses the ids' bitmap; the others joined with the ids.
 
-    Only rows whose key hits the ids' bitmap go through the shuffled anti
-    join, so texts of the others are not shuffled. The bitmap is a table of
-    fixed size and is broadcast."""
+    Only rows whose key hits the bitmap go through the shuffled join, so texts
+    of the others are not shuffled. The bitmap is a table of fixed size and is
+    broadcast."""
     names = rows.columns
     rows = rows.toDF(*[f"c{i}" for i in range(len(names))])           # no name of the caller's can clash
     key = f"c{names.index(key)}"
@@ -50,8 +70,8 @@ def drop_ids(rows: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFram
     keep = probe.filter(~F.col("_hit")).select(*rows.columns)
     wanted = ids.select(F.col(id_col).alias("_drop_id"))
     check = probe.filter("_hit").select(*rows.columns)
-    left = check.join(wanted, check[key].eqNullSafe(wanted["_drop_id"]), "left_anti")
-    return keep.union(left).toDF(*names)
+    left = check.join(wanted, check[key].eqNullSafe(wanted["_drop_id"]), how)
+    return keep.toDF(*names), left.toDF(*names)
 
 
 def column(df: DataFrame, name: str) -> F.Column:

@@ -74,6 +74,22 @@ def test_near_duplicates_table_and_odd_rows(spark, odd, nothing):
     assert near_dedup.near_duplicates(nothing).count() == 0 and near_dedup.keep_one(nothing).count() == 0
 
 
+def test_rows_with_null_or_repeated_ids_are_dropped_one_by_one(spark):
+    one, near = near_texts(1)[0], near_texts(1)[0] + " end"
+    clean = [" ".join(f"c{n}x{j}" for j in range(60)) for n in range(5)]
+    rows = [(None, near), (1, one), (None, clean[0]), (None, clean[1]), (None, None), (None, None), (7, clean[2]), (7, clean[2]), (7, clean[3]), (7, near),
+            (None, clean[4]), (None, clean[4])]
+    frame = odd_frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    kept = near_dedup.keep_one(frame)
+    assert kept.columns == frame.columns
+    want = Counter([(1, one), (None, clean[0]), (None, clean[1]), (None, None), (None, None), (7, clean[2]), (7, clean[3]), (None, clean[4])])
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == want
+    item = " ".join(f"leak{j}" for j in range(20))
+    rows = [(None, clean[0] + " " + item), (None, clean[1]), (None, None), (7, item), (7, clean[2]), (7, clean[2])]
+    left = decontam.drop_leaks(odd_frame(spark, [t for _, t in rows], [i for i, _ in rows]), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter([(None, clean[1]), (None, None), (7, clean[2]), (7, clean[2])])
+
+
 def test_sketch_fills_every_coordinate_and_estimates():
     rng = np.random.default_rng(4)
     a = np.unique(rng.integers(0, 2**63, 400).astype(np.uint64))

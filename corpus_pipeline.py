@@ -34,7 +34,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all that is left, packed into windows."""
-    return packing.piece_report(packing.pack(docs, vocab.default_path(TOKENIZER)))
+    return packing.piece_report(packing.pack(docs, vocab.default_path(TOKENIZER)), "ids")
 
 
 STAGES = [("quality rules", quality_rules), ("near dedup", minhash_dedup), ("decontamination", benchmark_decontamination),

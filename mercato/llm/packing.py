@@ -190,7 +190,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     return src.mapInArrow(_pack(tokenizer_path, window, end_id, pool_windows), SCHEMA)
 
 
-def piece_report(pieces: DataFrame) -> DataFrame:
-    """The packed pieces with their digests in place of the ids."""
+def piece_report(pieces: DataFrame, *keep: str) -> DataFrame:
+    """The packed pieces with their digests in place of the ids; the columns in keep stay beside them."""
     return pieces.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"),
-                         "doc_tokens", "sequence_id", "offset")
+                         "doc_tokens", "sequence_id", "offset", *keep)

@@ -389,6 +389,13 @@ def test_pipeline_stages(spark):
     assert packed == set(left)
 
 
+def test_last_stage_holds_the_token_ids(spark, odd):
+    import corpus_pipeline as P
+    rows = P.packed(spark, odd, SF_SMALL).collect()
+    assert len(rows) >= len(ODD_TEXTS)
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in rows)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_run(spark, name):
     assert QUERIES[name](spark, SF_SMALL).count() > 0

@@ -100,7 +100,7 @@ def scores(bits: np.ndarray, tables: np.ndarray) -> np.ndarray:
 def _score_type(bits: np.ndarray, parts: np.ndarray):
     """32 bits where no partial sum can leave them, else 64; refuses what 64 bits can't hold."""
     bound = (1 << len(bits)) * int(np.abs(parts).sum(axis=1).max(initial=0))
-    if bound >= 2**46:                                 # times CHUNK_ROWS and the window's 100
+    if bound >= 2**51:                                 # keys hold a score times CHUNK_ROWS
         raise ValueError("scores are too large for 64 bits")
     return np.int32 if bound < 2**31 else np.int64
 

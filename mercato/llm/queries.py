@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, decontam, hard_negatives, langid, near_dedup, packing, quality, repair, secret_scan, sharding, sql, token_count, url_rules, vocab
+from mercato.llm import chat, decontam, hard_negatives, langid, lm_score, near_dedup, packing, quality, repair, secret_scan, sharding, sql, token_count, url_rules, vocab
 from mercato.llm.tables import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -59,6 +59,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def tenth(doc_id: Column, remainder: int) -> Column:
+    """Whether crc32 of the id as text leaves this remainder modulo 10; null for a null id."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 10 == remainder
+
+
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(read_table(spark, sf_dir, "documents"), tenth(F.col("doc_id"), 0), vocab.default_path(TOKENIZER))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations")
     return repair.conversation_report(turns, repair.damage(turns))
@@ -71,5 +80,5 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_near_dedup, op3_url_filter, op4_quality_rules, op5_token_counts, op6_language_id,
-                            op7_secret_scan, op8_sharding, op9_chat_format, op10_decontamination, op12_conversation_repair, op13_hard_negatives)}
+                            op7_secret_scan, op8_sharding, op9_chat_format, op10_decontamination, op11_lm_score, op12_conversation_repair, op13_hard_negatives)}
 ORACLE: dict[str, str] = {"op13_hard_negatives": sql.HARD_NEGATIVES}

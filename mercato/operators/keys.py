@@ -50,3 +50,17 @@ def dense_keys(df: DataFrame, order_cols: list[str], key_col: str) -> Keyed:
         offset = F.lit(0).cast("long")
     keyed = tagged.withColumn(key_col, (offset + local + 1).cast("long")).drop("_rid")
     return Keyed(keyed, running)
+
+
+def extend_keys(members: DataFrame, stored: DataFrame | None, natural: list[str], key_col: str) -> DataFrame:
+    """The members that `stored` lacks (NULL equals NULL), numbered on from its largest key in natural-key order."""
+    if stored is None:
+        return dense_keys(members, natural, key_col).df
+    side = stored.select(*[F.col(c).alias(f"_nk_{c}") for c in natural])
+    cond = None
+    for c in natural:
+        eq = members[c].eqNullSafe(side[f"_nk_{c}"])
+        cond = eq if cond is None else cond & eq
+    new = dense_keys(members.join(side, cond, "left_anti"), natural, key_col).df
+    top = int(stored.agg(F.coalesce(F.max(key_col), F.lit(0))).first()[0])
+    return new.withColumn(key_col, (F.col(key_col) + top).cast("long"))

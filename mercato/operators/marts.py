@@ -200,11 +200,12 @@ MART_SPECS = {m.name: m for m in MARTS}
 def build_mart(star: Star, mart: Mart | str) -> DataFrame:
     """One mart straight from the fact: its partials at its grain, rolled up."""
     m = MART_SPECS[mart] if isinstance(mart, str) else mart
-    return _roll_up(star, m, star.fact.groupBy(*m.grain).agg(*[PARTIALS[p][0]().alias(p) for p in m.partials]))
+    return roll_up(star.table, m, star.fact.groupBy(*m.grain).agg(*[PARTIALS[p][0]().alias(p) for p in m.partials]))
 
 
-def _roll_up(star: Star, m: Mart, part: DataFrame) -> DataFrame:
-    src = part if m.dim is None else part.join(star.table(m.dim), m.grain[0], "inner")
+def roll_up(table: Callable[[str], DataFrame], m: Mart, part: DataFrame) -> DataFrame:
+    """A mart from its partials; `table` gives a dimension by name."""
+    src = part if m.dim is None else part.join(table(m.dim), m.grain[0], "inner")
     return m.output(src.groupBy(*m.keys).agg(*[PARTIALS[p][1](p).alias(p) for p in m.partials]))
 
 
@@ -248,7 +249,7 @@ def shared_partials(fact: DataFrame, marts: tuple[Mart, ...] = MARTS) -> SharedP
 
 def mart_from_partials(star: Star, shared: SharedPartials, mart: Mart | str) -> DataFrame:
     m = MART_SPECS[mart] if isinstance(mart, str) else mart
-    return _roll_up(star, m, shared.at(m.grain, m.partials))
+    return roll_up(star.table, m, shared.at(m.grain, m.partials))
 
 
 def build_marts(star: Star) -> dict[str, DataFrame]:

@@ -167,38 +167,53 @@ def build_dim_date(sales: DataFrame, members: Members | None = None) -> DataFram
     )
 
 
-def build_dim_store(sales: DataFrame, cfg: S.StarConfig, members: Members | None = None):
-    keyed = _number(sales, members, "dim_store", "store_key")
-    dim = keyed.df.select(
+def enrich_store(keyed: DataFrame, cfg: S.StarConfig) -> DataFrame:
+    return keyed.select(
         "store_key", "store_name", "region",
         F.upper(F.substring("region", 1, 3)).alias("region_code"),
         lookup("store_name", cfg.store_sizes, cfg.default_store_size).alias("store_size"),
         lookup("store_name", cfg.tourist_areas, cfg.default_tourist_area, "int").alias("is_tourist_area"),
     )
-    return dim, keyed.rows
 
 
-def build_dim_product(sales: DataFrame, cfg: S.StarConfig, members: Members | None = None):
-    keyed = _number(sales, members, "dim_product", "product_key")
+def enrich_product(keyed: DataFrame, cfg: S.StarConfig) -> DataFrame:
     group = lookup("category", cfg.category_groups, cfg.default_category_group)
-    dim = keyed.df.select(
+    return keyed.select(
         "product_key", "product_name", "category",
         group.alias("category_group"),
         lookup("category", cfg.category_margins, cfg.default_gp_margin, "double").alias("base_gp_margin"),
         (group == S.FRESH_GROUP).cast("int").alias("is_fresh_item"),
     )
-    return dim, keyed.rows
 
 
-def build_dim_customer(sales: DataFrame, cfg: S.StarConfig, members: Members | None = None):
-    keyed = _number(sales, members, "dim_customer", "customer_key")
-    dim = keyed.df.select(
+def enrich_customer(keyed: DataFrame, cfg: S.StarConfig) -> DataFrame:
+    return keyed.select(
         "customer_segment", "member_tier", "customer_key",
         lookup("member_tier", cfg.tier_ranks, cfg.default_tier_rank, "int").alias("tier_rank"),
         # a NULL tier is "not Non-Member", hence a member
         F.coalesce(F.col("member_tier") != F.lit(S.NON_MEMBER), F.lit(True)).cast("int").alias("has_membership"),
     )
-    return dim, keyed.rows
+
+
+KEY_OF = {"dim_store": "store_key", "dim_product": "product_key", "dim_customer": "customer_key"}
+ENRICH = {"dim_store": enrich_store, "dim_product": enrich_product, "dim_customer": enrich_customer}
+
+
+def _build_dim(dim: str, sales: DataFrame, cfg: S.StarConfig, members: Members | None):
+    keyed = _number(sales, members, dim, KEY_OF[dim])
+    return ENRICH[dim](keyed.df, cfg), keyed.rows
+
+
+def build_dim_store(sales: DataFrame, cfg: S.StarConfig, members: Members | None = None):
+    return _build_dim("dim_store", sales, cfg, members)
+
+
+def build_dim_product(sales: DataFrame, cfg: S.StarConfig, members: Members | None = None):
+    return _build_dim("dim_product", sales, cfg, members)
+
+
+def build_dim_customer(sales: DataFrame, cfg: S.StarConfig, members: Members | None = None):
+    return _build_dim("dim_customer", sales, cfg, members)
 
 
 def _number(sales: DataFrame, members: Members | None, dim: str, key: str):

@@ -101,13 +101,24 @@ sales AS (
 )"""
 
 
-def _star_ctes() -> str:
+def _members(*columns: str) -> tuple[str, str]:
+    """Distinct members, and their order; with loads (`loaded`: rows with their load number) the first load that had them leads."""
+    names = ", ".join(columns)
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    return f"(SELECT {names}, MIN(load) AS load FROM loaded GROUP BY {names})", f"load, {order}"
+
+
+def _star_ctes(loads: bool = False) -> str:
     cfg = S.fixture_star_config()
     size = map_sql("store_name", cfg.store_sizes, cfg.default_store_size)
     tourist = map_sql("store_name", cfg.tourist_areas, cfg.default_tourist_area, "INTEGER")
     group = map_sql("category", cfg.category_groups, cfg.default_category_group)
     margin = map_sql("category", cfg.category_margins, cfg.default_gp_margin, "DOUBLE")
     rank = map_sql("member_tier", cfg.tier_ranks, cfg.default_tier_rank, "INTEGER")
+    found = [("store_name", "region"), ("product_name", "category"), ("customer_segment", "member_tier")]
+    (stores, store_order), (products, product_order), (customers, customer_order) = (
+        _members(*c) if loads else (f"(SELECT DISTINCT {', '.join(c)} FROM sales)", ", ".join(f"{x} NULLS FIRST" for x in c)) for c in found)
+    days = "loaded" if loads else "sales"
     return f""",
 dim_date AS (
   SELECT {_date_key('d')} AS date_key,
@@ -122,30 +133,30 @@ dim_date AS (
          dayname(d) AS day_name,
          CAST(isodow(d) >= 6 AS INTEGER) AS is_weekend,
          CAST(CASE WHEN month(d) >= {S.FISCAL_YEAR_START_MONTH} THEN year(d) ELSE year(d) - 1 END AS INTEGER) AS fiscal_year
-  FROM (SELECT DISTINCT date AS d FROM sales)
+  FROM (SELECT DISTINCT date AS d FROM {days})
 ),
 dim_store AS (
-  SELECT CAST(row_number() OVER (ORDER BY store_name NULLS FIRST, region NULLS FIRST) AS BIGINT) AS store_key,
+  SELECT CAST(row_number() OVER (ORDER BY {store_order}) AS BIGINT) AS store_key,
          store_name, region,
          upper(substring(region, 1, 3)) AS region_code,
          {size} AS store_size,
          {tourist} AS is_tourist_area
-  FROM (SELECT DISTINCT store_name, region FROM sales)
+  FROM {stores}
 ),
 dim_product AS (
-  SELECT CAST(row_number() OVER (ORDER BY product_name NULLS FIRST, category NULLS FIRST) AS BIGINT) AS product_key,
+  SELECT CAST(row_number() OVER (ORDER BY {product_order}) AS BIGINT) AS product_key,
          product_name, category,
          {group} AS category_group,
          {margin} AS base_gp_margin,
          CAST({group} = {_q(S.FRESH_GROUP)} AS INTEGER) AS is_fresh_item
-  FROM (SELECT DISTINCT product_name, category FROM sales)
+  FROM {products}
 ),
 dim_customer AS (
   SELECT customer_segment, member_tier,
-         CAST(row_number() OVER (ORDER BY customer_segment NULLS FIRST, member_tier NULLS FIRST) AS BIGINT) AS customer_key,
+         CAST(row_number() OVER (ORDER BY {customer_order}) AS BIGINT) AS customer_key,
          {rank} AS tier_rank,
          CAST(COALESCE(member_tier <> {_q(S.NON_MEMBER)}, TRUE) AS INTEGER) AS has_membership
-  FROM (SELECT DISTINCT customer_segment, member_tier FROM sales)
+  FROM {customers}
 ),
 fact AS (
   SELECT s.transaction_id, {_date_key('s.date')} AS date_key,
@@ -272,10 +283,15 @@ GROUP BY f.gst_period, f.gst_rate""",
 }
 
 
-def with_base(body: str, extra_ctes: str = "") -> str:
-    """Wrap a query over ``sales``/star/mart names in the shared CTEs."""
+def with_base(body: str, extra_ctes: str = "", loads: str = "") -> str:
+    """Wrap a query over ``sales``/star/mart names in the shared CTEs.
+
+    ``loads``: CTEs ``loaded`` (all rows of all loads over ``source``, with their load number) and ``sales`` (what is left)."""
     marts = ",\n".join(f"mart_{k} AS ({v})" for k, v in MART_SQL.items())
-    ctes = f"WITH {_sales_cte()}{_star_ctes()},\n{marts}"
+    if loads:
+        ctes = f"WITH {_sales_cte().replace('sales AS (', 'source AS (')},\n{loads}{_star_ctes(True)},\n{marts}"
+    else:
+        ctes = f"WITH {_sales_cte()}{_star_ctes()},\n{marts}"
     if extra_ctes:
         ctes += ",\n" + extra_ctes
     return f"{ctes}\n{body}"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from mercato import schemas as S
-from mercato.plans.oracle import mean, money_sum, rmean, with_base
+from mercato.plans.oracle import MART_SQL, mean, money_sum, rmean, with_base
 
 # Filter used by the registered dashboard queries (years x regions).
 FILTER_YEARS = (1997, 1998, 1999)
@@ -381,6 +381,45 @@ FROM (SELECT transaction_id, date_key,
 # -- written tables ---------------------------------------------------------------
 _raw_cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in MONEY_COLS else c for c in S.RAW_COLUMNS)
 SQL["csv_ingest"] = with_base(f"SELECT {_raw_cols}, '' AS bad_columns, '' AS rounded_columns, '' AS corrupt_record FROM sales")
+# Two loads: all sales but those of hour 11; then corrections, rows that came late and new rows (registry.late_batch).
+_LOADS = f"""
+base AS (SELECT * FROM source WHERE hour <> 11),
+fixes AS (
+  SELECT * REPLACE (CASE WHEN hour % 2 = 0 THEN date + 31 ELSE date END AS date,
+                    CASE WHEN quantity % 5 = 0 THEN 'New ' || store_name ELSE store_name END AS store_name,
+                    CAST(subtotal_sgd + 1 AS DECIMAL(18,4)) AS subtotal_sgd, CAST(total_sgd + 1 AS DECIMAL(18,6)) AS total_sgd)
+  FROM source WHERE date >= DATE '{UPSERT_BATCH_FROM}' AND hour % 3 = 0),
+batch AS (
+  SELECT * FROM fixes
+  UNION ALL SELECT * REPLACE (date - 1 AS date) FROM fixes WHERE hour = 21
+  UNION ALL SELECT * FROM source WHERE hour = 11
+  UNION ALL SELECT * REPLACE (transaction_id || '-b' AS transaction_id, CASE WHEN quantity > 40 THEN product_name || ' v2' ELSE product_name END AS product_name)
+            FROM source WHERE hour = 5),
+loaded AS (SELECT *, 1 AS load FROM base UNION ALL SELECT *, 2 AS load FROM batch),
+newest AS (SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY date DESC) AS place FROM batch) WHERE place = 1),
+sales AS (
+  SELECT *, '2024-01-01 00:00:00' AS loaded_at FROM base WHERE transaction_id NOT IN (SELECT transaction_id FROM batch)
+  UNION ALL SELECT *, '2024-02-01 00:00:00' AS loaded_at FROM newest)"""
+
+
+def _after_loads(body: str) -> str:
+    return with_base(body, loads=_LOADS)
+
+
+SQL["upsert_table"] = _after_loads("""
+SELECT transaction_id, date, store_name, product_name, quantity, CAST(total_sgd AS DOUBLE) AS total_sgd, loaded_at,
+       CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM sales""")
+SQL["load_ledger"] = _after_loads("""
+SELECT CAST(1 AS BIGINT) AS version, 'base' AS load_id, '2024-01-01 00:00:00' AS loaded_at,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM base) AS rows, (SELECT CAST(COUNT(*) AS BIGINT) FROM base) AS stored_rows
+UNION ALL SELECT 2, 'late', '2024-02-01 00:00:00', (SELECT CAST(COUNT(*) AS BIGINT) FROM batch), (SELECT CAST(COUNT(*) AS BIGINT) FROM sales)""")
+for _d in ("date", "store", "product", "customer"):
+    SQL[f"load_dim_{_d}"] = _after_loads(f"SELECT * FROM dim_{_d}")
+SQL["load_fact"] = _after_loads(
+    "SELECT " + ", ".join(f"CAST(f.{c} AS DOUBLE) AS {c}" if c in ("discount_pct", "subtotal_sgd", "gst_rate", "gst_amount_sgd", "total_sgd", "gross_profit_sgd")
+                          else f"f.{c}" for c in S.FACT_COLUMNS) + ", s.loaded_at FROM fact f JOIN sales s ON f.transaction_id = s.transaction_id")
+for _m in MART_SQL:
+    SQL[f"load_mart_{_m}"] = _after_loads(f"SELECT * FROM mart_{_m}")
 SQL["append_load"] = with_base("""
 SELECT store_name, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(SUM(total_sgd) AS DOUBLE) AS total FROM sales GROUP BY store_name""")
 SQL["load_check"] = """

@@ -180,6 +180,7 @@ from pyspark.sql import types as T  # noqa: E402
 from mercato import schemas as S  # noqa: E402
 from mercato.sources import csv_ingest as CI  # noqa: E402
 from mercato.sources import sinks  # noqa: E402
+from mercato.sources.loads import LoadedTable  # noqa: E402
 
 
 def _csv_ingest(s, d):
@@ -193,13 +194,14 @@ def _csv_ingest(s, d):
 
 
 def _append_load(s, d):
-    """Two loads into one table, the second appended; rows and money per store of the stored table."""
-    path = W.scratch(s, d, "append")
-    sales = W.sales(s, d).select("date", "store_name", "total_sgd")
+    """Two loads into one table, the second appended and then repeated; rows and money per store of the stored table."""
+    table = LoadedTable(s, W.scratch(s, d, "append"))
+    sales = W.sales(s, d).select("transaction_id", "date", "store_name", "total_sgd")
     first = F.coalesce(F.col("date") < F.lit(OQ.UPSERT_BATCH_FROM).cast("date"), F.lit(False))
-    sinks.write_table(sales.filter(first), path)
-    sinks.write_table(sales.filter(~first), path, mode="append")
-    return (s.read.parquet(path).groupBy("store_name")
+    table.append(sales.filter(first), "first")
+    for _ in range(2):
+        table.append(sales.filter(~first), "second")
+    return (table.read().groupBy("store_name")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_sgd").cast("double").alias("total")))
 
 
@@ -242,3 +244,76 @@ def _sql_payment(s, d):
 
 
 register("sql_payment_methods", OQ.SQL["payment_methods"])(_sql_payment)
+
+
+# -- incremental loads: stored upsert, keys and marts after it (X1, E1, M1-M7) ------------------
+from datetime import datetime  # noqa: E402
+
+from mercato.plans import loading as L  # noqa: E402
+
+FIRST_LOAD, LATE_LOAD = datetime(2024, 1, 1), datetime(2024, 2, 1)
+
+
+def base_rows(sales: DataFrame) -> DataFrame:
+    return sales.filter("hour <> 11")
+
+
+def late_batch(sales: DataFrame) -> DataFrame:
+    """Corrections (another day, a new store, other money; some with an outdated twin), rows that came late, and new rows."""
+    hour = F.col("hour")
+    fixes = (sales.filter((F.col("date") >= F.lit(OQ.UPSERT_BATCH_FROM).cast("date")) & (hour % 3 == 0))
+             .withColumn("date", F.when(hour % 2 == 0, F.date_add("date", 31)).otherwise(F.col("date")))
+             .withColumn("store_name", F.when(F.col("quantity") % 5 == 0, F.concat(F.lit("New "), "store_name")).otherwise(F.col("store_name")))
+             .withColumn("subtotal_sgd", (F.col("subtotal_sgd") + 1).cast("decimal(18,4)"))
+             .withColumn("total_sgd", (F.col("total_sgd") + 1).cast("decimal(18,6)")))
+    new = (sales.filter(hour == 5).withColumn("transaction_id", F.concat("transaction_id", F.lit("-b")))
+           .withColumn("product_name", F.when(F.col("quantity") > 40, F.concat("product_name", F.lit(" v2"))).otherwise(F.col("product_name"))))
+    return (fixes.unionByName(fixes.filter(hour == 21).withColumn("date", F.date_sub("date", 1)))
+            .unionByName(sales.filter(hour == 11)).unionByName(new))
+
+
+_LOADED: dict = {}
+
+
+def loaded(s, d) -> L.LoadedWarehouse:
+    """The warehouse after both loads, the second one repeated."""
+    key = W._key(s, d)
+    if key not in _LOADED:
+        w = L.LoadedWarehouse(s, W.scratch(s, d, "loaded"), S.fixture_star_config())
+        sales = W.sales(s, d)
+        w.load(base_rows(sales), "base", FIRST_LOAD)
+        for _ in range(2):
+            w.load(late_batch(sales), "late", LATE_LOAD)
+        _LOADED[key] = w
+    return _LOADED[key]
+
+
+def _moment(c: str = "loaded_at"):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias("loaded_at")
+
+
+def _upsert_table(s, d):
+    """Rows of a stored table after two loads, the second upserted and then repeated."""
+    cols = ["transaction_id", "date", "store_name", "product_name", "quantity", "total_sgd"]
+    table = LoadedTable(s, W.scratch(s, d, "upsert"), ("year", "month"))
+    sales = W.sales(s, d)
+    for rows, name, moment in ((base_rows(sales), "base", FIRST_LOAD), (late_batch(sales), "late", LATE_LOAD), (late_batch(sales), "late", LATE_LOAD)):
+        table.upsert(sinks.with_year_month(rows.select(*cols)), "transaction_id", ["date"], name, moment)
+    return table.read().select(*[c for c in cols if c != "total_sgd"], F.col("total_sgd").cast("double").alias("total_sgd"), _moment(), "year", "month")
+
+
+register("upsert_table", OQ.SQL["upsert_table"])(_upsert_table)
+register("load_ledger", OQ.SQL["load_ledger"])(
+    lambda s, d: loaded(s, d).fact.ledger().select("version", "load_id", _moment(), "rows", "stored_rows"))
+for _d in ("date", "store", "product", "customer"):
+    register(f"load_dim_{_d}", OQ.SQL[f"load_dim_{_d}"])(lambda s, d, n=f"dim_{_d}": loaded(s, d).dim(n))
+
+
+def _load_fact(s, d):
+    rows = loaded(s, d).fact.read()
+    return rows.select(*[F.col(c).cast("double").alias(c) if c in DECIMAL_FACT_COLS else F.col(c) for c in S.FACT_COLUMNS], _moment())
+
+
+register("load_fact", OQ.SQL["load_fact"])(_load_fact)
+for _m in marts.MART_SPECS:
+    register(f"load_mart_{_m}", OQ.SQL[f"load_mart_{_m}"])(lambda s, d, n=_m: loaded(s, d).mart(n))

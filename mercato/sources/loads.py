@@ -84,14 +84,14 @@ class LoadedTable:
                 raise
             return self.spark.createDataFrame([], LEDGER)
 
-    def last(self):
-        """Ledger row of the last commit, or None."""
-        return self.ledger().orderBy(F.desc("version")).first()
+    def _state(self, load_id: str | None = None):
+        """version and schema of the last commit (null before the first), and the commit of a load id, in one job."""
+        return self.ledger().agg(F.max("version").alias("version"), F.max_by("schema", "version").alias("schema"),
+                                 F.max(F.when(F.col("load_id") == F.lit(load_id), F.struct("version", "rows", "fingerprint"))).alias("known")).first()
 
     def version(self) -> int:
         """Of the last commit; 0 before the first."""
-        row = self.last()
-        return int(row["version"]) if row else 0
+        return int(self._state()["version"] or 0)
 
     def manifest(self, version: int | None = None) -> DataFrame:
         """(partition columns, load, rows, fingerprint) of the files that are current."""
@@ -103,8 +103,8 @@ class LoadedTable:
 
     def read(self, version: int | None = None, only: DataFrame | None = None) -> DataFrame:
         """The rows of a version (the last by default); `only`: a table of partition values to read."""
-        row = self.last() if version is None else self.ledger().filter(F.col("version") == version).first()
-        if row is None:
+        row = self._state() if version is None else self.ledger().filter(F.col("version") == version).first()
+        if row is None or row["version"] is None:
             raise ValueError(f"{self.path} has no load" + ("" if version is None else f" of version {version}"))
         schema = T.StructType.fromJson(json.loads(row["schema"]))
         current = self.manifest(int(row["version"]))
@@ -123,7 +123,7 @@ class LoadedTable:
         return data.join(current.select(*keys), keys, "left_semi").select(*[f.name for f in schema.fields])
 
     def has(self, load_id: str) -> bool:
-        return self.ledger().filter(F.col("load_id") == load_id).first() is not None
+        return self._state(load_id)["known"] is not None
 
     # -- loading ---------------------------------------------------------------------
     def append(self, rows: DataFrame, load_id: str | None = None, loaded_at: datetime | None = None) -> Load:
@@ -166,18 +166,18 @@ class LoadedTable:
     def _load(self, kind: str, rows: DataFrame, load_id: str | None, loaded_at: datetime | None, plan) -> Load:
         n, mark = fingerprint(rows)
         load_id = load_id if load_id is not None else f"{n}-{mark}"
-        known = self.ledger().filter(F.col("load_id") == load_id).first()
+        state = self._state(load_id)
+        known = state["known"]
         if known is not None:
             if (known["rows"], int(known["fingerprint"])) != (n, mark):
                 raise LoadConflict(f"{self.path}: load {load_id} was {known['rows']} other rows")
             return Load(int(known["version"]), True, n, 0)
-        last = self.last()
-        version = int(last["version"]) + 1 if last else 1
+        version = int(state["version"] or 0) + 1
+        names = T.StructType.fromJson(json.loads(state["schema"])).fieldNames() if version > 1 else None
         moment = loaded_at or datetime.now()
         given = rows.withColumn("loaded_at", F.lit(moment).cast("timestamp"))
-        if last and T.StructType.fromJson(json.loads(last["schema"])).fieldNames() != given.columns:
-            given = given.select(*T.StructType.fromJson(json.loads(last["schema"])).fieldNames())
-        merged, touched = plan(self.read() if last else None, given)
+        given = given.select(*names) if names else given
+        merged, touched = plan(self.read() if version > 1 else None, given)
         folder = f"{self.path}/data/load={version}"
         seen = Observation()
         writer = merged.observe(seen, *fingerprint_columns(merged.columns))
@@ -189,14 +189,18 @@ class LoadedTable:
         stored = T.StructType([*(f for f in schema.fields if f.name not in self.parts), *(schema[c] for c in self.parts)])
         entries = cut_lineage(self.spark.read.schema(stored).parquet(folder).groupBy(*self.parts)
                               .agg(*fingerprint_columns(schema.fieldNames())).filter("rows > 0").withColumn("load", F.lit(version).cast("long")))
-        if self.parts and not entries.filter(" OR ".join(f"`{c}` IS NULL" for c in self.parts)).isEmpty():
+        none = F.col(self.parts[0]).isNull() if self.parts else F.lit(False)
+        for c in self.parts[1:]:
+            none |= F.col(c).isNull()
+        back = entries.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("fingerprint"), F.lit(0)).alias("fingerprint"),
+                           F.count_if(none).alias("none"), F.count("*").alias("n")).first()
+        if back["none"]:
             raise ValueError(f"{self.path}: a partition value is null")
-        back = entries.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("fingerprint"), F.lit(0)).alias("fingerprint")).first()
         if (int(back["rows"]), int(back["fingerprint"])) != (sent := _observed(seen)):
             raise LoadNotStored(f"{folder}: {back['rows']} of {sent[0]} rows are stored, or their content differs")
         columns = [*self.parts, "load", "rows", "fingerprint"]
         manifest = entries.select(*columns)
-        if last and (kind == "append" or self.parts):
+        if version > 1 and (kind == "append" or self.parts):
             old = self.manifest(version - 1)
             manifest = (old if touched is None else old.join(touched, list(self.parts), "left_anti")).select(*columns).union(manifest)
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")   # one row per partition and load
@@ -204,4 +208,4 @@ class LoadedTable:
         row = [(version, load_id, kind, moment, n, str(mark), int(total), schema.json())]
         commit = self.spark.createDataFrame(row, T.StructType.fromDDL(LEDGER.replace("decimal(38,0)", "string")))
         commit.withColumn("fingerprint", F.col("fingerprint").cast("decimal(38,0)")).coalesce(1).write.mode("errorifexists").json(f"{self.path}/commits/commit={version}")
-        return Load(version, False, n, (touched if touched is not None else entries).count())
+        return Load(version, False, n, touched.count() if touched is not None else int(back["n"]))

@@ -5,7 +5,11 @@
     python -m mercato marts   --warehouse DIR
     python -m mercato quality --warehouse DIR
     python -m mercato analyze --warehouse DIR
-    python -m mercato all     --warehouse DIR (--csv PATH | --tables SF_DIR)
+    python -m mercato all     --warehouse DIR (--csv PATH | --tables SF_DIR) [--min-score N] [--quarantine] [--strict]
+
+``all`` runs ingest, star, checks and marts in this order, so a score below
+``--min-score`` stops before any mart is built; CSV files of a folder may have
+different headers.
 
 The warehouse folder holds raw_transactions/, star/, marts/ and quality/;
 on a cluster it must be shared storage. ``analyze`` prints the small result
@@ -34,8 +38,8 @@ def _spark(args):
 
 def _raw(spark, args):
     if args.csv:
-        from mercato.sources.csv_ingest import read_transactions_csv
-        return read_transactions_csv(spark, args.csv)
+        from mercato.sources.csv_ingest import read_transactions_folder
+        return read_transactions_folder(spark, args.csv)
     if args.tables:
         from mercato.sources.sales import sales_from_tables
         return sales_from_tables(spark, args.tables)
@@ -112,6 +116,15 @@ def cmd_analyze(spark, args) -> dict:
     return {"printed": list(frames)}
 
 
+def cmd_all(spark, args) -> dict:
+    """The whole run: the checks come before the marts, so ``--min-score`` stops it there."""
+    from mercato.plans import pipeline as PL
+    out = PL.run_pipeline(spark, _raw(spark, args), args.warehouse, _star_cfg(args), min_score=args.min_score, quarantine_rows=args.quarantine,
+                          strict=args.strict)
+    cmd_analyze(spark, args)
+    return {k: out[k] for k in ("raw_rows", "quarantined", "marts", "quality_score", "conformance", "timings")}
+
+
 COMMANDS = {"ingest": cmd_ingest, "star": cmd_star, "marts": cmd_marts, "quality": cmd_quality,
             "analyze": cmd_analyze}
 
@@ -123,15 +136,16 @@ def main(argv=None) -> None:
     ap.add_argument("--csv")
     ap.add_argument("--tables", help="folder with the TPC-H-like test tables")
     ap.add_argument("--fixture", action="store_true", help="use the test-table lookups for the star")
+    ap.add_argument("--min-score", type=float, help="all: stop before the marts below this quality score")
+    ap.add_argument("--quarantine", action="store_true", help="all: keep rows that fail a HIGH check out of the star")
+    ap.add_argument("--strict", action="store_true", help="all: stop where required columns are missing or types differ")
     ap.add_argument("--master-local", action="store_true", help="start a local session")
     ap.add_argument("--cpus", default="*")
     ap.add_argument("--shuffle-partitions", type=int, default=8)
     args = ap.parse_args(argv)
     spark = _spark(args)
-    steps = list(COMMANDS) if args.command == "all" else [args.command]
-    for step in steps:
-        out = COMMANDS[step](spark, args)
-        print(json.dumps({step: out}, default=str))
+    out = cmd_all(spark, args) if args.command == "all" else COMMANDS[args.command](spark, args)
+    print(json.dumps({args.command: out}, default=str))
 
 
 if __name__ == "__main__":

@@ -5,13 +5,13 @@ row-level kinds a predicate that marks a violating row. Evaluation:
 
 * every row-level check of the fact (NOT NULL, ranges, business logic)
   compiles into ONE aggregate of ``count_if`` -- a single scan;
-* uniqueness is ``count(*) - count(distinct struct(keys))`` (NULLs count as
-  a value, like pandas ``duplicated``);
-* referential integrity rides along in the same scan: the fact is left
-  joined to each dimension's distinct keys and an orphan is a row without a
-  match (a NULL key is an orphan);
-* the monthly minimum comes from the same scan, whose counts are first
-  summed per day and then per month;
+* the monthly minimum and the references to DimDate come from the same scan,
+  whose counts are first summed per day and then per month;
+* a second scan counts the fact's rows per id and per dimension key (GROUPING
+  SETS): repeats of ids, and orphans after an anti-join of the few keys (a
+  NULL key is an orphan);
+* uniqueness of a dimension is ``count(*) - count(distinct struct(keys))``
+  (NULLs count as a value, like pandas ``duplicated``);
 * the other distribution checks aggregate the dimensions.
 
 The results are a small DataFrame (one row per check, stacked from the wide
@@ -41,6 +41,10 @@ NOT_NULL_COLUMNS = ["transaction_id", "date_key", "store_key", "product_key",
                     "customer_key", "total_sgd", "quantity", "payment_method"]
 
 
+#: A detail lists at most so many values, the smallest; the count is of all.
+MAX_LISTED = 1000
+
+
 @dataclass(frozen=True)
 class Check:
     check_id: str
@@ -214,31 +218,23 @@ def _stack(rows: list[Column], source: DataFrame) -> DataFrame:
 
 
 def fact_row_checks(star: Star, checks: list[Check], cfg: S.CheckConfig) -> DataFrame | None:
-    """All row-level fact checks, the monthly minimum and all referential checks in ONE
-    scan of the fact, summed per day, then per month, then in all. Each referenced dimension contributes its distinct keys with a
-    marker column through a left join (distinct keys: no fan-out), so an
-    orphan is a row whose marker is NULL -- a NULL key included."""
+    """All row-level fact checks, the monthly minimum and the date references in one scan of the fact: counts per day, then
+    per month, then in all. A day that DimDate lacks (a NULL one included) makes its rows orphans. No fact row is joined."""
     row_checks = [c for c in checks if c.table == "fact" and c.kind in ("not_null", "predicate")]
-    orphan_checks = [c for c in checks if c.kind == "orphan"]
+    orphan_checks = [c for c in checks if c.kind == "orphan" and c.columns == ("date_key",)]
     month_checks = [c for c in checks if c.kind == "min_group"]
     if not row_checks and not orphan_checks and not month_checks:
         return None
-    fact = star.fact
-    for c in orphan_checks:
-        key = c.columns[0]
-        keys = star.table(c.table).select(key).distinct().withColumn(f"_in_{c.check_id}", F.lit(True))
-        fact = fact.join(keys, key, "left")
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in row_checks:
         cond = F.col(c.columns[0]).isNull() if c.kind == "not_null" else c.violation(cfg)
         aggs.append(F.count_if(cond).alias(c.check_id))
-    for c in orphan_checks:
-        aggs.append(F.count_if(F.col(f"_in_{c.check_id}").isNull()).alias(c.check_id))
-    names = ["_rows"] + [c.check_id for c in row_checks + orphan_checks]
+    names = ["_rows"] + [c.check_id for c in row_checks]
     days = star.dim_date.select("date_key", "year", "month", F.lit(True).alias("_day")).distinct()
-    by_month = (fact.groupBy("date_key").agg(*aggs).join(days, "date_key", "left")
+    by_month = (star.fact.groupBy("date_key").agg(*aggs).join(days, "date_key", "left")
                 .groupBy("_day", "year", "month").agg(*[F.sum(n).alias(n) for n in names]))
     wide = by_month.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names],
+                        F.coalesce(F.sum(F.when(F.col("_day").isNull(), F.col("_rows"))), F.lit(0)).alias("_dayless"),
                         F.min(F.when(F.col("_day"), F.col("_rows"))).alias("_least"))
     rows = []
     for c in month_checks:
@@ -249,11 +245,42 @@ def fact_row_checks(star: Star, checks: list[Check], cfg: S.CheckConfig) -> Data
         pct = percent_text(c.check_id, "_rows")
         rows.append(_row(c, n == 0, _found(c.detail, n, pct=pct), n))
     for c in orphan_checks:
-        n = F.col(c.check_id)
+        n = F.col("_dayless")
         rows.append(_row(c, n == 0, _found(c.detail, n), n))
     return _stack(rows, wide)
 
 
+def fact_key_checks(star: Star, checks: list[Check]) -> DataFrame | None:
+    """Uniqueness of the fact's id and its references to dimensions, in one scan of the fact.
+
+    A GROUPING SETS aggregate counts the rows of every id and of every dimension key (partial counts per task, so a hot key
+    ships one row a task). The ids' repeats are summed at once; only the few dimension keys that occur are then joined to
+    their dimensions, and a key without a match (a NULL one included) makes all its rows orphans."""
+    unique = [c for c in checks if c.kind == "unique" and c.table == "fact"]
+    orphan = [c for c in checks if c.kind == "orphan" and c.columns != ("date_key",)]
+    if not unique and not orphan:
+        return None
+    sets = [list(c.columns) for c in unique + orphan]
+    columns = list(dict.fromkeys(x for s in sets for x in s))
+    gid = F.grouping_id()
+    of = {c.check_id: sum(1 << (len(columns) - 1 - i) for i, x in enumerate(columns) if x not in c.columns) for c in unique + orphan}
+    which = F.coalesce(*[F.when(F.col("_gid") == g, F.lit(cid)) for cid, g in of.items()])
+    key = F.coalesce(*[F.when(which == c.check_id, F.col(c.columns[0])) for c in orphan], F.lit(None).cast("long"))
+    counts = (star.fact.groupingSets(sets, *columns).agg(F.count(F.lit(1)).alias("_n"), gid.alias("_gid"))
+              .select(which.alias("_check"), key.alias("_key"), "_n")
+              .groupBy("_check", "_key").agg(F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_repeats")))
+    known = None
+    for c in orphan:
+        keys = star.table(c.table).select(F.lit(c.check_id).alias("_check"), F.col(c.columns[0]).cast("long").alias("_key"), F.lit(True).alias("_known")).distinct()
+        known = keys if known is None else known.unionByName(keys)
+    counts = counts.withColumn("_known", F.lit(None)) if known is None else counts.join(known, ["_check", "_key"], "left")
+    bad = {c.check_id: F.when(F.col("_check") == c.check_id, F.col("_repeats")) for c in unique}
+    bad |= {c.check_id: F.when((F.col("_check") == c.check_id) & F.col("_known").isNull(), F.col("_n")) for c in orphan}
+    wide = counts.agg(*[F.coalesce(F.sum(x), F.lit(0)).cast("long").alias(cid) for cid, x in bad.items()])
+    rows = [_row(c, F.col(c.check_id) == 0, _found(c.detail, F.col(c.check_id)), F.col(c.check_id)) for c in unique + orphan]
+    return _stack(rows, wide)
+
+
 def unique_check(df: DataFrame, c: Check) -> DataFrame:
     keys = F.struct(*[F.col(k) for k in c.columns])
     wide = df.agg((F.count(F.lit(1)) - F.count_distinct(keys)).alias("n"))
@@ -280,11 +307,12 @@ def year_range_check(dim_date: DataFrame, c: Check, cfg: S.CheckConfig) -> DataF
 
 def distinct_count_check(dim: DataFrame, c: Check, expected: int) -> DataFrame:
     col = c.columns[0]
-    # distinct values of a low-cardinality attribute (regions, years)
     values = dim.select(col).distinct()
-    wide = values.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.col(col))).alias("vals"))
+    listed = values.filter(F.col(col).isNotNull()).orderBy(col).limit(MAX_LISTED).agg(F.sort_array(F.collect_list(F.col(col)))).scalar()
+    wide = values.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(col)).alias("known")).select("n", "known", listed.alias("vals"))
     n = F.col("n")
     text = _py_list(F.col("vals"), quote=isinstance(dim.schema[col].dataType, StringType))
+    text = F.when(F.col("known") > MAX_LISTED, F.concat(F.rtrim(text, F.lit("]")), F.lit(", ...]"))).otherwise(text)
     return _stack([_row(c, n == expected, _found(c.detail, n, values=text), n)], wide)
 
 
@@ -298,8 +326,11 @@ def run_checks(star: Star, cfg: S.CheckConfig | None = None, checks: list[Check]
     fr = fact_row_checks(star, checks, cfg)
     if fr is not None:
         parts.append(fr)
+    keyed = fact_key_checks(star, checks)
+    if keyed is not None:
+        parts.append(keyed)
     for c in checks:
-        if c.kind == "unique":
+        if c.kind == "unique" and c.table != "fact":
             parts.append(unique_check(star.table(c.table), c))
         elif c.kind == "year_range":
             parts.append(year_range_check(star.table(c.table), c, cfg))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from mercato import schemas as S
-from mercato.plans.oracle import MART_SQL, mean, money_sum, rmean, with_base
+from mercato.plans.oracle import MART_SQL, map_sql, mean, money_sum, rmean, with_base
 
 # Filter used by the registered dashboard queries (years x regions).
 FILTER_YEARS = (1997, 1998, 1999)
@@ -425,3 +425,46 @@ SELECT store_name, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(SUM(total_sgd) AS DO
 SQL["load_check"] = """
 SELECT CAST(COUNT(*) AS BIGINT) AS expected, CAST(COUNT(*) AS BIGINT) AS stored, TRUE AS ok FROM lineitem"""
 SQL["sample_rows"] = with_base("SELECT transaction_id, date, store_name FROM sales ORDER BY date, transaction_id LIMIT 3")
+SQL["sketch_check"] = with_base("""
+SELECT s.region, TRUE AS p50_ok, TRUE AS p95_ok, TRUE AS distinct_ok
+FROM fact f JOIN dim_store s ON f.store_key = s.store_key JOIN dim_date d ON f.date_key = d.date_key
+WHERE s.region IS NOT NULL GROUP BY s.region""")
+SQL["source_guard"] = """
+SELECT 'lineitem' AS name, 'ok' AS status, CAST(COUNT(*) AS BIGINT) AS n_rows FROM lineitem
+UNION ALL SELECT 'supplier', 'ok', CAST(COUNT(*) AS BIGINT) FROM supplier
+UNION ALL SELECT 'no_such_table', 'PATH_NOT_FOUND', NULL"""
+SQL["conformance"] = """
+SELECT name, missing, other_types, n_rows
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n_rows FROM lineitem),
+     (VALUES ('as_loaded', '', ''), ('no_region', 'region', ''), ('text_quantity', '', 'quantity')) v(name, missing, other_types)"""
+SQL["filter_guard"] = with_base(f"""
+SELECT choice, (SELECT COUNT(*) FROM fact f JOIN dim_date d ON f.date_key = d.date_key JOIN dim_store s ON f.store_key = s.store_key
+                WHERE (choice = 'all' OR (choice = 'default' AND d.year IN ({_years}) AND s.region IN ({_regions}))
+                       OR (choice = 'no_such_year' AND d.year = 1901) OR (choice = 'no_such_region' AND s.region = 'MARS'))) > 0 AS has_rows
+FROM (VALUES ('default'), ('all'), ('no_such_year'), ('no_such_region')) v(choice)""")
+
+
+def _list(names) -> str:
+    return "[" + ", ".join("'" + n.replace("'", "''") + "'" for n in names) + "]"
+
+
+_fixed_stores, _fixed_categories = [*S.STORE_SIZES, "Unknown store", "Other store"], [*S.CATEGORY_MARGINS, "Unknown category"]
+_FIXED = f"""
+named AS (
+  SELECT {_list(_fixed_stores)}[CAST(regexp_extract(store_name, '(\\d+)$', 1) AS INTEGER) % {len(_fixed_stores)} + 1] AS store_name, region, product_name,
+         {_list(_fixed_categories)}[(length(product_name) + quantity) % {len(_fixed_categories)} + 1] AS category
+  FROM sales)"""
+SQL["dim_store_fixed"] = with_base(f"""
+SELECT CAST(row_number() OVER (ORDER BY store_name NULLS FIRST, region NULLS FIRST) AS BIGINT) AS store_key, store_name, region,
+       upper(substring(region, 1, 3)) AS region_code, {map_sql('store_name', S.STORE_SIZES, 'Medium')} AS store_size,
+       {map_sql('store_name', S.TOURIST_AREAS, 0, 'INTEGER')} AS is_tourist_area
+FROM (SELECT DISTINCT store_name, region FROM named)""", _FIXED)
+SQL["dim_product_fixed"] = with_base(f"""
+SELECT CAST(row_number() OVER (ORDER BY product_name NULLS FIRST, category NULLS FIRST) AS BIGINT) AS product_key, product_name, category,
+       {map_sql('category', S.CATEGORY_GROUPS, 'Other')} AS category_group, {map_sql('category', S.CATEGORY_MARGINS, 0.30, 'DOUBLE')} AS base_gp_margin,
+       CAST({map_sql('category', S.CATEGORY_GROUPS, 'Other')} = 'Perishables' AS INTEGER) AS is_fresh_item
+FROM (SELECT DISTINCT product_name, category FROM named)""", _FIXED)
+SQL["csv_folder"] = with_base("""
+SELECT transaction_id, date, store_name, CASE WHEN hour < 12 THEN region END AS region,
+       CASE WHEN quantity NOT IN (7, 9) THEN quantity END AS quantity, CAST(total_sgd AS DOUBLE) AS total_sgd,
+       CASE WHEN quantity = 9 THEN 'quantity' ELSE '' END AS bad_columns FROM sales""")

@@ -19,6 +19,7 @@ from mercato.operators import marts as MT
 from mercato.operators import quality as Q
 from mercato.operators.star import Star, build_star
 from mercato.sources import sinks
+from mercato.sources.csv_ingest import conformance
 from mercato.streaming import incremental as INC
 
 
@@ -36,6 +37,10 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, mode: str = "overwrit
     return {"path": path, "rows": check["stored"], "added": added}
 
 
+class ConformanceError(RuntimeError):
+    """The input lacks required columns or has other types; nothing was written."""
+
+
 class QualityGateError(RuntimeError):
     """The quality score is below the gate; no mart was built."""
 
@@ -82,11 +87,15 @@ def run_quality(star: Star, root: str, cfg: S.CheckConfig | None = None) -> dict
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, star_cfg: S.StarConfig | None = None,
                  check_cfg: S.CheckConfig | None = None, min_score: float | None = None,
-                 quarantine_rows: bool = False) -> dict:
+                 quarantine_rows: bool = False, strict: bool = False) -> dict:
     """All stages. The checks run before any mart is built: below ``min_score`` the run stops there
     (``QualityGateError``; the report is written). ``quarantine_rows`` keeps rows that fail a HIGH row
-    check out of the star and writes them to quarantine/. By default all rows are loaded and reported on."""
+    check out of the star and writes them to quarantine/. By default all rows are loaded and reported on. ``strict`` stops
+    before anything is written where required columns are missing or types differ (``ConformanceError``)."""
     timings, t = {}, time.time()
+    shape = conformance(raw)
+    if strict and (shape["missing_required"] or shape["type_mismatch"]):
+        raise ConformanceError(f"missing: {shape['missing_required']}, other types: {shape['type_mismatch']}")
     info = ingest(spark, raw, root)
     timings["ingest"] = time.time() - t
     t = time.time()
@@ -102,4 +111,4 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, star_cfg: S.Sta
     mart_tables = build_all_marts(spark, star, root)
     timings["marts"] = time.time() - t
     return {"raw_rows": info["rows"], "quarantined": quarantined, "marts": sorted(mart_tables), "quality_score": report["quality_score"],
-            "timings": timings}
+            "conformance": shape, "report": report, "timings": timings}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators import marts
+from mercato.operators import star as ST
 from mercato.operators.star import orphan_counts
 from mercato.plans import oracle as O
 from mercato.plans import warehouse as W
@@ -317,3 +318,110 @@ def _load_fact(s, d):
 register("load_fact", OQ.SQL["load_fact"])(_load_fact)
 for _m in marts.MART_SPECS:
     register(f"load_mart_{_m}", OQ.SQL[f"load_mart_{_m}"])(lambda s, d, n=_m: loaded(s, d).mart(n))
+
+
+# -- sketches per year and region, held against the exact answers (D13, D15) -----------------------
+from mercato.operators import sketch as K  # noqa: E402
+
+
+def _sketch_check(s, d):
+    """Per region and in all: do the merged sketches answer within their stated error? The exact rank of an estimate is counted."""
+    rows = X.filtered_sales(W.star(s, d), X.SalesFilter()).select("region", "year", "total_sgd", "transaction_id")
+    path = W.scratch(s, d, "sketches")
+    K.sketch_states(rows, ["region", "year"], "total_sgd", "transaction_id").write.mode("overwrite").parquet(path)
+    states = s.read.parquet(path)
+    by_region = K.estimates(K.merged(states, ["region"]), {"p50": 0.5, "p95": 0.95})
+    value = F.col("total_sgd").cast("double")
+    held = rows.join(by_region.select("region", "p50", "p95"), "region").groupBy("region").agg(
+        F.count_distinct("transaction_id").alias("ids"), F.count("total_sgd").alias("n"), F.count_if(value <= F.col("p50")).alias("r50"),
+        F.count_if(value <= F.col("p95")).alias("r95"))
+
+    def near(rank: str, q: float):
+        return F.abs(F.col(rank) / F.col("n") - q) <= K.RANK_ERROR
+    return held.join(by_region.select("region", "n_distinct"), "region").select(
+        "region", near("r50", 0.5).alias("p50_ok"), near("r95", 0.95).alias("p95_ok"),
+        (F.abs(F.col("n_distinct") / F.col("ids") - 1) <= K.COUNT_ERROR).alias("distinct_ok"))
+
+
+register("sketch_check", OQ.SQL["sketch_check"])(_sketch_check)
+
+
+# -- SQL text with parameters (A4, B6), guards (A2, B16, B18), fixed lookups (S2, S3), CSV folder (A1) ---------
+def _sql_filtered(s, d):
+    SV.register_views(W.star(s, d), W.marts(s, d))
+    return SV.filtered_sales(s, OQ.FILTER_YEARS, OQ.FILTER_REGIONS)
+
+
+register("sql_filtered_kpis", OQ.SQL["filtered_kpis"])(lambda s, d: X.filtered_kpis(_sql_filtered(s, d)))
+register("sql_filtered_monthly", OQ.SQL["filtered_monthly"])(lambda s, d: X.filtered_monthly(_sql_filtered(s, d)))
+
+
+def _source_guard(s, d):
+    """Tables that are there with their rows, and what reading a missing one says."""
+    from pyspark.errors import AnalysisException
+
+    from mercato.sources.tables import read_table
+    out = None
+    for name in ("lineitem", "supplier", "no_such_table"):
+        try:
+            part = read_table(s, d, name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), F.lit("ok").alias("status"), "n_rows")
+        except AnalysisException as e:
+            part = s.range(1).select(F.lit(name).alias("name"), F.lit(e.getCondition()).alias("status"), F.lit(None).cast("long").alias("n_rows"))
+        out = part if out is None else out.union(part)
+    return out
+
+
+def _conformance(s, d):
+    """Required columns and fixed types of the sales, of the sales without a region, and with the quantity as text."""
+    sales, out = W.sales(s, d), None
+    for name, df in (("as_loaded", sales), ("no_region", sales.drop("region")), ("text_quantity", sales.withColumn("quantity", F.col("quantity").cast("string")))):
+        found = CI.conformance(df)
+        part = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("name"), F.lit(",".join(found["missing_required"])).alias("missing"), F.lit(",".join(found["type_mismatch"])).alias("other_types"), "n_rows")
+        out = part if out is None else out.union(part)
+    return out
+
+
+def _filter_guard(s, d):
+    """Does a filter choice leave any row?"""
+    star = W.star(s, d)
+    choices = {"default": DEFAULT_FILTER, "all": X.SalesFilter(), "no_such_year": X.SalesFilter(years=(1901,)), "no_such_region": X.SalesFilter(regions=("MARS",))}
+    return s.createDataFrame([(name, X.has_rows(X.filtered_sales(star, flt))) for name, flt in choices.items()], "choice string, has_rows boolean")
+
+
+register("source_guard", OQ.SQL["source_guard"])(_source_guard)
+register("conformance", OQ.SQL["conformance"])(_conformance)
+register("filter_guard", OQ.SQL["filter_guard"])(_filter_guard)
+
+
+def fixed_names(sales: DataFrame) -> DataFrame:
+    """Sales under the names of the fixed lookup tables (and two names that they lack), by supplier number and by part type."""
+    stores, categories = [*S.STORE_SIZES, "Unknown store", "Other store"], [*S.CATEGORY_MARGINS, "Unknown category"]
+
+    def pick(names: list[str], n):
+        return F.element_at(F.array(*[F.lit(x) for x in names]), (n % len(names) + 1).cast("int"))
+    number = F.regexp_extract("store_name", r"(\d+)$", 1).cast("int")
+    return sales.withColumn("store_name", pick(stores, number)).withColumn("category", pick(categories, F.length("product_name") + F.col("quantity")))
+
+
+register("dim_store_fixed", OQ.SQL["dim_store_fixed"])(
+    lambda s, d: ST.build_dim_store(fixed_names(W.sales(s, d)), S.StarConfig())[0])
+register("dim_product_fixed", OQ.SQL["dim_product_fixed"])(
+    lambda s, d: ST.build_dim_product(fixed_names(W.sales(s, d)), S.StarConfig())[0])
+
+
+def _csv_folder(s, d):
+    """Two CSV folders' files in one: columns in another order, one column missing, null words and bad values; read by name."""
+    path = W.scratch(s, d, "csv_folder")
+    sales = W.sales(s, d).select("transaction_id", "date", "store_name", "region", "quantity", "total_sgd")
+    quantity = F.when(F.col("quantity") == 7, "N/A").when(F.col("quantity") == 9, "nine").otherwise(F.col("quantity").cast("string"))
+    early = F.col("hour") < 12
+    text = W.sales(s, d).select(early.alias("early"), "transaction_id", "date", "store_name", "region", quantity.alias("quantity"), "total_sgd")
+    (text.filter("early").select("transaction_id", "date", "store_name", "region", "quantity", "total_sgd")
+     .write.mode("overwrite").option("header", True).csv(f"{path}/a"))
+    text.filter("NOT early").select("total_sgd", "quantity", "store_name", "transaction_id", "date").write.mode("overwrite").option("header", True).csv(f"{path}/b")
+    got = CI.read_transactions_folder(s, f"{path}/*")
+    return got.select(*[c for c in sales.columns if c != "total_sgd"], F.col("total_sgd").cast("double").alias("total_sgd"), F.col("_bad_columns").alias("bad_columns"))
+
+
+register("csv_folder", OQ.SQL["csv_folder"])(_csv_folder)

@@ -12,6 +12,8 @@ with more or fewer fields than the header is kept whole, as text, in
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,10 +86,41 @@ def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType =
     return df if keep_flags else df.drop(*FLAGS)
 
 
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Column names -> files that begin with them, read by tasks; one row per different header, with its file names, reaches the driver.
+
+    The first line of a file is the first row of its first split. Files without a line are left out."""
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+             .withColumn("place", F.monotonically_increasing_id()).filter("start = 0"))
+    found = lines.groupBy("file").agg(F.min_by("value", "place").alias("line")).groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in found:
+        names = tuple(next(csv.reader([r["line"].lstrip("\ufeff").rstrip("\r")])))
+        out.setdefault(names, []).extend(r["files"])
+    return out
+
+
+def read_transactions_folder(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA, keep_flags: bool = True) -> DataFrame:
+    """CSV files whose headers may differ in order and columns -> the fixed schema, united by column name.
+
+    Files are grouped by header and each group is read under its own; a column that a group lacks is NULL in its rows, and
+    extra columns are kept. Flags are those of ``read_transactions_csv``."""
+    groups = headers(spark, path)
+    if not groups:
+        return read_transactions_csv(spark, path, schema, keep_flags)
+    out = None
+    for names, files in sorted(groups.items()):
+        text = (spark.read.schema(text_schema([*names, CORRUPT])).option("header", True).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False).csv(files))
+        part = typed_from_text(text, schema)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out if keep_flags else out.drop(*FLAGS)
+
+
 def missing_in_header(spark: SparkSession, path: str, required: list[str] = S.REQUIRED_COLUMNS) -> list[str]:
     """Required columns that the files themselves lack (the typed frame has them as NULL)."""
-    header = csv_header(spark, path)
-    return [c for c in required if c not in header]
+    found = list(headers(spark, path)) or [tuple(csv_header(spark, path))]
+    return [c for c in required if any(c not in names for names in found)]
 
 
 def conformance(df: DataFrame, schema: T.StructType = S.RAW_SCHEMA,

@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from mercato import schemas as S
 
 
+MAX_REGIONS = 1000
+
+
 def source_profile(raw: DataFrame) -> DataFrame:
     """Rows, columns, date range, sorted distinct regions, revenue.
 
-    The region list is built from the distinct region values (a
-    low-cardinality attribute), not from rows.
+    The list holds the first MAX_REGIONS distinct regions; where there are more, it ends with "...".
     """
-    regions = raw.select("region").distinct().agg(
-        F.array_join(F.sort_array(F.collect_list("region")), ",")).scalar()
+    first = raw.select("region").filter("region IS NOT NULL").distinct().orderBy("region").limit(MAX_REGIONS + 1)
+    names = F.sort_array(F.collect_list("region"))
+    more = F.when(F.size(names) > MAX_REGIONS, F.concat(F.array_join(F.slice(names, 1, MAX_REGIONS), ","), F.lit(",...")))
+    regions = first.agg(F.coalesce(more, F.array_join(names, ","))).scalar()
     return raw.agg(
         F.count(F.lit(1)).cast("long").alias("rows"),
         F.lit(len(raw.columns)).cast("int").alias("columns"),

@@ -22,6 +22,7 @@ Structured Streaming ingest that quarantines per micro-batch.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +53,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str]) -> D
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str, order: list[str],
                  partition_by: list[str]) -> dict:
     """Upserts ``batch`` into the partitioned Parquet table at ``path``, rewriting only the partitions
-    that hold a row of the batch or a stored row that the batch replaces.
+    that hold a row of the batch or a stored row that the batch replaces. Readers may see it half done; ``sources.loads`` has
+    the upsert that they see whole, with a ledger.
 
     A replay after a failure gives the same table, but for rows without an id: those are inserts. A partition that the batch empties (its rows moved to
     another one) is overwritten with an empty file. The driver sees partition values only."""
@@ -60,16 +62,20 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str, ord
     stored = spark.read.parquet(path)
     ids = batch.select(key).distinct()
     old = stored.select(key, *partition_by).join(ids, key, "left_semi").select(*partition_by).distinct()
-    parts = [tuple(r) for r in batch.select(*partition_by).union(old).distinct().collect()]
+    touched = cut_lineage(batch.select(*partition_by).union(old).distinct())
+    parts = [tuple(r) for r in touched.collect()]
     if not parts:
         return {"touched": 0, "emptied": 0}
-    touched = F.lit(False)
-    for values in parts:
-        same = F.lit(True)
-        for name, value in zip(partition_by, values):
-            same &= F.col(name).eqNullSafe(F.lit(value))
-        touched |= same                                       # literals on partition columns: pruned at planning
-    kept = stored.filter(touched).join(ids, key, "left_anti").select(*batch.columns)
+    # a table of partitions, however many: joined on plain values it prunes the scan, null values are read apart
+    some_null = F.lit(False)
+    for name in partition_by:
+        some_null |= F.col(name).isNull()
+    inside = stored.join(touched.filter(~some_null), partition_by, "left_semi").select(*stored.columns)
+    same, side = F.lit(True), touched.filter(some_null).select(*[F.col(c).alias(f"_p_{c}") for c in partition_by])
+    for name in partition_by:
+        same &= F.col(name).eqNullSafe(F.col(f"_p_{name}"))
+    nulls = stored.filter(some_null).join(side, same, "left_semi").select(*stored.columns)
+    kept = inside.unionByName(nulls).join(ids, key, "left_anti").select(*batch.columns)
     merged = cut_lineage(kept.unionByName(batch))             # fixed before its own source is overwritten
     (merged.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
@@ -119,14 +125,61 @@ def split_valid(df: DataFrame, cfg: S.CheckConfig | None = None) -> tuple[DataFr
             q.filter(F.col("quarantined") == 1))
 
 
-def batch_writer(fact_dir: str, quarantine_dir: str, cfg: S.CheckConfig | None = None):
+def _tag(rows: DataFrame, failed: Column, check_id: str) -> DataFrame:
+    """Adds a check id to the failed checks where `failed` holds."""
+    tags = F.when(failed, F.concat_ws(",", F.nullif(F.col("failed_checks"), F.lit("")), F.lit(check_id))).otherwise(F.col("failed_checks"))
+    return rows.withColumn("failed_checks", tags).withColumn("quarantined", (F.col("failed_checks") != "").cast("int"))
+
+
+def tag_repeats(rows: DataFrame, stored: DataFrame | None, key: str = "transaction_id") -> DataFrame:
+    """Tags K9 on valid rows whose id an earlier row has: in `stored` (a table of ids), or in these rows (one row of an id stays valid).
+
+    Both sides are narrow: ids are counted first, and a row number is chosen per id by an aggregate."""
+    rows = cut_lineage(rows.withColumn("_rid", F.monotonically_increasing_id()))
+    valid = rows.filter(F.col("quarantined") == 0).filter(F.col(key).isNotNull())
+    first = valid.groupBy(key).agg(F.min("_rid").alias("_rid"))
+    if stored is not None:
+        first = first.join(stored.select(key).distinct(), key, "left_anti")
+    rows = rows.join(first.select("_rid", F.lit(True).alias("_first")), "_rid", "left")
+    return _tag(rows, (F.col("quarantined") == 0) & F.col(key).isNotNull() & F.col("_first").isNull(), "K9").drop("_rid", "_first")
+
+
+def tag_unknown(rows: DataFrame, members: DataFrame, columns: list[str], check_id: str) -> DataFrame:
+    """Tags rows whose natural key (NULL equals NULL) is not among the members: distinct values are joined, then the rows flagged."""
+    known = members.select(*[F.col(c).alias(f"_m_{c}") for c in columns], F.lit(True).alias("_known")).distinct()
+    cond = F.lit(True)
+    for c in columns:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_m_{c}"))
+    return _tag(rows.join(known, cond, "left"), F.col("_known").isNull(), check_id).drop("_known", *[f"_m_{c}" for c in columns])
+
+
+def _stored_ids(spark: SparkSession, fact_dir: str, epoch: int) -> DataFrame | None:
+    """Ids that other micro-batches stored (a replayed batch is not held against itself)."""
+    try:
+        return spark.read.parquet(fact_dir).filter(F.col("load_batch") != epoch).select("transaction_id")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
+def batch_writer(fact_dir: str, quarantine_dir: str, cfg: S.CheckConfig | None = None, members: dict[str, tuple[DataFrame, list[str]]] | None = None):
     """The ``foreachBatch`` function of :func:`stream_ingest`. Rows carry
     their micro-batch id as ``load_batch`` and are written with dynamic
     partition overwrite: a replay of batch N (same files, by the stream's
-    offset log) rewrites exactly the partitions batch N wrote."""
+    offset log) rewrites exactly the partitions batch N wrote.
+
+    An id that an earlier micro-batch stored, or that repeats in this one,
+    goes to the quarantine (K9). ``members``: check id -> (members, natural
+    key columns); rows that refer to none of them go there too."""
     def write_batch(batch: DataFrame, epoch: int) -> None:
+        marked = quarantine(batch, cfg)
+        for check_id, (known, columns) in (members or {}).items():
+            marked = tag_unknown(marked, known, columns, check_id)
+        if "transaction_id" in batch.columns:
+            marked = tag_repeats(marked, _stored_ids(batch.sparkSession, fact_dir, epoch))
         # written once, so that the files are parsed once for both sides
-        checked = cut_lineage(quarantine(batch, cfg).withColumn("load_batch", F.lit(epoch).cast("long")))
+        checked = cut_lineage(marked.withColumn("load_batch", F.lit(epoch).cast("long")))
         # rows with a bad value or record are all in the quarantine, with their flags
         good = checked.filter(F.col("quarantined") == 0).drop("failed_checks", "quarantined", "_bad_columns", "_corrupt_record")
         (good.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
@@ -140,7 +193,7 @@ def batch_writer(fact_dir: str, quarantine_dir: str, cfg: S.CheckConfig | None =
 
 def stream_ingest(spark, source_dir: str, fact_dir: str, quarantine_dir: str, checkpoint_dir: str,
                   columns: list[str] | None = None, schema=S.RAW_SCHEMA, cfg: S.CheckConfig | None = None,
-                  trigger_once: bool = True):
+                  trigger_once: bool = True, members: dict[str, tuple[DataFrame, list[str]]] | None = None):
     """File-stream ingest: every new CSV file batch is typed (by header name),
     checked, valid rows are appended to year/month partitions and failing rows
     to the quarantine. ``columns`` is the CSV header; by default it is read
@@ -151,7 +204,7 @@ def stream_ingest(spark, source_dir: str, fact_dir: str, quarantine_dir: str, ch
     text = (spark.readStream.schema(text_schema(header + [CORRUPT])).option("header", True)
             .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False).csv(source_dir))
     typed = typed_from_text(text, schema)
-    write_batch = batch_writer(fact_dir, quarantine_dir, cfg)
+    write_batch = batch_writer(fact_dir, quarantine_dir, cfg, members)
     writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="1 minute")
     return writer.start()

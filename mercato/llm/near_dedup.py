@@ -13,7 +13,7 @@
    full sets. Components are then known for nearly all classes. Buckets that
    still hold several components are verified as a whole inside tasks (exact
    intersection counts by matrix products over the bucket's shared shingles),
-   in blocks of at most ``BLOCK_ROWS`` classes, and only links that join two
+   in blocks bounded by classes and by shingles, and only links that join two
    components come out. No pair of a bucket is left out, and no pair list is
    emitted.
 4. Components by min-label propagation with pointer jumping over checkpoints.
@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from mercato.llm.tables import bitmap, column, cut_lineage, drop_ids, id_bit, one_of_each, with_row_key
 from mercato.llm.words import LOWER, Hasher, find_words, mix, text_slices, windows
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 2048               # classes of a block, at most about
+BLOCK_SHINGLES = 1 << 21        # and their shingles (one longer text is a block of its own)
+ROWS_AT_ONCE, COLUMNS_AT_ONCE = 128, 1024
 _U = np.uint64
 
 
@@ -163,29 +165,37 @@ def _verify(percent: int):
 
 
 def _bucket_links(percent: int):
-    """Links between components inside one block (or pair of blocks) of a bucket."""
+    """Links between components inside one block (or pair of blocks) of a bucket.
+
+    Held at a time: the block's shingles, one count per pair of a row outside the largest component and any row, and
+    slices of ROWS_AT_ONCE rows and COLUMNS_AT_ONCE shingles."""
     def run(table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
         comp = np.unique(table.column("comp").to_numpy(), return_inverse=True)[1]
-        sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in table.column("grams").combine_chunks()]
-        size = np.array([len(x) for x in sets])
-        flat = np.concatenate(sets)
-        row = np.repeat(np.arange(len(sets)), size)
-        _, name, seen = np.unique(flat, return_inverse=True, return_counts=True)
-        shared = seen[name] > 1
-        col = np.unique(name[shared], return_inverse=True)[1]
-        row = row[shared]
+        grams = table.column("grams").combine_chunks()
+        size = np.array([len(v.as_buffer()) // 8 for v in grams])
+        flat = np.concatenate([np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in grams])
+        row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        order = np.argsort(flat, kind="stable")
+        flat, row = flat[order], row[order]
+        del order
+        new = np.ones(len(flat), dtype=bool)
+        new[1:] = flat[1:] != flat[:-1]
+        del flat
+        start = np.flatnonzero(new)
+        many = np.diff(np.append(start, len(row))) > 1            # shingles of one row alone count for no pair
+        col = (np.cumsum(many) - 1).astype(np.int32)[np.cumsum(new) - 1]
+        keep = many[np.cumsum(new) - 1]
+        row, col = row[keep], col[keep]
         major = np.bincount(comp).argmax()
         rest = np.flatnonzero(comp != major)       # every pair of two components has one row here
-        inter = np.zeros((len(rest), len(sets)), dtype=np.float32)
-        width = 2048
-        for c in range(0, int(col.max()) + 1 if len(col) else 0, width):
-            part = (col >= c) & (col < c + width)
-            m = np.zeros((len(sets), width), dtype=np.float32)
-            m[row[part], col[part] - c] = 1
-            inter += m[rest] @ m.T
-        inter = np.rint(inter).astype(np.int64)
-        good = linked(inter, size[rest][:, None], size[None, :], percent) & (comp[rest][:, None] != comp[None, :])
+        inter = np.zeros((len(rest), len(size)), dtype=np.float32)
+        for c in range(0, int(col.max()) + 1 if len(col) else 0, COLUMNS_AT_ONCE):
+            first, last = np.searchsorted(col, [c, c + COLUMNS_AT_ONCE])
+            m = np.zeros((len(size), COLUMNS_AT_ONCE), dtype=np.float32)
+            m[row[first:last], col[first:last] - c] = 1
+            for r in range(0, len(rest), ROWS_AT_ONCE):
+                inter[r:r + ROWS_AT_ONCE] += m[rest[r:r + ROWS_AT_ONCE]] @ m.T
         parent = list(range(int(comp.max()) + 1))
 
         def find(x: int) -> int:
@@ -194,11 +204,15 @@ def _bucket_links(percent: int):
                 x = parent[x]
             return x
         out = []
-        for i, j in zip(*np.nonzero(good)):
-            p, q = find(comp[rest[i]]), find(comp[j])
-            if p != q:
-                parent[p] = q
-                out.append((int(node[rest[i]]), int(node[j])))
+        for r in range(0, len(rest), ROWS_AT_ONCE):
+            some = rest[r:r + ROWS_AT_ONCE]
+            both = np.rint(inter[r:r + ROWS_AT_ONCE]).astype(np.int64)
+            good = linked(both, size[some][:, None], size[None, :], percent) & (comp[some][:, None] != comp[None, :])
+            for i, j in zip(*np.nonzero(good)):
+                p, q = find(comp[some[i]]), find(comp[j])
+                if p != q:
+                    parent[p] = q
+                    out.append((int(node[some[i]]), int(node[j])))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
     return run
 
@@ -241,8 +255,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .withColumn("node", F.monotonically_increasing_id()))
     classes = cut_lineage(classes)
     band = classes.select("node", "n", F.explode("keys").alias("key"))
-    lead = band.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("members")).filter("members > 1")
-    member = cut_lineage(band.join(lead, "key").select("key", "node", "n", "members", F.col("lead.node").alias("a"), F.col("lead.n").alias("an")))
+    lead = (band.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("members"), F.sum("n").alias("shingles"))
+            .filter("members > 1"))
+    member = cut_lineage(band.join(lead, "key").select("key", "node", "n", "members", "shingles", F.col("lead.node").alias("a"), F.col("lead.n").alias("an")))
     star = (member.filter(F.col("a") != F.col("node"))
             .filter((100 * F.least("n", "an")) >= percent * F.greatest("n", "an"))
             .select("a", F.col("node").alias("b")).distinct())
@@ -261,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = member.filter("members > 2").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     open_rows = (known.join(mixed, "key")
-                 .withColumn("blocks", F.ceil(F.col("members") / F.lit(BLOCK_ROWS // 2)).cast("int"))
+                 .withColumn("blocks", F.ceil(F.greatest(F.col("members") / F.lit(BLOCK_ROWS // 2), F.col("shingles") / F.lit(BLOCK_SHINGLES // 2))).cast("int"))
                  .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .select("key", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "node", "comp"))

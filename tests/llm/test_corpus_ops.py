@@ -399,3 +399,53 @@ def test_last_stage_holds_the_token_ids(spark, odd):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_run(spark, name):
     assert QUERIES[name](spark, SF_SMALL).count() > 0
+
+
+def test_bucket_blocks_of_long_texts(monkeypatch):
+    """Links of a block equal those of all pairs, whatever the slices, and long sets stay in bounded memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    base = [rng.integers(0, 2**63, 400).astype(np.uint64) for _ in range(3)]
+    sets = [np.unique(np.concatenate([base[i % 3][:rng.integers(280, 400)], rng.integers(0, 2**63, rng.integers(1, 60)).astype(np.uint64)])) for i in range(150)]
+    comp = rng.integers(0, 40, len(sets))
+    def links(sets, comp):
+        table = pa.table({"node": pa.array(range(len(sets)), pa.int64()), "comp": pa.array(comp, pa.int64()), "grams": pa.array([s.tobytes() for s in sets], pa.binary())})
+        got = near_dedup._bucket_links(80)(table).to_pylist()
+        parent = {c: c for c in comp.tolist()}
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+        for e in got:
+            parent[find(comp[e["a"]])] = find(comp[e["b"]])
+        return {c: find(c) for c in parent}, got
+    parts = []
+    for rows, columns in ((128, 1024), (7, 50)):
+        monkeypatch.setattr(near_dedup, "ROWS_AT_ONCE", rows)
+        monkeypatch.setattr(near_dedup, "COLUMNS_AT_ONCE", columns)
+        root, got = links(sets, comp)
+        parts.append({frozenset(c for c in root if root[c] == r) for r in set(root.values())})
+        for e in got:
+            a, b = sets[e["a"]], sets[e["b"]]
+            inter = len(np.intersect1d(a, b))
+            assert near_dedup.linked(inter, len(a), len(b), 80)
+    want = {c: c for c in comp.tolist()}
+    def find(x):
+        while want[x] != x:
+            x = want[x]
+        return x
+    for i in range(len(sets)):
+        for j in range(i):
+            if near_dedup.linked(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]), 80):
+                want[find(comp[i])] = find(comp[j])
+    whole = {frozenset(c for c in want if find(c) == r) for r in {find(c) for c in want}}
+    assert parts[0] == parts[1] == whole
+    monkeypatch.undo()
+    long = [np.unique(np.concatenate([base[0], rng.integers(0, 2**63, 20000).astype(np.uint64)])) for _ in range(100)]
+    tracemalloc.start()
+    links(long, np.arange(100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * sum(s.nbytes for s in long)

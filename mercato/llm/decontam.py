@@ -4,24 +4,28 @@
    in hashed bins). No word is without weight: an item that many documents hold
    makes its own words frequent, and is still to be found.
 2. The benchmark's passages (overlapping runs of ``PASSAGE`` words) as TF-IDF
-   rows are dealt into blocks that do not outnumber the rank. Each block is
-   factored by a distributed randomised SVD: a hashed Gaussian sketch, one
-   power step, QR, and the eigenvectors of the small Gram matrix. A block's
-   space holds its passages whole, so no passage is shortened in it, however
-   many there are. The term vectors, at most BINS x rank numbers a block, and
-   rank x rank matrices reach the driver.
-3. Every document is read in runs of PASSAGE words, half overlapping. The
-   cosine in the latent space with every passage finds candidates.
-   So does one exact run of ``ANCHOR`` words of each passage (its heaviest; an
+   rows are factored by a distributed randomised SVD: a hashed Gaussian
+   sketch, one power step, QR, and the eigenvectors of the small Gram matrix.
+   The space has `rank` dimensions, whatever the number of passages; at most
+   BINS x rank numbers and rank x rank matrices reach the driver.
+3. Every document is read in runs of PASSAGE words, half overlapping. A
+   truncated space keeps only a part of a passage's length, each its own, so
+   the latent product of run and passage is measured by the passage's kept
+   square: a copy scores 1, a paraphrase about its cosine, and what has only
+   words in common scatters around 0 by about 1 / sqrt(rank). Passages that keep less than
+   ``LEAST_KEPT`` of their length are left to the exact runs.
+   These are one run of ``ANCHOR`` words of each passage (its heaviest; an
    item with fewer words is one run), so an item that is there word for word is
    found whatever stands around it.
 4. A candidate is confirmed on the words themselves: the longest common
    subsequence of the item and the run's surroundings covers enough of the
    item; between the lower and the upper threshold (paraphrases) the item's
-   answer, its last sentence, must be there too.
+   answer, its last sentence, must be there too. Of an item of more than ``PART``
+   words, PART words around the candidate's passage are enough, so a long
+   item quoted in part is found.
 
-The benchmark is the query set. A pass over the documents scores
-``PASS_BLOCKS`` blocks of passages, so what it broadcasts has a fixed bound;
+The benchmark is the query set. A pass over the documents scores up to
+``PASS_PASSAGES`` passages, so what it broadcasts has a fixed bound;
 the work grows with the number of passages.
 """
 
@@ -45,8 +49,10 @@ BINS = 1 << BIN_BITS
 COUNT_BLOCK = 2048
 PASSAGE = 32
 HALF = PASSAGE // 2
-PASS_BLOCKS = 8
+PASS_PASSAGES = 1 << 16
 ANCHOR = 8
+PART = 64
+LEAST_KEPT = 0.25
 LEAST_WEIGHT = 0.1
 #: Directions sketched beyond the rank, as a randomised SVD needs for a flat spectrum.
 OVERSAMPLE = 32
@@ -115,15 +121,13 @@ def word_weights(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.maximum(np.log((total + 1) / (count + 1)), LEAST_WEIGHT).astype(np.float32)
 
 
-def passages(names: np.ndarray, weight: np.ndarray, parts: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(bins, TF-IDF values of unit length) of each run of PASSAGE words, half overlapping, or of the runs numbered in parts."""
+def passages(names: np.ndarray, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(bins, TF-IDF values of unit length) of each run of PASSAGE words, half overlapping."""
     out = []
-    for at in range(0, max(len(names) - HALF, 1), HALF) if parts is None else [HALF * i for i in parts]:
+    for at in range(0, max(len(names) - HALF, 1) if len(names) else 0, HALF):
         b, n = np.unique(bins_of(names[at:at + PASSAGE]), return_counts=True)
         v = n * weight[b]
-        norm = np.sqrt((v * v).sum())
-        if norm > 0:
-            out.append((b[v > 0], (v / norm)[v > 0].astype(np.float64)))
+        out.append((b, (v / np.sqrt((v * v).sum())).astype(np.float64)))
     return out
 
 
@@ -148,23 +152,18 @@ def _spread(total: dict[int, np.ndarray]) -> pa.RecordBatch:
                                       names=["bin", "vec"])
 
 
-def _block_passages(batch: pa.RecordBatch, weight: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(block, bins, values) of the passages of a batch: those that its column mine lists by block, or all as block 0."""
-    mine = batch.column("mine").to_pylist() if "mine" in batch.schema.names else [None] * batch.num_rows
-    for text, lists in zip(batch.column("text").to_pylist(), mine):
-        names = words_of(text or "")
-        for k, parts in enumerate(lists if lists is not None else [None]):
-            for b, v in passages(names, weight, parts):
-                yield k, b, v
+def _all_passages(batch: pa.RecordBatch, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for text in batch.column("text").to_pylist():
+        yield from passages(words_of(text or ""), weight)
 
 
 def _step(weight: np.ndarray, rank: int, vectors: dict[int, np.ndarray] | None):
-    """Partial A'A X of a task's passages, by block and bin (X: the hashed Gaussian, or given vectors)."""
+    """Partial A'A X of a task's passages, by bin (X: the hashed Gaussian, or given vectors)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k, b, v in _block_passages(batch, weight):
-                key = (b + k * BINS).tolist()
+            for b, v in _all_passages(batch, weight):
+                key = b.tolist()
                 x = _gauss(b, rank) if vectors is None else np.stack([vectors[i] for i in key])
                 y = v @ x
                 for i, z in zip(key, v):
@@ -180,49 +179,34 @@ def _collect(step: DataFrame) -> dict[int, np.ndarray]:
 
 def _gram(weight: np.ndarray, vectors: dict[int, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g: dict[int, np.ndarray] = {}
+        g = 0
         for batch in batches:
-            for k, b, v in _block_passages(batch, weight):
-                y = v @ np.stack([vectors[i] for i in (b + k * BINS).tolist()])
-                g[k] = g.get(k, 0) + np.outer(y, y).ravel()
-        yield _spread(g)
+            for b, v in _all_passages(batch, weight):
+                y = v @ np.stack([vectors[i] for i in b.tolist()])
+                g = g + np.outer(y, y).ravel()
+        yield _spread({0: g} if np.ndim(g) else {})
     return run
 
 
 def _ortho(z: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    """The vectors of each block, orthonormalised over its bins."""
-    out: dict[int, np.ndarray] = {}
-    keys = np.array(list(z), dtype=np.int64)
-    for k in np.unique(keys // BINS):
-        mine = keys[keys // BINS == k].tolist()
-        out.update(zip(mine, np.linalg.qr(np.stack([z[i] for i in mine]))[0]))
-    return out
+    """The vectors, orthonormalised over the bins."""
+    return dict(zip(z, np.linalg.qr(np.stack(list(z.values())))[0])) if z else {}
 
 
-def latent_spaces(items: DataFrame, weight: np.ndarray, rank: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each block of passages its bins and their rows of V (bins x rank, orthonormal columns), by randomised SVD.
+def latent_terms(items: DataFrame, weight: np.ndarray, rank: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """Bins of the items' passages and their rows of V (bins x rank, orthonormal columns), by randomised SVD.
 
-    items has the columns text and mine (for each block the numbers of the
-    text's passages in it), or text alone: then all passages are block 0. At
-    most BINS vectors a block reach the driver."""
+    At most BINS vectors of rank + OVERSAMPLE numbers reach the driver."""
+    items = items.select("text")
     q = _ortho(_collect(items.mapInArrow(_step(weight, rank + OVERSAMPLE, None), _VECS)))
     if not q:
-        return {}
+        return np.zeros(0, dtype=np.int64), np.zeros((0, 1), dtype=np.float32)
     q = _ortho(_collect(items.mapInArrow(_step(weight, 0, q), _VECS)))
-    keys = np.array(list(q), dtype=np.int64)
-    out = {}
-    for k, g in _collect(items.mapInArrow(_gram(weight, q), _VECS)).items():
-        mine = keys[keys // BINS == k]
-        base = np.stack([q[i] for i in mine.tolist()])
-        value, vector = np.linalg.eigh(g.reshape(base.shape[1], base.shape[1]))
-        use = value > 1e-9 * max(value.max(), 1e-300)
-        out[k] = mine % BINS, (base @ vector[:, use][:, ::-1][:, :rank]).astype(np.float32)
-    return out
-
-
-def latent_terms(items: DataFrame, weight: np.ndarray, rank: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """latent_spaces of all passages of items as one block."""
-    return latent_spaces(items.select("text"), weight, rank).get(0, (np.zeros(0, dtype=np.int64), np.zeros((0, 1))))
+    base = np.stack(list(q.values()))
+    gram = _collect(items.mapInArrow(_gram(weight, q), _VECS))[0]
+    value, vector = np.linalg.eigh(gram.reshape(base.shape[1], base.shape[1]))
+    use = value > 1e-9 * max(value.max(), 1e-300)
+    return np.array(list(q), dtype=np.int64), (base @ vector[:, use][:, ::-1][:, :rank]).astype(np.float32)
 
 
 def lcs_length(item_at: dict[int, int], n: int, words: list[int]) -> int:
@@ -255,46 +239,49 @@ def answer_words(text: str) -> list[int]:
 
 @dataclass
 class _Space:
-    """One block of passages: slot of each bin, term vectors; passage vectors and the item of each."""
+    """Slot of each bin, term vectors; of every passage its latent vector over its kept square, item, number and kept length."""
 
     slot: np.ndarray
     terms: np.ndarray
     vectors: np.ndarray
     owner: np.ndarray
+    part: np.ndarray
+    kept: np.ndarray
 
 
 @dataclass
 class _Anchors:
-    """Names of exact runs of k words (sorted), the item of each, and a bitmap of their upper bits."""
+    """Names of exact runs of k words (sorted), the item and passage of each, and a bitmap of their upper bits."""
 
     k: int
     name: np.ndarray
     owner: np.ndarray
+    part: np.ndarray
     bits: np.ndarray
 
 
-def _anchors(names: list[np.ndarray], parts: list[list[int]], weight: np.ndarray) -> list[_Anchors]:
-    """The heaviest run of ANCHOR words in each of an item's passages in parts; shorter items whole."""
+def _anchors(names: list[np.ndarray], weight: np.ndarray) -> list[_Anchors]:
+    """The heaviest run of ANCHOR words in each passage of each item; shorter items whole."""
     found: dict[int, set] = {}
-    for i, (w, mine) in enumerate(zip(names, parts)):
+    for i, w in enumerate(names):
         k = min(ANCHOR, len(w))
         g = windows(w, np.array([0, len(w)]), k)[0]
         total = np.convolve(weight[bins_of(w)], np.ones(k), "valid")
-        for at in (p * HALF for p in mine):
+        for p, at in enumerate(range(0, max(len(w) - HALF, 1), HALF)):
             lo, hi = min(at, len(g) - 1), max(min(at + PASSAGE - k + 1, len(g)), 1)
-            found.setdefault(k, set()).add((int(g[lo + total[lo:hi].argmax()]), i))
+            found.setdefault(k, set()).add((int(g[lo + total[lo:hi].argmax()]), i, p))
     out = []
-    for k, pairs in sorted(found.items()):
-        pairs = sorted(pairs)
-        name, owner = np.array([g for g, _ in pairs], dtype=np.uint64), np.array([i for _, i in pairs], dtype=np.int64)
+    for k, rows in sorted(found.items()):
+        rows = sorted(rows)
+        name, owner, part = np.array([g for g, _, _ in rows], dtype=np.uint64), *(np.array([r[j] for r in rows], dtype=np.int64) for j in (1, 2))
         bits = np.zeros(1 << 20, dtype=bool)
         bits[name >> np.uint64(44)] = True
-        out.append(_Anchors(k, name, owner, bits))
+        out.append(_Anchors(k, name, owner, part, bits))
     return out
 
 
-def exact_runs(names: np.ndarray, first: np.ndarray, a: _Anchors) -> Iterator[tuple[int, int, int]]:
-    """(row, first word of the block it starts in, item number) of the anchors in a slice."""
+def exact_runs(names: np.ndarray, first: np.ndarray, a: _Anchors) -> Iterator[tuple[int, int, int, int]]:
+    """(row, first word of the block it starts in, item number, passage number) of the anchors in a slice."""
     g, row = windows(names, first, a.k)
     if not len(g):
         return
@@ -304,37 +291,42 @@ def exact_runs(names: np.ndarray, first: np.ndarray, a: _Anchors) -> Iterator[tu
     lo, hi = (np.searchsorted(a.name, g[hit], side) for side in ("left", "right"))
     for h, x, y in zip(hit[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
         for i in range(x, y):
-            yield int(row[h]), int(start[h]) // HALF * HALF, int(a.owner[i])
+            yield int(row[h]), int(start[h]) // HALF * HALF, int(a.owner[i]), int(a.part[i])
 
 
 @dataclass
 class _Queries:
-    """The benchmark items of one pass: ids, words, answers; the spaces of their passages."""
+    """The benchmark items of one pass: ids, words, answers; the space of their passages."""
 
     ids: list
     words: list[list[int]]
     answers: list[list[int]]
-    spaces: list[_Space]
+    space: _Space
     anchors: list[_Anchors]
 
 
-def _queries(rows: list, weight: np.ndarray, spaces: dict[int, tuple[np.ndarray, np.ndarray]]) -> _Queries:
+def space_of(names: list[np.ndarray], weight: np.ndarray, bins: np.ndarray, terms: np.ndarray) -> _Space:
+    """The passages of items (words by name) in a latent space."""
+    slot = np.full(BINS, -1, dtype=np.int32)
+    slot[bins] = np.arange(len(bins))
+    vectors, owner, part, kept = [], [], [], []
+    for i, w in enumerate(names):
+        for p, (b, v) in enumerate(passages(w, weight)):
+            x = v @ terms[slot[b]]
+            norm = float(np.linalg.norm(x))
+            if norm >= LEAST_KEPT:
+                vectors.append(x / norm**2)
+                owner.append(i)
+                part.append(p)
+                kept.append(norm)
+    return _Space(slot, terms, np.array(vectors, dtype=np.float32).reshape(-1, terms.shape[1]), np.array(owner, dtype=np.int64),
+                  np.array(part, dtype=np.int64), np.array(kept))
+
+
+def _queries(rows: list, weight: np.ndarray, bins: np.ndarray, terms: np.ndarray) -> _Queries:
     names = [words_of(r["text"]) for r in rows]
-    out = _Queries([r["item_id"] for r in rows], [n.tolist() for n in names], [answer_words(r["text"]) for r in rows], [],
-                   _anchors(names, [[p for parts in r["mine"] for p in parts] for r in rows], weight))
-    for k, (bins, terms) in spaces.items():
-        slot = np.full(BINS, -1, dtype=np.int32)
-        slot[bins] = np.arange(len(bins))
-        vectors, owner = [], []
-        for i, r in enumerate(rows):
-            for b, v in passages(names[i], weight, r["mine"][k]):
-                x = v @ terms[slot[b]]
-                norm = np.linalg.norm(x)
-                if norm > 1e-6:
-                    vectors.append(x / norm)
-                    owner.append(i)
-        out.spaces.append(_Space(slot, terms, np.array(vectors, dtype=np.float32).reshape(-1, terms.shape[1]), np.array(owner, dtype=np.int64)))
-    return out
+    return _Queries([r["item_id"] for r in rows], [n.tolist() for n in names], [answer_words(r["text"]) for r in rows],
+                    space_of(names, weight, bins, terms), _anchors(names, weight))
 
 
 @dataclass
@@ -370,11 +362,11 @@ class _Runs:
         return size + np.where(self.joined, np.append(size[1:], 0), 0)
 
 
-def candidates(runs: _Runs, space: _Space, cosine: float) -> Iterator[tuple[int, int, int, float]]:
-    """(row, first word of the run, item number, cosine) of the runs of a slice near a passage."""
+def candidates(runs: _Runs, space: _Space, cosine: float) -> Iterator[tuple[int, int, int, int, float]]:
+    """(row, first word of the run, item number, passage number, score) of the runs of a slice near a passage."""
     terms = space.terms
     known = (space.slot[runs.bins] >= 0) & (runs.weight > 0)
-    # no passage can be nearer than the share of the run's words that are in the space
+    # a run with this cosine to a passage has as large a share of its weight in the benchmark's words
     live = (runs.energy(known) >= 0.99 * cosine**2 * runs.norm2) & (runs.norm2 > 0)
     need = live.copy()
     need[1:] |= live[:-1] & runs.joined[:-1]
@@ -393,13 +385,13 @@ def candidates(runs: _Runs, space: _Space, cosine: float) -> Iterator[tuple[int,
     near = np.flatnonzero(live)
     x = part[at[near]] + np.where(runs.joined[near][:, None], part[at[near] + 1], 0)
     norm = np.sqrt(runs.norm2[near])
-    inside = np.sqrt(np.einsum("ij,ij->i", x, x)) >= cosine * norm      # nor than its part inside the space
+    inside = np.sqrt(np.einsum("ij,ij->i", x, x)) >= cosine * space.kept.min() * norm       # a smaller latent vector reaches no score
     near, x, norm = near[inside], x[inside], norm[inside]
     for lo in range(0, len(near), 4096):
         score = (x[lo:lo + 4096] @ space.vectors.T) / norm[lo:lo + 4096, None]
         for r, c in zip(*np.nonzero(score >= cosine)):
             k = near[lo + r]
-            yield int(runs.row[k]), int(runs.start[k]), int(space.owner[c]), float(score[r, c])
+            yield int(runs.row[k]), int(runs.start[k]), int(space.owner[c]), int(space.part[c]), float(score[r, c])
 
 
 def _search(shared):
@@ -407,16 +399,26 @@ def _search(shared):
         weight, q, rules = shared.value
         marks = [places(x) for x in q.words]
         amarks = [places(x) for x in q.answers]
+        parts: dict[tuple[int, int], dict[int, int]] = {}
         for batch in batches:
             for s in text_slices(batch.column("text")):
                 names, first = plain_words(s)
                 runs = _Runs.of(names, first, weight)
                 best: dict[tuple[int, int], tuple] = {}
                 tried = set()
-                near_runs = (c for space in q.spaces for c in candidates(runs, space, rules.cosine))
                 same_runs = ((*c, 0.0) for a in q.anchors for c in exact_runs(names, first, a))
-                for row, start, item, cos in chain(near_runs, same_runs):
+                for row, start, item, p, cos in chain(candidates(runs, q.space, rules.cosine), same_runs):
                     n = len(q.words[item])
+                    reach = min(n, PART) if n > PART else n
+                    lo, hi = first[row] + max(0, start - reach), min(first[row] + start + PASSAGE + reach, first[row + 1])
+                    if n > PART and (row, lo, item, p) not in tried:
+                        tried.add((row, lo, item, p))
+                        if (item, p) not in parts:
+                            at = max(0, min(HALF * p - HALF, n - PART))
+                            parts[item, p] = places(q.words[item][at:at + PART])
+                        share = lcs_length(parts[item, p], PART, names[lo:hi].tolist()) / PART
+                        if share >= rules.sure and (share, 0.0, cos, start) > best.get((row, item), (0,)):
+                            best[row, item] = (share, 0.0, cos, start)
                     lo, hi = first[row] + max(0, start - n), min(first[row] + start + PASSAGE + n, first[row + 1])
                     if (row, lo, hi, item) in tried:
                         continue
@@ -456,33 +458,31 @@ SCHEMA = "doc_id long, item_id long, lcs_share double, answer_share double, cosi
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text", rank: int = 256, rules: LeakRules = LeakRules()) -> DataFrame:
+          item_text_col: str = "text", rank: int = 128, rules: LeakRules = LeakRules()) -> DataFrame:
     """One row per document id and benchmark item found in it, with the best place's figures.
 
-    Null and empty texts, and items without words, match nothing. Rows that repeat an id count as one document, equal
-    items each match. Null ids are carried. Other columns are ignored. An
-    empty table on either side gives no rows."""
+    lcs_share is of the item, or of PART words of a longer one. Null and empty texts, and items without words, match
+    nothing. Rows that repeat an id count as one document, equal items each match. Null ids are carried. Other columns are
+    ignored. An empty table on either side gives no rows."""
     spark = docs.sparkSession
     src = docs.select(column(docs, id_col).cast("long").alias("doc_id"), column(docs, text_col).alias("text"))
     items = benchmark.select(column(benchmark, item_col).cast("long").alias("item_id"), column(benchmark, item_text_col).alias("text"))
     items = items.mapInArrow(_counted, "item_id long, text string, parts int").withColumn("no", F.monotonically_increasing_id())
     items = cut_lineage(items)
-    weight = word_weights(src)
     total = items.agg(F.sum("parts")).first()[0] or 0
-    blocks = -(-5 * total // (4 * rank))         # by hash: four fifths of the rank on average
+    if not total:
+        return spark.createDataFrame([], SCHEMA)
+    weight = word_weights(src)
+    bins, terms = latent_terms(items, weight, rank)
+    passes = -(-total // PASS_PASSAGES)
     found = None
-    for k in range(0, blocks, PASS_BLOCKS):
-        here = range(k, min(k + PASS_BLOCKS, blocks))
-        mine = F.array(*[F.expr(f"filter(sequence(0, parts - 1), i -> pmod(xxhash64(no, i), {blocks}) = {b})") for b in here])
-        some = items.select("item_id", "text", mine.alias("mine")).filter(F.exists("mine", lambda x: F.size(x) > 0))
-        rows = some.collect()
-        most = max((sum(len(r["mine"][j]) for r in rows) for j in range(len(here))), default=0)
-        spaces = latent_spaces(some.select("text", "mine"), weight, max(rank, most))
-        shared = spark.sparkContext.broadcast((weight, _queries(rows, weight, spaces), rules))
+    for k in range(passes):
+        rows = items.filter(F.pmod(F.xxhash64("no"), F.lit(passes)) == k).select("item_id", "text").collect()
+        if not rows:
+            continue
+        shared = spark.sparkContext.broadcast((weight, _queries(rows, weight, bins, terms), rules))
         part = src.mapInArrow(_search(shared), SCHEMA)
         found = part if found is None else found.union(part)
-    if found is None:
-        return spark.createDataFrame([], SCHEMA)
     top = F.max(F.struct("lcs_share", "answer_share", "cosine", "start_word")).alias("top")
     return found.groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", "top.*")
 

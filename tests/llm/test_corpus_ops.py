@@ -334,17 +334,71 @@ def test_altered_copies_of_an_item_in_a_third_of_the_documents(spark):
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()} == {(i, 1) for i in range(0, 300, 3)}
 
 
-def test_spaces_hold_their_passages_whole(spark):
+def test_a_truncated_space_changes_scores_and_scales_them(spark):
+    """With fewer dimensions than passages the latent score is not the plain cosine; a copy still scores 1."""
     rng = random.Random(3)
-    texts = [" ".join(f"w{rng.randint(0, 5000)}" for _ in range(32)) for _ in range(120)]
-    frame = spark.createDataFrame([(t, [[0], []] if i % 2 else [[], [0]]) for i, t in enumerate(texts)], "text string, mine array<array<int>>")
+    texts = [" ".join(f"w{rng.randint(0, 3000)}" for _ in range(32)) for _ in range(300)]
     weight = np.ones(decontam.BINS, dtype=np.float32)
-    spaces = decontam.latent_spaces(frame, weight, 64)
-    for i, t in enumerate(texts):
-        bins, v = spaces[1 - i % 2]
-        at = dict(zip(bins.tolist(), v))
-        (b, x), = decontam.passages(decontam.words_of(t), weight)
-        assert np.linalg.norm(x @ np.stack([at[int(j)] for j in b])) > 0.999
+    bins, terms = decontam.latent_terms(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), weight, 64)
+    assert terms.shape[1] == 64
+    names = [decontam.words_of(t) for t in texts]
+    space = decontam.space_of(names, weight, bins, terms)
+    assert len(space.kept) and space.kept.max() < 0.99                      # no passage is held whole
+    plain_score, latent = [], []
+    for i, j in [(int(space.owner[k]), k) for k in range(0, len(space.owner), 7)]:
+        near = [w for n, w in enumerate(texts[i].split()) if n % 4 != 3] + [f"x{rng.random()}" for _ in range(8)]
+        for words, want in ((texts[i].split(), 1.0), (near, None)):
+            w = decontam.words_of(" ".join(words))
+            s = decontam._Runs.of(w, np.array([0, len(w)]), weight)
+            got = {(o, p): score for _, at, o, p, score in decontam.candidates(s, space, 0.05) if at == 0}
+            if want:
+                assert want - 1e-4 <= got[i, 0] < 1.2            # a run counts a repeated word by its places
+            else:
+                (b, x), (c, y) = decontam.passages(w, weight)[0], decontam.passages(names[i], weight)[0]
+                plain_score.append(sum(dict(zip(c, y)).get(k, 0) * v for k, v in zip(b, x)))
+                latent.append(got.get((i, 0), 0))
+    assert np.abs(np.array(plain_score) - latent).max() > 0.05
+    assert np.mean(np.array(latent) >= decontam.LeakRules().cosine) >= 0.9
+
+
+@pytest.mark.parametrize("n_items", [200, 1000, 5000])
+def test_recall_of_paraphrases_against_all_pairs(spark, n_items):
+    """Items altered in every sixth word: what LCS over all planted pairs confirms is found to at least 0.9."""
+    rng = random.Random(n_items + 1)
+    vocab = [f"w{i}" for i in range(20_000)]
+    share = list(np.cumsum(1 / (np.arange(20_000) + 10)))
+    draw = lambda n: rng.choices(vocab, cum_weights=share, k=n)
+    items = [draw(rng.randint(15, 57)) for _ in range(n_items)]
+    planted = {}
+    for i in range(200):
+        item = items[i * n_items // 200]
+        planted[i] = (i * n_items // 200, draw(40) + [w if j % 6 != 4 or j >= len(item) - 12 else f"other{j}" for j, w in enumerate(item)] + draw(40))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, (_, w) in planted.items()], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    rules, want = decontam.LeakRules(), set()
+    for d, (i, words) in planted.items():
+        a = decontam.words_of(" ".join(items[i])).tolist()
+        if decontam.lcs_length(decontam.places(a), len(a), decontam.words_of(" ".join(words)).tolist()) / len(a) >= rules.sure:
+            want.add((d, i))
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()}
+    assert len(want) > 150 and len(want & got) >= 0.9 * len(want)
+
+
+def test_part_of_a_long_item_is_found(spark):
+    rng = random.Random(21)
+    text = lambda n: [f"w{rng.randint(0, 20_000)}" for _ in range(n)]
+    long, other = text(250), text(250)
+    docs = [(i, text(60) + long[7 * i:7 * i + 100] + text(60)) for i in range(20)] + [(100 + i, text(200) + long[:30] + text(40)) for i in range(5)]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(other))], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(frame, bench).collect()} == {(i, 1) for i in range(20)}
+
+
+def test_benchmark_with_nulls_repeats_and_clashing_names(spark):
+    item = "one quick brown fox jumps over the lazy dog near the old mill by the river"
+    bench = spark.createDataFrame([(1, item, "a"), (2, item, "b"), (None, item, "c"), (3, None, "d"), (4, "", "e"), (5, " . ", "f")], "item_id long, text string, no string")
+    frame = odd_frame(spark, [f"start {item} end", "nothing here", None])
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(frame, bench.withColumn("parts", bench.no)).collect()} == {(0, 1), (0, 2), (0, None)}
 
 
 def test_common_subsequence():

@@ -468,3 +468,8 @@ SQL["csv_folder"] = with_base("""
 SELECT transaction_id, date, store_name, CASE WHEN hour < 12 THEN region END AS region,
        CASE WHEN quantity NOT IN (7, 9) THEN quantity END AS quantity, CAST(total_sgd AS DOUBLE) AS total_sgd,
        CASE WHEN quantity = 9 THEN 'quantity' ELSE '' END AS bad_columns FROM sales""")
+SQL["batch_duplicates"] = _after_loads("""
+SELECT 'late batch' AS step, CAST(COALESCE(SUM(CASE WHEN stored THEN n END), 0) AS BIGINT) AS already_stored,
+       CAST(COALESCE(SUM(CASE WHEN NOT stored THEN n - 1 END), 0) AS BIGINT) AS repeated
+FROM (SELECT transaction_id, COUNT(*) AS n, transaction_id IN (SELECT transaction_id FROM base) AS stored FROM batch GROUP BY transaction_id)
+UNION ALL SELECT 'late rows alone', 0, 0""")

@@ -425,3 +425,20 @@ def _csv_folder(s, d):
 
 
 register("csv_folder", OQ.SQL["csv_folder"])(_csv_folder)
+
+
+# -- ids of earlier loads: a batch checked bucket by bucket (D21) ------------------------------------------------
+from mercato.sources.id_index import IdIndex  # noqa: E402
+
+
+def _batch_duplicates(s, d):
+    """The late batch held against the ids of the base load; then, added, against itself."""
+    index = IdIndex(s, W.scratch(s, d, "ids"), buckets=16, bucket_bits=1 << 16)
+    sales = W.sales(s, d).select("transaction_id", "date", "hour", "store_name", "product_name", "quantity", "subtotal_sgd", "total_sgd")
+    index.add(base_rows(sales), "base", loaded_at=FIRST_LOAD)
+    late = late_batch(sales)
+    found = index.check(late).withColumn("step", F.lit("late batch"))
+    return found.union(index.check(sales.filter("hour = 11")).withColumn("step", F.lit("late rows alone")))
+
+
+register("batch_duplicates", OQ.SQL["batch_duplicates"])(_batch_duplicates)

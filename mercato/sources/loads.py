@@ -18,7 +18,6 @@ partition pruning) whatever their number. Partition values must not be null.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -137,12 +136,11 @@ class LoadedTable:
             return given, parts if touched is None or parts is None else parts.union(touched.select(*self.parts)).distinct()
         return self._load("replace", rows, load_id, loaded_at, plan)
 
-    def upsert(self, batch: DataFrame, key: str, order: list[str], load_id: str | None = None, loaded_at: datetime | None = None,
-               holders: Callable[[DataFrame], DataFrame] | None = None) -> Load:
+    def upsert(self, batch: DataFrame, key: str, order: list[str], load_id: str | None = None, loaded_at: datetime | None = None) -> Load:
         """Newest row of each key of the batch, in the place of stored rows with that key; rows without a key are inserted.
 
         Only partitions that hold a row of the batch, or a row that it replaces, are rewritten. They are found by reading
-        the stored keys and partition columns, or by `holders`: distinct keys -> a table of their partition values."""
+        the stored keys and partition columns, no other column."""
         from mercato.streaming.incremental import latest_per_key
 
         def plan(current: DataFrame | None, given: DataFrame):
@@ -154,10 +152,7 @@ class LoadedTable:
             if current is None:
                 return newest, parts
             ids = newest.select(key).filter(F.col(key).isNotNull()).distinct()
-            if holders is not None:
-                old = holders(ids).select(*self.parts)
-            else:
-                old = current.select(key, *self.parts).join(ids, key, "left_semi").select(*self.parts)
+            old = current.select(key, *self.parts).join(ids, key, "left_semi").select(*self.parts)
             touched = cut_lineage(parts.union(old).distinct())
             kept = self.read(only=touched).join(ids, key, "left_anti").select(*newest.columns)
             return kept.unionByName(newest), touched

@@ -113,3 +113,18 @@ def test_many_partitions(spark, tmp_dir):
     assert files_read(t.read(only=few)) == {"numFiles": 5, "numPartitions": 5}      # a replaced version of days 1 and 2 is listed too
     out = t.upsert(base.withColumn("ts", F.lit(3)), "id", ["ts"], "all")
     assert out.partitions == n and t.read().agg(F.sum("ts"), F.count("*")).first()[:] == (3 * n, n)
+
+
+def test_a_batch_is_checked_against_bits_and_few_buckets(spark, tmp_dir):
+    from mercato.sources.id_index import IdIndex
+    index = IdIndex(spark, tmp_dir, buckets=8, bucket_bits=1 << 14)
+    first = spark.range(2000).select(F.concat(F.lit("t"), "id").alias("transaction_id")).union(spark.createDataFrame([(None,)], "transaction_id string"))
+    assert index.check(first.union(first.limit(5))).first()[:] == (0, 5)              # nothing stored yet
+    index.add(first, "first")
+    index.add(first, "first")                                                          # repeated: nothing is added
+    batch = spark.createDataFrame([("t5",), ("t5",), ("new",), ("new",), ("other",), (None,)], "transaction_id string")
+    assert index.check(batch).first()[:] == (3, 1)
+    assert {(r.key, r.n, r.stored) for r in index.repeats(batch).collect()} == {("=t5", 2, True), ("=new", 2, False), ("null", 1, True)}
+    assert index.check(batch.limit(0)).first()[:] == (0, 0) and index.ids.read().count() == 2001
+    only = spark.createDataFrame([(3,)], "bucket int")
+    assert files_read(index.ids.read(only=only))["numPartitions"] == 1

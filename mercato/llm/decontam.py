@@ -11,8 +11,9 @@
 3. Every document is read in runs of PASSAGE words, half overlapping. A
    truncated space keeps only a part of a passage's length, each its own, so
    the latent product of run and passage is measured by the passage's kept
-   square: a copy scores 1, a paraphrase about its cosine, and what has only
-   words in common scatters around 0 by about 1 / sqrt(rank). Passages that keep less than
+   square: a copy scores 1, a paraphrase about its cosine. Both must also
+   point the same way inside the space, where what has only words in common
+   scatters by about 1 / sqrt(rank). Passages that keep less than
    ``LEAST_KEPT`` of their length are left to the exact runs.
    These are one run of ``ANCHOR`` words of each passage (its heaviest; an
    item with fewer words is one run), so an item that is there word for word is
@@ -52,7 +53,9 @@ HALF = PASSAGE // 2
 PASS_PASSAGES = 1 << 16
 ANCHOR = 8
 PART = 64
-LEAST_KEPT = 0.25
+LEAST_KEPT = 0.1
+#: Least cosine of both inside the space, whose chance values scatter by 1 / sqrt(rank) whatever the kept lengths.
+ANGLE = 0.35
 LEAST_WEIGHT = 0.1
 #: Directions sketched beyond the rank, as a randomised SVD needs for a flat spectrum.
 OVERSAMPLE = 32
@@ -228,6 +231,27 @@ def places(names: list[int]) -> dict[int, int]:
     return out
 
 
+@dataclass
+class _Words:
+    """The words of an item, or of a part or an answer: their number, the places of each (as bits) and how many those are."""
+
+    n: int
+    at: dict[int, int]
+    times: dict[int, int]
+
+    @classmethod
+    def of(cls, names: list[int]) -> _Words:
+        at = places(names)
+        return cls(len(names), at, {w: bits.bit_count() for w, bits in at.items()})
+
+    def share(self, near: list[int], least: float) -> float:
+        """Share of the words in the longest common subsequence with near; 0 where too few of them occur there at all for `least`."""
+        times = self.times
+        if sum(times[w] for w in times.keys() & set(near)) < least * self.n:
+            return 0.0
+        return lcs_length(self.at, self.n, near) / self.n
+
+
 def answer_words(text: str) -> list[int]:
     """Words of the last sentence that has at least three; else of the whole text."""
     for part in reversed(_DOT.split(text.strip())):
@@ -239,11 +263,11 @@ def answer_words(text: str) -> list[int]:
 
 @dataclass
 class _Space:
-    """Slot of each bin, term vectors; of every passage its latent vector over its kept square, item, number and kept length."""
+    """Slot of each bin, term vectors; of every passage its latent direction, item, number and kept length."""
 
     slot: np.ndarray
     terms: np.ndarray
-    vectors: np.ndarray
+    unit: np.ndarray
     owner: np.ndarray
     part: np.ndarray
     kept: np.ndarray
@@ -315,12 +339,12 @@ def space_of(names: list[np.ndarray], weight: np.ndarray, bins: np.ndarray, term
             x = v @ terms[slot[b]]
             norm = float(np.linalg.norm(x))
             if norm >= LEAST_KEPT:
-                vectors.append(x / norm**2)
+                vectors.append(x / norm)
                 owner.append(i)
                 part.append(p)
                 kept.append(norm)
     return _Space(slot, terms, np.array(vectors, dtype=np.float32).reshape(-1, terms.shape[1]), np.array(owner, dtype=np.int64),
-                  np.array(part, dtype=np.int64), np.array(kept))
+                  np.array(part, dtype=np.int64), np.array(kept, dtype=np.float32))
 
 
 def _queries(rows: list, weight: np.ndarray, bins: np.ndarray, terms: np.ndarray) -> _Queries:
@@ -371,7 +395,7 @@ def candidates(runs: _Runs, space: _Space, cosine: float) -> Iterator[tuple[int,
     need = live.copy()
     need[1:] |= live[:-1] & runs.joined[:-1]
     use = np.flatnonzero(known & need[runs.block])
-    if not len(use) or not len(space.vectors):
+    if not len(use) or not len(space.unit):
         return
     at = np.cumsum(need) - 1                        # the needed blocks, numbered
     part = np.zeros((int(need.sum()) + 1, terms.shape[1]), dtype=np.float32)
@@ -385,21 +409,26 @@ def candidates(runs: _Runs, space: _Space, cosine: float) -> Iterator[tuple[int,
     near = np.flatnonzero(live)
     x = part[at[near]] + np.where(runs.joined[near][:, None], part[at[near] + 1], 0)
     norm = np.sqrt(runs.norm2[near])
-    inside = np.sqrt(np.einsum("ij,ij->i", x, x)) >= cosine * space.kept.min() * norm       # a smaller latent vector reaches no score
-    near, x, norm = near[inside], x[inside], norm[inside]
+    size = np.sqrt(np.einsum("ij,ij->i", x, x))
+    inside = size >= cosine * space.kept.min() * norm       # a smaller latent vector reaches no score
+    near, x, norm, size = near[inside], x[inside], norm[inside], size[inside]
+    scaled = (space.unit / space.kept[:, None]).T
     for lo in range(0, len(near), 4096):
-        score = (x[lo:lo + 4096] @ space.vectors.T) / norm[lo:lo + 4096, None]
-        for r, c in zip(*np.nonzero(score >= cosine)):
-            k = near[lo + r]
-            yield int(runs.row[k]), int(runs.start[k]), int(space.owner[c]), int(space.part[c]), float(score[r, c])
+        score = (x[lo:lo + 4096] / norm[lo:lo + 4096, None].astype(np.float32)) @ scaled
+        r, c = np.nonzero(score >= cosine)
+        score = score[r, c]
+        angle = score * norm[lo + r] * space.kept[c] / size[lo + r]
+        r, c, score = (v[angle >= ANGLE] for v in (r, c, score))
+        k = near[lo + r]
+        yield from zip(runs.row[k].tolist(), runs.start[k].tolist(), space.owner[c].tolist(), space.part[c].tolist(), score.tolist())
 
 
 def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, q, rules = shared.value
-        marks = [places(x) for x in q.words]
-        amarks = [places(x) for x in q.answers]
-        parts: dict[tuple[int, int], dict[int, int]] = {}
+        items = [_Words.of(x) for x in q.words]
+        answers = [_Words.of(x) for x in q.answers]
+        parts: dict[tuple[int, int], _Words] = {}
         for batch in batches:
             for s in text_slices(batch.column("text")):
                 names, first = plain_words(s)
@@ -408,27 +437,26 @@ def _search(shared):
                 tried = set()
                 same_runs = ((*c, 0.0) for a in q.anchors for c in exact_runs(names, first, a))
                 for row, start, item, p, cos in chain(candidates(runs, q.space, rules.cosine), same_runs):
-                    n = len(q.words[item])
-                    reach = min(n, PART) if n > PART else n
-                    lo, hi = first[row] + max(0, start - reach), min(first[row] + start + PASSAGE + reach, first[row + 1])
-                    if n > PART and (row, lo, item, p) not in tried:
-                        tried.add((row, lo, item, p))
-                        if (item, p) not in parts:
-                            at = max(0, min(HALF * p - HALF, n - PART))
-                            parts[item, p] = places(q.words[item][at:at + PART])
-                        share = lcs_length(parts[item, p], PART, names[lo:hi].tolist()) / PART
-                        if share >= rules.sure and (share, 0.0, cos, start) > best.get((row, item), (0,)):
-                            best[row, item] = (share, 0.0, cos, start)
-                    lo, hi = first[row] + max(0, start - n), min(first[row] + start + PASSAGE + n, first[row + 1])
+                    words = items[item]
+                    if words.n > PART:
+                        lo, hi = first[row] + max(0, start - PART), min(first[row] + start + PASSAGE + PART, first[row + 1])
+                        if (row, lo, item, p) not in tried:
+                            tried.add((row, lo, item, p))
+                            if (item, p) not in parts:
+                                at = max(0, min(HALF * p - HALF, words.n - PART))
+                                parts[item, p] = _Words.of(q.words[item][at:at + PART])
+                            share = parts[item, p].share(names[lo:hi].tolist(), rules.sure)
+                            if share >= rules.sure and (share, 0.0, cos, start) > best.get((row, item), (0,)):
+                                best[row, item] = (share, 0.0, cos, start)
+                    lo, hi = first[row] + max(0, start - words.n), min(first[row] + start + PASSAGE + words.n, first[row + 1])
                     if (row, lo, hi, item) in tried:
                         continue
                     tried.add((row, lo, hi, item))
                     near = names[lo:hi].tolist()
-                    share = lcs_length(marks[item], n, near) / n
+                    share = words.share(near, rules.paraphrase)
                     if share < rules.paraphrase:
                         continue
-                    a = q.answers[item]
-                    answer = lcs_length(amarks[item], len(a), near) / len(a)
+                    answer = answers[item].share(near, 0.0)
                     if share >= rules.sure or answer >= rules.answer:
                         found = (share, answer, cos, start)
                         if found > best.get((row, item), (0,)):

@@ -38,25 +38,58 @@ BACKOFF = 8.0
 MASK = "[SECRET]"
 
 
-def _found(text: str, pattern: str, group: int = 0) -> str:
-    """SQL: array of (start, end, value) of the leftmost non-overlapping matches.
+#: Matches that one step of an array function gathers: a list grows by copies, so lists are grown in chunks.
+CHUNK = 128
+_NO_SPANS = "cast(array() as array<struct<start: int, stop: int, value: string>>)"
 
-    Starts come from the lengths of the parts between the matches; a text
-    without a match is not split."""
-    p = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    return f"""if(rlike({text}, '{p}'),
-        aggregate(arrays_zip(regexp_extract_all({text}, '{p}', 0), regexp_extract_all({text}, '{p}', {group}), split({text}, '{p}', -1)),
-            named_struct('at', 0, 'out', cast(array() as array<struct<start: int, stop: int, value: string>>)),
-            (a, x) -> if(x.`0` IS NULL, a, named_struct('at', a.at + length(x.`2`) + length(x.`0`),
-                'out', concat(a.out, array(named_struct('start', a.at + length(x.`2`), 'stop', a.at + length(x.`2`) + length(x.`0`), 'value', x.`1`)))))).out,
-        cast(array() as array<struct<start: int, stop: int, value: string>>))"""
+
+def _bind(value: str, name: str, body: str) -> str:
+    """SQL: body with a name for a value that is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _before(list_: str, start: str, step: str) -> str:
+    """SQL: for each element x of an array the state before it (state a, from `start` on, `step` gives the next)."""
+    return f"""aggregate({list_}, named_struct('at', {start}, 'list', cast(array() as array<int>)),
+        (a, x) -> named_struct('at', {step}, 'list', concat(a.list, array(a.at))), a -> a.list)"""
 
 
+def _chunks(size: str) -> str:
+    return f"sequence(0, cast(greatest({size} - 1, 0) div {CHUNK} as int))"
+
+
+def _found(text: str, pattern: str, group: int = 0) -> str:
+    """SQL: array of (start, stop, value) of the leftmost non-overlapping matches.
+
+    Starts come from the lengths of the parts between the matches, summed in
+    chunks; a text without a match is not split."""
+    p = pattern.replace("\\", "\\\\").replace("'", "\\'")
+    parts = f"""transform({_chunks('size(zz)')}, c -> aggregate(slice(zz, c * {CHUNK} + 1, {CHUNK}), named_struct('at', 0, 'out', {_NO_SPANS}),
+        (a, x) -> if(x.`0` IS NULL, a, named_struct('at', a.at + length(x.`2`) + length(x.`0`),
+            'out', concat(a.out, array(named_struct('start', a.at + length(x.`2`), 'stop', a.at + length(x.`2`) + length(x.`0`), 'value', x.`1`)))))))"""
+    shifted = """flatten(transform(sequence(0, size(pp) - 1), i -> transform(get(pp, i).out,
+        o -> named_struct('start', o.start + get(oo, i), 'stop', o.stop + get(oo, i), 'value', o.value))))"""
+    zipped = f"arrays_zip(regexp_extract_all({text}, '{p}', 0), regexp_extract_all({text}, '{p}', {group}), split({text}, '{p}', -1))"
+    return f"""if(rlike({text}, '{p}'), {_bind(zipped, 'zz', _bind(parts, 'pp', _bind(_before('pp', '0', 'a.at + x.at'), 'oo', shifted)))}, {_NO_SPANS})"""
+
+
+def _replaced(text: str, spans: str, fill: str, more: str) -> str:
+    """SQL: text with spans (by start) replaced: a span by `fill` (of span s); where it overlaps one before by `more`, of s and
+    the end `a.at` of what is done. The text is cut in pieces of CHUNK spans, each read in its own short string."""
+    ends = f"transform({_chunks('size(ss)')}, c -> array_max(transform(slice(ss, c * {CHUNK} + 1, {CHUNK}), s -> s.stop)))"
+    piece = f"""aggregate(slice(ss, i * {CHUNK} + 1, {CHUNK}), named_struct('at', get(oo, i), 'out', ''),
+        (a, s) -> named_struct('at', greatest(a.at, s.stop), 'out', if(s.start < a.at, concat(a.out, {more}),
+            concat(a.out, substring(part, a.at - get(oo, i) + 1, s.start - a.at), {fill}))), a -> a.out)"""
+    cut = f"substring({text}, get(oo, i) + 1, greatest(get(ee, i) - get(oo, i), 0))"
+    pieces = f"transform(sequence(0, size(ee) - 1), i -> {_bind(cut, 'part', piece)})"
+    whole = f"concat(array_join({pieces}, ''), substring({text}, array_max(ee) + 1))"
+    return f"if(size({spans}) = 0, {text}, {_bind(spans, 'ss', _bind(ends, 'ee', _bind(_before('ee', '0', 'greatest(a.at, x)'), 'oo', whole)))})"
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with two more columns: _base, array of (start, kind_no, stop, value) by
-    start, then kind; _runs, array of (start, stop, value) of key-like runs that no base span touches."""
+    start, then kind; _runs, array of (start, stop, value) of the key-like runs outside
+    the base spans (of a run that a span touches, what is left of it)."""
     t = "_text"
     cols = docs.columns
     kinds = {"assign": _found(t, ASSIGN, 2), "access": _found(t, ACCESS.replace("+", "{12,}")), "hex": _found(t, HEX.replace("+", "{32,}"))}
@@ -64,7 +97,9 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
              for k, sql in kinds.items()]
     out = docs.withColumn(t, F.coalesce(column(docs, text_col), F.lit("")))
     out = out.withColumn("_base", F.expr(f"array_sort(concat({', '.join(parts)}))"))
-    out = out.withColumn("_runs", F.expr(f"filter({_found(t, _RUN)}, r -> NOT exists(_base, b -> b.start < r.stop AND r.start < b.stop))"))
+    # base spans become line feeds of the same length, so runs end at them
+    blank = _replaced(t, "_base", "repeat('\n', s.stop - s.start)", "repeat('\n', greatest(s.stop - a.at, 0))")
+    out = out.withColumn(t, F.expr(blank)).withColumn("_runs", F.expr(_found(t, _RUN)))
     return out.select(*[column(docs, c) for c in cols], "_base", "_runs")
 
 
@@ -138,9 +173,7 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK) -> DataFra
     text = f"c{at}"
     ratios = train(cut_lineage(scan(rows.select(text), text).select("_base", "_runs")))
     out = with_spans(scan(rows, text), ratios)
-    new = F.expr(f"""if(size(_spans) = 0, {text}, aggregate(_spans, named_struct('at', 0, 'out', ''),
-        (a, s) -> named_struct('at', greatest(a.at, s.stop), 'out', if(s.start < a.at, a.out, concat(a.out, substring({text}, a.at + 1, s.start - a.at), '{mask}'))),
-        a -> concat(a.out, substring({text}, a.at + 1))))""")
+    new = F.expr(_replaced(text, "_spans", f"'{mask}'", "''"))
     out = out.withColumn(text, new)
     if "n_chars" in names:
         n = f"c{names.index('n_chars')}"

@@ -15,10 +15,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def dec(c, precision: int = 12, scale: int = 2) -> Column:
-    return _c(c).cast(f"decimal({precision},{scale})")
-
-
 def dbl(c) -> Column:
     return _c(c).cast("double")
 
@@ -28,10 +24,6 @@ def money_sum(c, scale: int = 2) -> Column:
     return F.round(F.sum(_c(c)), scale).cast("double")
 
 
-def money_max(c, scale: int = 2) -> Column:
-    return F.round(F.max(_c(c)), scale).cast("double")
-
-
 def safe_ratio(num, den) -> Column:
     """num / den as doubles, NULL when den is 0 or NULL."""
     return F.try_divide(dbl(num), dbl(den))
@@ -74,16 +66,6 @@ def pct_of(num, den, scale: int = 2) -> Column:
     return F.round(safe_ratio(num, den) * 100, scale)
 
 
-def margin_pct(profit_col, revenue_col, scale: int = 2) -> Column:
-    """Aggregate: SUM(profit) / SUM(revenue) * 100."""
-    return pct_of(F.sum(_c(profit_col)), F.sum(_c(revenue_col)), scale)
-
-
-def rate_pct(flag_col, scale: int = 1) -> Column:
-    """Aggregate: SUM(flag) / COUNT(*) * 100 (flag is 0/1)."""
-    return pct_of(F.sum(_c(flag_col)), F.count(F.lit(1)), scale)
-
-
 def lift_pct(base, other) -> Column:
     """(other - base) / base * 100, NULL when base is 0 or NULL."""
     return F.try_divide(dbl(_c(other)) - dbl(_c(base)), dbl(_c(base))) * 100

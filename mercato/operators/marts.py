@@ -33,7 +33,7 @@ from mercato.functions import money as M
 from mercato.operators.star import Star
 from mercato.session import cut_lineage
 
-# Output order of each mart, as stored by the source pipeline: (column, descending).
+# Output order of each mart, as stored by the source pipeline: (column, descending).
 MART_ORDER = {
     "monthly_sales": [("year", False), ("month", False)],
     "regional_sales": [("total_revenue", True)],
@@ -123,6 +123,9 @@ def _refs(col: Column) -> list[str]:
     return [t for t in re.findall(r"\w+", str(col)) if t in PARTIALS]
 
 
+#: Both marts without a dimension roll up from one grain.
+PERIOD_GRAIN = ("period_label", "cdc_voucher_used", "gst_period", "gst_rate")
+
 MARTS = (
     Mart("monthly_sales", "dim_date", ("date_key",), ("year", "month", "month_name", "quarter"), (
         ("transaction_count", lambda: _long("_ids")),
@@ -178,14 +181,13 @@ MARTS = (
         ("gp_margin_pct", _margin),
         ("avg_discount_given", lambda: _mean("_disc", "_disc_n", 1, in_scale=S.RATE.scale, times=100)),
     )),
-    Mart("cdc_impact", None, ("period_label", "cdc_voucher_used", "gst_period"),
-         ("period_label", "cdc_voucher_used", "gst_period"), (
+    Mart("cdc_impact", None, PERIOD_GRAIN, ("period_label", "cdc_voucher_used", "gst_period"), (
         ("transactions", lambda: _long("_rows")),
         ("total_revenue", lambda: _money("_total")),
         ("avg_basket", _basket),
         ("gross_profit", lambda: _money("_gp")),
     )),
-    Mart("gst_analysis", None, ("gst_period", "gst_rate"), ("gst_period", "gst_rate"), (
+    Mart("gst_analysis", None, PERIOD_GRAIN, ("gst_period", "gst_rate"), (
         ("transactions", lambda: _long("_rows")),
         ("avg_basket", _basket),
         ("avg_gst_paid", lambda: _mean("_gst_amt", "_gst_amt_n")),

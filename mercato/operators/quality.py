@@ -37,6 +37,7 @@ GRADE_GOOD = "GOOD — Minor issues. Review warnings before production."
 GRADE_ACCEPTABLE = "ACCEPTABLE — Some issues found. Review before proceeding."
 GRADE_POOR = "POOR — Significant data quality issues. Investigate before use."
 
+# The columns that must not be NULL, in the source pipeline's order.
 NOT_NULL_COLUMNS = ["transaction_id", "date_key", "store_key", "product_key",
                     "customer_key", "total_sgd", "quantity", "payment_method"]
 

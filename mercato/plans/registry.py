@@ -31,12 +31,6 @@ def register(name: str, sql: str | None = None):
 DECIMAL_FACT_COLS = ["discount_pct", "subtotal_sgd", "gst_rate", "gst_amount_sgd", "total_sgd", "gross_profit_sgd"]
 
 
-def fact_view(fact: DataFrame) -> DataFrame:
-    """Fact with money as double (the output edge)."""
-    return fact.select(*[F.col(c).cast("double").alias(c) if c in DECIMAL_FACT_COLS else F.col(c)
-                         for c in fact.columns])
-
-
 register("dim_date", O.with_base("SELECT * FROM dim_date"))(lambda s, d: W.star(s, d).dim_date)
 register("dim_store", O.with_base("SELECT * FROM dim_store"))(lambda s, d: W.star(s, d).dim_store)
 register("dim_product", O.with_base("SELECT * FROM dim_product"))(lambda s, d: W.star(s, d).dim_product)
@@ -44,7 +38,7 @@ register("dim_customer", O.with_base("SELECT * FROM dim_customer"))(lambda s, d:
 register("fact_sales", O.with_base(
     "SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in DECIMAL_FACT_COLS else c
                           for c in __import__("mercato.schemas", fromlist=["FACT_COLUMNS"]).FACT_COLUMNS)
-    + " FROM fact"))(lambda s, d: fact_view(W.star(s, d).fact))
+    + " FROM fact"))(lambda s, d: X.money_view(W.star(s, d).fact))
 register("fact_orphans", O.with_base(
     "SELECT " + ", ".join(f"CAST(COUNT(*) FILTER (WHERE {k} IS NULL) AS BIGINT) AS {k}_orphans"
                           for k in ("date_key", "store_key", "product_key", "customer_key")) + " FROM fact"))(

@@ -34,12 +34,6 @@ def missing_columns(df: DataFrame, required: list[str] = S.REQUIRED_COLUMNS) ->
     return [c for c in required if c not in df.columns]
 
 
-def schema_mismatches(df: DataFrame, schema=S.RAW_SCHEMA) -> list[str]:
-    """Columns whose type differs from the fixed schema."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    return [f.name for f in schema.fields if f.name in have and have[f.name] != f.dataType]
-
-
 def preload_issues(raw: DataFrame, required: list[str] = S.REQUIRED_COLUMNS, missing: list[str] | None = None) -> DataFrame:
     """Warn-only checks before loading: missing required columns, duplicate
     ids (repeats beyond the first, NULL counted as a value), negative totals.

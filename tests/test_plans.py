@@ -81,3 +81,45 @@ def test_own_scratch_folder_only_on_a_local_master():
     require_local(Session("local[8]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         require_local(Session("yarn"))
+
+
+def test_a_region_choice_skips_row_groups(spark, tmp_dir):
+    """Rows of a month lie by region: with several row groups a file, the scan of two regions reads fewer rows than the fact has."""
+    from mercato import schemas as S
+    from mercato.operators.star import Star, build_star
+    from mercato.plans import explore as X
+    from mercato.plans import warehouse as W
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = {k: conf.get(k) for k in ("parquet.block.size", "parquet.page.row.count.limit", "parquet.block.row.count.limit")}
+    conf.set("parquet.block.row.count.limit", "20")
+    conf.set("parquet.page.row.count.limit", "20")
+    try:
+        sales = W.sales(spark, "/root/testdata/sf0.001")
+        build_star(sales, S.fixture_star_config()).write(tmp_dir, partition_fact=True)
+    finally:
+        for k, v in old.items():
+            conf.unset(k) if v is None else conf.set(k, v)
+    star = Star.read(spark, tmp_dir)
+
+    def scanned(df):
+        df.collect()
+        found = []
+
+        def walk(node):
+            name = node.getClass().getSimpleName()
+            if name == "AdaptiveSparkPlanExec":
+                return walk(node.executedPlan())
+            if name.endswith("QueryStageExec"):
+                return walk(node.plan())
+            if name == "FileSourceScanExec" and "/fact" in node.toString():
+                found.append(node.metrics().get("numOutputRows").get().value())
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+        walk(df._jdf.queryExecution().executedPlan())
+        return sum(found)
+    total = star.fact.count()
+    flt = X.SalesFilter(regions=("ASIA", "EUROPE"))
+    got = X.filtered_sales(star, flt)
+    assert total > scanned(X.filtered_sales(star, X.SalesFilter())) - 1 and scanned(got) < 0.8 * total
+    plain = Star(star.dim_date, star.dim_store, star.dim_product, star.dim_customer, star.fact, {})
+    assert got.count() == X.filtered_sales(plain, flt).count()

@@ -24,6 +24,7 @@ from the documents whose id hits a fixed-size bitmap.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,24 @@ ROWS_AT_ONCE, COLUMNS_AT_ONCE = 128, 1024
 _U = np.uint64
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a reused worker otherwise keeps the peak of each of its stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run):
+    """A function over batches that gives its memory back when its partition ends."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
 def shingle_sets(s, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingles of each row of a slice, joined, and the row bounds.
 
@@ -213,6 +232,9 @@ def _bucket_links(percent: int):
                 if p != q:
                     parent[p] = q
                     out.append((int(node[some[i]]), int(node[j])))
+        if len(size) > BLOCK_ROWS // 4:
+            del grams, row, col, inter
+            give_back()
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
     return run
 
@@ -249,7 +271,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are ignored, whatever their names. An empty table gives no rows."""
     spark = docs.sparkSession
     src = docs.select(column(docs, id_col).cast("long").alias("doc_id"), column(docs, text_col).alias("text"))
-    seen = cut_lineage(src.mapInArrow(_sketches(shingle_words, bands, rows), "doc_id long, c1 long, c2 long, n long, keys array<long>"))
+    seen = cut_lineage(src.mapInArrow(giving_back(_sketches(shingle_words, bands, rows)), "doc_id long, c1 long, c2 long, n long, keys array<long>"))
     classes = (seen.filter("n > 0").groupBy("c1", "c2")
                .agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("keys").alias("keys"))
                .withColumn("node", F.monotonically_increasing_id()))
@@ -265,12 +287,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     used = cut_lineage(used)
     wanted = spark.sparkContext.broadcast(bitmap(used, "doc"))
     sets = (src.withColumn("bit", id_bit(F.col("doc_id")))
-            .mapInArrow(_sets(shingle_words, wanted), "c1 long, c2 long, grams binary")
+            .mapInArrow(giving_back(_sets(shingle_words, wanted)), "c1 long, c2 long, grams binary")
             .join(used.select("node", "c1", "c2"), ["c1", "c2"]).select("node", "grams").dropDuplicates(["node"]))
     sets = cut_lineage(sets)
     pairs = (star.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")), "b")
              .join(sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a")), "a"))
-    edges = cut_lineage(pairs.select("a", "b", "grams_a", "grams_b").mapInArrow(_verify(percent), "a long, b long"))
+    edges = cut_lineage(pairs.select("a", "b", "grams_a", "grams_b").mapInArrow(giving_back(_verify(percent)), "a long, b long"))
     comp = components(edges)
     # Buckets of three or more classes (in two the only pair is verified) that hold several components.
     known = member.filter("members > 2").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

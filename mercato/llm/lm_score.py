@@ -4,11 +4,13 @@
    gives the ids' corpus counts. What is gathered follows the corpus.
 2. The ids are dealt into ``GROUPS * PER`` output classes by those counts: frequent ids stand alone, the others share
    classes of about equal mass, in which an id's probability is its smoothed share. The classes form ``GROUPS`` groups
-   by the company they keep (bisection along singular vectors of the sample's bigrams); the softmax is first over
+   by the company they keep (bisection along singular vectors of all training rows' bigrams); the softmax is first over
    groups, then inside one. The ``OWN`` most frequent ids have input vectors of their own, the others share hashed ones.
-3. One causal self-attention layer (learned distance bias, one rectified hidden layer) is trained with Adam on a
-   bounded, documented sample of training rows. Its queries, keys, values and residuals are tables by input id, so a
-   window costs lookups and batched products only.
+3. One causal self-attention layer (learned distance bias, one rectified hidden layer) is trained with Adam on every
+   token of every training row: each task goes on from the same start over its own rows, and the tasks' tables are
+   averaged by their windows, 64 at a time. The start is trained in one task on a bounded sample, so that the tasks' ways
+   stay close enough to be averaged. Queries, keys, values and residuals are tables by input id, so a window costs
+   lookups and batched products only.
 4. A text is cut into windows of ``2 * STRIDE`` inputs that overlap by ``STRIDE``; each token is scored once, in the
    later half of its window, by masked attention over what precedes it there. Windows of many texts are one batch.
 5. Counts reach the base score without a join on hot keys: words that hold at least one in ``HOT_WORDS`` of all words
@@ -296,12 +298,17 @@ def vocabulary(ids: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return inputs, classes, np.log10(weight / np.bincount(classes, weight, CLASSES)[classes])
 
 
-def _company(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A number for every class so that classes of a group (number // PER) follow alike classes."""
+def _pairs(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Codes (class * CLASSES + next class) of the neighbours inside rows."""
     inner = np.ones(max(len(classes) - 1, 0), dtype=bool)
     cut = first[1:-1]
     inner[cut[(cut > 0) & (cut < len(classes))] - 1] = False
-    n = np.bincount((classes[:-1] * CLASSES + classes[1:])[inner], minlength=CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(np.float64)
+    return (classes[:-1] * CLASSES + classes[1:])[inner]
+
+
+def _company(pairs: np.ndarray) -> np.ndarray:
+    """A number for every class so that classes of a group (number // PER) follow alike classes; `pairs`: how often each code occurs."""
+    n = pairs.reshape(CLASSES, CLASSES).astype(np.float64)
     expected = (n.sum(1, keepdims=True) + 1) * (n.sum(0, keepdims=True) + 1) / (n.sum() + CLASSES)
     axes = np.linalg.svd(np.log1p(n / expected), full_matrices=False)[2][1:1 + GROUPS.bit_length()]
     parts = [np.arange(CLASSES)]
@@ -392,7 +399,7 @@ def log_odds(p: dict[str, np.ndarray], h: np.ndarray, classes: np.ndarray) -> np
 
 
 def _add_rows(grad: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-    order = np.argsort(ids, kind="stable")
+    order = np.argsort(ids.astype(np.int16), kind="stable")       # input ids end at OUTSIDE; short ones are sorted by digits
     ids, rows = ids[order], rows[order]
     new = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
     grad[ids[new]] += np.add.reduceat(rows, new, axis=0)
@@ -444,16 +451,18 @@ def gradients(p: dict[str, np.ndarray], seen: np.ndarray, goals: np.ndarray) ->
 
 
 def train(texts: list[str], counts: np.ndarray, path: str, steps: int = 400, passes: int = 20, rate: float = 0.02, batch: int = 512,
-          seed: int = 7) -> Model:
+          seed: int = 7, pairs: np.ndarray | None = None) -> Model:
     """Fits the tables on windows of the texts (Adam, `batch` windows a step, at most `passes` over the texts).
 
-    Without texts the class shares decide alone."""
+    `pairs`: counts of neighbouring classes, by default those of the texts. Without texts the class shares decide alone."""
     tokens = subwords(path)
     inputs, classes, inside = vocabulary(counts, tokens.opens)
     parts = [joined(read_slice(s, tokens)[0], tokens.end) for s in text_slices(pa.array(texts, pa.string()))]
     ids = np.concatenate([np.zeros(0, np.int64), *(s[0] for s in parts)])
     first = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *(np.diff(s[1]) for s in parts)]))]).astype(np.int64)
-    classes = _company(classes[ids], first)[classes] if len(ids) else classes
+    if pairs is None:
+        pairs = np.bincount(_pairs(classes[ids], first), minlength=CLASSES * CLASSES)
+    classes = _company(pairs)[classes] if len(ids) else classes
     rng = np.random.default_rng(seed)
     share = np.bincount(classes, counts + ALPHA, CLASSES).reshape(GROUPS, PER) + 1e-9
     def table(width: int, scale: float) -> np.ndarray:
@@ -469,7 +478,7 @@ def train(texts: list[str], counts: np.ndarray, path: str, steps: int = 400, pas
     x = model_inputs(inputs, ids, first, tokens.end)
     goals = np.append(classes[ids], -1)
     _, places = windows(first)
-    m, v = {n: np.zeros_like(a) for n, a in p.items()}, {n: np.zeros_like(a) for n, a in p.items()}
+    adam = Adam(p)
     left = np.zeros(0, np.int64)
     steps = min(steps, -(-passes * len(places) // batch))
     for t in range(1, steps + 1):
@@ -478,14 +487,26 @@ def train(texts: list[str], counts: np.ndarray, path: str, steps: int = 400, pas
         where = places[left[:batch]]
         _, g = gradients(p, x[where], goals[where[:, STRIDE:]])
         left = left[batch:]
-        pace = rate * min(1, t / 20) * (1 - t / (steps + 1))
-        for name, grad in g.items():
-            m[name] += 0.1 * (grad - m[name])
-            v[name] += 0.001 * (grad * grad - v[name])
-            p[name] -= (pace * (m[name] / (1 - 0.9 ** t)) / (np.sqrt(v[name] / (1 - 0.999 ** t)) + 1e-8)).astype(np.float32)
+        adam.step(g, rate * min(1, t / 20) * (1 - t / (steps + 1)))
     return Model(inputs, classes, inside, p)
 
 
+class Adam:
+    """Steps on the tables `p`, in place."""
+
+    def __init__(self, p: dict[str, np.ndarray]):
+        self.p, self.t = p, 0
+        self.m, self.v = {n: np.zeros_like(a) for n, a in p.items()}, {n: np.zeros_like(a) for n, a in p.items()}
+
+    def step(self, g: dict[str, np.ndarray], pace: float) -> None:
+        self.t += 1
+        for name, grad in g.items():
+            m, v = self.m[name], self.v[name]
+            m += 0.1 * (grad - m)
+            v += 0.001 * (grad * grad - v)
+            self.p[name] -= (pace * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.999 ** self.t)) + 1e-8)).astype(np.float32)
+
+
 def score(model: Model, ids: np.ndarray, first: np.ndarray, end: int) -> np.ndarray:
     """log10 probability of each row of the joined ids."""
     x = model_inputs(model.inputs, ids, first, end)
@@ -547,20 +568,108 @@ def sample_texts(rows: DataFrame, n_rows: int, sample: int) -> DataFrame:
     return few.groupBy("h").agg(F.min(F.substr("text", begin.cast("int"), F.lit(SAMPLE_CHARS))).alias("t")).orderBy("h").limit(sample).select("t")
 
 
-def _train(counts, path: str, steps: int):
+def _count_pairs(shared, path: str):
+    """(code, n) of the neighbouring classes of a task's texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, hot = shared.value
+        tokens, n = subwords(path), np.zeros(CLASSES * CLASSES, np.int64)
+        classes = vocabulary(counts, tokens.opens)[1]
+        for batch in batches:
+            for s in text_slices(batch.column("text"), 1 << 19):
+                ids, first = joined(read_slice(s, tokens, hot)[0], tokens.end)
+                code, times = np.unique(_pairs(classes[ids], first), return_counts=True)
+                n[code] += times
+        some = np.flatnonzero(n)
+        for at in range(0, len(some), 1 << 16):
+            code = some[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n[code])], names=["code", "n"])
+    return run
+
+
+def class_pairs(rows: DataFrame, c: Counts, path: str) -> np.ndarray:
+    """How often each pair of classes follows one another in all training rows: at most CLASSES ** 2 rows are gathered."""
+    shared = rows.sparkSession.sparkContext.broadcast((c.ids, c.hot))
+    found = rows.filter("learn").select("text").mapInArrow(_count_pairs(shared, path), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(CLASSES * CLASSES, np.int64)
+    n[found.column("code").to_numpy()] = found.column("n").to_numpy()
+    return n
+
+
+LEARN_RATE, LEARN_BATCH = 0.004, 512
+_PARTS = "part long, n long, p binary"
+
+
+def learn_rows(model: Model, slices: Iterator, path: str, hot: HotWords = NO_HOT) -> int:
+    """Trains on all windows of the slices, once, in place; the number of windows."""
+    tokens, adam, done = subwords(path), Adam(model.p), 0
+    rng = np.random.default_rng(7)
+    for s in slices:
+        ids, first = joined(read_slice(s, tokens, hot)[0], tokens.end)
+        x, goals = model_inputs(model.inputs, ids, first, tokens.end), np.append(model.classes[ids], -1)
+        places = windows(first)[1]
+        for at in np.array_split(rng.permutation(len(places)), max(1, -(-len(places) // LEARN_BATCH))):
+            if len(at):
+                _, g = gradients(model.p, x[places[at]], goals[places[at, STRIDE:]])
+                adam.step(g, LEARN_RATE * min(1, (adam.t + 1) / 20) / np.sqrt(1 + adam.t / 200) * min(1, len(at) / LEARN_BATCH))
+        done += len(places)
+    return done
+
+
+def _learn(shared, path: str):
+    """A task's tables after all its rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, hot = shared.value
+        model = Model(start.inputs, start.classes, start.inside, {n: a.copy() for n, a in start.p.items()})
+        n = learn_rows(model, (s for batch in batches for s in text_slices(batch.column("text"), 1 << 19)), path, hot)
+        if n:
+            yield _part(TaskContext.get().partitionId(), n, model.p)
+    return run
+
+
+def _part(part: int, n: int, p: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([n], pa.int64()), pa.array([pickle.dumps(p)], pa.binary())], names=["part", "n", "p"])
+
+
+def _mean(group: pa.Table) -> pa.Table:
+    """One row of a few: the tables' mean by windows, in the order of their parts."""
+    found = sorted(((r["part"], r["n"], pickle.loads(r["p"])) for r in group.to_pylist()), key=lambda r: r[0])
+    total = sum(n for _, n, _ in found)
+    p = {name: sum(q[name] * (n / total) for _, n, q in found).astype(np.float32) for name in found[0][2]}
+    return pa.Table.from_batches([_part(found[0][0], total, p)])
+
+
+def learn(rows: DataFrame, start: Model, path: str, hot: HotWords = NO_HOT) -> Model:
+    """The start, trained on by every task over its training rows; the tasks' tables are averaged 64 at a time."""
+    shared = rows.sparkSession.sparkContext.broadcast((start, hot))
+    parts = cut_lineage(rows.filter("learn").select("text").mapInArrow(_learn(shared, path), _PARTS))
+    n = parts.count()
+    while n > 1:
+        bounds = parts.agg(F.max("part").alias("most")).first()["most"] + 1
+        width = 64 if bounds > 64 else bounds
+        near = parts.groupBy(F.floor(F.col("part") / width).alias("g")).applyInArrow(_mean, _PARTS)
+        parts = cut_lineage(near.withColumn("part", F.floor(F.col("part") / width).cast("long")))
+        n = parts.count()
+    last = parts.first()
+    return start if last is None else Model(start.inputs, start.classes, start.inside, pickle.loads(bytes(last["p"])))
+
+
+def _train(counts, path: str, steps: int, pairs=None):
     """The model of all texts of a task, pickled in one row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t for batch in batches for t in batch.column("t").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, counts.value, path, steps))], pa.binary())], names=["model"])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, counts.value, path, steps, pairs=pairs.value if pairs else None))], pa.binary())], names=["model"])
     return run
 
 
 def fit(rows: DataFrame, c: Counts, path: str, sample: int, steps: int) -> Model:
-    """Trains in one task, on the bounded sample; the model's size is fixed by its dimensions and the vocabulary's."""
+    """Starts in one task, on the bounded sample, and goes on over all training rows; the model's size is fixed by its
+    dimensions and the vocabulary's."""
     counts = rows.sparkSession.sparkContext.broadcast(c.ids)
+    pairs = rows.sparkSession.sparkContext.broadcast(class_pairs(rows, c, path))
     texts = sample_texts(rows, c.ends, sample).toArrow().column("t").to_pylist()
     one = rows.sparkSession.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
-    return pickle.loads(bytes(one.mapInArrow(_train(counts, path, steps), "model binary").first()["model"]))
+    start = pickle.loads(bytes(one.mapInArrow(_train(counts, path, steps, pairs), "model binary").first()["model"]))
+    return learn(rows, start, path, c.hot)
 
 
 def score_texts(docs: DataFrame, held_out: Column, path: str, id_col: str = "doc_id", text_col: str = "text", sample: int = 3000, steps: int = 400) -> DataFrame:
@@ -568,8 +677,8 @@ def score_texts(docs: DataFrame, held_out: Column, path: str, id_col: str = "doc
 
     held_out: a boolean column of docs; rows where it isn't true are learned from. A null text is an empty one: its end
     token alone. Repeated rows stay, null ids are carried, other columns are ignored. Without training rows nothing is
-    known and the model is untrained. An empty table gives no rows. The model is fitted on slices of at most `sample`
-    different training texts; counts cover all rows."""
+    known and the model is untrained. An empty table gives no rows. Counts, classes and the model cover all training rows;
+    slices of at most `sample` different training texts give the model its start."""
     spark = docs.sparkSession
     rows = docs.select(column(docs, id_col).cast("long").alias("doc_id"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out")).withColumn("learn", ~F.col("held_out"))

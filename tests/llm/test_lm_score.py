@@ -149,3 +149,34 @@ def test_held_out_documents_of_the_table(spark):
     shares = {r["doc_id"]: r["score"] for r in L.score_texts(docs, queries.tenth(F.col("doc_id"), 0), PATH, sample=0).collect()}    # nothing fitted
     unseen = [r for r in out if r["held_out"]]
     assert sum(r["score"] for r in unseen) > 0.85 * sum(shares[r["doc_id"]] for r in unseen)
+
+
+def test_every_training_row_is_learned_from(spark, monkeypatch):
+    """Classes and tables come from all rows, whatever the start's sample; the tasks' tables are averaged by their windows."""
+    plain, rare = "the cat sat on the mat and the dog ran to the house", "quartz vexing jumble of zebra glyphs"
+    rows = [(i, f"{rare if i % 40 == 0 else plain} {i}", True) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(5).persist()
+    held = df.withColumn("learn", F.lit(False))
+    c = L.count(df, PATH)
+    tokens = L.subwords(PATH)
+    _, classes, _ = L.vocabulary(c.ids, tokens.opens)
+    want = np.zeros(L.CLASSES ** 2, np.int64)
+    (s,) = text_slices(pa.array([t for _, t, _ in rows], pa.string()))
+    ids, first = L.joined(L.read_slice(s, tokens)[0], tokens.end)
+    np.add.at(want, L._pairs(classes[ids], first), 1)
+    assert (L.class_pairs(df, c, PATH) == want).all()
+    start = L.train([plain], c.ids, PATH, steps=5, pairs=want)          # a start that saw no rare text
+    learned = L.learn(df, start, PATH, c.hot)
+    assert all((learned.p[n] != start.p[n]).any() for n in learned.p)
+    monkeypatch.setattr(L, "LEARN_BATCH", 4)                            # many steps over few rows
+    (s,) = text_slices(pa.array([t for _, t, _ in rows], pa.string()))
+    assert L.learn_rows(learned, iter([s]), PATH, c.hot) == len(L.windows(first)[1])
+    (s,) = text_slices(pa.array([rare], pa.string()))
+    text = L.joined(L.read_slice(s, tokens)[0], tokens.end)
+    assert L.score(learned, *text, tokens.end)[0] > L.score(start, *text, tokens.end)[0] + 1
+    parts = []
+    for i, n in ((3, 1), (1, 3)):
+        parts.append(L._part(i, n, {k: np.full_like(v, i) for k, v in start.p.items()}))
+    mean = L._mean(pa.Table.from_batches(parts)).to_pylist()[0]
+    assert (mean["part"], mean["n"]) == (1, 4) and all(np.allclose(v, 1.5) for v in L.pickle.loads(mean["p"]).values())
+    assert L.learn(held, start, PATH) is start                          # nothing to learn from

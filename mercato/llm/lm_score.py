@@ -8,7 +8,7 @@
    groups, then inside one. The ``OWN`` most frequent ids have input vectors of their own, the others share hashed ones.
 3. One causal self-attention layer (learned distance bias, one rectified hidden layer) is trained with Adam on every
    token of every training row: each task goes on from the same start over its own rows, and the tasks' tables are
-   averaged by their windows, 64 at a time. The start is trained in one task on a bounded sample, so that the tasks' ways
+   averaged by their windows, a few at a time. The start is trained in one task on a bounded sample, so that the tasks' ways
    stay close enough to be averaged. Queries, keys, values and residuals are tables by input id, so a window costs
    lookups and batched products only.
 4. A text is cut into windows of ``2 * STRIDE`` inputs that overlap by ``STRIDE``; each token is scored once, in the
@@ -595,7 +595,8 @@ def class_pairs(rows: DataFrame, c: Counts, path: str) -> np.ndarray:
     return n
 
 
-LEARN_RATE, LEARN_BATCH = 0.004, 512
+LEARN_RATE, LEARN_BATCH, LEARN_WARM = 0.004, 512, 20
+MEAN_OF = 16                # tasks' tables averaged at a time
 _PARTS = "part long, n long, p binary"
 
 
@@ -610,7 +611,7 @@ def learn_rows(model: Model, slices: Iterator, path: str, hot: HotWords = NO_HOT
         for at in np.array_split(rng.permutation(len(places)), max(1, -(-len(places) // LEARN_BATCH))):
             if len(at):
                 _, g = gradients(model.p, x[places[at]], goals[places[at, STRIDE:]])
-                adam.step(g, LEARN_RATE * min(1, (adam.t + 1) / 20) / np.sqrt(1 + adam.t / 200) * min(1, len(at) / LEARN_BATCH))
+                adam.step(g, LEARN_RATE * min(1, (adam.t + 1) / LEARN_WARM) / np.sqrt(1 + adam.t / 200) * min(1, len(at) / LEARN_BATCH))
         done += len(places)
     return done
 
@@ -639,13 +640,13 @@ def _mean(group: pa.Table) -> pa.Table:
 
 
 def learn(rows: DataFrame, start: Model, path: str, hot: HotWords = NO_HOT) -> Model:
-    """The start, trained on by every task over its training rows; the tasks' tables are averaged 64 at a time."""
+    """The start, trained on by every task over its training rows; the tasks' tables are averaged MEAN_OF at a time."""
     shared = rows.sparkSession.sparkContext.broadcast((start, hot))
     parts = cut_lineage(rows.filter("learn").select("text").mapInArrow(_learn(shared, path), _PARTS))
     n = parts.count()
     while n > 1:
         bounds = parts.agg(F.max("part").alias("most")).first()["most"] + 1
-        width = 64 if bounds > 64 else bounds
+        width = min(bounds, MEAN_OF)
         near = parts.groupBy(F.floor(F.col("part") / width).alias("g")).applyInArrow(_mean, _PARTS)
         parts = cut_lineage(near.withColumn("part", F.floor(F.col("part") / width).cast("long")))
         n = parts.count()

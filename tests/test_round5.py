@@ -77,3 +77,25 @@ def test_the_late_batch_reads_the_sales_once(spark, tmp_dir):
     assert got.dtypes == want.dtypes
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and got.count() == want.count()
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+def test_only_stored_ids_that_may_repeat_are_joined(spark, tmp_dir, monkeypatch):
+    from mercato.sources import id_index as I
+    joined = []
+    real = I.split_by_keys
+    monkeypatch.setattr(I, "split_by_keys", lambda rows, key, keys: (lambda both: (joined.append(both[1].count()), both)[1])(real(rows, key, keys)))
+    index = I.IdIndex(spark, os.path.join(tmp_dir, "ids"), buckets=2, bucket_bits=1 << 16)
+    index.add(spark.range(5000).select(F.concat(F.lit("k"), "id").alias("transaction_id")), "one")
+    batch = spark.createDataFrame([("k1",), ("k1",), ("new",), ("new",), (None,)], "transaction_id string")
+    assert tuple(index.check(batch).first()) == (2, 1)
+    assert joined == [1]
+
+
+def test_the_csv_round_trip_writes_packed_files(spark, tmp_dir, monkeypatch):
+    raw = raw_frame(spark, [dict(transaction_id=f"t{i}", date=dt.date(2024, 1, 1), store_name="a,\"b\"" if i else None, region="East") for i in range(3)])
+    monkeypatch.setattr(R.W, "sales", lambda s, d: raw)
+    monkeypatch.setattr(R.W, "scratch", lambda s, d, name: os.path.join(tmp_dir, name))
+    got = R._csv_ingest(spark, tmp_dir)
+    assert sorted((r.transaction_id, r.store_name) for r in got.collect()) == [("t0", None), ("t1", 'a,"b"'), ("t2", 'a,"b"')]
+    files = [f for f in os.listdir(os.path.join(tmp_dir, "csv")) if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
